@@ -76,3 +76,11 @@ def shared_folder(spark: SparkSession) -> str:
 def new_table_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one written table inside the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(table, label: str):
+    """Write a DataFrame to the shared folder once and read it back, so later jobs do not compute it again."""
+    spark = table.sparkSession
+    path = new_table_path(spark, label)
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
