@@ -23,13 +23,17 @@ def write_manifest(chunks: DataFrame, path: str) -> None:
 
 def read_manifest(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
     """Flat ``(source, filename, urls)`` rows of manifest files in either layout."""
-    if layout == "lines":
-        snapshots = spark.read.text(path).select(F.from_json("value", SNAPSHOT).alias("snapshot"))
-    elif layout == "array":
-        documents = spark.read.text(path, wholetext=True)
-        snapshots = documents.select(F.explode(F.from_json("value", f"array<{SNAPSHOT}>")).alias("snapshot"))
-    else:
+    if layout not in ("lines", "array"):
         raise ValueError(f"unknown manifest layout: {layout}")
+    return flatten_manifest(spark.read.text(path, wholetext=layout == "array"), "value", layout)
+
+
+def flatten_manifest(documents: DataFrame, column: str, layout: str = "lines") -> DataFrame:
+    """Manifest JSON held in a column, one object (``lines``) or one array of objects (``array``) per row."""
+    if layout == "array":
+        snapshots = documents.select(F.explode(F.from_json(column, f"array<{SNAPSHOT}>")).alias("snapshot"))
+    else:
+        snapshots = documents.select(F.from_json(column, SNAPSHOT).alias("snapshot"))
     sources = snapshots.select(F.explode("snapshot").alias("source", "files"))
     return sources.select("source", F.explode("files").alias("filename", "urls"))
 
