@@ -62,8 +62,9 @@ def _texts(fragments: Column, start: int, limit: int | None) -> Column:
 
 def _named_entities() -> Column:
     """The HTML 4 names of the Python standard library, plus ``apos``, as one constant map."""
-    pairs = [*sorted(name2codepoint.items()), ("apos", 39)]
-    return F.create_map(*[F.lit(x) for name, code in pairs for x in (name, chr(code))])
+    characters = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
+    lines = "\n".join(f"{name}\t{character}" for name, character in characters.items())
+    return F.str_to_map(F.lit(lines), F.lit("\n"), F.lit("\t"))
 
 
 def _code_point(digits: Column, base: int) -> Column:

@@ -60,17 +60,16 @@ def retrieval_prompt(query: Column) -> Column:
     return F.concat(F.lit(RETRIEVAL_PROMPT), query)
 
 
-def language_votes(text: Column, stop_words: dict[str, list[str]] | None = None) -> dict[str, Column]:
-    """Stop-word count per language, computed inside the row."""
-    tokens = whitespace_tokens(F.lower(text))
-    return {
-        lang: F.size(F.filter(tokens, lambda t, words=words: t.isin(words)))
-        for lang, words in (stop_words or STOP_WORDS).items()
-    }
+def guess_language(text: Column, stop_words: dict[str, list[str]] | None = None) -> Column:
+    """Language with the most stop words, alphabetical on ties; NULL when no word votes. Computed inside the row."""
 
+    def votes(tokens: Column) -> Column:
+        def vote(lang: str, words: list[str]) -> Column:
+            count = F.size(F.filter(tokens, lambda token: token.isin(words)))
+            return F.struct((-count).alias("less"), F.lit(lang).alias("lang"))
 
-def guess_language(text: Column, stop_words: dict[str, list[str]] | None = None) -> Column:
-    """Language with the most stop words, alphabetical on ties; NULL when no word votes."""
-    votes = language_votes(text, stop_words)
-    ranked = F.array_sort(F.array(*[F.struct((-n).alias("n"), F.lit(lang).alias("lang")) for lang, n in votes.items()]))
-    return F.when(ranked[0]["n"] < 0, ranked[0]["lang"])
+        counted = [vote(lang, words) for lang, words in (stop_words or STOP_WORDS).items()]
+        return F.array_min(F.array(*counted))
+
+    winner = F.transform(F.array(whitespace_tokens(F.lower(text))), votes)[0]
+    return F.transform(F.array(winner), lambda w: F.when(w["less"] < 0, w["lang"]))[0]

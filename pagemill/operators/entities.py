@@ -21,27 +21,37 @@ def _pieces(text: Column) -> Column:
 
 
 def _candidates(pieces: Column, first_words: list[str] | None, context: int) -> Column:
-    """Words that can start a name, with offset, word number and the text that follows."""
-    hit = "array<struct<pos:int,start:int,word:string>>"
+    """Words that can start a name, with offset, word number and the text that follows.
+
+    Only positions are tested piece by piece; offsets are summed over the gaps between candidates.
+    """
+
+    def starts_name(position: Column) -> Column:
+        piece = F.get(pieces, position)
+        return piece.isin(first_words) if first_words is not None else piece.rlike(f"^{WORD}")
+
+    def join(start: Column, count: Column) -> Column:
+        return F.array_join(F.slice(pieces, start + 1, count), "")
+
+    hit = "array<struct<pos:int,start:int>>"
     zero = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("start"), F.array().cast(hit).alias("hits"))
 
-    def step(state: Column, piece: Column) -> Column:
-        starts_name = piece.isin(first_words) if first_words is not None else piece.rlike(f"^{WORD}")
-        found = F.struct(state["pos"].alias("pos"), state["start"].alias("start"), piece.alias("word"))
+    def step(state: Column, position: Column) -> Column:
+        start = state["start"] + F.length(join(state["pos"], position - state["pos"]))
+        found = F.struct(position.alias("pos"), start.alias("start"))
         return F.struct(
-            (state["pos"] + 1).alias("pos"),
-            (state["start"] + F.length(piece)).alias("start"),
-            F.when(starts_name, F.concat(state["hits"], F.array(found))).otherwise(state["hits"]).alias("hits"),
+            position.alias("pos"), start.alias("start"), F.concat(state["hits"], F.array(found)).alias("hits")
         )
 
-    hits = F.aggregate(pieces, zero, step, lambda state: state["hits"])
+    positions = F.when(F.size(pieces) > 0, F.filter(F.sequence(F.lit(0), F.size(pieces) - 1), starts_name))
+    hits = F.aggregate(positions, zero, step, lambda state: state["hits"])
     return F.transform(
         hits,
         lambda h: F.struct(
             h["start"].alias("start"),
-            h["word"].alias("word"),
+            F.get(pieces, h["pos"]).alias("word"),
             F.floor(h["pos"] / 2).cast("int").alias("start_token"),
-            F.array_join(F.slice(pieces, h["pos"] + 1, context), "").alias("context"),
+            join(h["pos"], F.lit(context)).alias("context"),
         ),
     )
 

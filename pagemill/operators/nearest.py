@@ -30,17 +30,16 @@ def first_vector(vectors: DataFrame, key: str, vector: str) -> Column:
 def similarity_to_first(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """Cosine of the first vector with every other one."""
     first_key = vectors.agg(F.min(key)).scalar()
-    return vectors.filter(F.col(key) != first_key).select(
-        key, F.round(cosine(first_vector(vectors, key, vector), F.col(vector)), DIGITS).alias("score")
-    )
+    others = vectors.filter(F.col(key) != first_key).withColumn("_first", first_vector(vectors, key, vector))
+    return others.select(key, F.round(cosine(F.col("_first"), F.col(vector)), DIGITS).alias("score"))
 
 
 def hamming_then_cosine(vectors: DataFrame, key: str, vector: str, query: Column, shortlist: int) -> DataFrame:
     """The ``shortlist`` nearest by sign bits, with their cosine for the final order."""
-    scored = vectors.select(
+    scored = vectors.withColumn("_query", query).select(
         key,
-        hamming(sign_words(F.col(vector)), sign_words(query)).alias("distance"),
-        F.round(cosine(F.col(vector), query), DIGITS).alias("score"),
+        hamming(sign_words(F.col(vector)), sign_words(F.col("_query"))).alias("distance"),
+        F.round(cosine(F.col(vector), F.col("_query")), DIGITS).alias("score"),
     )
     return scored.orderBy("distance", key).limit(shortlist)
 

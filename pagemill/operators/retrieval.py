@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,31 +18,34 @@ from pagemill.session import written
 
 RESULT = "query_id long, doc_id long, score double"
 ENTRY_BYTES = 64
+# Terms known to every task: at most this many, none longer than this, so never more than some 15 MB.
+HEAD_TERMS = 100_000
+HEAD_TERM_BYTES = 64
 
 
 def tfidf_search(
     documents: DataFrame, doc_key: str, doc_tokens: Column,
     queries: DataFrame, query_key: str, query_tokens: Column, k: int,
-    batch_bytes: int = BROADCAST_BYTES,
+    batch_bytes: int = BROADCAST_BYTES, head_terms: int = HEAD_TERMS,
 ) -> DataFrame:
     """``(query_id, doc_id, score, rank)``: the ``k`` documents nearest to every query.
 
     Query terms unknown to the documents carry no weight. A query batch of at most ``batch_bytes`` is scored against
     each document inside the task, so only the best of each task travel; a larger one is scored by a join on the
-    terms.
+    terms. The ``head_terms`` most frequent terms meet their weights by broadcast, so no frequent term is ever a
+    shuffle key.
     """
     documents = documents.select(F.col(doc_key).cast("long").alias("doc_id"), doc_tokens.alias("tokens"))
     queries = queries.select(F.col(query_key).cast("long").alias("query_id"), query_tokens.alias("tokens"))
     idf = written(term_idf(documents, F.col("tokens")), "idf")
     weights = query_weights(term_counts(queries, "query_id", F.col("tokens")), idf)
-    counts = term_counts(documents, "doc_id", F.col("tokens"))
 
     limit = batch_bytes // ENTRY_BYTES
     table = weights.limit(limit + 1).toPandas()
     if len(table) <= limit:
-        partial = _score_in_tasks(counts, idf, table, k)
+        partial = _score_in_tasks(documents, idf, table, k, head_terms)
     else:
-        partial = _score_by_join(counts, idf, weights)
+        partial = _score_by_join(term_counts(documents, "doc_id", F.col("tokens")), idf, weights)
     return rank_scores(partial, "query_id", "doc_id", "score", k)
 
 
@@ -62,9 +66,76 @@ def _score_by_join(counts: DataFrame, idf: DataFrame, weights: DataFrame) -> Dat
     return scored.select("query_id", "doc_id", F.round(F.col("dot") / F.col("length"), DIGITS).alias("score"))
 
 
-def _score_in_tasks(counts: DataFrame, idf: DataFrame, table: pd.DataFrame, k: int) -> DataFrame:
-    """``table`` holds the query weights. Documents become rows of (length, weights on query terms)."""
-    spark = counts.sparkSession
+def document_weights(documents: DataFrame, lexicon: DataFrame, head_terms: int) -> DataFrame:
+    """``(doc_id, length, hits)`` from ``(doc_id, tokens)`` and ``lexicon(term, df, idf, term_no)``.
+
+    ``length`` is over all terms, ``hits`` are the weights of terms with a ``term_no``. Frequent terms are looked up in
+    a broadcast and folded into their document where it is; only the rare terms are looked up by a join.
+    """
+    first = written(_fold_head(documents, _head(lexicon, head_terms)), "head")
+    weight = F.col("tf") * F.col("idf")
+    rest = (
+        term_counts(first, "doc_id", F.col("rare"))
+        .join(lexicon, "term")
+        .groupBy("doc_id")
+        .agg(
+            F.sum(weight * weight).alias("rare_squares"),
+            F.collect_list(F.when(F.col("term_no").isNotNull(), F.struct("term_no", weight.alias("w")))).alias("rare_hits"),
+        )
+    )
+    return first.drop("rare").join(rest, "doc_id", "left").select(
+        "doc_id",
+        F.sqrt(F.col("squares") + F.coalesce("rare_squares", F.lit(0.0))).alias("length"),
+        F.when(F.col("rare_hits").isNull(), F.col("hits")).otherwise(F.concat("hits", "rare_hits")).alias("hits"),
+    )
+
+
+def _head(lexicon: DataFrame, head_terms: int) -> pd.DataFrame:
+    short = lexicon.filter(F.octet_length("term") <= HEAD_TERM_BYTES)
+    return short.orderBy(F.desc("df"), "term").limit(head_terms).toPandas()
+
+
+def _fold_head(documents: DataFrame, head: pd.DataFrame) -> DataFrame:
+    """Per document: sum of squared weights and query hits of its head terms, and its other tokens."""
+    terms = pa.array(head["term"].astype(str), pa.string())
+    idf = head["idf"].to_numpy(dtype=float)
+    term_no = head["term_no"].fillna(-1).to_numpy(dtype=np.int32)
+    shared = documents.sparkSession.sparkContext.broadcast((terms, idf, term_no))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, weights, numbers = shared.value
+        size = max(len(known), 1)
+        for batch in batches:
+            tokens = batch.column("tokens")
+            flat, n = tokens.flatten(), batch.num_rows
+            row = np.repeat(np.arange(n), np.diff(tokens.offsets.to_numpy()))
+            place = pc.fill_null(pc.index_in(flat, value_set=known), -1).to_numpy()
+            in_head = place >= 0
+            pair, tf = np.unique(row[in_head] * size + place[in_head], return_counts=True)
+            owner, term = pair // size, pair % size
+            weight = tf * weights[term]
+            hit = numbers[term] >= 0
+            hits = pa.StructArray.from_arrays([pa.array(numbers[term[hit]]), pa.array(weight[hit])], ["term_no", "w"])
+            columns = [
+                batch.column("doc_id"),
+                pa.array(np.bincount(owner, weight * weight, n)),
+                pa.ListArray.from_arrays(_offsets(owner[hit], n), hits),
+                pa.ListArray.from_arrays(_offsets(row[~in_head], n), flat.filter(pa.array(~in_head))),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "squares", "hits", "rare"])
+
+    schema = "doc_id long, squares double, hits array<struct<term_no:int,w:double>>, rare array<string>"
+    return documents.mapInArrow(fold, schema)
+
+
+def _offsets(owner: np.ndarray, rows: int) -> pa.Array:
+    """List offsets for values whose (sorted) row numbers are ``owner``."""
+    return pa.array(np.searchsorted(owner, np.arange(rows + 1)), pa.int32())
+
+
+def _score_in_tasks(documents: DataFrame, idf: DataFrame, table: pd.DataFrame, k: int, head_terms: int) -> DataFrame:
+    """``table`` holds the query weights; every document is scored against all queries where it is."""
+    spark = documents.sparkSession
     table = table.sort_values(["term", "query_id"], kind="stable")
     terms, term_no = np.unique(table["term"].to_numpy(dtype=object), return_inverse=True)
     query_ids, query_no = np.unique(table["query_id"].to_numpy(dtype=np.int64), return_inverse=True)
@@ -73,15 +144,8 @@ def _score_in_tasks(counts: DataFrame, idf: DataFrame, table: pd.DataFrame, k: i
 
     numbers = pd.DataFrame({"term": terms.astype(str), "term_no": np.arange(len(terms), dtype=np.int32)})
     lexicon = idf.join(spark.createDataFrame(numbers, "term string, term_no int"), "term", "left")
-    weight = F.col("tf") * F.col("idf")
-    hit = F.when(F.col("term_no").isNotNull(), F.struct("term_no", weight.alias("w")))
-    rows = (
-        counts.join(lexicon, "term")
-        .groupBy("doc_id")
-        .agg(F.sqrt(F.sum(weight * weight)).alias("length"), F.collect_list(hit).alias("hits"))
-        .filter(F.size("hits") > 0)
-        .select("doc_id", "length", F.col("hits.term_no").alias("term_no"), F.col("hits.w").alias("w"))
-    )
+    weights = document_weights(documents, lexicon, head_terms).filter(F.size("hits") > 0)
+    rows = weights.select("doc_id", "length", F.col("hits.term_no").alias("term_no"), F.col("hits.w").alias("w"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, owners, values, starts = shared.value

@@ -55,7 +55,7 @@ def idf_weight(n_documents: Column, document_frequency: Column) -> Column:
 
 
 def term_idf(documents: DataFrame, tokens: Column) -> DataFrame:
-    """``(term, idf)`` over all documents; each row adds its distinct terms, counted before the shuffle."""
+    """``(term, df, idf)`` over all documents; each row adds its distinct terms, counted before the shuffle."""
     n_documents = documents.agg(F.count("*")).scalar()
     frequency = documents.select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    return frequency.select("term", idf_weight(n_documents, F.col("df")).alias("idf"))
+    return frequency.select("term", "df", idf_weight(n_documents, F.col("df")).alias("idf"))

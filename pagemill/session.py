@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE re-plans joins from measured sizes: it broadcasts a side only when its shuffle output is below the
 # threshold and splits partitions that a hot key makes too large.
@@ -17,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     "spark.sql.python.filterPushdown.enabled": "true",
 }
 
@@ -78,7 +79,16 @@ def new_table_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(table, label: str):
+def spread(table: DataFrame) -> DataFrame:
+    """Round-robin a table that the scan delivers in fewer partitions than there are cores.
+
+    Small files come as one partition; a large table has splits enough and is left alone.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
+def written(table: DataFrame, label: str) -> DataFrame:
     """Write a DataFrame to the shared folder once and read it back, so later jobs do not compute it again."""
     spark = table.sparkSession
     path = new_table_path(spark, label)

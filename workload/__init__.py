@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagemill.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -28,3 +30,8 @@ class Catalogue:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Some columns of a table, on all cores: for work that is heavy per row."""
+    return spread(table(spark, sf_dir, name).select(*columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemill.operators import entities as N
-from workload import Catalogue, table
+from workload import Catalogue, spread_table
 
 catalogue = Catalogue()
 
@@ -51,21 +51,22 @@ def sql_spans(prefix: str, relation: str, keys: str, names: list[tuple[str, str]
     {prefix}_names(name, label) AS (VALUES {sql_names(names)}),
     {prefix}_sized AS (SELECT name, label, len(regexp_extract_all(name, '{PIECE}')) AS m,
                               regexp_extract(name, '{WORD}+') AS word FROM {prefix}_names),
-    {prefix}_split AS (SELECT {keys}, body, regexp_extract_all(body, '{PIECE}') AS p FROM {relation}),
-    {prefix}_pieces AS (SELECT {keys}, body, unnest(p) AS piece, unnest(range(len(p))) AS pos FROM {prefix}_split),
+    {prefix}_split AS (SELECT {keys}, regexp_extract_all(body, '{PIECE}') AS p FROM {relation}),
+    {prefix}_pieces AS (SELECT {keys}, unnest(p) AS piece, unnest(range(len(p))) AS pos FROM {prefix}_split),
     {prefix}_placed AS (
         SELECT *, CAST(coalesce(sum(length(piece)) OVER (PARTITION BY {keys} ORDER BY pos
                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM {prefix}_pieces
     ),
+    {prefix}_hit AS (SELECT * FROM {prefix}_placed JOIN {prefix}_sized ON piece = word),
     {prefix}_found AS (
         SELECT {keys}, name AS text, start, start + length(name) AS stop, label, pos // 2 AS start_token,
                pos // 2 + (m + 1) // 2 AS end_token
-        FROM {prefix}_placed JOIN {prefix}_sized ON piece = word
+        FROM {prefix}_hit JOIN {relation} USING ({keys})
         WHERE substr(body, start + 1, length(name)) = name
           AND (NOT regexp_matches(name, '{WORD}$')
                OR NOT regexp_matches(substr(body, start + 1 + length(name), 1), '{WORD}'))
     ),
-    {prefix}_longest AS (
+    {prefix}_longest AS MATERIALIZED (
         SELECT * FROM {prefix}_found
         QUALIFY row_number() OVER (PARTITION BY {keys}, start ORDER BY stop DESC, label) = 1
     ),
@@ -95,7 +96,7 @@ def names(spark, rows=None):
 
 
 def spans(spark, sf_dir):
-    return N.tag_entities(table(spark, sf_dir, "documents"), "doc_id", "text", names(spark))
+    return N.tag_entities(spread_table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", names(spark))
 
 
 @catalogue.query(f"WITH RECURSIVE {DOCS} {sql_spans('base', 'docs', 'doc_id', NAMES)} SELECT {COLUMNS} FROM base")
@@ -111,16 +112,16 @@ def organisation_spans(spark, sf_dir):
 
 
 @catalogue.query(f"""
-    WITH RECURSIVE {DOCS} {sql_spans('base', 'docs', 'doc_id', NAMES)}, {sql_spans('over', 'docs', 'doc_id', OVERRIDES)},
+    WITH RECURSIVE {DOCS} {sql_spans('base', 'docs', 'doc_id', NAMES)}, {sql_spans('ov', 'docs', 'doc_id', OVERRIDES)},
     merged AS (
-        SELECT * FROM over UNION ALL
+        SELECT * FROM ov UNION ALL
         SELECT * FROM base b WHERE NOT EXISTS (
-            SELECT 1 FROM over o WHERE o.doc_id = b.doc_id AND o.start < b.stop AND b.start < o.stop)
+            SELECT 1 FROM ov o WHERE o.doc_id = b.doc_id AND o.start < b.stop AND b.start < o.stop)
     )
     SELECT {COLUMNS} FROM merged
-""".replace("over AS", "ov AS").replace("FROM over", "FROM ov"))
+""")
 def entity_override(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text")
     overrides = N.tag_entities(docs, "doc_id", "text", names(spark, OVERRIDES))
     return N.override_spans(spans(spark, sf_dir), overrides, ["doc_id"])
 
@@ -131,5 +132,5 @@ def entity_override(spark, sf_dir):
     SELECT conv_id, turn, arg_min(text, start) AS company FROM base WHERE label = 'ORG' GROUP BY conv_id, turn
 """)
 def company_of_question(spark, sf_dir):
-    questions = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    questions = spread_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").filter(F.col("role") == "user")
     return N.company_of_question(questions, ["conv_id", "turn"], "text", names(spark))

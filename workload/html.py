@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import html
 from pagemill.operators import pages as P
-from workload import Catalogue, table
+from workload import Catalogue, spread_table
 
 catalogue = Catalogue()
 
@@ -38,7 +38,7 @@ PARAGRAPHS = f"list_transform({CUT}, lambda x: {PLAIN})"
     FROM cleaned
 """)
 def page_fields(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = spread_table(spark, sf_dir, "pages", "page_id", "html")
     return P.with_html_fields(pages, "html").select(
         "page_id",
         "title",
@@ -51,7 +51,7 @@ def page_fields(spark, sf_dir):
 @catalogue.query(f"WITH cleaned AS ({CLEANED}) SELECT page_id, {TITLE} AS title FROM cleaned")
 def html_title(spark, sf_dir):
     clean = html.clean_html(F.col("html"))
-    return table(spark, sf_dir, "pages").select("page_id", html.html_title(clean).alias("title"))
+    return spread_table(spark, sf_dir, "pages", "page_id", "html").select("page_id", html.html_title(clean).alias("title"))
 
 
 @catalogue.query(f"""
@@ -60,7 +60,7 @@ def html_title(spark, sf_dir):
 """)
 def html_headings(spark, sf_dir):
     headings = html.html_headings(html.clean_html(F.col("html")))
-    rows = table(spark, sf_dir, "pages").select("page_id", F.posexplode(headings).alias("heading_no", "heading"))
+    rows = spread_table(spark, sf_dir, "pages", "page_id", "html").select("page_id", F.posexplode(headings).alias("heading_no", "heading"))
     return rows.withColumn("heading_no", F.col("heading_no").cast("bigint"))
 
 
@@ -70,7 +70,7 @@ def html_headings(spark, sf_dir):
 """)
 def html_paragraphs(spark, sf_dir):
     paragraphs = html.html_paragraphs(html.clean_html(F.col("html")))
-    rows = table(spark, sf_dir, "pages").select("page_id", F.posexplode(paragraphs).alias("paragraph_no", "paragraph"))
+    rows = spread_table(spark, sf_dir, "pages", "page_id", "html").select("page_id", F.posexplode(paragraphs).alias("paragraph_no", "paragraph"))
     return rows.withColumn("paragraph_no", F.col("paragraph_no").cast("bigint"))
 
 
@@ -79,7 +79,7 @@ def html_paragraphs(spark, sf_dir):
     SELECT page_id, unnest(p) AS text, unnest(range(len(p))) AS chunk_no FROM found
 """)
 def html_all_paragraphs(spark, sf_dir):
-    chunks = P.paragraph_chunks(table(spark, sf_dir, "pages"), "page_id", "html")
+    chunks = P.paragraph_chunks(spread_table(spark, sf_dir, "pages", "page_id", "html"), "page_id", "html")
     return chunks.withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
 
 
@@ -98,7 +98,7 @@ SCORES = ", ".join(
 """)
 def not_found_pages(spark, sf_dir):
     title = html.html_title(html.clean_html(F.col("html")))
-    scored = table(spark, sf_dir, "pages").select("page_id", title.alias("title")).select(
+    scored = spread_table(spark, sf_dir, "pages", "page_id", "html").select("page_id", title.alias("title")).select(
         "page_id", P.not_found_score(F.col("title")).alias("raw")
     )
     return scored.select("page_id", F.round("raw", 6).alias("score"), (F.col("raw") >= 0.8).alias("is_not_found"))

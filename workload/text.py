@@ -14,7 +14,7 @@ from pagemill.operators.retrieval import tfidf_search
 from pagemill.operators.tables import profile, random_rows
 from pagemill.plans import features as E
 from pagemill.session import written
-from workload import Catalogue, table
+from workload import Catalogue, spread_table, table
 
 catalogue = Catalogue()
 
@@ -24,7 +24,7 @@ TEXT_WORDS = WORDS.format("text")
 
 
 def documents(spark, sf_dir, *columns):
-    return table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
+    return spread_table(spark, sf_dir, "documents", "doc_id", "text", *columns)
 
 
 @catalogue.query("SELECT lang, count(*) AS n_docs, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents GROUP BY lang")
@@ -61,7 +61,7 @@ def retrieval_prompt(spark, sf_dir):
 
 @catalogue.query("SELECT doc_id, text FROM documents WHERE lang = 'en'")
 def english_only(spark, sf_dir):
-    return P.in_language(documents(spark, sf_dir, "lang"), "en").select("doc_id", "text")
+    return P.in_language(table(spark, sf_dir, "documents"), "en").select("doc_id", "text")
 
 
 VOTES = ", ".join(
@@ -211,7 +211,7 @@ def embedding_retrieval(spark, sf_dir):
     SELECT doc_id, text FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || ':42'), doc_id LIMIT 5
 """)
 def random_row_sample(spark, sf_dir):
-    return random_rows(documents(spark, sf_dir), "doc_id", n=5, seed=42)
+    return random_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", n=5, seed=42)
 
 
 PROFILE = " UNION ALL ".join(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import vectors as V
 from pagemill.operators import nearest as N
-from workload import Catalogue, table
+from workload import Catalogue, spread_table
 
 catalogue = Catalogue()
 
@@ -22,7 +22,7 @@ MEANS = """
 
 
 def embeddings(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings")
+    return spread_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
 
 
 def label_means(spark, sf_dir):
