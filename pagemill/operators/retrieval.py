@@ -118,7 +118,7 @@ def _fold_head(documents: DataFrame, head: pd.DataFrame) -> DataFrame:
             hits = pa.StructArray.from_arrays([pa.array(numbers[term[hit]]), pa.array(weight[hit])], ["term_no", "w"])
             columns = [
                 batch.column("doc_id"),
-                pa.array(np.bincount(owner, weight * weight, n)),
+                pa.array(np.bincount(owner, weight * weight, n).astype(float)),
                 pa.ListArray.from_arrays(_offsets(owner[hit], n), hits),
                 pa.ListArray.from_arrays(_offsets(row[~in_head], n), flat.filter(pa.array(~in_head))),
             ]

@@ -12,7 +12,6 @@ break plus one row with ``error`` set (``onError=skip``, the default) or fails t
 from __future__ import annotations
 
 import fnmatch
-import gzip
 import io
 import posixpath
 import zlib
@@ -183,10 +182,41 @@ def open_archive(uri: str) -> io.BufferedReader:
         system, path = fs.LocalFileSystem(), uri
     raw = io.BufferedReader(system.open_input_stream(path, compression=None), READ_CHUNK)
     if raw.peek(2)[:2] == b"\x1f\x8b":
-        return io.BufferedReader(gzip.GzipFile(fileobj=raw), READ_CHUNK)
+        return io.BufferedReader(GzipMembers(raw), READ_CHUNK)
     return raw
 
 
+class GzipMembers(io.RawIOBase):
+    """Bytes of the gzip members of a file; what comes before a damaged place is handed out before the error."""
+
+    def __init__(self, source: io.BufferedReader):
+        self.source = source
+        self.pending = b""
+        self.inflater = None
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while True:
+            if not self.pending:
+                self.pending = self.source.read1(READ_CHUNK)
+                if not self.pending and self.inflater is not None:
+                    raise EOFError("file ends inside a gzip member")
+                if not self.pending:
+                    return 0
+            if self.inflater is None:
+                self.inflater = zlib.decompressobj(31)
+            data = self.inflater.decompress(self.pending, len(buffer))
+            self.pending = self.inflater.unconsumed_tail
+            if self.inflater.eof:
+                self.pending = self.inflater.unused_data
+                self.inflater = None
+            if data:
+                buffer[: len(data)] = data
+                return len(data)
+
+
 def iter_records(stream: io.BufferedReader, keep: Callable[[dict], bool], payload: bool) -> Iterator[dict]:
     """One dict per record; the payload of a rejected record is skipped, not kept."""
     while line := stream.readline():
