@@ -13,12 +13,14 @@ VECTOR_SIZE = 5
 SEED = 42
 HASHED_FEATURES = 20
 
-ROWS_PER_PARTITION = 100_000
+CHARS_PER_PARTITION = 64_000_000
 
 
-def word2vec_partitions(documents: DataFrame) -> int:
-    """One training partition up to ``ROWS_PER_PARTITION`` documents, where a fit repeats; more beyond."""
-    return max(1, -(-documents.count() // ROWS_PER_PARTITION))
+def word2vec_partitions(documents: DataFrame, content: str = "content") -> int:
+    """One training partition up to ``CHARS_PER_PARTITION`` characters, where a fit repeats; beyond that as many as
+    the text needs, up to the cores there are."""
+    chars = documents.agg(F.coalesce(F.sum(F.length(content)), F.lit(0))).first()[0]
+    return max(1, min(-(-chars // CHARS_PER_PARTITION), documents.sparkSession.sparkContext.defaultParallelism))
 
 
 def feature_pipeline(content: str = "content", partitions: int = 1, min_count: int = 5) -> Pipeline:
@@ -44,7 +46,7 @@ def fit_features(documents: DataFrame, content: str = "content", partitions: int
     """Fit on the content column alone; rows without content take no part."""
     texts = documents.select(content).filter(F.col(content).isNotNull())
     if partitions is None:
-        partitions = word2vec_partitions(texts)
+        partitions = word2vec_partitions(texts, content)
     return feature_pipeline(content, partitions).fit(texts)
 
 

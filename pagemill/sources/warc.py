@@ -41,6 +41,7 @@ ARROW_TYPES = {"payload": pa.binary()}
 BATCH_BYTES = 16 << 20
 BATCH_ROWS = 2000
 READ_CHUNK = 1 << 20
+INFLATE_CHUNK = 1 << 16
 
 
 class WarcDataSource(DataSource):
@@ -200,7 +201,7 @@ class GzipMembers(io.RawIOBase):
     def readinto(self, buffer) -> int:
         while True:
             if not self.pending:
-                self.pending = self.source.read1(READ_CHUNK)
+                self.pending = self.source.read1(INFLATE_CHUNK)
                 if not self.pending and self.inflater is not None:
                     raise EOFError("file ends inside a gzip member")
                 if not self.pending:

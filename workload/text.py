@@ -181,7 +181,7 @@ def hashed_tfidf(spark, sf_dir):
 def word2vec_embedding(spark, sf_dir):
     docs = documents(spark, sf_dir).withColumn("words", X.space_tokens(F.col("text")))
     embedder = Word2Vec(
-        vectorSize=E.VECTOR_SIZE, seed=E.SEED, numPartitions=E.word2vec_partitions(docs), inputCol="words", outputCol="v"
+        vectorSize=E.VECTOR_SIZE, seed=E.SEED, numPartitions=E.word2vec_partitions(docs, "text"), inputCol="words", outputCol="v"
     )
     embedded = embedder.fit(docs.select("words")).transform(docs)
     return embedded.select("doc_id", vector_to_array("v").alias("content_embedded"))
