@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from pagemill.functions.web import host_suffixes, url_host, url_path
+from pagemill.session import broadcast_if_small, written
 
 CHUNK_LINES = 100_000
 
@@ -34,10 +35,10 @@ def parse_patterns(patterns: DataFrame) -> DataFrame:
 def match_patterns(index: DataFrame, patterns: DataFrame, url: str = "url") -> DataFrame:
     """Index rows with each pattern they match.
 
-    Every host suffix of a URL becomes an equi-join key, so no theta join is needed: the planner broadcasts a
-    small pattern table and shuffles a large one, where AQE splits a hot domain.
+    Every host suffix of a URL becomes an equi-join key, so no theta join is needed: a pattern table of small
+    measured size is broadcast, a large one meets the index by shuffle, where AQE splits a hot domain.
     """
-    parsed = parse_patterns(patterns).select("pattern_ord", "domain", "prefix")
+    parsed = broadcast_if_small(parse_patterns(patterns).select("pattern_ord", "domain", "prefix"))
     keyed = index.select(
         "*", url_path(F.col(url)).alias("_path"), F.explode(host_suffixes(url_host(F.col(url)))).alias("domain")
     )
@@ -65,10 +66,18 @@ def source_keys(new_urls: DataFrame, patterns: DataFrame) -> DataFrame:
 
 
 def assign_sources(new_urls: DataFrame, patterns: DataFrame) -> DataFrame:
-    keys = source_keys(new_urls, patterns).select("pattern_ord", "source")
+    keys = broadcast_if_small(source_keys(new_urls, patterns).select("pattern_ord", "source"))
     return new_urls.join(keys, "pattern_ord")
 
 
+def sourced_urls(index: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Pattern match, first-wins distinct and source keys in one: ``(source, filename, url, pattern_ord, line_ord)``.
+
+    The new URLs are written once, because their keys depend on all of them.
+    """
+    return assign_sources(written(first_wins(match_patterns(index, patterns)), "new-urls"), patterns)
+
+
 def manifest_chunks(sourced: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
     """``(source, filename, chunk_no, urls)`` with at most ``chunk_lines`` URLs each, in arrival order.
 
@@ -89,6 +98,7 @@ def manifest_rows(chunks: DataFrame) -> DataFrame:
 
     Only chunk sizes are ordered per archive; the URLs get their numbers inside the chunks.
     """
+    chunks = written(chunks, "manifest-chunks")
     before = Window.partitionBy("source", "filename").orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, -1)
     sizes = chunks.select("source", "filename", "chunk_no", F.size("urls").alias("n"))
     offsets = sizes.select(

@@ -18,7 +18,8 @@ from pagemill.functions.vectors import cosine, hamming, sign_words
 from pagemill.operators.topk import DIGITS, BestScores, rank_scores
 
 BROADCAST_BYTES = 64 << 20
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 16_384
+SLICE_ROWS = 1024
 RESULT = "query_id long, item_id long, score double"
 
 
@@ -76,10 +77,12 @@ def top_k(
 
 
 def _score(best: BestScores, query_ids, query_matrix, item_ids, item_matrix, include_self: bool) -> None:
-    scores = query_matrix @ item_matrix.T
-    if not include_self:
-        scores[query_ids[:, None] == item_ids[None, :]] = -np.inf
-    best.add(scores, item_ids)
+    for start in range(0, len(item_ids), SLICE_ROWS):
+        ids = item_ids[start: start + SLICE_ROWS]
+        scores = query_matrix @ item_matrix[start: start + SLICE_ROWS].T
+        if not include_self:
+            scores[query_ids[:, None] == ids[None, :]] = -np.inf
+        best.add(scores, ids)
 
 
 def _result(best: BestScores, query_ids: np.ndarray) -> pd.DataFrame:

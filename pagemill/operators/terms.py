@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IDF, CountVectorizerModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,29 +17,40 @@ def term_counts(documents: DataFrame, key: str, tokens: Column) -> DataFrame:
 
 
 def vocabulary(documents: DataFrame, tokens: Column, size: int) -> DataFrame:
-    """The ``size`` most frequent terms ``(term, n)``, alphabetical on equal counts."""
-    exploded = documents.select(F.explode(tokens).alias("term"))
-    counts = exploded.groupBy("term").agg(F.count("*").alias("n"))
+    """The ``size`` most frequent terms ``(term, n, df)``, alphabetical on equal counts."""
+    rows = documents.select(F.inline(token_counts(tokens)))
+    counts = rows.groupBy("term").agg(F.sum("tf").alias("n"), F.count("*").alias("df"))
     return counts.orderBy(F.desc("n"), "term").limit(size)
 
 
-def count_vectorizer(documents: DataFrame, tokens: Column, size: int, input_col: str, output_col: str):
-    """Term-frequency model over the checked vocabulary.
+def count_vectorizer(terms: list[str], input_col: str, output_col: str) -> CountVectorizerModel:
+    """Term-frequency model over a vocabulary; ``transform`` counts inside each row, without a shuffle.
 
-    The model holds ``size`` terms, the bound of the operator; ``transform`` counts inside each row, without a
-    shuffle. Unlike a fitted ``CountVectorizer`` the terms at the cut are defined.
+    Unlike a fitted ``CountVectorizer`` the terms at the cut are defined.
     """
-    terms = [row["term"] for row in vocabulary(documents, tokens, size).collect()]
     return CountVectorizerModel.from_vocabulary(terms, inputCol=input_col, outputCol=output_col)
 
 
+def vocabulary_tf(documents: DataFrame, tokens: Column, size: int = 10_000) -> tuple[DataFrame, list[str]]:
+    """Add ``content_tokenized`` and its TF vector ``raw_features``; returns the ``size`` terms too."""
+    terms = [row["term"] for row in vocabulary(documents, tokens, size).collect()]
+    model = count_vectorizer(terms, "content_tokenized", "raw_features")
+    return model.transform(documents.withColumn("content_tokenized", tokens)), terms
+
+
 def vocabulary_tfidf(documents: DataFrame, tokens: Column, size: int = 10_000) -> tuple[DataFrame, list[str]]:
-    """Add ``raw_features`` (TF) and ``content_tfidf`` (TF-IDF) over the vocabulary; returns the terms too."""
-    tokenized = documents.withColumn("content_tokenized", tokens)
-    model = count_vectorizer(documents, tokens, size, "content_tokenized", "raw_features")
-    counted = model.transform(tokenized)
-    idf = IDF(inputCol="raw_features", outputCol="content_tfidf").fit(counted)
-    return idf.transform(counted), model.vocabulary
+    """``vocabulary_tf`` plus the IDF weighting ``content_tfidf``.
+
+    The pass that finds the vocabulary also counts documents per term, so weighting needs no fit of its own.
+    """
+    n_documents = documents.agg(F.count("*")).scalar()
+    stats = vocabulary(documents, tokens, size).withColumn("idf", idf_weight(n_documents, F.col("df"))).collect()
+    model = count_vectorizer([row["term"] for row in stats], "content_tokenized", "raw_features")
+    counted = model.transform(documents.withColumn("content_tokenized", tokens))
+    weigh = ElementwiseProduct(
+        scalingVec=Vectors.dense([row["idf"] for row in stats]), inputCol="raw_features", outputCol="content_tfidf"
+    )
+    return weigh.transform(counted), model.vocabulary
 
 
 def vector_terms(features: DataFrame, key: str, vector: str, terms: list[str], value: str) -> DataFrame:

@@ -27,15 +27,21 @@ class BestScores:
     def add(self, scores: np.ndarray, items: np.ndarray) -> None:
         """``scores`` has one row per query and one column per item; ``-inf`` marks a pair to leave out."""
         rounded = np.round(scores, DIGITS) + 0.0
-        if rounded.shape[1] > 4 * self.k:
-            floor = -np.partition(-rounded, self.k - 1, axis=1)[:, self.k - 1: self.k]
-            used = (rounded >= floor).any(axis=0)
-            rounded, items = rounded[:, used], items[used]
         merged = np.concatenate([self.scores, rounded], axis=1)
         ids = np.concatenate([self.items, np.broadcast_to(items, rounded.shape)], axis=1)
-        order = np.lexsort((ids, -merged), axis=1)[:, : self.k]
-        self.scores = np.take_along_axis(merged, order, axis=1)
-        self.items = np.take_along_axis(ids, order, axis=1)
+        possible = np.isfinite(merged)
+        if merged.shape[1] > self.k:
+            possible &= merged >= -np.partition(-merged, self.k - 1, axis=1)[:, self.k - 1: self.k]
+        query, column = np.nonzero(possible)
+        score, item = merged[query, column], ids[query, column]
+        order = np.lexsort((item, -score, query))
+        query, score, item = query[order], score[order], item[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        kept = place < self.k
+        self.scores = np.full((len(merged), self.k), -np.inf)
+        self.items = np.zeros((len(merged), self.k), dtype=np.int64)
+        self.scores[query[kept], place[kept]] = score[kept]
+        self.items[query[kept], place[kept]] = item[kept]
 
     def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Query positions, items and scores of what was kept."""

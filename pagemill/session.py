@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # AQE re-plans joins from measured sizes: it broadcasts a side only when its shuffle output is below the
 # threshold and splits partitions that a hot key makes too large.
@@ -79,8 +80,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for one written table inside the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path for one written table, below a folder per application that can be dropped when it is over."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def spread(table: DataFrame) -> DataFrame:
@@ -92,6 +93,13 @@ def spread(table: DataFrame) -> DataFrame:
     return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
+def broadcast_if_small(table: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
+    """Broadcast hint for a table whose measured size is below ``max_bytes``; a larger one is joined by shuffle."""
+    row_bytes = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns), F.lit(32))
+    size = table.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
+    return F.broadcast(table) if size <= max_bytes else table
+
+
 def written(table: DataFrame, label: str) -> DataFrame:
     """Write a DataFrame to the shared folder once and read it back, so later jobs do not compute it again."""
     spark = table.sparkSession

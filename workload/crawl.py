@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemill.operators import crawl as C
-from pagemill.session import new_table_path
+from pagemill.session import new_table_path, written
 from pagemill.sources import json_lines, manifest
 from workload import Catalogue, table
 
@@ -44,7 +44,7 @@ def new_urls(spark, sf_dir):
 
 
 def sourced(spark, sf_dir):
-    return C.assign_sources(new_urls(spark, sf_dir), patterns(spark))
+    return C.sourced_urls(index(spark, sf_dir), patterns(spark))
 
 
 VALUES = ", ".join(f"({i}, '{p}')" for i, p in enumerate(PATTERNS))
@@ -115,7 +115,7 @@ def first_wins_urls(spark, sf_dir):
 
 @catalogue.query(WITH + "SELECT pattern_ord, source FROM source_keys")
 def source_keys(spark, sf_dir):
-    return C.source_keys(new_urls(spark, sf_dir), patterns(spark)).select("pattern_ord", "source")
+    return C.source_keys(written(new_urls(spark, sf_dir), "new-urls"), patterns(spark)).select("pattern_ord", "source")
 
 
 MANIFEST_ROWS = """

@@ -86,7 +86,7 @@ def language_vote(spark, sf_dir):
 # Term statistics -----------------------------------------------------------------------------------------------------
 
 COUNTED = f"tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({TEXT_WORDS}) AS term FROM documents) GROUP BY ALL)"
-KEPT = f"vocab AS (SELECT term, sum(tf) AS n FROM tf GROUP BY term ORDER BY n DESC, term LIMIT {VOCABULARY})"
+KEPT = f"vocab AS (SELECT term, sum(tf) AS n, count(*) AS df FROM tf GROUP BY term ORDER BY n DESC, term LIMIT {VOCABULARY})"
 
 
 @catalogue.query(f"WITH {COUNTED} SELECT doc_id, term, tf FROM tf")
@@ -94,7 +94,7 @@ def term_counts(spark, sf_dir):
     return T.term_counts(documents(spark, sf_dir), "doc_id", X.whitespace_tokens(F.col("text")))
 
 
-@catalogue.query(f"WITH {COUNTED}, {KEPT} SELECT term, CAST(n AS BIGINT) AS n FROM vocab")
+@catalogue.query(f"WITH {COUNTED}, {KEPT} SELECT term, CAST(n AS BIGINT) AS n, df FROM vocab")
 def vocabulary_terms(spark, sf_dir):
     return T.vocabulary(documents(spark, sf_dir), X.whitespace_tokens(F.col("text")), VOCABULARY)
 
@@ -105,9 +105,8 @@ def vocabulary_terms(spark, sf_dir):
 def vocabulary_tf(spark, sf_dir):
     """Sparse count vectors, read back by index and value."""
     tokens = X.whitespace_tokens(F.col("text"))
-    docs = documents(spark, sf_dir).withColumn("words", tokens)
-    model = T.count_vectorizer(documents(spark, sf_dir), tokens, VOCABULARY, "words", "raw_features")
-    return T.vector_terms(model.transform(docs), "doc_id", "raw_features", model.vocabulary, "tf")
+    features, terms = T.vocabulary_tf(documents(spark, sf_dir), tokens, VOCABULARY)
+    return T.vector_terms(features, "doc_id", "raw_features", terms, "tf")
 
 
 @catalogue.query(f"""
