@@ -24,6 +24,9 @@ PARAGRAPH_END = (
     r"(?:[\s/][^>]*)?>.*"
 )
 TAG = r"<[^>]*>"
+# The references that make up nearly all of them are replaced directly, ``&amp;`` last.
+COMMON = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
+OTHER_ENTITY = r"&(?!(?:lt|gt|quot|#39|nbsp|amp);)"
 ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
@@ -90,6 +93,13 @@ def _decode_piece(piece: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Character references to characters in one pass (``&amp;lt;`` becomes ``&lt;``)."""
+    common = text
+    for reference, character in COMMON.items():
+        common = F.replace(common, F.lit(reference), F.lit(character))
     pieces = F.split(text, "&")
     decoded = F.transform(pieces, lambda piece, i: F.when(i == 0, piece).otherwise(_decode_piece(piece)))
-    return F.when(text.contains("&"), F.array_join(decoded, "")).otherwise(text)
+    return (
+        F.when(~text.contains("&"), text)
+        .when(~text.rlike(OTHER_ENTITY), common)
+        .otherwise(F.array_join(decoded, ""))
+    )

@@ -31,31 +31,6 @@ def whitespace_tokens(text: Column) -> Column:
     return F.coalesce(tokens, F.array().cast("array<string>"))
 
 
-def token_counts(tokens: Column) -> Column:
-    """``ARRAY<STRUCT<term, tf>>`` of one row's tokens, in term order.
-
-    The tokens are sorted and cut into runs inside the row, so counting needs no shuffle. Each one-element
-    ``transform`` binds an intermediate array to a name.
-    """
-
-    def runs(ordered: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(ordered) - 1),
-            lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
-        )
-        return F.transform(F.array(starts), lambda first: _run_lengths(ordered, first))[0]
-
-    def _run_lengths(ordered: Column, first: Column) -> Column:
-        def run(start: Column, j: Column) -> Column:
-            stop = F.coalesce(F.get(first, j + 1), F.size(ordered))
-            return F.struct(F.get(ordered, start).alias("term"), (stop - start).cast("bigint").alias("tf"))
-
-        return F.transform(first, run)
-
-    counted = F.transform(F.array(F.sort_array(tokens)), runs)[0]
-    return F.when(F.size(tokens) > 0, counted)
-
-
 def retrieval_prompt(query: Column) -> Column:
     return F.concat(F.lit(RETRIEVAL_PROMPT), query)
 

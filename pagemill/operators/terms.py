@@ -2,23 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.functions.text import token_counts
 from pagemill.functions.vectors import sparse_entries
 
 
 def term_counts(documents: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """``(key, term, tf)``, counted inside each row."""
-    return documents.select(key, F.inline(token_counts(tokens)))
+    """``(key, term, tf)``, counted where the document is: no shuffle of tokens."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            encoded = lists.flatten().dictionary_encode()
+            terms = max(len(encoded.dictionary), 1)
+            pair, tf = np.unique(row * terms + encoded.indices.to_numpy(), return_counts=True)
+            columns = [batch.column(0).take(pa.array(pair // terms)), encoded.dictionary.take(pa.array(pair % terms)), pa.array(tf)]
+            yield pa.RecordBatch.from_arrays(columns, [key, "term", "tf"])
+
+    key_type = dict(documents.dtypes)[key]
+    present = documents.select(key, F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens"))
+    return present.mapInArrow(count, f"`{key}` {key_type}, term string, tf long")
 
 
 def vocabulary(documents: DataFrame, tokens: Column, size: int) -> DataFrame:
     """The ``size`` most frequent terms ``(term, n, df)``, alphabetical on equal counts."""
-    rows = documents.select(F.inline(token_counts(tokens)))
+    rows = term_counts(documents.select(F.lit(0).alias("_row"), tokens.alias("_tokens")), "_row", F.col("_tokens"))
     counts = rows.groupBy("term").agg(F.sum("tf").alias("n"), F.count("*").alias("df"))
     return counts.orderBy(F.desc("n"), "term").limit(size)
 

@@ -1,4 +1,4 @@
-"""Spark data source ``warc``: one partition per archive file, records streamed from (gzipped) members.
+"""Spark data source ``warc``: a task per archive file (small files share one), records streamed from gzip members.
 
     spark.dataSource.register(WarcDataSource)
     spark.read.format("warc").load("s3://bucket/crawl/*.warc.gz")
@@ -38,6 +38,8 @@ SCHEMA = (
 )
 HEADER_COLUMNS = {"rec_type", "url", "raw_date", "http_content_type"}
 ARROW_TYPES = {"payload": pa.binary()}
+TASK_BYTES = 128 << 20
+OPEN_BYTES = 4 << 20
 BATCH_BYTES = 16 << 20
 BATCH_ROWS = 2000
 READ_CHUNK = 1 << 20
@@ -56,16 +58,18 @@ class WarcDataSource(DataSource):
         return WarcReader(dict(self.options), schema.fieldNames())
 
 
-class ArchiveFile(InputPartition):
-    def __init__(self, uri: str):
-        super().__init__(uri)
-        self.uri = uri
+class ArchiveFiles(InputPartition):
+    def __init__(self, uris: list[str]):
+        super().__init__(uris)
+        self.uris = uris
 
 
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict[str, str], columns: list[str]):
         self.paths = options["path"].split(",")
-        self.on_error = options.get("onerror", options.get("onError", "skip"))
+        options = {name.lower(): value for name, value in options.items()}
+        self.on_error = options.get("onerror", "skip")
+        self.tasks = int(options.get("tasks", 1))
         self.columns = columns
         self.wanted: dict[str, set | None] = {}
 
@@ -87,11 +91,13 @@ class WarcReader(DataSourceReader):
         known = self.wanted.get(column)
         self.wanted[column] = values if known is None else known & values
 
-    def partitions(self) -> list[ArchiveFile]:
-        return [ArchiveFile(uri) for path in self.paths for uri in list_files(path.strip())]
+    def partitions(self) -> list[ArchiveFiles]:
+        files = [file for path in self.paths for file in list_files(path.strip())]
+        return [ArchiveFiles(uris) for uris in pack_files(files, self.tasks)]
 
-    def read(self, partition: ArchiveFile) -> Iterator[pa.RecordBatch]:
-        yield from read_file(partition.uri, self.columns, self.wanted, self.on_error)
+    def read(self, partition: ArchiveFiles) -> Iterator[pa.RecordBatch]:
+        for uri in partition.uris:
+            yield from read_file(uri, self.columns, self.wanted, self.on_error)
 
 
 def read_archives(
@@ -112,8 +118,24 @@ def read_archives(
     return paths.repartition(tasks).mapInArrow(read, spark.createDataFrame([], schema).schema)
 
 
-def list_files(path: str) -> list[str]:
-    """Files of a path, folder or pattern, sorted; names starting with ``_`` or ``.`` are no data."""
+def pack_files(files: list[tuple[str, int]], tasks: int) -> list[list[str]]:
+    """Small files share a task, as in Spark's own file sources; a file of archive size has one for itself."""
+    total = sum(size + OPEN_BYTES for _, size in files)
+    limit = min(TASK_BYTES, max(OPEN_BYTES, total // tasks))
+    packs: list[list[str]] = []
+    room = 0
+    for uri, size in files:
+        cost = size + OPEN_BYTES
+        if not packs or cost > room:
+            packs.append([])
+            room = limit
+        packs[-1].append(uri)
+        room -= cost
+    return packs
+
+
+def list_files(path: str) -> list[tuple[str, int]]:
+    """``(uri, size)`` of a path, folder or pattern, sorted; names starting with ``_`` or ``.`` are no data."""
     scheme, colon, rest = path.partition("://")
     prefix = scheme + colon if colon else ""
     if path.startswith("file:") and not colon:
@@ -124,7 +146,7 @@ def list_files(path: str) -> list[str]:
     system, root = fs.FileSystem.from_uri(prefix + base) if prefix else (fs.LocalFileSystem(), base)
     info = system.get_file_info(root)
     if info.type == fs.FileType.File:
-        return [path]
+        return [(path, info.size)]
     if info.type == fs.FileType.NotFound:
         raise FileNotFoundError(path)
     tail = "*" if cut is None else local[len(base) + 1:]
@@ -135,7 +157,7 @@ def list_files(path: str) -> list[str]:
         hidden = any(part.startswith(("_", ".")) for part in relative.split("/"))
         matches = cut is None or (relative.count("/") == depth and fnmatch.fnmatchcase(relative, tail))
         if item.type == fs.FileType.File and not hidden and matches:
-            found.append(f"{prefix}{base}/{relative}")
+            found.append((f"{prefix}{base}/{relative}", item.size))
     return sorted(found)
 
 
@@ -301,4 +323,5 @@ def _unchunked(body: bytes) -> bytes:
 def read_warc(spark: SparkSession, path: str, schema: str = SCHEMA, on_error: str = "skip") -> DataFrame:
     """Archive rows of a path, folder, pattern or comma-separated list."""
     spark.dataSource.register(WarcDataSource)
-    return spark.read.format("warc").schema(schema).option("onError", on_error).load(path)
+    reader = spark.read.format("warc").schema(schema).option("onError", on_error)
+    return reader.option("tasks", spark.sparkContext.defaultParallelism).load(path)

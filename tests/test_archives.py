@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import web
 from pagemill.operators import pages as P
-from pagemill.sources.warc import list_files, read_archives, read_warc
+from pagemill.sources.warc import list_files, pack_files, read_archives, read_warc
 
 
 def record(rec_type, url, body, content_type="application/http; msgtype=response", date="2024-08-03T10:00:00Z"):
@@ -111,13 +111,23 @@ def test_wet(spark, tmp_path):
 
 
 def test_list_files(folder):
-    assert [f.rsplit("/", 1)[1] for f in list_files(str(folder))] == ["a.warc.gz", "b.warc"]
-    assert list_files(f"{folder}/a*.gz") == [f"{folder}/a.warc.gz"]
-    assert list_files(f"file://{folder}/*.gz") == [f"file://{folder}/a.warc.gz"]
+    assert [f.rsplit("/", 1)[1] for f, _ in list_files(str(folder))] == ["a.warc.gz", "b.warc"]
+    size = (folder / "a.warc.gz").stat().st_size
+    assert list_files(f"{folder}/a*.gz") == [(f"{folder}/a.warc.gz", size)]
+    assert list_files(f"file://{folder}/*.gz") == [(f"file://{folder}/a.warc.gz", size)]
     with pytest.raises(FileNotFoundError):
         list_files(f"{folder}/nothing")
 
 
+def test_pack_files():
+    large, small = [(f"l{i}", 1 << 30) for i in range(3)], [(f"s{i}", 1000) for i in range(100)]
+    assert pack_files(large, 1000) == [["l0"], ["l1"], ["l2"]]
+    packs = pack_files(small, 8)
+    assert 8 <= len(packs) <= 10 and [u for p in packs for u in p] == [u for u, _ in small]
+    assert len(pack_files(small, 1000)) == 100
+    assert pack_files([], 4) == []
+
+
 def test_content_type_labels(spark):
     cases = [
         (None, None, None),

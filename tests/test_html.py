@@ -17,6 +17,8 @@ PAGES = [
     ("block ends paragraph", "<p>a<div>b</div><p>c<ul><li>d</li></ul>", "", [], ["a", "c"]),
     ("inline tags", "<h3>a <em>b</em> c</h3><p>x<a href='y'>z</a></p>", "", ["a b c"], ["xz"]),
     ("entities", "<title>a &amp;lt; &#65;&#x42; &eacute;&nope; &bad</title>", "a &lt; AB é&nope; &bad", [], []),
+    ("common entities", "<p>&lt;b&gt; &amp;lt; &quot;&#39;&nbsp;</p>", "", [], ["<b> &lt; \"'\u00a0"]),
+    ("escaped twice", "<p>&#38;amp; &amp;amp; &copy;</p>", "", [], ["&amp; &amp; ©"]),
     ("bad code points", "<title>&#0;&#xD800;&#x110000;&#x1F600;</title>", "���😀", [], []),
     ("limits", "<h1>h</h1>" * 11 + "<p>p</p>" * 11, "", ["h"] * 10, ["p"] * 10),
 ]
