@@ -15,11 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.vectors import cosine, hamming, sign_words
-from pagemill.operators.topk import DIGITS, BestScores, rank_scores
+from pagemill.operators.topk import DIGITS, BestScores, every_block, hashed_block, rank_scores, score_slices
 
 BROADCAST_BYTES = 64 << 20
 BLOCK_ROWS = 16_384
-SLICE_ROWS = 1024
 RESULT = "query_id long, item_id long, score double"
 
 
@@ -77,12 +76,11 @@ def top_k(
 
 
 def _score(best: BestScores, query_ids, query_matrix, item_ids, item_matrix, include_self: bool) -> None:
-    for start in range(0, len(item_ids), SLICE_ROWS):
-        ids = item_ids[start: start + SLICE_ROWS]
-        scores = query_matrix @ item_matrix[start: start + SLICE_ROWS].T
+    for part in score_slices(len(item_ids), len(query_ids)):
+        scores = query_matrix @ item_matrix[part].T
         if not include_self:
-            scores[query_ids[:, None] == ids[None, :]] = -np.inf
-        best.add(scores, ids)
+            scores[query_ids[:, None] == item_ids[part][None, :]] = -np.inf
+        best.add(scores, item_ids[part])
 
 
 def _result(best: BestScores, query_ids: np.ndarray) -> pd.DataFrame:
@@ -116,14 +114,8 @@ def _grid(items: DataFrame, queries: DataFrame, k: int, include_self: bool) -> D
     """Both sides are cut into hashed blocks; each (query block, item block) cell is scored by one task."""
     query_blocks, item_blocks = _blocks(queries), _blocks(items)
 
-    def block(count: int) -> Column:
-        return F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
-
-    def spread(count: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-    left = queries.select("id", "v", block(query_blocks).alias("qb"), spread(item_blocks).alias("ib"))
-    right = items.select("id", "v", block(item_blocks).alias("ib"), spread(query_blocks).alias("qb"))
+    left = queries.select("id", "v", hashed_block("id", query_blocks).alias("qb"), every_block(item_blocks).alias("ib"))
+    right = items.select("id", "v", hashed_block("id", item_blocks).alias("ib"), every_block(query_blocks).alias("qb"))
 
     def score(query: pd.DataFrame, item: pd.DataFrame) -> pd.DataFrame:
         query_ids, item_ids = query["id"].to_numpy(), item["id"].to_numpy()

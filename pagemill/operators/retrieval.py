@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pagemill.operators.nearest import BROADCAST_BYTES
 from pagemill.operators.terms import term_counts, term_idf
-from pagemill.operators.topk import DIGITS, BestScores, rank_scores
+from pagemill.operators.topk import BestScores, every_block, hashed_block, rank_scores, score_slices
 from pagemill.session import written
 
 RESULT = "query_id long, doc_id long, score double"
@@ -21,6 +21,7 @@ ENTRY_BYTES = 64
 # Terms known to every task: at most this many, none longer than this, so never more than some 15 MB.
 HEAD_TERMS = 100_000
 HEAD_TERM_BYTES = 64
+BLOCK_DOCUMENTS = 50_000
 
 
 def tfidf_search(
@@ -31,21 +32,22 @@ def tfidf_search(
     """``(query_id, doc_id, score, rank)``: the ``k`` documents nearest to every query.
 
     Query terms unknown to the documents carry no weight. A query batch of at most ``batch_bytes`` is scored against
-    each document inside the task, so only the best of each task travel; a larger one is scored by a join on the
-    terms. The ``head_terms`` most frequent terms meet their weights by broadcast, so no frequent term is ever a
+    each document inside the task, so only the best of each task travel; a larger one is cut into (query block,
+    document block) cells. The ``head_terms`` most frequent terms meet their weights by broadcast, so no frequent term is ever a
     shuffle key.
     """
     documents = documents.select(F.col(doc_key).cast("long").alias("doc_id"), doc_tokens.alias("tokens"))
     queries = queries.select(F.col(query_key).cast("long").alias("query_id"), query_tokens.alias("tokens"))
     idf = written(term_idf(documents, F.col("tokens")), "idf")
     weights = query_weights(term_counts(queries, "query_id", F.col("tokens")), idf)
-
-    limit = batch_bytes // ENTRY_BYTES
-    table = weights.limit(limit + 1).toPandas()
-    if len(table) <= limit:
-        partial = _score_in_tasks(documents, idf, table, k, head_terms)
-    else:
-        partial = _score_by_join(term_counts(documents, "doc_id", F.col("tokens")), idf, weights)
+    numbers = written(weights.select("term").distinct().withColumn("term_no", F.monotonically_increasing_id()), "terms")
+    weights = written(weights.join(numbers, "term").select("query_id", "term_no", "weight"), "query-weights")
+
+    lexicon = idf.join(numbers, "term", "left")
+    rows = document_weights(documents, lexicon, head_terms).filter(F.size("hits") > 0)
+    rows = rows.select("doc_id", "length", F.col("hits.term_no").alias("term_no"), F.col("hits.w").alias("w"))
+    size = weights.count() * ENTRY_BYTES
+    partial = _scan(rows, weights, k) if size <= batch_bytes else _cells(rows, weights, k, -(-size // max(batch_bytes, 1)))
     return rank_scores(partial, "query_id", "doc_id", "score", k)
 
 
@@ -57,15 +59,6 @@ def query_weights(counts: DataFrame, idf: DataFrame) -> DataFrame:
     return unit.select("query_id", "term", (F.col("w") / F.col("length")).alias("weight"))
 
 
-def _score_by_join(counts: DataFrame, idf: DataFrame, weights: DataFrame) -> DataFrame:
-    weighted = counts.join(idf, "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    lengths = weighted.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    pairs = weighted.join(weights, "term")
-    dots = pairs.groupBy("query_id", "doc_id").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
-    scored = dots.join(lengths, "doc_id").filter("dot > 0")
-    return scored.select("query_id", "doc_id", F.round(F.col("dot") / F.col("length"), DIGITS).alias("score"))
-
-
 def document_weights(documents: DataFrame, lexicon: DataFrame, head_terms: int) -> DataFrame:
     """``(doc_id, length, hits)`` from ``(doc_id, tokens)`` and ``lexicon(term, df, idf, term_no)``.
 
@@ -99,7 +92,7 @@ def _fold_head(documents: DataFrame, head: pd.DataFrame) -> DataFrame:
     """Per document: sum of squared weights and query hits of its head terms, and its other tokens."""
     terms = pa.array(head["term"].astype(str), pa.string())
     idf = head["idf"].to_numpy(dtype=float)
-    term_no = head["term_no"].fillna(-1).to_numpy(dtype=np.int32)
+    term_no = head["term_no"].fillna(-1).to_numpy(dtype=np.int64)
     shared = documents.sparkSession.sparkContext.broadcast((terms, idf, term_no))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +117,7 @@ def _fold_head(documents: DataFrame, head: pd.DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "squares", "hits", "rare"])
 
-    schema = "doc_id long, squares double, hits array<struct<term_no:int,w:double>>, rare array<string>"
+    schema = "doc_id long, squares double, hits array<struct<term_no:long,w:double>>, rare array<string>"
     return documents.mapInArrow(fold, schema)
 
 
@@ -133,42 +126,78 @@ def _offsets(owner: np.ndarray, rows: int) -> pa.Array:
     return pa.array(np.searchsorted(owner, np.arange(rows + 1)), pa.int32())
 
 
-def _score_in_tasks(documents: DataFrame, idf: DataFrame, table: pd.DataFrame, k: int, head_terms: int) -> DataFrame:
-    """``table`` holds the query weights; every document is scored against all queries where it is."""
-    spark = documents.sparkSession
-    table = table.sort_values(["term", "query_id"], kind="stable")
-    terms, term_no = np.unique(table["term"].to_numpy(dtype=object), return_inverse=True)
-    query_ids, query_no = np.unique(table["query_id"].to_numpy(dtype=np.int64), return_inverse=True)
-    bounds = np.searchsorted(term_no, np.arange(len(terms) + 1))
-    shared = spark.sparkContext.broadcast((query_ids, query_no, table["weight"].to_numpy(dtype=float), bounds))
+class QueryBlock:
+    """Queries of one task as arrays: their weights in term order, and where each term starts."""
+
+    def __init__(self, query_ids: np.ndarray, term_no: np.ndarray, weights: np.ndarray):
+        order = np.lexsort((query_ids, term_no))
+        self.ids, owner = np.unique(query_ids[order], return_inverse=True)
+        self.terms, first = np.unique(term_no[order], return_index=True)
+        self.owner, self.weights = owner, weights[order]
+        self.starts = np.append(first, len(order))
+
+    def score(self, best: BestScores, doc_ids, lengths, edges, term_no, weights) -> None:
+        """Documents come as flat term numbers and weights, ``edges`` says where each of them ends."""
+        if not len(self.terms):
+            return
+        place = np.minimum(np.searchsorted(self.terms, term_no), len(self.terms) - 1)
+        asked = self.terms[place] == term_no
+        for part in score_slices(len(doc_ids), len(self.ids)):
+            scores = np.zeros((len(self.ids), part.stop - part.start))
+            for column, doc in enumerate(range(part.start, part.stop)):
+                here = slice(edges[doc], edges[doc + 1])
+                found = place[here][asked[here]]
+                count = self.starts[found + 1] - self.starts[found]
+                # Positions of the query entries of all terms of this document, one term after the other.
+                entry = np.repeat(self.starts[found] - np.cumsum(count) + count, count) + np.arange(count.sum())
+                products = self.weights[entry] * np.repeat(weights[here][asked[here]], count)
+                scores[:, column] = np.bincount(self.owner[entry], products, len(self.ids)) / (lengths[doc] or 1.0)
+            scores[scores <= 0] = -np.inf
+            best.add(scores, doc_ids[part])
+
+    def result(self, best: BestScores) -> pa.RecordBatch:
+        position, item, score = best.rows()
+        columns = [pa.array(self.ids[position]), pa.array(item), pa.array(score)]
+        return pa.RecordBatch.from_arrays(columns, ["query_id", "doc_id", "score"])
+
+
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    return column.offsets.to_numpy(), column.values.to_numpy()
 
-    numbers = pd.DataFrame({"term": terms.astype(str), "term_no": np.arange(len(terms), dtype=np.int32)})
-    lexicon = idf.join(spark.createDataFrame(numbers, "term string, term_no int"), "term", "left")
-    weights = document_weights(documents, lexicon, head_terms).filter(F.size("hits") > 0)
-    rows = weights.select("doc_id", "length", F.col("hits.term_no").alias("term_no"), F.col("hits.w").alias("w"))
+
+def _scan(rows: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+    """Every document is scored where it is, against all queries."""
+    table = weights.toPandas()
+    arrays = [table[c].to_numpy() for c in ("query_id", "term_no", "weight")]
+    shared = rows.sparkSession.sparkContext.broadcast(arrays)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, owners, values, starts = shared.value
-        sizes = np.diff(starts)
-        best = BestScores(len(ids), k)
+        queries = QueryBlock(*shared.value)
+        best = BestScores(len(queries.ids), k)
         for batch in batches:
-            scores = np.zeros((len(ids), batch.num_rows))
-            lengths = batch.column("length").to_numpy()
-            edges = batch.column("term_no").offsets.to_numpy()
-            numbers = batch.column("term_no").values.to_numpy()
-            weights = batch.column("w").values.to_numpy()
-            for row in range(batch.num_rows):
-                found = numbers[edges[row]:edges[row + 1]]
-                count = sizes[found]
-                # Positions of the query entries of all terms of this document, one term after the other.
-                entry = np.repeat(starts[found] - np.cumsum(count) + count, count) + np.arange(count.sum())
-                products = values[entry] * np.repeat(weights[edges[row]:edges[row + 1]], count)
-                scores[:, row] = np.bincount(owners[entry], products, len(ids)) / (lengths[row] or 1.0)
-            scores[scores <= 0] = -np.inf
-            if batch.num_rows:
-                best.add(scores, batch.column("doc_id").to_numpy())
-        position, item, value = best.rows()
-        columns = [pa.array(ids[position]), pa.array(item), pa.array(value)]
-        yield pa.RecordBatch.from_arrays(columns, ["query_id", "doc_id", "score"])
+            edges, term_no = _lists(batch.column("term_no"))
+            _, found = _lists(batch.column("w"))
+            doc_ids, lengths = batch.column("doc_id").to_numpy(), batch.column("length").to_numpy()
+            queries.score(best, doc_ids, lengths, edges, term_no, found)
+        yield queries.result(best)
 
     return rows.mapInArrow(score, RESULT)
+
+
+def _cells(rows: DataFrame, weights: DataFrame, k: int, query_blocks: int) -> DataFrame:
+    """Both sides are cut into hashed blocks; each (query block, document block) cell is scored by one task."""
+    doc_blocks = max(1, -(-rows.count() // BLOCK_DOCUMENTS))
+    left = weights.select("*", hashed_block("query_id", query_blocks).alias("qb"), every_block(doc_blocks).alias("db"))
+    right = rows.select("*", hashed_block("doc_id", doc_blocks).alias("db"), every_block(query_blocks).alias("qb"))
+
+    def score(asked: pa.Table, documents: pa.Table) -> pa.Table:
+        queries = QueryBlock(*[asked.column(c).to_numpy() for c in ("query_id", "term_no", "weight")])
+        best = BestScores(len(queries.ids), k)
+        if documents.num_rows and asked.num_rows:
+            edges, term_no = _lists(documents.column("term_no").combine_chunks())
+            _, found = _lists(documents.column("w").combine_chunks())
+            doc_ids, lengths = documents.column("doc_id").to_numpy(), documents.column("length").to_numpy()
+            queries.score(best, doc_ids, lengths, edges, term_no, found)
+        return pa.Table.from_batches([queries.result(best)])
+
+    return left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInArrow(score, RESULT)

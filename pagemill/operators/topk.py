@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 DIGITS = 6
+SCORE_CELLS = 1 << 22
 
 
 def rank_scores(scored: DataFrame, query: str, item: str, score: str, k: int) -> DataFrame:
@@ -16,6 +19,21 @@ def rank_scores(scored: DataFrame, query: str, item: str, score: str, k: int) ->
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def score_slices(items: int, queries: int) -> Iterator[slice]:
+    """Runs of items whose score matrix with all queries stays below ``SCORE_CELLS``."""
+    step = max(1, SCORE_CELLS // max(queries, 1))
+    return (slice(start, min(start + step, items)) for start in range(0, items, step))
+
+
+def hashed_block(key: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+
+
+def every_block(blocks: int) -> Column:
+    """Repeats a row for each block of the other side."""
+    return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+
 class BestScores:
     """The ``k`` best (score, item) of each query seen so far in one task, as arrays of shape (queries, k)."""
 

@@ -11,6 +11,7 @@ from pagemill.functions import text as X
 from pagemill.functions import web
 from pagemill.operators import retrieval as R
 from pagemill.operators import terms as T
+from pagemill.operators import topk
 from pagemill.operators.tables import profile, random_rows, row_by_key
 from pagemill.plans import features as E
 
@@ -80,8 +81,10 @@ def brute_force(texts, queries, k):
     return sorted(found)
 
 
-@pytest.mark.parametrize("batch_bytes,head_terms", [(1 << 20, 1000), (1 << 20, 2), (1 << 20, 0), (0, 1000)])
-def test_retrieval_equals_brute_force(spark, batch_bytes, head_terms):
+@pytest.mark.parametrize("batch_bytes,head_terms", [(1 << 20, 1000), (1 << 20, 2), (1 << 20, 0), (200, 1000), (0, 3)])
+def test_retrieval_equals_brute_force(spark, monkeypatch, batch_bytes, head_terms):
+    monkeypatch.setattr(R, "BLOCK_DOCUMENTS", 25)
+    monkeypatch.setattr(topk, "SCORE_CELLS", 30)
     draw = np.random.default_rng(3)
     words = [f"w{i}" for i in range(30)]
     texts = [" ".join(draw.choice(words, size=draw.integers(1, 20), p=None)) for _ in range(60)] + ["", "x" * 100 + " w1", "w1 w2", "w1 w2"]
