@@ -12,7 +12,7 @@ from pyspark.sql import Window
 
 WORD = r"[\p{L}\p{M}\p{N}_]"
 PIECE = rf"(?s){WORD}+|[^\p{{L}}\p{{M}}\p{{N}}_]+"
-FIRST_WORDS = 5_000
+OPENINGS = 5_000
 SPAN = ["text", "start", "end", "label", "start_token", "end_token"]
 
 
@@ -20,15 +20,21 @@ def _pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
 
 
-def _candidates(pieces: Column, first_words: list[str] | None, context: int) -> Column:
+def _candidates(pieces: Column, openings: list[tuple[str, str | None]] | None, context: int) -> Column:
     """Words that can start a name, with offset, word number and the text that follows.
 
-    Only positions are tested piece by piece; offsets are summed over the gaps between candidates.
+    ``openings`` are the first two words of the names, the second one NULL for names of one word; without them every
+    word is a candidate. Only positions are tested piece by piece; offsets are summed over the gaps between candidates.
     """
 
     def starts_name(position: Column) -> Column:
         piece = F.get(pieces, position)
-        return piece.isin(first_words) if first_words is not None else piece.rlike(f"^{WORD}")
+        if openings is None:
+            return F.lit(True)
+        single = sorted({first for first, second in openings if second is None})
+        longer = [pair for pair in openings if pair[1] is not None]
+        firsts, seconds = sorted({first for first, _ in longer}), sorted({second for _, second in longer})
+        return piece.isin(single) | (piece.isin(firsts) & F.get(pieces, position + 2).isin(seconds))
 
     def join(start: Column, count: Column) -> Column:
         return F.array_join(F.slice(pieces, start + 1, count), "")
@@ -43,7 +49,10 @@ def _candidates(pieces: Column, first_words: list[str] | None, context: int) ->
             position.alias("pos"), start.alias("start"), F.concat(state["hits"], F.array(found)).alias("hits")
         )
 
-    positions = F.when(F.size(pieces) > 0, F.filter(F.sequence(F.lit(0), F.size(pieces) - 1), starts_name))
+    # Words and the characters between them take turns.
+    first_word = F.when(F.get(pieces, F.lit(0)).rlike(f"^{WORD}"), 0).otherwise(1)
+    words = F.sequence(first_word, F.size(pieces) - 1, F.lit(2))
+    positions = F.when(F.size(pieces) > first_word, F.filter(words, starts_name))
     hits = F.aggregate(positions, zero, step, lambda state: state["hits"])
     return F.transform(
         hits,
@@ -59,8 +68,8 @@ def _candidates(pieces: Column, first_words: list[str] | None, context: int) ->
 def tag_entities(documents: DataFrame, key: str | list[str], text: str, names: DataFrame) -> DataFrame:
     """Non-overlapping spans ``(key, text, start, end, label, start_token, end_token)``, leftmost longest first.
 
-    Candidates are found inside the row; only they are joined to the names. With up to ``FIRST_WORDS`` first words
-    the candidates are just those words, else every word is one.
+    Candidates are found inside the row; only they are joined to the names. With up to ``OPENINGS`` different first two
+    words the candidates are just those, else every word is one.
     """
     keys = [key] if isinstance(key, str) else list(key)
     entries = (
@@ -69,13 +78,14 @@ def tag_entities(documents: DataFrame, key: str | list[str], text: str, names: D
             F.col("name"),
             F.col("label"),
             F.regexp_extract("name", f"^{WORD}+", 0).alias("word"),
+            F.get(_pieces(F.col("name")), F.lit(2)).alias("second"),
             F.size(_pieces(F.col("name"))).alias("n_pieces"),
         )
         .distinct()
     )
     longest = entries.agg(F.coalesce(F.max("n_pieces"), F.lit(1))).first()[0]
-    words = [row["word"] for row in entries.select("word").distinct().limit(FIRST_WORDS + 1).collect()]
-    candidates = _candidates(F.col("_pieces"), words if len(words) <= FIRST_WORDS else None, longest + 1)
+    openings = [tuple(row) for row in entries.select("word", "second").distinct().limit(OPENINGS + 1).collect()]
+    candidates = _candidates(F.col("_pieces"), openings if len(openings) <= OPENINGS else None, longest + 1)
     found = documents.select(*keys, _pieces(F.col(text)).alias("_pieces")).select(*keys, F.inline(candidates))
     size = F.length("name")
     after = F.substr("context", size + 1, F.lit(1))

@@ -38,12 +38,12 @@ def tfidf_search(
     """
     documents = documents.select(F.col(doc_key).cast("long").alias("doc_id"), doc_tokens.alias("tokens"))
     queries = queries.select(F.col(query_key).cast("long").alias("query_id"), query_tokens.alias("tokens"))
-    idf = written(term_idf(documents, F.col("tokens")), "idf")
-    weights = query_weights(term_counts(queries, "query_id", F.col("tokens")), idf)
-    numbers = written(weights.select("term").distinct().withColumn("term_no", F.monotonically_increasing_id()), "terms")
-    weights = written(weights.join(numbers, "term").select("query_id", "term_no", "weight"), "query-weights")
+    idf = term_idf(documents, F.col("tokens")).withColumn("term_no", F.monotonically_increasing_id())
+    idf = written(idf, "idf")
+    weights = written(query_weights(term_counts(queries, "query_id", F.col("tokens")), idf), "query-weights")
 
-    lexicon = idf.join(numbers, "term", "left")
+    asked = weights.select("term_no").distinct().withColumn("asked", F.lit(True))
+    lexicon = idf.join(asked, "term_no", "left").withColumn("term_no", F.when(F.col("asked"), F.col("term_no")))
     rows = document_weights(documents, lexicon, head_terms).filter(F.size("hits") > 0)
     rows = rows.select("doc_id", "length", F.col("hits.term_no").alias("term_no"), F.col("hits.w").alias("w"))
     size = weights.count() * ENTRY_BYTES
@@ -52,11 +52,11 @@ def tfidf_search(
 
 
 def query_weights(counts: DataFrame, idf: DataFrame) -> DataFrame:
-    """``(query_id, term, weight)`` with unit length per query."""
-    weighted = counts.join(idf, "term").select("query_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    """``(query_id, term_no, weight)`` with unit length per query."""
+    weighted = counts.join(idf, "term").select("query_id", "term_no", (F.col("tf") * F.col("idf")).alias("w"))
     lengths = weighted.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
     unit = weighted.join(lengths, "query_id").filter("w > 0 and length > 0")
-    return unit.select("query_id", "term", (F.col("w") / F.col("length")).alias("weight"))
+    return unit.select("query_id", "term_no", (F.col("w") / F.col("length")).alias("weight"))
 
 
 def document_weights(documents: DataFrame, lexicon: DataFrame, head_terms: int) -> DataFrame:

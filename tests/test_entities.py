@@ -52,9 +52,9 @@ def test_override_adds_a_missing_span(spark):
     assert (fb["start_token"], fb["end_token"], fb["label"]) == (0, 1, "ORG")
 
 
-@pytest.mark.parametrize("limit", [N.FIRST_WORDS, 0])
+@pytest.mark.parametrize("limit", [N.OPENINGS, 0])
 def test_spans_equal_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(N, "FIRST_WORDS", limit)
+    monkeypatch.setattr(N, "OPENINGS", limit)
     texts = [
         "a b a b c. a-b, (a b c) a b",
         "été a b’c été été_a b",
