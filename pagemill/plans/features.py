@@ -27,7 +27,7 @@ def feature_pipeline(content: str = "content", partitions: int = 1, min_count: i
     """Space tokens, document embedding, hashed TF and its IDF weighting."""
     return Pipeline(
         stages=[
-            SQLTransformer(statement=f"SELECT *, split({content}, ' ') AS content_tokenized FROM __THIS__"),
+            SQLTransformer(statement=f"SELECT *, split(coalesce(`{content}`, ''), ' ') AS content_tokenized FROM __THIS__"),
             Word2Vec(
                 vectorSize=VECTOR_SIZE,
                 seed=SEED,
@@ -50,10 +50,9 @@ def fit_features(documents: DataFrame, content: str = "content", partitions: int
     return feature_pipeline(content, partitions).fit(texts)
 
 
-def transform_features(model: PipelineModel, documents: DataFrame, content: str = "content") -> DataFrame:
-    """Feature columns as ML vectors; NULL content counts as empty."""
-    filled = documents.withColumn(content, F.coalesce(F.col(content), F.lit("")))
-    return model.transform(filled)
+def transform_features(model: PipelineModel, documents: DataFrame) -> DataFrame:
+    """Add the feature columns as ML vectors; NULL content has the features of an empty text."""
+    return model.transform(documents)
 
 
 def hashed_tf(documents: DataFrame, tokens: Column, size: int = HASHED_FEATURES) -> DataFrame:
