@@ -47,7 +47,10 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """``addPyFile`` of this package, once per application, so executors can import the archive reader."""
+    """``addPyFile`` of this package, once per application, so executors can import the archive reader.
+
+    The zip is made on the driver; Spark copies it to the executors.
+    """
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

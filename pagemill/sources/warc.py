@@ -3,7 +3,7 @@
     spark.dataSource.register(WarcDataSource)
     spark.read.format("warc").load("s3://bucket/crawl/*.warc.gz")
 
-Paths go through ``pyarrow.fs`` (local, ``s3://``, ``gs://``, ``hdfs://``), so a task holds one record at a time
+Paths go through ``pyarrow.fs`` (local, ``s3://`` or ``s3a://``, ``gs://``, ``hdfs://``), so a task holds one record at a time
 and never a whole file. Filters on the header columns are pushed into the reader, which then skips the payload;
 a narrower ``.schema(...)`` without ``payload`` skips it too. A file that breaks gives the records before the
 break plus one row with ``error`` set (``onError=skip``, the default) or fails the job (``onError=fail``).
@@ -136,14 +136,12 @@ def pack_files(files: list[tuple[str, int]], tasks: int) -> list[list[str]]:
 
 def list_files(path: str) -> list[tuple[str, int]]:
     """``(uri, size)`` of a path, folder or pattern, sorted; names starting with ``_`` or ``.`` are no data."""
+    path = arrow_uri(path)
     scheme, colon, rest = path.partition("://")
-    prefix = scheme + colon if colon else ""
-    if path.startswith("file:") and not colon:
-        prefix, rest = "file://", path[len("file:"):]
-    local = rest if colon or prefix else path
+    prefix, local = (scheme + colon, rest) if colon else ("", path)
     cut = next((i for i, c in enumerate(local) if c in "*?["), None)
     base = local if cut is None else local[: local.rfind("/", 0, cut)]
-    system, root = fs.FileSystem.from_uri(prefix + base) if prefix else (fs.LocalFileSystem(), base)
+    system, root = file_system(prefix + base)
     info = system.get_file_info(root)
     if info.type == fs.FileType.File:
         return [(path, info.size)]
@@ -198,11 +196,23 @@ def _batch(rows: list[dict], columns: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, columns)
 
 
+def arrow_uri(uri: str) -> str:
+    """Hadoop spellings of a URI as Arrow writes them."""
+    scheme, colon, rest = uri.partition(":")
+    if colon and scheme in ("s3a", "s3n"):
+        return "s3:" + rest
+    if scheme == "file" and not rest.startswith("//"):
+        return "file://" + rest
+    return uri
+
+
+def file_system(uri: str) -> tuple[fs.FileSystem, str]:
+    uri = arrow_uri(uri)
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+
+
 def open_archive(uri: str) -> io.BufferedReader:
-    if "://" in uri or uri.startswith("file:"):
-        system, path = fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "file://", 1))
-    else:
-        system, path = fs.LocalFileSystem(), uri
+    system, path = file_system(uri)
     raw = io.BufferedReader(system.open_input_stream(path, compression=None), READ_CHUNK)
     if raw.peek(2)[:2] == b"\x1f\x8b":
         return io.BufferedReader(GzipMembers(raw), READ_CHUNK)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import web
 from pagemill.operators import pages as P
-from pagemill.sources.warc import list_files, pack_files, read_archives, read_warc
+from pagemill.sources.warc import arrow_uri, list_files, pack_files, read_archives, read_warc
 
 
 def record(rec_type, url, body, content_type="application/http; msgtype=response", date="2024-08-03T10:00:00Z"):
@@ -115,10 +115,17 @@ def test_list_files(folder):
     size = (folder / "a.warc.gz").stat().st_size
     assert list_files(f"{folder}/a*.gz") == [(f"{folder}/a.warc.gz", size)]
     assert list_files(f"file://{folder}/*.gz") == [(f"file://{folder}/a.warc.gz", size)]
+    assert list_files(f"file:{folder}/*.gz") == [(f"file://{folder}/a.warc.gz", size)]
     with pytest.raises(FileNotFoundError):
         list_files(f"{folder}/nothing")
 
 
+def test_arrow_uri():
+    assert arrow_uri("s3a://b/k") == "s3://b/k"
+    assert arrow_uri("file:/a/b") == arrow_uri("file:///a/b") == "file:///a/b"
+    assert arrow_uri("/a/b") == "/a/b" and arrow_uri("hdfs://n/a") == "hdfs://n/a"
+
+
 def test_pack_files():
     large, small = [(f"l{i}", 1 << 30) for i in range(3)], [(f"s{i}", 1000) for i in range(100)]
     assert pack_files(large, 1000) == [["l0"], ["l1"], ["l2"]]
