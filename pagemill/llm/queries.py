@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill.llm.decontaminate import benchmark_matches
 from pagemill.llm.dedup import exact_duplicates
+from pagemill.llm.jaccard import jaccard_components
 from pagemill.llm.language import LanguageModel, fit_language_model, predict_language
 from pagemill.session import apply_settings
 from workload import Catalogue, table
@@ -41,3 +43,33 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(apply_settings(spark), sf_dir, "documents")).drop("bucket", "chain")
+
+
+#: Pairs by the shingles they share, then everything that each document reaches.
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                                        WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+    JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y
+)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.y) AS component_id
+FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@catalogue.query(JACCARD_SQL)
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(apply_settings(spark), sf_dir, "documents"))
+
+
+@catalogue.query()
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(table(apply_settings(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -14,6 +14,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Everything in ASCII but letters and digits.
+MARKS = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 #: Odd, so that it has an inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -55,13 +57,16 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first byte and end of every word, and where each text's words begin (with the end of the last)."""
+def words(texts: pa.Array, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end of every word, and where each text's words begin (with the end of the last).
+
+    ``gaps`` says which bytes part words.
+    """
     raw, bounds = buffers(texts)
     if not len(raw):
         nothing = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), nothing, nothing, np.zeros(len(bounds), np.int64)
-    solid = ~SPACE[raw]
+    solid = ~gaps[raw]
     opens = np.empty(len(raw), dtype=bool)
     opens[0] = True
     np.logical_not(solid[:-1], out=opens[1:])
