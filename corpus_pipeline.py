@@ -1,8 +1,89 @@
-"""Clean a corpus into packed training sequences: the stages that ``run`` applies to ``documents``, in order."""
+"""Clean a corpus into packed training sequences: the stages that ``run`` applies to ``documents``, in order.
+
+A stage takes what its predecessor kept and, but for the last, returns the columns of ``documents``. Rows with null text
+are rejected by the first stage; a null ``doc_id`` is a document like any other. Documents that share a ``doc_id`` with
+a rejected one of the same text are rejected with it.
+"""
 
 from __future__ import annotations
 
-from workload import Catalogue
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pagemill.llm.decontaminate import benchmark_matches
+from pagemill.llm.dedup import exact_duplicates
+from pagemill.llm.jaccard import jaccard_components
+from pagemill.llm.language import UNDETERMINED, predict_language
+from pagemill.llm.packing import pack_documents
+from pagemill.llm.queries import WORD_TOKENIZER, language_model
+from pagemill.session import apply_settings, written
+from workload import Catalogue, table
 
 catalogue = Catalogue()
-STAGES = []
+
+#: A text whose best language is less likely than this is rejected.
+LEAST_SCORE = 0.5
+
+
+def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with a language that the labelled ones teach."""
+    model = language_model(apply_settings(spark), sf_dir)
+    guess = f"guess_{uuid4().hex}"
+    kept = docs.withColumn(guess, predict_language(model, docs)).filter((F.col(f"{guess}.lang_pred") != UNDETERMINED) & (F.col(f"{guess}.score") >= LEAST_SCORE))
+    return kept.drop(guess)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the largest doc_id; of rows that repeat it too, any one."""
+    apply_settings(spark)
+    copies = exact_duplicates(docs).groupBy("keep_id", "text_sha256").agg(F.max("group_size").alias("n"))
+    own = f"sha_{uuid4().hex}"
+    marked = docs.withColumn(own, F.sha2(F.coalesce("text", F.lit("")), 256))
+    copies = copies.select(F.col("keep_id").alias("k"), F.col("text_sha256").alias("s"), "n")
+    kept = marked.join(copies.drop("n"), marked["doc_id"].eqNullSafe(F.col("k")) & (marked[own] == F.col("s")), "left_semi")
+    return kept.drop(own)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every component of texts that share 80 per cent of their five-word shingles: the smallest doc_id."""
+    apply_settings(spark)
+    kept = jaccard_components(docs).filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("k"))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("k")), "left_semi")
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no item of ``benchmark`` is found."""
+    apply_settings(spark)
+    found = written(benchmark_matches(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("k")).distinct(), "contaminated")
+    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("k")), "left_anti")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 4096 tokens."""
+    return pack_documents(docs, WORD_TOKENIZER)
+
+
+STAGES = [
+    ("language", in_known_language),
+    ("exact_dedup", without_copies),
+    ("near_dedup", without_near_copies),
+    ("decontamination", without_benchmark),
+    ("packing", packed),
+]
+#: Language scores and token ids have no SQL form.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each on the written result of the one before."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs if i == 0 else written(docs, name), sf_dir)
+    return docs
+
+
+@catalogue.query(ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(apply_settings(spark), sf_dir)

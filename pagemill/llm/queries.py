@@ -10,11 +10,13 @@ from pagemill.llm.decontaminate import benchmark_matches
 from pagemill.llm.dedup import exact_duplicates
 from pagemill.llm.jaccard import jaccard_components
 from pagemill.llm.language import LanguageModel, fit_language_model, predict_language
+from pagemill.llm.packing import pack_documents
 from pagemill.session import apply_settings
 from workload import Catalogue, table
 
 catalogue = Catalogue()
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -73,3 +75,8 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalogue.query()
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_matches(table(apply_settings(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@catalogue.query()
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(apply_settings(spark), sf_dir, "documents"), WORD_TOKENIZER)
