@@ -11,6 +11,8 @@ from pagemill.llm.dedup import exact_duplicates
 from pagemill.llm.jaccard import jaccard_components
 from pagemill.llm.language import LanguageModel, fit_language_model, predict_language
 from pagemill.llm.packing import pack_documents
+from pagemill.llm.quality import fit_quality, quality_score
+from pagemill.llm.token_counts import count_tokens
 from pagemill.session import apply_settings
 from workload import Catalogue, table
 
@@ -80,3 +82,17 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 @catalogue.query()
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(apply_settings(spark), sf_dir, "documents"), WORD_TOKENIZER)
+
+
+@catalogue.query()
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(apply_settings(spark), sf_dir, "documents"), PIECES)
+
+
+@catalogue.query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(apply_settings(spark), sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0))
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(True)).alias("held_out")
+    scored = docs.select("doc_id", held_out, quality_score(model, docs).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
