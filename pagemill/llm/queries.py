@@ -10,8 +10,11 @@ from pagemill.llm.decontaminate import benchmark_matches
 from pagemill.llm.dedup import exact_duplicates
 from pagemill.llm.jaccard import jaccard_components
 from pagemill.llm.language import LanguageModel, fit_language_model, predict_language
+from pagemill.llm.html_paths import extract_pages
+from pagemill.llm.licenses import scan_licenses
 from pagemill.llm.packing import pack_documents
 from pagemill.llm.quality import fit_quality, quality_score
+from pagemill.llm.secrets import dictionary, scan_secrets
 from pagemill.llm.token_counts import count_tokens
 from pagemill.session import apply_settings
 from workload import Catalogue, table
@@ -96,3 +99,19 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(True)).alias("held_out")
     scored = docs.select("doc_id", held_out, quality_score(model, docs).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@catalogue.query()
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(apply_settings(spark), sf_dir, "pages"))
+
+
+@catalogue.query()
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(apply_settings(spark), sf_dir, "documents")).drop("detections")
+
+
+@catalogue.query()
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without the secrets themselves."""
+    return scan_secrets(table(apply_settings(spark), sf_dir, "documents"), dictionary(PIECES)).drop("value")
