@@ -27,37 +27,42 @@ catalogue = Catalogue()
 LEAST_SCORE = 0.5
 
 
+def fresh(name: str) -> str:
+    """A column name that no table has."""
+    return f"{name}_{uuid4().hex}"
+
+
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with a language that the labelled ones teach."""
     model = language_model(apply_settings(spark), sf_dir)
-    guess = f"guess_{uuid4().hex}"
+    guess = fresh("guess")
     kept = docs.withColumn(guess, predict_language(model, docs)).filter((F.col(f"{guess}.lang_pred") != UNDETERMINED) & (F.col(f"{guess}.score") >= LEAST_SCORE))
     return kept.drop(guess)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id; of rows that repeat it too, any one."""
+    """Of equal texts the one with the largest doc_id; rows that repeat it with the same text are that one document."""
     apply_settings(spark)
-    copies = exact_duplicates(docs).groupBy("keep_id", "text_sha256").agg(F.max("group_size").alias("n"))
-    own = f"sha_{uuid4().hex}"
+    own, key, digest = fresh("sha"), fresh("key"), fresh("digest")
+    kept = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(digest))
     marked = docs.withColumn(own, F.sha2(F.coalesce("text", F.lit("")), 256))
-    copies = copies.select(F.col("keep_id").alias("k"), F.col("text_sha256").alias("s"), "n")
-    kept = marked.join(copies.drop("n"), marked["doc_id"].eqNullSafe(F.col("k")) & (marked[own] == F.col("s")), "left_semi")
-    return kept.drop(own)
+    return marked.join(kept, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(own) == F.col(digest)), "left_semi").drop(own)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every component of texts that share 80 per cent of their five-word shingles: the smallest doc_id."""
     apply_settings(spark)
-    kept = jaccard_components(docs).filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("k"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("k")), "left_semi")
+    key = fresh("key")
+    kept = jaccard_components(docs).filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias(key))
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no item of ``benchmark`` is found."""
     apply_settings(spark)
-    found = written(benchmark_matches(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("k")).distinct(), "contaminated")
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("k")), "left_anti")
+    key = fresh("key")
+    found = written(benchmark_matches(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col(key)), "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
