@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 PATH = r"^[^/?#]*//[^/?#]*(/[^#]*)"
-WARC_DATE = "yyyy-MM-dd'T'HH:mm:ssX"
+WARC_DATE = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]X"
 DATE_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 # Content-type rules in order (test, needle, label); the first match wins.
@@ -64,7 +64,7 @@ def content_type_label(header: Column, strict: bool = False) -> Column:
 
 
 def archive_timestamp(raw: Column) -> Column:
-    """ISO-8601 ``Z`` text to TIMESTAMP; NULL when it does not parse."""
+    """ISO-8601 ``Z`` text, with a fraction of a second or without, to TIMESTAMP; NULL when it does not parse."""
     return F.try_to_timestamp(raw, F.lit(WARC_DATE))
 
 

@@ -29,17 +29,33 @@ def with_content_type(records: DataFrame, header: str = "http_content_type", str
     return labelled.filter(F.col("content_type").isNotNull())
 
 
-def page_rows(records: DataFrame, strict: bool = False) -> DataFrame:
-    """Archive rows to ``(url, date, content, content_type)``."""
-    kept = with_content_type(response_records(records), strict=strict)
+def page_rows(records: DataFrame, strict: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Archive rows to ``(url, date, content, content_type)``.
+
+    With ``keep``, these columns follow and rows with ``error`` stay, without content.
+    """
+    if keep is None:
+        kept = with_content_type(response_records(records), strict=strict)
+    else:
+        label = web.content_type_label(F.col("http_content_type"), strict)
+        kept = records.filter((F.col("rec_type") == "response") | F.col("error").isNotNull())
+        kept = kept.withColumn("content_type", label).filter(F.col("content_type").isNotNull() | F.col("error").isNotNull())
     return kept.select(
         "url",
         web.archive_timestamp(F.col("raw_date")).alias("date"),
         web.decode_utf8(F.col("payload")).alias("content"),
         "content_type",
+        *(keep or ()),
     )
 
 
+def unparsable_dates(records: DataFrame) -> DataFrame:
+    """One row: ``n_dates`` given and ``n_unparsable`` of them, which become NULL."""
+    raw = F.col("raw_date")
+    bad = raw.isNotNull() & web.archive_timestamp(raw).isNull()
+    return records.agg(F.count(raw).alias("n_dates"), F.count_if(bad).alias("n_unparsable"))
+
+
 def plain_text_rows(records: DataFrame) -> DataFrame:
     """Rows of a plain-text archive, same shape as ``page_rows``."""
     return conversion_records(records).select(

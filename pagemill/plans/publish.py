@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagemill.operators.pages import page_rows, with_html_fields
 from pagemill.plans.features import at_rest, fit_features, transform_features
@@ -25,17 +26,26 @@ COLUMNS = [
 def publish_corpus(
     records: DataFrame, target: str, partitions: int | None = None, strict: bool = False
 ) -> tuple[DataFrame, PipelineModel]:
-    """Write ``target/pages``, ``target/model`` and ``target/corpus``; returns the corpus and the fitted model.
+    """Write ``target/decoded``, ``target/broken``, ``target/model`` and ``target/corpus``; returns the corpus and the model.
 
-    ``records`` are archive rows. The archives are decoded once, into ``pages``: archive files are uneven and cannot
-    be split, the Parquet written from them can. Fitting then reads only ``content`` and the last step runs without a
-    shuffle.
+    ``records`` are archive rows; read them with ``record_types=["response"]``, so that others are skipped unread. The
+    archives are decoded once, into ``decoded``: archive files are uneven and cannot be split, the Parquet written from
+    them can. Archives that could not be read to their end are listed in ``broken`` (``broken_archives``); what came
+    before the break is published. Fitting reads only ``content`` and the last step runs without a shuffle.
     """
     spark = records.sparkSession
-    write_corpus(page_rows(records, strict), f"{target}/pages", partition_by=None)
-    pages = read_corpus(spark, f"{target}/pages")
+    decoded = page_rows(records, strict, keep=["filename", "error"])
+    write_corpus(decoded.withColumn("is_broken", F.col("error").isNotNull()), f"{target}/decoded", partition_by="is_broken")
+    pages = read_corpus(spark, f"{target}/decoded")
+    write_corpus(pages.filter("is_broken").select("filename", "error"), f"{target}/broken", partition_by=None)
+    pages = pages.filter("not is_broken").drop("is_broken", "filename", "error")
     model = fit_features(pages, partitions=partitions)
     model.write().overwrite().save(f"{target}/model")
     published = at_rest(transform_features(model, with_html_fields(pages))).select(*COLUMNS)
     write_corpus(published, f"{target}/corpus", partition_by="content_type")
     return read_corpus(spark, f"{target}/corpus"), model
+
+
+def broken_archives(spark: SparkSession, target: str) -> DataFrame:
+    """``(filename, error)`` of the archives that ``publish_corpus`` could not finish."""
+    return read_corpus(spark, f"{target}/broken")

@@ -3,10 +3,12 @@
     spark.dataSource.register(WarcDataSource)
     spark.read.format("warc").load("s3://bucket/crawl/*.warc.gz")
 
-Paths go through ``pyarrow.fs`` (local, ``s3://`` or ``s3a://``, ``gs://``, ``hdfs://``), so a task holds one record at a time
-and never a whole file. Filters on the header columns are pushed into the reader, which then skips the payload;
-a narrower ``.schema(...)`` without ``payload`` skips it too. A file that breaks gives the records before the
-break plus one row with ``error`` set (``onError=skip``, the default) or fails the job (``onError=fail``).
+Paths go through ``pyarrow.fs`` (local, ``s3://`` or ``s3a://``, ``gs://``, ``hdfs://``), so a task holds one batch of records
+and never a whole file. The option ``recordTypes`` and filters on the header columns work inside the reader: a record
+that its archive header rejects is skipped in pieces, payload and all. A narrower ``.schema(...)`` without ``payload``
+never reads one either. A file that breaks in whatever way gives the records before the break plus one row with
+``error`` set (``onError=skip``, the default) or fails the job (``onError=fail``). Error rows have NULL headers and pass
+``recordTypes`` and every filter that the reader takes over, so a broken archive never goes unseen.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import fnmatch
 import io
 import posixpath
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -36,13 +38,15 @@ SCHEMA = (
     "filename string, rec_type string, url string, raw_date string, http_content_type string, "
     "payload binary, error string"
 )
-HEADER_COLUMNS = {"rec_type", "url", "raw_date", "http_content_type"}
+ARCHIVE_COLUMNS = {"rec_type", "url", "raw_date"}
+HEADER_COLUMNS = ARCHIVE_COLUMNS | {"http_content_type"}
 ARROW_TYPES = {"payload": pa.binary()}
 TASK_BYTES = 128 << 20
 OPEN_BYTES = 4 << 20
 BATCH_BYTES = 16 << 20
 BATCH_ROWS = 2000
 READ_CHUNK = 1 << 20
+MOST_LINE = 1 << 20
 INFLATE_CHUNK = 1 << 16
 
 
@@ -71,7 +75,8 @@ class WarcReader(DataSourceReader):
         self.on_error = options.get("onerror", "skip")
         self.tasks = int(options.get("tasks", 1))
         self.columns = columns
-        self.wanted: dict[str, set | None] = {}
+        types = options.get("recordtypes")
+        self.wanted: dict[str, set | None] = {"rec_type": set(types.split(","))} if types else {}
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
@@ -101,9 +106,18 @@ class WarcReader(DataSourceReader):
 
 
 def read_archives(
-    files: DataFrame, path_column: str = "filename", schema: str = SCHEMA, on_error: str = "skip", tasks: int | None = None
+    files: DataFrame,
+    path_column: str = "filename",
+    schema: str = SCHEMA,
+    on_error: str = "skip",
+    tasks: int | None = None,
+    record_types: list[str] | None = None,
 ) -> DataFrame:
-    """Archive rows for a DataFrame of archive paths (a manifest), without listing them on the driver."""
+    """Archive rows for a DataFrame of archive paths (a manifest), without listing them on the driver.
+
+    ``record_types`` leaves other records out inside the reader; error rows stay.
+    """
+    wanted = {"rec_type": set(record_types)} if record_types else {}
     columns = [field.split()[0] for field in schema.split(",")]
     spark = files.sparkSession
     if tasks is None:
@@ -112,7 +126,7 @@ def read_archives(
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for uri in batch.column(0).to_pylist():
-                yield from read_file(uri, columns, {}, on_error)
+                yield from read_file(uri, columns, wanted, on_error)
 
     paths = files.select(F.col(path_column).alias("uri"))
     return paths.repartition(tasks).mapInArrow(read, spark.createDataFrame([], schema).schema)
@@ -162,31 +176,22 @@ def list_files(path: str) -> list[tuple[str, int]]:
 def read_file(
     uri: str, columns: list[str], wanted: dict[str, set | None], on_error: str
 ) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of one archive file, with the filters of ``wanted`` applied to the headers."""
-
-    def keep(row: dict) -> bool:
-        return all(
-            row[column] is not None if values is None else row[column] in values
-            for column, values in wanted.items()
-        )
-
+    """Arrow batches of one archive file, with the filters of ``wanted`` applied to the headers of its records."""
     rows, size = [], 0
     try:
         with open_archive(uri) as stream:
-            for row in iter_records(stream, keep, "payload" in columns):
+            for row in iter_records(stream, wanted, columns):
                 row["filename"] = uri
                 rows.append(row)
                 size += len(row["payload"] or b"")
                 if size >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
                     yield _batch(rows, columns)
                     rows, size = [], 0
-    except (OSError, EOFError, ValueError, zlib.error) as problem:
+    except Exception as problem:  # whatever is wrong with one file must not cost the others
         if on_error == "fail":
             raise
         broken = dict.fromkeys(HEADER_COLUMNS) | {"filename": uri, "payload": None}
-        broken["error"] = f"{type(problem).__name__}: {problem}"
-        if keep(broken):
-            rows.append(broken)
+        rows.append(broken | {"error": f"{type(problem).__name__}: {problem}"})
     if rows:
         yield _batch(rows, columns)
 
@@ -250,41 +255,73 @@ class GzipMembers(io.RawIOBase):
                 return len(data)
 
 
-def iter_records(stream: io.BufferedReader, keep: Callable[[dict], bool], payload: bool) -> Iterator[dict]:
-    """One dict per record; the payload of a rejected record is skipped, not kept."""
-    while line := stream.readline():
+def passes(row: dict, wanted: dict[str, set | None], columns: set[str]) -> bool:
+    """Whether a row has the wanted values in ``columns``; None stands for any value but NULL."""
+    return all(row[c] is not None if values is None else row[c] in values for c, values in wanted.items() if c in columns)
+
+
+def iter_records(stream: io.BufferedReader, wanted: dict[str, set | None], columns: list[str]) -> Iterator[dict]:
+    """One dict per record that has the wanted headers. The rest of a record that is not needed is skipped in pieces."""
+    while line := stream.readline(MOST_LINE):
         if not line.strip():
             continue
         if not line.startswith(b"WARC/"):
             raise ValueError(f"not an archive record: {line[:40]!r}")
         headers = _headers(stream)
-        length = int(headers["content-length"])
-        is_http = headers.get("content-type", "").replace(" ", "").startswith("application/http")
-        body = io.BytesIO(_exactly(stream, length))
-        http = {}
-        if is_http:
-            body.readline()
-            http = _headers(body)
-        row = {
-            "rec_type": headers.get("warc-type"),
-            "url": headers.get("warc-target-uri"),
-            "raw_date": headers.get("warc-date"),
-            "http_content_type": http.get("content-type"),
-            "payload": None,
-            "error": None,
-        }
-        if keep(row):
-            if payload:
-                row["payload"] = _decoded(body.read(), http)
-            yield row
-
-
-def _headers(stream: io.BufferedIOBase) -> dict[str, str]:
+        body = RecordBody(stream, record_length(headers))
+        row = dict.fromkeys(("http_content_type", "payload", "error"))
+        row |= {"rec_type": headers.get("warc-type"), "url": headers.get("warc-target-uri"), "raw_date": headers.get("warc-date")}
+        if passes(row, wanted, ARCHIVE_COLUMNS):
+            http = {}
+            needed = "payload" in columns or "http_content_type" in columns or "http_content_type" in wanted
+            if needed and headers.get("content-type", "").replace(" ", "").startswith("application/http"):
+                body.readline(MOST_LINE)
+                http = _headers(body)
+                row["http_content_type"] = http.get("content-type")
+            if passes(row, wanted, HEADER_COLUMNS):
+                if "payload" in columns:
+                    row["payload"] = _decoded(b"".join(body.pieces()), http)
+                for _ in body.pieces():
+                    pass
+                yield row
+        for _ in body.pieces():
+            pass
+
+
+def record_length(headers: dict[str, str]) -> int:
+    """The checked length of a record's body."""
+    text = headers.get("content-length", "")
+    if not (text.isascii() and text.isdigit()):
+        raise ValueError(f"a record's Content-Length is {text!r}")
+    return int(text)
+
+
+class RecordBody:
+    """What is left of a record's body. It is read in pieces, so a header that lies about the length costs no memory."""
+
+    def __init__(self, stream: io.BufferedReader, length: int):
+        self.stream, self.length, self.left = stream, length, length
+
+    def readline(self, most: int = MOST_LINE) -> bytes:
+        return self._taken(self.stream.readline(min(most, self.left))) if self.left else b""
+
+    def pieces(self) -> Iterator[bytes]:
+        while self.left:
+            yield self._taken(self.stream.read(min(READ_CHUNK, self.left)))
+
+    def _taken(self, data: bytes) -> bytes:
+        if not data:
+            raise EOFError(f"record ends after {self.length - self.left} of {self.length} bytes")
+        self.left -= len(data)
+        return data
+
+
+def _headers(stream: io.BufferedIOBase | RecordBody) -> dict[str, str]:
     """Header block up to the empty line, names in lower case; the first of a repeated name counts."""
     found: dict[str, str] = {}
     name = None
     while True:
-        line = stream.readline()
+        line = stream.readline(MOST_LINE)
         text = line.decode("utf-8", "replace").rstrip("\r\n")
         if not text:
             return found
@@ -296,13 +333,6 @@ def _headers(stream: io.BufferedIOBase) -> dict[str, str]:
         found.setdefault(name, value.strip())
 
 
-def _exactly(stream: io.BufferedReader, length: int) -> bytes:
-    data = stream.read(length)
-    if len(data) < length:
-        raise EOFError(f"record ends after {len(data)} of {length} bytes")
-    return data
-
-
 def _decoded(body: bytes, http: dict[str, str]) -> bytes:
     """HTTP body without transfer and content encoding; left as stored when it does not decode."""
     if http.get("transfer-encoding", "").lower() == "chunked":
@@ -330,8 +360,12 @@ def _unchunked(body: bytes) -> bytes:
         source.readline()
 
 
-def read_warc(spark: SparkSession, path: str, schema: str = SCHEMA, on_error: str = "skip") -> DataFrame:
-    """Archive rows of a path, folder, pattern or comma-separated list."""
+def read_warc(
+    spark: SparkSession, path: str, schema: str = SCHEMA, on_error: str = "skip", record_types: list[str] | None = None
+) -> DataFrame:
+    """Archive rows of a path, folder, pattern or comma-separated list; of ``record_types`` only, and error rows."""
     spark.dataSource.register(WarcDataSource)
     reader = spark.read.format("warc").schema(schema).option("onError", on_error)
+    if record_types:
+        reader = reader.option("recordTypes", ",".join(record_types))
     return reader.option("tasks", spark.sparkContext.defaultParallelism).load(path)

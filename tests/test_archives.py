@@ -1,5 +1,6 @@
 import gzip
 import re
+import tracemalloc
 import zlib
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import web
 from pagemill.operators import pages as P
-from pagemill.sources.warc import arrow_uri, list_files, pack_files, read_archives, read_warc
+from pagemill.sources.warc import arrow_uri, list_files, pack_files, read_archives, read_file, read_warc
 
 
 def record(rec_type, url, body, content_type="application/http; msgtype=response", date="2024-08-03T10:00:00Z"):
@@ -96,6 +97,47 @@ def test_truncated_file_keeps_what_came_before(spark, folder):
         read_warc(spark, str(folder), on_error="fail").collect()
 
 
+@pytest.mark.parametrize("length", [None, "-1", "12a", "", "99999999999999999999", "4000000000"])
+def test_damaged_lengths(spark, tmp_path, length):
+    damaged = RECORDS[4]
+    end = damaged.index(b"\r\nContent-Length"), damaged.index(b"\r\n\r\n")
+    line = b"" if length is None else f"\r\nContent-Length: {length}".encode()
+    path = tmp_path / "x.warc.gz"
+    path.write_bytes(b"".join(gzip.compress(r) for r in [*RECORDS[:4], damaged[: end[0]] + line + damaged[end[1] :], *RECORDS[5:]]))
+    rows = read_warc(spark, str(path)).collect()
+    assert len(rows) == 5 and [r["error"] is not None for r in rows] == [False] * 4 + [True]
+    responses = read_warc(spark, str(path)).filter("rec_type = 'response'")
+    assert sorted(str(r["url"]) for r in responses.collect()) == ["None", "http://a/1", "http://a/2"]
+    chosen = read_warc(spark, str(path), record_types=["response"])
+    assert chosen.count() == 3 and chosen.filter("error is not null").count() == 1
+    with pytest.raises(PySparkException):
+        read_warc(spark, str(path), on_error="fail").collect()
+
+
+def test_rejected_payloads_are_not_held(tmp_path):
+    """A rejected record of 256 MB passes with a few MB of memory."""
+    path = tmp_path / "large.warc"
+    size = 256 << 20
+    with open(path, "wb") as out:
+        out.write(f"WARC/1.0\r\nWARC-Type: request\r\nContent-Type: application/http\r\nContent-Length: {size}\r\n\r\n".encode())
+        out.truncate(out.tell() + size)
+        out.seek(0, 2)
+        out.write(b"\r\n\r\n" + RECORDS[3])
+    tracemalloc.start()
+    batches = list(read_file(str(path), ["url", "payload"], {"rec_type": {"response"}}, "fail"))
+    assert tracemalloc.get_traced_memory()[1] < 16 << 20
+    tracemalloc.stop()
+    assert [r["url"] for b in batches for r in b.to_pylist()] == ["http://a/2"]
+
+
+def test_fractional_dates(spark):
+    raw = ["2024-08-03T10:00:00Z", "2024-08-03T10:00:00.5Z", "2024-08-03T10:00:00.123456Z", "no", None]
+    rows = spark.createDataFrame([(r,) for r in raw], "raw_date string")
+    dates = [r[0] for r in rows.select(web.archive_timestamp(F.col("raw_date"))).collect()]
+    assert [None if d is None else d.microsecond for d in dates] == [0, 500000, 123456, None, None]
+    assert tuple(P.unparsable_dates(rows).first()) == (4, 1)
+
+
 def test_archives_named_in_a_table(spark, folder):
     files = spark.createDataFrame([(str(folder / "a.warc.gz"),), (str(folder / "missing.warc.gz"),)], "filename string")
     rows = read_archives(files)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pagemill.functions import web
 from pagemill.operators import pages as P
 from pagemill.operators.tables import row_by_key
-from pagemill.plans.publish import publish_corpus
+from pagemill.plans.publish import broken_archives, publish_corpus
 from pagemill.session import new_table_path
 from pagemill.sources.corpus import read_corpus, write_corpus
 from pagemill.sources.warc import SCHEMA, read_archives, read_warc
@@ -258,9 +258,8 @@ def media_filter(spark, sf_dir):
 """)
 def publish_fields(spark, sf_dir):
     """The whole job; the columns that have an SQL form."""
-    corpus, _ = publish_corpus(
-        read_warc(spark, warc_files(spark, sf_dir)), new_table_path(spark, "publish"), partitions=1
-    )
+    archives = read_warc(spark, warc_files(spark, sf_dir), record_types=["response"])
+    corpus, _ = publish_corpus(archives, new_table_path(spark, "publish"))
     return corpus.select(
         "url",
         web.date_text(F.col("date")).alias("date"),
@@ -276,4 +275,27 @@ def publish_fields(spark, sf_dir):
 def publish_corpus_table(spark, sf_dir):
     """The whole job, all published columns."""
     target = new_table_path(spark, "publish")
-    return publish_corpus(read_warc(spark, warc_files(spark, sf_dir)), target)[0]
+    return publish_corpus(read_warc(spark, warc_files(spark, sf_dir), record_types=["response"]), target)[0]
+
+
+@catalogue.query(f"""
+    SELECT 'file=' || CAST(page_id // {PAGES_PER_FILE} AS VARCHAR) AS archive, count(*) > 0 AS is_reported
+    FROM ({RECORDS}) WHERE page_id % 50 = 49 GROUP BY 1
+""")
+def publish_broken_archives(spark, sf_dir):
+    """The archives that the whole job could not read to their end."""
+    target = new_table_path(spark, "publish")
+    publish_corpus(read_warc(spark, warc_files(spark, sf_dir, broken_every=50), record_types=["response"]), target)
+    broken = broken_archives(spark, target)
+    return broken.select(F.regexp_extract("filename", "(file=[0-9]+)", 1).alias("archive"), F.col("error").isNotNull().alias("is_reported"))
+
+
+@catalogue.query("""
+    SELECT count(*) AS n_dates, count(*) FILTER (event_id % 11 = 5) AS n_unparsable FROM events
+""")
+def archive_date_errors(spark, sf_dir):
+    """Every eleventh date does not parse; every third has a fraction of a second."""
+    raw = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    raw = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).otherwise(raw)
+    raw = F.when(F.col("event_id") % 11 == 5, F.lit("2024-13-45T99:00:00Z")).otherwise(raw)
+    return P.unparsable_dates(table(spark, sf_dir, "events").select(raw.alias("raw_date")))
