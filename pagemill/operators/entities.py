@@ -1,130 +1,135 @@
 """Entity spans from a dictionary ``(name, label)``, overrides, and the company a question is about.
 
-Text is cut into pieces that are words or the characters between words; a name matches where it starts and ends
-at word borders. Offsets count characters, ``end`` exclusive; token offsets count words.
+A name matches where it neither begins nor ends inside a word. Offsets count characters, ``end`` exclusive; token offsets
+count words.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 WORD = r"[\p{L}\p{M}\p{N}_]"
-PIECE = rf"(?s){WORD}+|[^\p{{L}}\p{{M}}\p{{N}}_]+"
-OPENINGS = 5_000
+WORDS = regex.compile(f"{WORD}+")
 SPAN = ["text", "start", "end", "label", "start_token", "end_token"]
-
-
-def _pieces(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
-
-
-def _candidates(pieces: Column, openings: list[tuple[str, str | None]] | None, context: int) -> Column:
-    """Words that can start a name, with offset, word number and the text that follows.
-
-    ``openings`` are the first two words of the names, the second one NULL for names of one word; without them every
-    word is a candidate. Only positions are tested piece by piece; offsets are summed over the gaps between candidates.
-    """
-
-    def starts_name(position: Column) -> Column:
-        piece = F.get(pieces, position)
-        if openings is None:
-            return F.lit(True)
-        single = sorted({first for first, second in openings if second is None})
-        longer = [pair for pair in openings if pair[1] is not None]
-        firsts, seconds = sorted({first for first, _ in longer}), sorted({second for _, second in longer})
-        return piece.isin(single) | (piece.isin(firsts) & F.get(pieces, position + 2).isin(seconds))
-
-    def join(start: Column, count: Column) -> Column:
-        return F.array_join(F.slice(pieces, start + 1, count), "")
-
-    hit = "array<struct<pos:int,start:int>>"
-    zero = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("start"), F.array().cast(hit).alias("hits"))
-
-    def step(state: Column, position: Column) -> Column:
-        start = state["start"] + F.length(join(state["pos"], position - state["pos"]))
-        found = F.struct(position.alias("pos"), start.alias("start"))
-        return F.struct(
-            position.alias("pos"), start.alias("start"), F.concat(state["hits"], F.array(found)).alias("hits")
-        )
-
-    # Words and the characters between them take turns.
-    first_word = F.when(F.get(pieces, F.lit(0)).rlike(f"^{WORD}"), 0).otherwise(1)
-    words = F.sequence(first_word, F.size(pieces) - 1, F.lit(2))
-    positions = F.when(F.size(pieces) > first_word, F.filter(words, starts_name))
-    hits = F.aggregate(positions, zero, step, lambda state: state["hits"])
-    return F.transform(
-        hits,
-        lambda h: F.struct(
-            h["start"].alias("start"),
-            F.get(pieces, h["pos"]).alias("word"),
-            F.floor(h["pos"] / 2).cast("int").alias("start_token"),
-            join(h["pos"], F.lit(context)).alias("context"),
-        ),
-    )
+SPAN_SCHEMA = "text string, start int, end int, label string, start_token int, end_token int"
+#: The dictionary is searched in blocks of at most so many bytes of names, each sent to the tasks.
+BLOCK_BYTES = 32 << 20
+
+Span = tuple[int, int, str, str, int, int]
+
+
+class Names:
+    """A block of the dictionary: names by their first word, with the symbols before it."""
+
+    def __init__(self, entries: list[tuple[str, str]]):
+        self.entries: dict[str, dict[tuple[int, int], dict[str, tuple[int, list[str]]]]] = {}
+        for name, label in sorted(set(entries)):
+            words = list(WORDS.finditer(name))
+            sizes = self.entries.setdefault(words[0].group(), {})
+            known = sizes.setdefault((words[0].start(), len(name)), {})
+            known.setdefault(name, (len(words), []))[1].append(label)
+
+    def candidates(self, text: str) -> list[Span]:
+        """``(start, -end, label, name, start_token, end_token)`` of every place of every name, sorted."""
+        found = []
+        for token, word in enumerate(WORDS.finditer(text)):
+            for (before, size), names in self.entries.get(word.group(), {}).items():
+                start = word.start() - before
+                name = text[start : start + size] if start >= 0 else ""
+                if name in names and not (WORDS.match(name[-1]) and WORDS.match(text[start + size : start + size + 1])):
+                    n_words, labels = names[name]
+                    found += [(start, -start - size, label, name, token, token + n_words) for label in labels]
+        return sorted(found)
+
+
+def unmatchable_names(names: DataFrame) -> DataFrame:
+    """The names that no text can match, as they hold no word."""
+    return names.filter(F.col("name").isNull() | ~F.col("name").rlike(WORD))
+
+
+def _blocks(names: DataFrame) -> Iterator[Names]:
+    entries, size = [], 0
+    for name, label in names.filter(F.col("name").rlike(WORD)).select("name", "label").distinct().toLocalIterator():
+        entries.append((name, label or ""))
+        size += len(name.encode()) + 64
+        if size >= BLOCK_BYTES:
+            yield Names(entries)
+            entries, size = [], 0
+    if entries:
+        yield Names(entries)
 
 
 def tag_entities(documents: DataFrame, key: str | list[str], text: str, names: DataFrame) -> DataFrame:
     """Non-overlapping spans ``(key, text, start, end, label, start_token, end_token)``, leftmost longest first.
 
-    Candidates are found inside the row; only they are joined to the names. With up to ``OPENINGS`` different first two
-    words the candidates are just those, else every word is one.
+    Texts are scanned word by word where they are, once per block of the dictionary. Spans of a dictionary of one block
+    are chosen in the same pass; those of several blocks meet in a sort per text.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    entries = (
-        names.filter(F.col("name").rlike(f"^{WORD}"))
-        .select(
-            F.col("name"),
-            F.col("label"),
-            F.regexp_extract("name", f"^{WORD}+", 0).alias("word"),
-            F.get(_pieces(F.col("name")), F.lit(2)).alias("second"),
-            F.size(_pieces(F.col("name"))).alias("n_pieces"),
-        )
-        .distinct()
-    )
-    longest = entries.agg(F.coalesce(F.max("n_pieces"), F.lit(1))).first()[0]
-    openings = [tuple(row) for row in entries.select("word", "second").distinct().limit(OPENINGS + 1).collect()]
-    candidates = _candidates(F.col("_pieces"), openings if len(openings) <= OPENINGS else None, longest + 1)
-    found = documents.select(*keys, _pieces(F.col(text)).alias("_pieces")).select(*keys, F.inline(candidates))
-    size = F.length("name")
-    after = F.substr("context", size + 1, F.lit(1))
-    ends_at_border = ~F.col("name").rlike(f"{WORD}$") | ~after.rlike(WORD)
-    spans = (
-        found.join(entries, "word")
-        .filter(F.col("context").startswith(F.col("name")) & ends_at_border)
-        .select(
-            *keys,
-            F.col("name").alias("text"),
-            "start",
-            (F.col("start") + size).alias("end"),
-            "label",
-            "start_token",
-            (F.col("start_token") + F.ceil(F.col("n_pieces") / 2).cast("int")).alias("end_token"),
-        )
-    )
-    return leftmost_longest(spans, keys)
+    spark, keys = documents.sparkSession, [key] if isinstance(key, str) else list(key)
+    types = dict(documents.dtypes)
+    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), SPAN_SCHEMA])
+    shared = [spark.sparkContext.broadcast(block) for block in _blocks(names)]
+    if not shared:
+        return spark.createDataFrame([], schema)
+
+    def scan(block, choose: bool) -> DataFrame:
+        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows, spans = [], []
+                for row, body in enumerate(batch.column(len(keys)).to_pylist()):
+                    covered = 0
+                    for span in block.value.candidates(body or ""):
+                        if not choose or span[0] >= covered:
+                            covered = -span[1]
+                            rows.append(row)
+                            spans.append(span)
+                yield _span_batch(batch, rows, spans, keys)
+
+        return documents.select(*keys, text).mapInArrow(found, schema)
+
+    if len(shared) == 1:
+        return scan(shared[0], choose=True)
+    every = scan(shared[0], choose=False)
+    for block in shared[1:]:
+        every = every.union(scan(block, choose=False))
+    return leftmost_longest(every, keys)
+
+
+def _span_batch(batch: pa.RecordBatch, rows: list[int], spans: list[Span], keys: list[str]) -> pa.RecordBatch:
+    at = pa.array(rows, pa.int64())
+    columns = [batch.column(i).take(at) for i in range(len(keys))]
+    columns += [pa.array([s[3] for s in spans], pa.string()), pa.array([s[0] for s in spans], pa.int32()), pa.array([-s[1] for s in spans], pa.int32())]
+    columns += [pa.array([s[2] for s in spans], pa.string()), pa.array([s[4] for s in spans], pa.int32()), pa.array([s[5] for s in spans], pa.int32())]
+    return pa.RecordBatch.from_arrays(columns, [*keys, *SPAN])
 
 
 def leftmost_longest(spans: DataFrame, keys: list[str]) -> DataFrame:
     """Keep spans from left to right, the longest at each start, skipping what a kept span covers.
 
-    A group is the spans of one text, which is a single row of the input already.
+    The spans of a text come sorted and are passed over once; a task holds no more than a batch of them.
     """
-    ordered = F.struct("start", (-F.col("end")).alias("order_end"), "label", "end", "text", "start_token", "end_token")
-    per_text = spans.groupBy(*keys).agg(F.sort_array(F.collect_list(ordered)).alias("spans"))
-    item = dict(per_text.dtypes)["spans"]
-    zero = F.struct(F.lit(0).alias("covered"), F.array().cast(item).alias("kept"))
+    ordered = spans.repartition(*keys).sortWithinPartitions(*keys, "start", F.desc("end"), "label")
+    start, end = spans.columns.index("start"), spans.columns.index("end")
 
-    def step(state: Column, span: Column) -> Column:
-        free = span["start"] >= state["covered"]
-        return F.struct(
-            F.when(free, span["end"]).otherwise(state["covered"]).alias("covered"),
-            F.when(free, F.concat(state["kept"], F.array(span))).otherwise(state["kept"]).alias("kept"),
-        )
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, covered = None, 0
+        for batch in batches:
+            keep = []
+            names = zip(*(batch.column(batch.schema.names.index(k)).to_pylist() for k in keys), strict=True)
+            for of, a, b in zip(names, batch.column(start).to_pylist(), batch.column(end).to_pylist(), strict=True):
+                if of != own:
+                    own, covered = of, 0
+                keep.append(a >= covered)
+                covered = b if a >= covered else covered
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    kept = F.aggregate("spans", zero, step, lambda state: state["kept"])
-    return per_text.select(*keys, F.inline(kept)).select(*keys, *SPAN)
+    return ordered.mapInArrow(kept, spans.schema)
 
 
 def with_label(spans: DataFrame, label: str) -> DataFrame:
@@ -151,6 +156,12 @@ def override_spans(spans: DataFrame, overrides: DataFrame, keys: list[str]) -> D
     return bounded.filter(F.col("_override") | ~overlaps).select(*keys, *SPAN)
 
 
+def replace_spans(spans: DataFrame, complete: DataFrame, keys: list[str]) -> DataFrame:
+    """A text with rows in ``complete`` has exactly these spans; the spans of all other texts stay."""
+    listed = complete.select(*keys).distinct()
+    return spans.join(listed, keys, "left_anti").select(*keys, *SPAN).unionByName(complete.select(*keys, *SPAN))
+
+
 def company_of_question(
     questions: DataFrame, keys: list[str], text: str, names: DataFrame, label: str = "ORG"
 ) -> DataFrame:

@@ -8,26 +8,37 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.operators.terms import term_counts
+from pagemill.session import broadcast_if_small
+
 # The parameters the published columns were made with.
 VECTOR_SIZE = 5
 SEED = 42
 HASHED_FEATURES = 20
 
-CHARS_PER_PARTITION = 64_000_000
-
-
-def word2vec_partitions(documents: DataFrame, content: str = "content") -> int:
-    """One training partition up to ``CHARS_PER_PARTITION`` characters, where a fit repeats; beyond that as many as
-    the text needs, up to the cores there are."""
-    chars = documents.agg(F.coalesce(F.sum(F.length(content)), F.lit(0))).first()[0]
-    return max(1, min(-(-chars // CHARS_PER_PARTITION), documents.sparkSession.sparkContext.defaultParallelism))
-
-
-def feature_pipeline(content: str = "content", partitions: int = 1, min_count: int = 5) -> Pipeline:
-    """Space tokens, document embedding, hashed TF and its IDF weighting."""
+# How text is cut into tokens, in SQL over ``content``.
+TOKENIZERS = {
+    "space": "split({content}, ' ')",
+    "whitespace": "filter(split({content}, '[\\\\s\\\\x0B\\\\x1C-\\\\x1F\\\\x85\\\\p{{Z}}]+'), t -> t <> '')",
+}
+
+
+def feature_pipeline(
+    content: str = "content", partitions: int = 1, min_count: int = 5, tokenizer: str = "space", binary: bool = False
+) -> Pipeline:
+    """Tokens, document embedding, hashed TF and its IDF weighting.
+
+    ``tokenizer`` is ``space`` or ``whitespace``. ``binary`` content is decoded as UTF-8, bad bytes left out. Word2Vec trains in
+    ``partitions`` tasks; with more than one, two fits of the same data differ in their vectors. It holds its vocabulary,
+    the tokens that occur ``min_count`` times, on the driver: raise ``min_count`` with the size of the corpus.
+    """
+    text = f"`{content}`"
+    if binary:
+        text = f"replace(make_valid_utf8(cast({text} AS string)), '\ufffd', '')"
+    tokens = TOKENIZERS[tokenizer].format(content=f"coalesce({text}, '')")
     return Pipeline(
         stages=[
-            SQLTransformer(statement=f"SELECT *, split(coalesce(`{content}`, ''), ' ') AS content_tokenized FROM __THIS__"),
+            SQLTransformer(statement=f"SELECT *, {tokens} AS content_tokenized FROM __THIS__"),
             Word2Vec(
                 vectorSize=VECTOR_SIZE,
                 seed=SEED,
@@ -42,12 +53,28 @@ def feature_pipeline(content: str = "content", partitions: int = 1, min_count: i
     )
 
 
-def fit_features(documents: DataFrame, content: str = "content", partitions: int | None = None) -> PipelineModel:
-    """Fit on the content column alone; rows without content take no part."""
+def fit_features(
+    documents: DataFrame,
+    content: str = "content",
+    partitions: int | None = None,
+    min_count: int = 5,
+    tokenizer: str = "space",
+    binary: bool = False,
+) -> PipelineModel:
+    """Fit on the content column alone; rows without content take no part. Trains in as many tasks as the cluster has cores
+    unless ``partitions`` says otherwise."""
     texts = documents.select(content).filter(F.col(content).isNotNull())
-    if partitions is None:
-        partitions = word2vec_partitions(texts, content)
-    return feature_pipeline(content, partitions).fit(texts)
+    partitions = partitions or documents.sparkSession.sparkContext.defaultParallelism
+    return feature_pipeline(content, partitions, min_count, tokenizer, binary).fit(texts)
+
+
+def known_tokens(model: PipelineModel, documents: DataFrame, key: str) -> DataFrame:
+    """``(key, n_known)``: how many tokens of each document the embedding knows. Keys tell rows apart."""
+    words = model.stages[1].getVectors().select(F.col("word").alias("term"))
+    tokenized = model.stages[0].transform(documents)
+    known = term_counts(tokenized, key, F.col("content_tokenized")).join(broadcast_if_small(words), "term")
+    counts = known.groupBy(key).agg(F.sum("tf").alias("n_known"))
+    return documents.select(key).join(counts, key, "left").select(key, F.coalesce("n_known", F.lit(0)).alias("n_known"))
 
 
 def transform_features(model: PipelineModel, documents: DataFrame) -> DataFrame:

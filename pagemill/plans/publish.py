@@ -35,10 +35,10 @@ def publish_corpus(
     """
     spark = records.sparkSession
     decoded = page_rows(records, strict, keep=["filename", "error"])
-    write_corpus(decoded.withColumn("is_broken", F.col("error").isNotNull()), f"{target}/decoded", partition_by="is_broken")
+    write_corpus(decoded.withColumn("is_broken", F.col("error").isNotNull().cast("int")), f"{target}/decoded", partition_by="is_broken")
     pages = read_corpus(spark, f"{target}/decoded")
-    write_corpus(pages.filter("is_broken").select("filename", "error"), f"{target}/broken", partition_by=None)
-    pages = pages.filter("not is_broken").drop("is_broken", "filename", "error")
+    write_corpus(pages.filter("is_broken = 1").select("filename", "error"), f"{target}/broken", partition_by=None)
+    pages = pages.filter("is_broken = 0").drop("is_broken", "filename", "error")
     model = fit_features(pages, partitions=partitions)
     model.write().overwrite().save(f"{target}/model")
     published = at_rest(transform_features(model, with_html_fields(pages))).select(*COLUMNS)

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 
@@ -36,25 +37,48 @@ def brute_force(texts, entries):
 
 
 def test_sentence(spark):
-    text = "Google is looking at buying U.K. startup for $1 billion"
-    spans = N.tag_entities(docs(spark, text), "id", "text", names(spark, ("Google", "ORG"), ("U.K", "GPE")))
-    assert found(N.with_label(spans, "ORG")) == [(0, 0, 6, "Google", "ORG")]
-    assert found(spans)[1] == (0, 28, 31, "U.K", "GPE")
+    text = "Lumenor sold its A.B.C mill to Fennick & Co. for two boats"
+    spans = N.tag_entities(docs(spark, text), "id", "text", names(spark, ("Lumenor", "ORG"), ("A.B.C", "GPE")))
+    assert found(N.with_label(spans, "ORG")) == [(0, 0, 7, "Lumenor", "ORG")]
+    assert found(spans)[1] == (0, 17, 22, "A.B.C", "GPE")
 
 
 def test_override_adds_a_missing_span(spark):
-    text = "fb is hiring a new vice president of global policy"
-    spans = N.tag_entities(docs(spark, text), "id", "text", names(spark, ("vice president", "TITLE"), ("global policy", "X")))
-    extra = N.tag_entities(docs(spark, text), "id", "text", names(spark, ("fb", "ORG"), ("president of", "Y")))
+    text = "zq wants one more head gardener for its north orchards"
+    spans = N.tag_entities(docs(spark, text), "id", "text", names(spark, ("head gardener", "TITLE"), ("north orchards", "X")))
+    extra = N.tag_entities(docs(spark, text), "id", "text", names(spark, ("zq", "ORG"), ("gardener for", "Y")))
     merged = N.override_spans(spans, extra, ["id"])
-    assert found(merged) == [(0, 0, 2, "fb", "ORG"), (0, 24, 36, "president of", "Y"), (0, 37, 50, "global policy", "X")]
-    fb = merged.filter("text = 'fb'").first()
-    assert (fb["start_token"], fb["end_token"], fb["label"]) == (0, 1, "ORG")
+    assert found(merged) == [(0, 0, 2, "zq", "ORG"), (0, 23, 35, "gardener for", "Y"), (0, 40, 54, "north orchards", "X")]
+    zq = merged.filter("text = 'zq'").first()
+    assert (zq["start_token"], zq["end_token"], zq["label"]) == (0, 1, "ORG")
 
 
-@pytest.mark.parametrize("limit", [N.OPENINGS, 0])
-def test_spans_equal_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(N, "OPENINGS", limit)
+def test_complete_list_replaces_the_spans_of_its_text(spark):
+    texts = docs(spark, "aa bb cc", "aa bb", "cc")
+    spans = N.tag_entities(texts, "id", "text", names(spark, ("aa", "1"), ("cc", "1")))
+    complete = N.tag_entities(texts.filter("id = 0"), "id", "text", names(spark, ("bb", "2")))
+    assert found(N.replace_spans(spans, complete, ["id"])) == [(0, 3, 5, "bb", "2"), (1, 0, 2, "aa", "1"), (2, 0, 2, "cc", "1")]
+
+
+def test_names_with_symbols(spark):
+    text = "we use .NET and $AAPL and Yahoo! daily, asp.NET too; .NETs US$AAPL"
+    spans = N.tag_entities(docs(spark, text), "id", "text", names(spark, (".NET", "P"), ("$AAPL", "ORG"), ("Yahoo!", "ORG"), ("!!", "X"), (None, "X")))
+    assert [(s, t) for _, s, _, t, _ in found(spans)] == [(7, ".NET"), (16, "$AAPL"), (26, "Yahoo!"), (43, ".NET"), (text.rindex("$AAPL"), "$AAPL")]
+    assert N.unmatchable_names(names(spark, (".NET", "P"), ("!!", "X"), (None, "X"))).count() == 2
+
+
+def test_long_text_takes_linear_time(spark):
+    entries = names(spark, ("w", "1"), ("w w", "2"), ("end", "3"))
+    short, long = "w x " * 10_000, "w x " * 100_000 + "end"
+    N.tag_entities(docs(spark, short), "id", "text", entries).count()
+    began = time.time()
+    spans = N.tag_entities(docs(spark, long), "id", "text", entries)
+    assert spans.count() == 100_001 and time.time() - began < 10
+
+
+@pytest.mark.parametrize("block", [N.BLOCK_BYTES, 100])
+def test_spans_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(N, "BLOCK_BYTES", block)
     texts = [
         "a b a b c. a-b, (a b c) a b",
         "été a b’c été été_a b",
@@ -72,7 +96,11 @@ def test_spans_equal_brute_force(spark, monkeypatch, limit):
 
 
 def test_company_of_question(spark):
-    questions = docs(spark, "give me background on nvidia i just hit a PPP", "nothing here", "PPP or nvidia corp or nvidia")
-    entries = names(spark, ("nvidia", "ORG"), ("nvidia corp", "ORG"), ("PPP", "X"))
+    questions = docs(spark, "tell me what vortel makes before i sign the QRS", "nothing here", "QRS or vortel mills or vortel")
+    entries = names(spark, ("vortel", "ORG"), ("vortel mills", "ORG"), ("QRS", "X"))
     rows = N.company_of_question(questions, ["id"], "text", entries).collect()
-    assert sorted((r["id"], r["company"]) for r in rows) == [(0, "nvidia"), (2, "nvidia corp")]
+    assert sorted((r["id"], r["company"]) for r in rows) == [(0, "vortel"), (2, "vortel mills")]
+
+
+def test_without_names(spark):
+    assert N.tag_entities(docs(spark, "a b"), "id", "text", names(spark, ("!!", "X"))).count() == 0

@@ -30,11 +30,17 @@ NAMES = [
     ("the of", "ORG"),
     ("of the", "ORG"),
     ("example.com", "ORG"),
+    (".NET", "PRODUCT"),
+    ("$AAPL", "ORG"),
+    ("| the", "DET"),
+    ("THE!!", "DET"),
+    ("&&& the", "DET"),
 ]
 OVERRIDES = [("License", "NORP"), ("Orre", "WORK"), ("the", "DET")]
 
-PIECE = N.PIECE
-WORD = N.WORD
+# The SQL side has its own idea of a word.
+SQL_WORD = "[\\pL\\pM\\pN_]"
+SQL_PIECE = "(?s)[\\pL\\pM\\pN_]+|[^\\pL\\pM\\pN_]+"
 
 
 def sql_names(names: list[tuple[str, str]]) -> str:
@@ -49,9 +55,10 @@ def sql_spans(prefix: str, relation: str, keys: str, names: list[tuple[str, str]
     picked = ", ".join(f"l.{k}" for k in keys.split(", "))
     return f"""
     {prefix}_names(name, label) AS (VALUES {sql_names(names)}),
-    {prefix}_sized AS (SELECT name, label, len(regexp_extract_all(name, '{PIECE}')) AS m,
-                              regexp_extract(name, '{WORD}+') AS word FROM {prefix}_names),
-    {prefix}_split AS (SELECT {keys}, regexp_extract_all(body, '{PIECE}') AS p FROM {relation}),
+    {prefix}_sized AS (SELECT name, label, len(regexp_extract_all(name, '{SQL_WORD}+')) AS m,
+                              length(regexp_extract(name, '^[^\\pL\\pM\\pN_]*')) AS before,
+                              regexp_extract(name, '{SQL_WORD}+') AS word FROM {prefix}_names),
+    {prefix}_split AS (SELECT {keys}, regexp_extract_all(body, '{SQL_PIECE}') AS p FROM {relation}),
     {prefix}_pieces AS (SELECT {keys}, unnest(p) AS piece, unnest(range(len(p))) AS pos FROM {prefix}_split),
     {prefix}_placed AS (
         SELECT *, CAST(coalesce(sum(length(piece)) OVER (PARTITION BY {keys} ORDER BY pos
@@ -59,12 +66,12 @@ def sql_spans(prefix: str, relation: str, keys: str, names: list[tuple[str, str]
     ),
     {prefix}_hit AS (SELECT * FROM {prefix}_placed JOIN {prefix}_sized ON piece = word),
     {prefix}_found AS (
-        SELECT {keys}, name AS text, start, start + length(name) AS stop, label, pos // 2 AS start_token,
-               pos // 2 + (m + 1) // 2 AS end_token
+        SELECT {keys}, name AS text, start - before AS start, start - before + length(name) AS stop, label,
+               pos // 2 AS start_token, pos // 2 + m AS end_token
         FROM {prefix}_hit JOIN {relation} USING ({keys})
-        WHERE substr(body, start + 1, length(name)) = name
-          AND (NOT regexp_matches(name, '{WORD}$')
-               OR NOT regexp_matches(substr(body, start + 1 + length(name), 1), '{WORD}'))
+        WHERE start >= before AND substr(body, start - before + 1, length(name)) = name
+          AND (NOT regexp_matches(name, '{SQL_WORD}$')
+               OR NOT regexp_matches(substr(body, start - before + 1 + length(name), 1), '{SQL_WORD}'))
     ),
     {prefix}_longest AS MATERIALIZED (
         SELECT * FROM {prefix}_found
@@ -126,6 +133,20 @@ def entity_override(spark, sf_dir):
     return N.override_spans(spans(spark, sf_dir), overrides, ["doc_id"])
 
 
+@catalogue.query(f"""
+    WITH RECURSIVE {DOCS} {sql_spans('base', 'docs', 'doc_id', NAMES)}, {sql_spans('ov', 'docs', 'doc_id', OVERRIDES)},
+    merged AS (
+        SELECT * FROM ov UNION ALL SELECT * FROM base WHERE doc_id NOT IN (SELECT doc_id FROM ov)
+    )
+    SELECT {COLUMNS} FROM merged
+""")
+def entity_replacement(spark, sf_dir):
+    """Texts with overrides have these as their complete list."""
+    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text")
+    complete = N.tag_entities(docs, "doc_id", "text", names(spark, OVERRIDES))
+    return N.replace_spans(spans(spark, sf_dir), complete, ["doc_id"])
+
+
 @catalogue.query(f"""
     WITH RECURSIVE asked AS (SELECT conv_id, turn, text AS body FROM conversations WHERE role = 'user'),
     {sql_spans('base', 'asked', 'conv_id, turn', NAMES)}

@@ -155,32 +155,106 @@ def hashed_tf_total(spark, sf_dir):
     return features.select("doc_id", F.aggregate(counts, F.lit(0.0), lambda a, x: a + x).alias("tf_total"))
 
 
-@catalogue.query("SELECT doc_id, 20 AS n_buckets, true AS weights_agree FROM documents")
-def hashed_idf_formula(spark, sf_dir):
-    """``content_idf`` against ``tf * ln((N + 1) / (df + 1))`` with df counted per bucket by an aggregate."""
-    features = E.hashed_tfidf(documents(spark, sf_dir), X.space_tokens(F.col("text"))).select(
-        "doc_id", vector_to_array("raw_features").alias("tf"), vector_to_array("content_idf").alias("weight")
+# Murmur3 (32 bits, seed 42) of the UTF-8 bytes of every distinct token, by blocks of four bytes and the tail, modulo 20.
+MASK = 4294967295
+HASHED_SQL = rf"""
+    tokens AS (SELECT doc_id, unnest(string_split(text, ' ')) AS token FROM documents),
+    raw AS (SELECT DISTINCT token, hex(encode(token)) AS x FROM tokens),
+    parts AS (
+        SELECT token, length(x) // 2 AS n,
+               list_transform(range(0, length(x) // 8), lambda i: CAST(concat('0x', x[8*i+7:8*i+8], x[8*i+5:8*i+6], x[8*i+3:8*i+4], x[8*i+1:8*i+2]) AS UBIGINT)) AS blocks,
+               x[length(x) // 8 * 8 + 1:] AS rest
+        FROM raw
+    ),
+    tails AS (
+        SELECT token, n, blocks, list_append(blocks, CASE WHEN rest = '' THEN 0::UBIGINT
+               ELSE CAST(concat('0x', rest[5:6], rest[3:4], rest[1:2]) AS UBIGINT) END) AS every
+        FROM parts
+    ),
+    once AS (SELECT token, n, len(blocks) AS m, list_transform(every, lambda k: (k * 3432918353::UBIGINT) & {MASK}::UBIGINT) AS ks FROM tails),
+    turned AS (SELECT token, n, m, list_transform(ks, lambda k: (((k << 15) & {MASK}::UBIGINT) | (k >> 17))) AS ks FROM once),
+    twice AS (SELECT token, n, m, list_transform(ks, lambda k: (k * 461845907::UBIGINT) & {MASK}::UBIGINT) AS ks FROM turned),
+    chained AS (
+        SELECT token, n, ks[m + 1] AS tail, list_reduce(list_prepend(42::UBIGINT, ks[1:m]), lambda h, k:
+               (((((xor(h, k) << 13) & {MASK}::UBIGINT) | (xor(h, k) >> 19)) * 5::UBIGINT) + 3864292196::UBIGINT) & {MASK}::UBIGINT) AS h
+        FROM twice
+    ),
+    f1 AS (SELECT token, xor(xor(h, tail), n::UBIGINT) AS h FROM chained),
+    f2 AS (SELECT token, (xor(h, h >> 16) * 2246822507::UBIGINT) & {MASK}::UBIGINT AS h FROM f1),
+    f3 AS (SELECT token, (xor(h, h >> 13) * 3266489909::UBIGINT) & {MASK}::UBIGINT AS h FROM f2),
+    f4 AS (SELECT token, CAST(xor(h, h >> 16) AS BIGINT) AS h FROM f3),
+    placed AS (SELECT token, ((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % 20 + 20) % 20 AS bucket FROM f4),
+    counted AS (SELECT doc_id, bucket, count(*) AS tf FROM tokens JOIN placed USING (token) GROUP BY ALL),
+    spread AS (SELECT bucket, count(*) AS df FROM counted GROUP BY bucket),
+    every_bucket AS (
+        SELECT d.doc_id, b.bucket, coalesce(c.tf, 0) AS tf, coalesce(s.df, 0) AS df, (SELECT count(*) FROM documents) AS n
+        FROM documents d CROSS JOIN (SELECT unnest(range(20)) AS bucket) b
+        LEFT JOIN counted c ON c.doc_id = d.doc_id AND c.bucket = b.bucket LEFT JOIN spread s ON s.bucket = b.bucket
     )
-    buckets = range(E.HASHED_FEATURES)
-    stats = features.agg(F.array(*[F.count(F.when(F.col("tf")[b] > 0, 1)) for b in buckets]).alias("df")).scalar()
-    n = features.agg(F.count("*")).scalar()
-    checked = features.withColumn("df", stats).withColumn("n", n)
-    expected = F.transform("tf", lambda tf, b: tf * T.idf_weight(F.col("n"), F.get("df", b)))
-    errors = F.zip_with(expected, "weight", lambda x, y: F.abs(x - y))
-    return checked.select("doc_id", F.size("tf").alias("n_buckets"), (F.array_max(errors) < 1e-9).alias("weights_agree"))
+"""
 
 
-@catalogue.query()
+@catalogue.query(f"WITH {HASHED_SQL} SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, CAST(tf AS DOUBLE) AS tf FROM every_bucket")
+def hashed_tf(spark, sf_dir):
+    """Every document's count in every bucket."""
+    features = E.hashed_tf(documents(spark, sf_dir), X.space_tokens(F.col("text")))
+    return features.select("doc_id", F.posexplode(vector_to_array("raw_features")).alias("bucket", "tf"))
+
+
+@catalogue.query(f"""
+    WITH {HASHED_SQL} SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, round(tf * ln((n + 1) / (df + 1)), 5) AS weight FROM every_bucket
+""")
 def hashed_tfidf(spark, sf_dir):
+    """Every document's weight in every bucket."""
+    features = E.hashed_tfidf(documents(spark, sf_dir), X.space_tokens(F.col("text")))
+    rows = features.select("doc_id", F.posexplode(vector_to_array("content_idf")).alias("bucket", "weight"))
+    return rows.withColumn("weight", F.round("weight", 5))
+
+
+@catalogue.query(f"""
+    WITH {HASHED_SQL} SELECT doc_id, CAST(count(*) AS INTEGER) AS n_buckets, round(sum(tf * ln((n + 1) / (df + 1))), 4) AS total
+    FROM every_bucket GROUP BY doc_id
+""")
+def hashed_idf_formula(spark, sf_dir):
+    """The weights of a document's buckets, summed up."""
     features = E.hashed_tfidf(documents(spark, sf_dir), X.space_tokens(F.col("text")))
-    return features.select("doc_id", vector_to_array("content_idf").alias("content_idf"))
+    weights = vector_to_array("content_idf")
+    total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
+    return features.select("doc_id", F.size(weights).alias("n_buckets"), F.round(total, 4).alias("total"))
+
+
+# Tokens that occur five times in all documents are known to an embedding.
+KNOWN_SQL = """
+    WITH tokens AS (SELECT doc_id, unnest({tokens}) AS token FROM documents),
+    known AS (SELECT token FROM tokens GROUP BY token HAVING count(*) >= 5)
+    SELECT d.doc_id, count(k.token) AS n_known
+    FROM documents d LEFT JOIN tokens t ON t.doc_id = d.doc_id LEFT JOIN known k ON k.token = t.token GROUP BY d.doc_id
+"""
+
+
+@catalogue.query(KNOWN_SQL.format(tokens="string_split(text, ' ')"))
+def word2vec_known_tokens(spark, sf_dir):
+    """What the feature job's embedding has learned of every document."""
+    docs = documents(spark, sf_dir).withColumnRenamed("text", "content")
+    return E.known_tokens(E.fit_features(docs), docs, "doc_id")
+
+
+@catalogue.query(KNOWN_SQL.format(tokens=r"list_filter(regexp_split_to_array(text, '[\s\x0B\x1C-\x1F\x{85}\p{Z}]+'), lambda t: t <> '')"))
+def feature_job_binary(spark, sf_dir):
+    """The same job over binary content, cut at runs of white space."""
+    docs = documents(spark, sf_dir).select("doc_id", F.col("text").cast("binary").alias("content"))
+    return E.known_tokens(E.fit_features(docs, tokenizer="whitespace", binary=True), docs, "doc_id")
 
 
 @catalogue.query()
 def word2vec_embedding(spark, sf_dir):
     docs = documents(spark, sf_dir).withColumn("words", X.space_tokens(F.col("text")))
     embedder = Word2Vec(
-        vectorSize=E.VECTOR_SIZE, seed=E.SEED, numPartitions=E.word2vec_partitions(docs, "text"), inputCol="words", outputCol="v"
+        vectorSize=E.VECTOR_SIZE,
+        seed=E.SEED,
+        numPartitions=spark.sparkContext.defaultParallelism,
+        inputCol="words",
+        outputCol="v",
     )
     embedded = embedder.fit(docs.select("words")).transform(docs)
     return embedded.select("doc_id", vector_to_array("v").alias("content_embedded"))
