@@ -7,18 +7,19 @@ No plan holds a pair table: tasks score blocks with numpy and pass on only the `
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from pagemill.functions.vectors import cosine, hamming, sign_words
-from pagemill.operators.topk import DIGITS, BestScores, every_block, hashed_block, rank_scores, score_slices
+from pagemill.operators.topk import DIGITS, BestScores, query_chunks, rank_scores, score_slices
 
 BROADCAST_BYTES = 64 << 20
-BLOCK_ROWS = 16_384
 RESULT = "query_id long, item_id long, score double"
 
 
@@ -27,21 +28,31 @@ def first_vector(vectors: DataFrame, key: str, vector: str) -> Column:
     return vectors.agg(F.min_by(vector, key)).scalar()
 
 
-def similarity_to_first(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """Cosine of the first vector with every other one."""
+def similarity_to_first(vectors: DataFrame, key: str, vector: str, *more: Column) -> DataFrame:
+    """Cosine of the first vector with every other one, and ``more`` columns."""
     first_key = vectors.agg(F.min(key)).scalar()
     others = vectors.filter(F.col(key) != first_key).withColumn("_first", first_vector(vectors, key, vector))
-    return others.select(key, F.round(cosine(F.col("_first"), F.col(vector)), DIGITS).alias("score"))
+    return others.select(key, F.round(cosine(F.col("_first"), F.col(vector)), DIGITS).alias("score"), *more)
 
 
-def hamming_then_cosine(vectors: DataFrame, key: str, vector: str, query: Column, shortlist: int) -> DataFrame:
-    """The ``shortlist`` nearest by sign bits, with their cosine for the final order."""
-    scored = vectors.withColumn("_query", query).select(
-        key,
-        hamming(sign_words(F.col(vector)), sign_words(F.col("_query"))).alias("distance"),
-        F.round(cosine(F.col(vector), F.col("_query")), DIGITS).alias("score"),
-    )
-    return scored.orderBy("distance", key).limit(shortlist)
+def with_codes(vectors: DataFrame, vector: str, code: str = "code") -> DataFrame:
+    """Add the sign bits in 64-bit words, to be stored and searched instead of the vectors."""
+    return vectors.withColumn(code, sign_words(F.col(vector)))
+
+
+def hamming_then_cosine(
+    coded: DataFrame, key: str, vector: str, query: Column, shortlist: int, k: int | None = None, code: str = "code"
+) -> DataFrame:
+    """``(key, distance, score, rank)``: the ``k`` best by cosine of the ``shortlist`` nearest by sign bits.
+
+    ``coded`` holds the codes of ``with_codes``; only the shortlist's vectors are compared. Ties go by key.
+    """
+    asked = coded.withColumn("_query", query)
+    distance = hamming(F.col(code), sign_words(F.col("_query"))).alias("distance")
+    near = asked.select(key, vector, "_query", distance).orderBy("distance", key).limit(shortlist)
+    scored = near.select(key, "distance", F.round(cosine(F.col(vector), F.col("_query")), DIGITS).alias("score"))
+    ranked = scored.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), key)))  # of one shortlist
+    return ranked if k is None else ranked.filter(F.col("rank") <= k)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -54,24 +65,24 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
 
 
-def _fits(queries: DataFrame, vector: str) -> bool:
-    values = queries.agg(F.coalesce(F.sum(F.size(vector)), F.lit(0))).first()[0]
-    return values * 8 <= BROADCAST_BYTES
+def _bytes(queries: DataFrame, vector: str) -> int:
+    return queries.agg(F.coalesce(F.sum(F.size(vector)), F.lit(0))).first()[0] * 8
 
 
 def top_k(
     items: DataFrame, item_key: str, item_vector: str,
     queries: DataFrame, query_key: str, query_vector: str,
-    k: int, include_self: bool = True,
+    k: int, include_self: bool = True, batch_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest items of every query: ``(query_id, item_id, score, rank)``.
 
-    A query batch whose measured size fits ``BROADCAST_BYTES`` goes to every task and the items are scanned once,
-    without a shuffle. A larger one is joined to the items block by block on the executors.
+    Queries go to every task in chunks of at most ``batch_bytes``; the items are scanned once per chunk, without a
+    shuffle, and only the best of each task travel.
     """
     items = items.select(F.col(item_key).cast("long").alias("id"), F.col(item_vector).alias("v"))
     queries = queries.select(F.col(query_key).cast("long").alias("id"), F.col(query_vector).alias("v"))
-    partial = _scan(items, queries, k, include_self) if _fits(queries, "v") else _grid(items, queries, k, include_self)
+    chunks = query_chunks(queries, "id", _bytes(queries, "v"), batch_bytes)
+    partial = reduce(DataFrame.union, [_scan(items, chunk, k, include_self) for chunk in chunks])
     return rank_scores(partial, "query_id", "item_id", "score", k)
 
 
@@ -106,51 +117,44 @@ def _scan(items: DataFrame, queries: DataFrame, k: int, include_self: bool) -> D
     return items.mapInArrow(scan, RESULT)
 
 
-def _blocks(vectors: DataFrame) -> int:
-    return max(1, -(-vectors.count() // BLOCK_ROWS))
-
-
-def _grid(items: DataFrame, queries: DataFrame, k: int, include_self: bool) -> DataFrame:
-    """Both sides are cut into hashed blocks; each (query block, item block) cell is scored by one task."""
-    query_blocks, item_blocks = _blocks(queries), _blocks(items)
-
-    left = queries.select("id", "v", hashed_block("id", query_blocks).alias("qb"), every_block(item_blocks).alias("ib"))
-    right = items.select("id", "v", hashed_block("id", item_blocks).alias("ib"), every_block(query_blocks).alias("qb"))
-
-    def score(query: pd.DataFrame, item: pd.DataFrame) -> pd.DataFrame:
-        query_ids, item_ids = query["id"].to_numpy(), item["id"].to_numpy()
-        best = BestScores(len(query_ids), k)
-        if len(query_ids) and len(item_ids):
-            matrices = [_unit(np.stack(side["v"].to_list()).astype(np.float64)) for side in (query, item)]
-            _score(best, query_ids, matrices[0], item_ids, matrices[1], include_self)
-        return _result(best, query_ids)
-
-    return left.groupBy("qb", "ib").cogroup(right.groupBy("qb", "ib")).applyInPandas(score, RESULT)
-
-
 def all_pairs_top_k(vectors: DataFrame, key: str, vector: str, k: int) -> DataFrame:
     """The dot matrix of a table with itself, kept to the ``k`` best other items of every row."""
-    items = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
-    return rank_scores(_grid(items, items, k, include_self=False), "query_id", "item_id", "score", k)
+    return top_k(vectors, key, vector, vectors, key, vector, k, include_self=False)
 
 
 def dot_matrix(
-    left: DataFrame, left_key: str, left_vector: str, right: DataFrame, right_key: str, right_vector: str
+    left: DataFrame, left_key: str, left_vector: str, right: DataFrame, right_key: str, right_vector: str,
+    batch_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``left @ right.T`` as one row per left vector: ``(left_key, scores)``, scores in order of the right keys.
 
-    The right side is the short one; it has to fit ``BROADCAST_BYTES``. Use ``all_pairs_top_k`` for two long ones.
+    The right side goes to every task in ranges of keys of at most ``batch_bytes``; the left side is scanned once per
+    range, and with several the pieces of a row meet in a shuffle.
     """
-    if not _fits(right, right_vector):
-        raise ValueError("the right side of dot_matrix is too large to hand to every task")
-    rows = right.select(right_vector).orderBy(right_key).collect()
+    right = right.select(F.col(right_key).alias("id"), F.col(right_vector).alias("v"))
+    ranges = -(-_bytes(right, "v") // batch_bytes)
+    if ranges <= 1:
+        return _products(left, left_key, left_vector, right)
+    cuts = right.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], 100_000)).first()[0]
+    bounds = [None, *sorted(set(cuts)), None]
+    parts = []
+    for no, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        part = right if low is None else right.filter(F.col("id") > low)
+        part = part if high is None else part.filter(F.col("id") <= high)
+        parts.append(_products(left, left_key, left_vector, part).withColumn("no", F.lit(no)))
+    pieces = reduce(DataFrame.union, parts).groupBy(left_key).agg(F.sort_array(F.collect_list(F.struct("no", "scores"))).alias("pieces"))
+    return pieces.select(left_key, F.flatten("pieces.scores").alias("scores"))
+
+
+def _products(left: DataFrame, left_key: str, left_vector: str, right: DataFrame) -> DataFrame:
+    rows = right.orderBy("id").select("v").collect()
     matrix = np.array([row[0] for row in rows], dtype=np.float64)
     shared = left.sparkSession.sparkContext.broadcast(matrix)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                scores = _matrix(batch.column(1)) @ shared.value.T
+                scores = _matrix(batch.column(1)) @ shared.value.T if len(shared.value) else np.zeros((batch.num_rows, 0))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(list(scores), pa.list_(pa.float64()))], [left_key, "scores"]
                 )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,16 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.operators.nearest import BROADCAST_BYTES
-from pagemill.operators.terms import term_counts, term_idf
-from pagemill.operators.topk import BestScores, every_block, hashed_block, rank_scores, score_slices
-from pagemill.session import written
+from pagemill.operators.terms import document_terms, term_counts, term_idf
+from pagemill.operators.topk import BestScores, query_chunks, rank_scores, score_slices
+from pagemill.session import lookup_join, written
 
 RESULT = "query_id long, doc_id long, score double"
 ENTRY_BYTES = 64
 # Terms known to every task: at most this many, none longer than this, so never more than some 15 MB.
 HEAD_TERMS = 100_000
 HEAD_TERM_BYTES = 64
-BLOCK_DOCUMENTS = 50_000
 
 
 def tfidf_search(
@@ -31,24 +31,25 @@ def tfidf_search(
 ) -> DataFrame:
     """``(query_id, doc_id, score, rank)``: the ``k`` documents nearest to every query.
 
-    Query terms unknown to the documents carry no weight. A query batch of at most ``batch_bytes`` is scored against
-    each document inside the task, so only the best of each task travel; a larger one is cut into (query block,
-    document block) cells. The ``head_terms`` most frequent terms meet their weights by broadcast, so no frequent term is ever a
-    shuffle key.
+    Query terms unknown to the documents carry no weight. Documents are tokenized once, into written counts. Queries are
+    taken in chunks of at most ``batch_bytes``; for each, every document is scored inside its task, so only the best of
+    each task travel. The ``head_terms`` most frequent terms meet their weights by broadcast, the others by ``lookup_join``.
     """
     documents = documents.select(F.col(doc_key).cast("long").alias("doc_id"), doc_tokens.alias("tokens"))
     queries = queries.select(F.col(query_key).cast("long").alias("query_id"), query_tokens.alias("tokens"))
-    idf = term_idf(documents, F.col("tokens")).withColumn("term_no", F.monotonically_increasing_id())
-    idf = written(idf, "idf")
+    counted = written(document_terms(documents, "doc_id", F.col("tokens")), "document-terms")
+    idf = written(term_idf(counted).withColumn("term_no", F.monotonically_increasing_id()), "idf")
     weights = written(query_weights(term_counts(queries, "query_id", F.col("tokens")), idf), "query-weights")
 
     asked = weights.select("term_no").distinct().withColumn("asked", F.lit(True))
     lexicon = idf.join(asked, "term_no", "left").withColumn("term_no", F.when(F.col("asked"), F.col("term_no")))
-    rows = document_weights(documents, lexicon, head_terms).filter(F.size("hits") > 0)
+    rows = document_weights(counted, lexicon, head_terms).filter(F.size("hits") > 0)
     rows = rows.select("doc_id", "length", F.col("hits.term_no").alias("term_no"), F.col("hits.w").alias("w"))
     size = weights.count() * ENTRY_BYTES
-    partial = _scan(rows, weights, k) if size <= batch_bytes else _cells(rows, weights, k, -(-size // max(batch_bytes, 1)))
-    return rank_scores(partial, "query_id", "doc_id", "score", k)
+    if size > batch_bytes:
+        rows = written(rows, "document-weights")
+    partial = [_scan(rows, chunk, k) for chunk in query_chunks(weights, "query_id", size, batch_bytes)]
+    return rank_scores(reduce(DataFrame.union, partial), "query_id", "doc_id", "score", k)
 
 
 def query_weights(counts: DataFrame, idf: DataFrame) -> DataFrame:
@@ -59,17 +60,17 @@ def query_weights(counts: DataFrame, idf: DataFrame) -> DataFrame:
     return unit.select("query_id", "term_no", (F.col("w") / F.col("length")).alias("weight"))
 
 
-def document_weights(documents: DataFrame, lexicon: DataFrame, head_terms: int) -> DataFrame:
-    """``(doc_id, length, hits)`` from ``(doc_id, tokens)`` and ``lexicon(term, df, idf, term_no)``.
+def document_weights(counted: DataFrame, lexicon: DataFrame, head_terms: int) -> DataFrame:
+    """``(doc_id, length, hits)`` from ``document_terms`` and ``lexicon(term, df, idf, term_no)``.
 
     ``length`` is over all terms, ``hits`` are the weights of terms with a ``term_no``. Frequent terms are looked up in
-    a broadcast and folded into their document where it is; only the rare terms are looked up by a join.
+    a broadcast and folded into their document where it is; only the others are looked up by a join.
     """
-    first = written(_fold_head(documents, _head(lexicon, head_terms)), "head")
+    first = written(_fold_head(counted, _head(lexicon, head_terms)), "head")
     weight = F.col("tf") * F.col("idf")
+    rare = first.select("doc_id", F.inline("rare"))
     rest = (
-        term_counts(first, "doc_id", F.col("rare"))
-        .join(lexicon, "term")
+        lookup_join(rare, lexicon.select("term", "idf", "term_no"), "term")
         .groupBy("doc_id")
         .agg(
             F.sum(weight * weight).alias("rare_squares"),
@@ -88,37 +89,36 @@ def _head(lexicon: DataFrame, head_terms: int) -> pd.DataFrame:
     return short.orderBy(F.desc("df"), "term").limit(head_terms).toPandas()
 
 
-def _fold_head(documents: DataFrame, head: pd.DataFrame) -> DataFrame:
-    """Per document: sum of squared weights and query hits of its head terms, and its other tokens."""
+def _fold_head(counted: DataFrame, head: pd.DataFrame) -> DataFrame:
+    """Per document: sum of squared weights and query hits of its head terms, and its other terms."""
     terms = pa.array(head["term"].astype(str), pa.string())
     idf = head["idf"].to_numpy(dtype=float)
     term_no = head["term_no"].fillna(-1).to_numpy(dtype=np.int64)
-    shared = documents.sparkSession.sparkContext.broadcast((terms, idf, term_no))
+    shared = counted.sparkSession.sparkContext.broadcast((terms, idf, term_no))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weights, numbers = shared.value
-        size = max(len(known), 1)
         for batch in batches:
-            tokens = batch.column("tokens")
-            flat, n = tokens.flatten(), batch.num_rows
-            row = np.repeat(np.arange(n), np.diff(tokens.offsets.to_numpy()))
+            lists, n = batch.column("terms"), batch.num_rows
+            flat, tf = lists.flatten(), batch.column("tfs").flatten().to_numpy()
+            row = np.repeat(np.arange(n), np.diff(lists.offsets.to_numpy()))
             place = pc.fill_null(pc.index_in(flat, value_set=known), -1).to_numpy()
             in_head = place >= 0
-            pair, tf = np.unique(row[in_head] * size + place[in_head], return_counts=True)
-            owner, term = pair // size, pair % size
-            weight = tf * weights[term]
+            owner, term = row[in_head], place[in_head]
+            weight = tf[in_head] * weights[term]
             hit = numbers[term] >= 0
             hits = pa.StructArray.from_arrays([pa.array(numbers[term[hit]]), pa.array(weight[hit])], ["term_no", "w"])
+            rare = pa.StructArray.from_arrays([flat.filter(pa.array(~in_head)), pa.array(tf[~in_head])], ["term", "tf"])
             columns = [
                 batch.column("doc_id"),
                 pa.array(np.bincount(owner, weight * weight, n).astype(float)),
                 pa.ListArray.from_arrays(_offsets(owner[hit], n), hits),
-                pa.ListArray.from_arrays(_offsets(row[~in_head], n), flat.filter(pa.array(~in_head))),
+                pa.ListArray.from_arrays(_offsets(row[~in_head], n), rare),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "squares", "hits", "rare"])
 
-    schema = "doc_id long, squares double, hits array<struct<term_no:long,w:double>>, rare array<string>"
-    return documents.mapInArrow(fold, schema)
+    schema = "doc_id long, squares double, hits array<struct<term_no:long,w:double>>, rare array<struct<term:string,tf:long>>"
+    return counted.mapInArrow(fold, schema)
 
 
 def _offsets(owner: np.ndarray, rows: int) -> pa.Array:
@@ -182,22 +182,3 @@ def _scan(rows: DataFrame, weights: DataFrame, k: int) -> DataFrame:
         yield queries.result(best)
 
     return rows.mapInArrow(score, RESULT)
-
-
-def _cells(rows: DataFrame, weights: DataFrame, k: int, query_blocks: int) -> DataFrame:
-    """Both sides are cut into hashed blocks; each (query block, document block) cell is scored by one task."""
-    doc_blocks = max(1, -(-rows.count() // BLOCK_DOCUMENTS))
-    left = weights.select("*", hashed_block("query_id", query_blocks).alias("qb"), every_block(doc_blocks).alias("db"))
-    right = rows.select("*", hashed_block("doc_id", doc_blocks).alias("db"), every_block(query_blocks).alias("qb"))
-
-    def score(asked: pa.Table, documents: pa.Table) -> pa.Table:
-        queries = QueryBlock(*[asked.column(c).to_numpy() for c in ("query_id", "term_no", "weight")])
-        best = BestScores(len(queries.ids), k)
-        if documents.num_rows and asked.num_rows:
-            edges, term_no = _lists(documents.column("term_no").combine_chunks())
-            _, found = _lists(documents.column("w").combine_chunks())
-            doc_ids, lengths = documents.column("doc_id").to_numpy(), documents.column("length").to_numpy()
-            queries.score(best, doc_ids, lengths, edges, term_no, found)
-        return pa.Table.from_batches([queries.result(best)])
-
-    return left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInArrow(score, RESULT)

@@ -6,15 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+BROADCAST_KEYS = 100_000
+
+
 def random_rows(table: DataFrame, key: str, n: int = 1, seed: int = 42) -> DataFrame:
-    """``n`` rows in a repeatable random order of their keys.
+    """The rows of ``n`` keys in a repeatable random order of the keys.
 
-    The draw reads only the key column; the ``n`` keys then become a pushed filter, so row groups without them
-    are skipped.
+    The draw reads only the key column. A key that repeats counts once and brings all its rows. The drawn keys meet the
+    table in a semi-join; a small draw is broadcast, and the rows of the table stay where they are.
     """
     order = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
-    keys = [row[0] for row in table.select(key).orderBy(order, key).limit(n).collect()]
-    return table.filter(F.col(key).isin(keys))
+    drawn = table.select(key).distinct().orderBy(order, key).limit(n)
+    return table.join(F.broadcast(drawn) if n <= BROADCAST_KEYS else drawn, key, "left_semi")
 
 
 def profile(table: DataFrame) -> DataFrame:

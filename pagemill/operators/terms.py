@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions.vectors import sparse_entries
+from pagemill.session import lookup_join
 
 
 def term_counts(documents: DataFrame, key: str, tokens: Column) -> DataFrame:
@@ -32,6 +33,25 @@ def term_counts(documents: DataFrame, key: str, tokens: Column) -> DataFrame:
     return present.mapInArrow(count, f"`{key}` {key_type}, term string, tf long")
 
 
+def document_terms(documents: DataFrame, key: str, tokens: Column) -> DataFrame:
+    """``(key, terms, tfs)``: every document's distinct terms and how often each occurs, a row per document."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            encoded = lists.flatten().dictionary_encode()
+            terms = max(len(encoded.dictionary), 1)
+            pair, tf = np.unique(row * terms + encoded.indices.to_numpy(), return_counts=True)
+            bounds = pa.array(np.searchsorted(pair // terms, np.arange(batch.num_rows + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(bounds, x) for x in (encoded.dictionary.take(pa.array(pair % terms)), pa.array(tf))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], [key, "terms", "tfs"])
+
+    key_type = dict(documents.dtypes)[key]
+    present = documents.select(key, F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens"))
+    return present.mapInArrow(count, f"`{key}` {key_type}, terms array<string>, tfs array<long>")
+
+
 def vocabulary(documents: DataFrame, tokens: Column, size: int) -> DataFrame:
     """The ``size`` most frequent terms ``(term, n, df)``, alphabetical on equal counts."""
     rows = term_counts(documents.select(F.lit(0).alias("_row"), tokens.alias("_tokens")), "_row", F.col("_tokens"))
@@ -74,7 +94,7 @@ def vector_terms(features: DataFrame, key: str, vector: str, terms: list[str], v
     spark = features.sparkSession
     names = spark.createDataFrame(list(enumerate(terms)), "index int, term string")
     entries = features.select(key, F.inline(sparse_entries(F.col(vector))).alias("index", value))
-    return entries.join(names, "index").select(key, "term", value)
+    return lookup_join(entries, names, "index").select(key, "term", value)
 
 
 def idf_weight(n_documents: Column, document_frequency: Column) -> Column:
@@ -82,8 +102,8 @@ def idf_weight(n_documents: Column, document_frequency: Column) -> Column:
     return F.log((n_documents + 1) / (document_frequency + 1))
 
 
-def term_idf(documents: DataFrame, tokens: Column) -> DataFrame:
-    """``(term, df, idf)`` over all documents; each row adds its distinct terms, counted before the shuffle."""
-    n_documents = documents.agg(F.count("*")).scalar()
-    frequency = documents.select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+def term_idf(counted: DataFrame) -> DataFrame:
+    """``(term, df, idf)`` over all documents of ``document_terms``; counted before the shuffle."""
+    n_documents = counted.agg(F.count("*")).scalar()
+    frequency = counted.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     return frequency.select("term", "df", idf_weight(n_documents, F.col("df")).alias("idf"))

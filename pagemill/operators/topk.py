@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -25,13 +25,13 @@ def score_slices(items: int, queries: int) -> Iterator[slice]:
     return (slice(start, min(start + step, items)) for start in range(0, items, step))
 
 
-def hashed_block(key: str, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-
-def every_block(blocks: int) -> Column:
-    """Repeats a row for each block of the other side."""
-    return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+def query_chunks(queries: DataFrame, key: str, size: int, batch_bytes: int) -> list[DataFrame]:
+    """Queries of a measured ``size`` in chunks of about ``batch_bytes``, all rows of a key in the same one."""
+    chunks = max(1, -(-size // batch_bytes))
+    if chunks == 1:
+        return [queries]
+    chunk = F.pmod(F.xxhash64(key), F.lit(chunks))
+    return [queries.filter(chunk == no) for no in range(chunks)]
 
 
 class BestScores:

@@ -96,11 +96,29 @@ def spread(table: DataFrame) -> DataFrame:
     return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
-def broadcast_if_small(table: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
-    """Broadcast hint for a table whose measured size is below ``max_bytes``; a larger one is joined by shuffle."""
+def is_small(table: DataFrame, max_bytes: int = 32 << 20) -> bool:
+    """Whether the measured size of a table is at most ``max_bytes``."""
     row_bytes = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns), F.lit(32))
-    size = table.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
-    return F.broadcast(table) if size <= max_bytes else table
+    return table.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0] <= max_bytes
+
+
+def broadcast_if_small(table: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
+    """Broadcast hint for a table whose measured size is at most ``max_bytes``; a larger one is joined by shuffle."""
+    return F.broadcast(table) if is_small(table, max_bytes) else table
+
+
+def lookup_join(rows: DataFrame, table: DataFrame, on: str, max_bytes: int = 32 << 20, salts: int = 16) -> DataFrame:
+    """Many ``rows`` with the one row of ``table`` for their ``on``; rows without one go.
+
+    The table is what is broadcast, if it is small, never the rows. A larger table meets them by shuffle, each of its
+    rows ``salts`` times, so that a common key is dealt over as many tasks.
+    """
+    if is_small(table, max_bytes):
+        return rows.join(F.broadcast(table), on)
+    salt = "_salt"
+    salted = rows.withColumn(salt, F.floor(F.rand() * salts).cast("int"))
+    copies = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.hint("merge").join(copies, [on, salt]).drop(salt)
 
 
 def written(table: DataFrame, label: str) -> DataFrame:

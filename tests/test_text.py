@@ -14,6 +14,7 @@ from pagemill.operators import terms as T
 from pagemill.operators import topk
 from pagemill.operators.tables import profile, random_rows, row_by_key
 from pagemill.plans import features as E
+from pagemill.session import lookup_join
 
 TEXTS = ["a b a c", "b b d", "a", "", "e f g a b", "the cat and the dog is here"]
 
@@ -81,9 +82,8 @@ def brute_force(texts, queries, k):
     return sorted(found)
 
 
-@pytest.mark.parametrize("batch_bytes,head_terms", [(1 << 20, 1000), (1 << 20, 2), (1 << 20, 0), (200, 1000), (0, 3)])
+@pytest.mark.parametrize("batch_bytes,head_terms", [(1 << 20, 1000), (1 << 20, 2), (1 << 20, 0), (300, 1000), (500, 3)])
 def test_retrieval_equals_brute_force(spark, monkeypatch, batch_bytes, head_terms):
-    monkeypatch.setattr(R, "BLOCK_DOCUMENTS", 25)
     monkeypatch.setattr(topk, "SCORE_CELLS", 30)
     draw = np.random.default_rng(3)
     words = [f"w{i}" for i in range(30)]
@@ -137,6 +137,30 @@ def test_random_rows_repeat(docs):
     assert len(first) == 2
 
 
+def test_repeated_keys_come_with_all_their_rows(spark):
+    rows = spark.createDataFrame([(i % 4, i) for i in range(12)], "k long, x long")
+    found = random_rows(rows, "k", 2).collect()
+    assert len({r["k"] for r in found}) == 2 and len(found) == 6
+
+
+def _build_sides(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan, [line for line in plan.split("\n") if "BroadcastHashJoin" in line]
+
+
+def test_the_dictionary_is_broadcast_never_the_data(spark, docs):
+    features, terms = T.vocabulary_tf(docs, X.whitespace_tokens(F.col("text")), 50)
+    plan, joins = _build_sides(T.vector_terms(features, "doc_id", "raw_features", terms, "tf"))
+    assert joins and all("BuildRight" in j for j in joins)
+    rows, table = spark.range(1000).selectExpr("id % 3 as k", "id"), spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
+    plan, joins = _build_sides(lookup_join(rows, table, "k"))
+    assert joins and all("BuildRight" in j for j in joins)
+    salted = lookup_join(rows, table, "k", max_bytes=0, salts=4)
+    assert "SortMergeJoin" in salted._jdf.queryExecution().executedPlan().toString()
+    assert salted.groupBy("v").count().orderBy("v").collect() == lookup_join(rows, table, "k").groupBy("v").count().orderBy("v").collect()
+    assert salted.columns == ["k", "id", "v"]
+
+
 def test_profile(spark):
     table = spark.createDataFrame([(1, None, [1]), (2, "b", None)], "a int, s string, l array<int>")
     rows = {r["column_name"]: r for r in profile(table).collect()}

@@ -47,16 +47,14 @@ def test_top_k_by_scan(table, data):
     assert as_rows(found) == brute_force(data, data, 5)
 
 
-def test_top_k_by_blocks(table, data, monkeypatch):
-    monkeypatch.setattr(N, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(N, "BLOCK_ROWS", 7)
-    found = N.top_k(table, "id", "v", table, "id", "v", k=5)
-    assert "CoGroup" in found._jdf.queryExecution().executedPlan().toString()
+def test_top_k_by_chunks_of_queries(table, data):
+    found = N.top_k(table, "id", "v", table, "id", "v", k=5, batch_bytes=300)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
     assert as_rows(found) == brute_force(data, data, 5)
 
 
-def test_all_pairs(table, data, monkeypatch):
-    monkeypatch.setattr(N, "BLOCK_ROWS", 9)
+def test_all_pairs(table, data):
     assert as_rows(N.all_pairs_top_k(table, "id", "v", 3)) == brute_force(data, data, 3, include_self=False)
 
 
@@ -69,10 +67,19 @@ def test_dot_matrix(table, data):
     assert np.allclose(np.array([r["scores"] for r in sorted(rows, key=lambda r: r["id"])]), data @ data[:4].T)
 
 
-def test_dot_matrix_refuses_a_large_right_side(table, monkeypatch):
-    monkeypatch.setattr(N, "BROADCAST_BYTES", 10)
-    with pytest.raises(ValueError):
-        N.dot_matrix(table, "id", "v", table, "id", "v")
+def test_dot_matrix_of_a_right_side_in_ranges(table, data):
+    rows = N.dot_matrix(table, "id", "v", table, "id", "v", batch_bytes=300).collect()
+    assert np.allclose(np.array([r["scores"] for r in sorted(rows, key=lambda r: r["id"])]), data @ data.T)
+
+
+def test_shortlist_is_ranked_by_cosine(spark, table, data):
+    coded = N.with_codes(table, "v")
+    found = N.hamming_then_cosine(coded, "id", "v", N.first_vector(table, "id", "v"), shortlist=10, k=4).collect()
+    distance = ((data > 0) != (data[0] > 0)).sum(axis=1)
+    near = sorted(range(len(data)), key=lambda i: (distance[i], i))[:10]
+    scores = np.round(unit(data) @ unit(data)[0], 6)
+    order = sorted(near, key=lambda i: (-scores[i], i))[:4]
+    assert [(r["id"], r["rank"]) for r in found] == [(i, n) for n, i in enumerate(order, 1)]
 
 
 def test_similarity_to_first(table, data):

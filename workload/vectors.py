@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import vectors as V
 from pagemill.operators import nearest as N
+from pagemill.session import written
 from workload import Catalogue, spread_table
 
 catalogue = Catalogue()
@@ -45,8 +46,8 @@ def cosine_to_first(spark, sf_dir):
 """)
 def truncated_cosine(spark, sf_dir):
     short = embeddings(spark, sf_dir).select("vec_id", V.truncate(F.col("embedding"), 32).alias("v"))
-    dims = short.select("vec_id", F.size("v").cast("bigint").alias("dims"))
-    return dims.join(N.similarity_to_first(short, "vec_id", "v"), "vec_id")
+    scored = N.similarity_to_first(short, "vec_id", "v", F.size("v").cast("bigint").alias("dims"))
+    return scored.select("vec_id", "dims", "score")
 
 
 @catalogue.query(f"""
@@ -78,12 +79,16 @@ def binary_codes(spark, sf_dir):
     WITH {DOUBLES}, {FIRST},
     d AS (SELECT vec_id, list_sum(list_transform(range(1, len(v) + 1), lambda i: CASE WHEN (v[i] > 0) <> (q[i] > 0) THEN 1 ELSE 0 END)) AS d,
                  round(list_cosine_similarity(q, v), 6) AS score FROM e, f)
-    SELECT vec_id, CAST(d AS INTEGER) AS distance, score FROM d ORDER BY d, vec_id LIMIT 20
+    SELECT vec_id, CAST(d AS INTEGER) AS distance, score, row_number() OVER (ORDER BY score DESC, vec_id) AS rank
+    FROM (SELECT * FROM d ORDER BY d, vec_id LIMIT 20)
 """)
 def hamming_shortlist(spark, sf_dir):
-    """The 20 codes nearest to the first vector's, with the cosine that ranks them."""
+    """The 20 codes nearest to the first vector's, ranked by cosine."""
     vectors = embeddings(spark, sf_dir)
-    return N.hamming_then_cosine(vectors, "vec_id", "embedding", N.first_vector(vectors, "vec_id", "embedding"), 20)
+    coded = written(N.with_codes(vectors, "embedding"), "codes")
+    query = N.first_vector(vectors, "vec_id", "embedding")
+    found = N.hamming_then_cosine(coded, "vec_id", "embedding", query, 20)
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @catalogue.query(f"""
