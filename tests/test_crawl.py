@@ -1,6 +1,6 @@
 import json
-import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagemill.operators import crawl as C
@@ -15,40 +15,52 @@ def frames(spark, patterns, lines):
     )
 
 
-def sequential(patterns, lines):
-    """The same job as a plain loop."""
-    seen, dump = set(), {}
-    for pattern in patterns:
-        domain, _, prefix = pattern.removeprefix("*.").partition("/")
-        key = domain if domain not in dump else "".join(pattern.split("/")[:2]).replace("*.", "")
-        for _, url, filename in sorted(lines):
-            host, _, path = url.split("://")[1].partition("/")
-            matches = (host == domain or host.endswith("." + domain)) and path.startswith(prefix.rstrip("*"))
-            if matches and url not in seen:
-                seen.add(url)
-                dump.setdefault(key, {}).setdefault(filename, []).append(url)
-    return dump
-
-
-def test_manifest_equals_a_sequential_run(spark):
-    draw = random.Random(7)
-    hosts = ["a.com", "x.a.com", "y.x.a.com", "b.org", "xb.org", "c.net"]
-    lines = [
-        (i, f"http://{draw.choice(hosts)}/{draw.choice(['news', 'new', 'docs'])}/{draw.randrange(40)}", f"f{draw.randrange(3)}")
-        for i in range(400)
-    ]
-    patterns = ["*.none.com/*", "*.a.com/news/*", "*.x.a.com/*", "*.a.com/docs/1*", "*.b.org/*", "*.a.com/new*", "*.a.com/docs/*"]
-    table, index = frames(spark, patterns, lines)
+LINES = [
+    (1, "http://a.com/news/1", "f0"),
+    (2, "http://x.a.com/news/1", "f1"),
+    (3, "http://a.com/docs/10", "f0"),
+    (4, "http://a.com/news/1", "f1"),
+    (5, "http://b.org/new/3", "f2"),
+    (6, "http://xb.org/news/3", "f2"),
+    (7, "http://a.com/docs/2", "f0"),
+    (8, "http://y.x.a.com/z", "f0"),
+    (9, "http://a.com/new/7", "f0"),
+    (10, "http://a.com/news/2", "f0"),
+    (11, "http://c.net/", "f0"),
+]
+
+
+@pytest.mark.parametrize(
+    "patterns, manifest_of",
+    [
+        (["*.b.org/*"], {"b.org": {"f2": ["http://b.org/new/3"]}}),
+        (["*.none.com/*", "*.c.net/x*"], {}),
+        (
+            ["*.a.com/news/*", "*.x.a.com/*"],
+            {"a.com": {"f0": ["http://a.com/news/1", "http://a.com/news/2"], "f1": ["http://x.a.com/news/1"]}, "x.a.com": {"f0": ["http://y.x.a.com/z"]}},
+        ),
+        (
+            ["*.a.com/none/*", "*.a.com/news/*", "*.a.com/docs/1*", "*.a.com/new*", "*.a.com/docs/*"],
+            {
+                "a.com": {"f0": ["http://a.com/news/1", "http://a.com/news/2"], "f1": ["http://x.a.com/news/1"]},
+                "a.comdocs": {"f0": ["http://a.com/docs/10", "http://a.com/docs/2"]},
+                "a.comnew*": {"f0": ["http://a.com/new/7"]},
+            },
+        ),
+    ],
+)
+@pytest.mark.parametrize("chunk_lines", [1, 3, 100])
+def test_manifest_of_a_few_lines(spark, patterns, manifest_of, chunk_lines):
+    table, index = frames(spark, patterns, LINES)
     sourced = C.assign_sources(C.first_wins(C.match_patterns(index, table)), table)
-    rows = C.manifest_rows(C.manifest_chunks(sourced, chunk_lines=10)).orderBy("source", "filename", "url_no").collect()
+    rows = C.manifest_rows(C.manifest_chunks(sourced, chunk_lines)).orderBy("source", "filename", "url_no").collect()
     built = {}
     for row in rows:
         built.setdefault(row["source"], {}).setdefault(row["filename"], []).append(row["url"])
-    assert built == sequential(patterns, lines)
-    assert "a.comdocs" in built
+    assert built == manifest_of
     counts = C.archive_counts(sourced).first()
-    assert counts["n_entries"] == sum(len(files) for files in built.values()) and counts["n_archives"] == 3
-    assert [r[0] for r in C.first_archives(sourced, 2).collect()] == ["f0", "f1"]
+    assert counts["n_entries"] == sum(len(files) for files in manifest_of.values())
+    assert [r[0] for r in C.first_archives(sourced, 2).collect()] == sorted({f for files in manifest_of.values() for f in files})[:2]
 
 
 def test_chunks_are_bounded(spark):
@@ -67,15 +79,23 @@ def test_match_is_an_equi_join(spark):
 
 
 def test_manifest_files(spark, tmp_path):
+    chunk = "struct<pattern_ord:int,block:bigint>"
+    rows = [("s", "f", (0, 1), ["u3"]), ("s", "f", (0, 0), ["u1", "u2"]), ("s", "f", (2, 0), ["u4"]), ("s", "g", (0, 0), ["u5"]), ("t", "f", (1, 0), ["u6"])]
+    chunks = spark.createDataFrame(rows, f"source string, filename string, chunk_no {chunk}, urls array<string>")
     path = new_table_path(spark, "manifest-test")
-    chunks = spark.createDataFrame([("s", "f", 0, ["u1", "u2"]), ("s", "g", 0, ["u3"])], "source string, filename string, chunk_no int, urls array<string>")
     manifest.write_manifest(chunks, path)
-    assert sorted(tuple(r) for r in manifest.read_manifest(spark, path).collect()) == [("s", "f", ["u1", "u2"]), ("s", "g", ["u3"])]
+    assert sorted(tuple(r) for r in manifest.read_manifest(spark, path).collect()) == sorted(rows)
+    lists = [("s", "f", ["u1", "u2", "u3", "u4"]), ("s", "g", ["u5"]), ("t", "f", ["u6"])]
+    manifest.write_manifest(chunks, path + "-array", layout="array")
+    assert sorted((r["source"], r["filename"], r["urls"]) for r in manifest.read_manifest(spark, path + "-array", layout="array").collect()) == lists
 
     snapshots = [{"s": {"f": ["u1"]}}, {"s": {"f": ["u1"], "g": ["u2"]}, "t": {"f": ["u3"]}}]
     (tmp_path / "links.json").write_text(json.dumps(snapshots, indent=4))
-    rows = manifest.read_manifest(spark, str(tmp_path / "links.json"), layout="array")
-    assert sorted(tuple(r) for r in rows.collect()) == [("s", "f", ["u1"]), ("s", "f", ["u1"]), ("s", "g", ["u2"]), ("t", "f", ["u3"])]
+    found = manifest.read_manifest(spark, str(tmp_path / "links.json"), layout="array").collect()
+    assert sorted((r["source"], r["filename"], r["urls"]) for r in found) == [("s", "f", ["u1"]), ("s", "f", ["u1"]), ("s", "g", ["u2"]), ("t", "f", ["u3"])]
+    (tmp_path / "old.json").write_text('{"s": {"f": ["u1", "u2"]}}\n{"s": {"g": ["u3"]}}\n')
+    found = manifest.read_manifest(spark, str(tmp_path / "old.json")).collect()
+    assert sorted((r["filename"], r["urls"], r["chunk_no"]) for r in found) == [("f", ["u1", "u2"], None), ("g", ["u3"], None)]
 
 
 def test_json_lines(spark, tmp_path):

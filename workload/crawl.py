@@ -132,19 +132,23 @@ def manifest_rows(spark, sf_dir):
     return rows.select("source", "filename", "url", F.col("url_no").cast("bigint").alias("url_no"))
 
 
-@catalogue.query(WITH + "SELECT source, filename, url FROM sourced")
+@catalogue.query(WITH + MANIFEST_ROWS)
 def manifest_round_trip(spark, sf_dir):
+    """Written, read back and numbered: the order of arrival is kept."""
     path = new_table_path(spark, "manifest")
-    manifest.write_manifest(C.manifest_chunks(sourced(spark, sf_dir)), path)
-    return manifest.manifest_urls(manifest.read_manifest(spark, path))
+    manifest.write_manifest(C.manifest_chunks(sourced(spark, sf_dir), chunk_lines=16), path)
+    rows = C.manifest_rows(manifest.read_manifest(spark, path))
+    return rows.select("source", "filename", "url", F.col("url_no").cast("bigint").alias("url_no"))
 
 
-@catalogue.query(WITH + "SELECT source, filename, url FROM sourced")
+@catalogue.query(WITH + MANIFEST_ROWS)
 def manifest_array_read(spark, sf_dir):
-    """Documents that are one JSON array of nested objects, as other tools dump them."""
-    entry = F.to_json(F.create_map("source", F.create_map("filename", "urls")))
-    documents = C.manifest_chunks(sourced(spark, sf_dir)).select(F.concat(F.lit("[\n"), entry, F.lit("\n]")).alias("doc"))
-    return manifest.manifest_urls(manifest.flatten_manifest(documents, "doc", layout="array"))
+    """Files that are one JSON array each, one ordered list for each source and archive."""
+    path = new_table_path(spark, "manifest-array")
+    manifest.write_manifest(C.manifest_chunks(sourced(spark, sf_dir), chunk_lines=16), path, layout="array")
+    lists = manifest.read_manifest(spark, path, layout="array")
+    rows = lists.select("source", "filename", F.posexplode("urls").alias("pos", "url"))
+    return rows.select("source", "filename", "url", (F.col("pos") + 1).cast("bigint").alias("url_no"))
 
 
 @catalogue.query(WITH + """
