@@ -26,8 +26,9 @@ PARAGRAPH_END = (
 TAG = r"<[^>]*>"
 # The references that make up nearly all of them are replaced directly, ``&amp;`` last.
 COMMON = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
-OTHER_ENTITY = r"&(?!(?:lt|gt|quot|#39|nbsp|amp);)"
-ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+OTHER_ENTITY = r"&(?!(?:lt|gt|quot|#39|nbsp|amp);)"  # any other use of ``&``
+# Numbers may have any length and lack the semicolon, as browsers read them; names need it.
+ENTITY = r"^(?:(#[0-9]+|#[xX][0-9a-fA-F]+);?|([A-Za-z][A-Za-z0-9]*);)"
 
 
 def clean_html(html: Column) -> Column:
@@ -71,7 +72,8 @@ def _named_entities() -> Column:
 
 
 def _code_point(digits: Column, base: int) -> Column:
-    number = F.conv(digits, base, 10).cast("bigint")
+    significant = F.ltrim(digits, F.lit("0"))
+    number = F.when(F.length(significant) <= 8, F.conv(significant, base, 10).cast("bigint"))  # longer ones are no characters
     valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
     character = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
     return F.when(valid, character).otherwise(F.lit("�"))
@@ -79,20 +81,23 @@ def _code_point(digits: Column, base: int) -> Column:
 
 def _decode_piece(piece: Column) -> Column:
     """``piece`` is the text after one ``&``; unknown names stay as written."""
-    name = F.regexp_extract(piece, ENTITY, 1)
+    number, name = F.regexp_extract(piece, ENTITY, 1), F.regexp_extract(piece, ENTITY, 2)
     value = (
-        F.when(name == "", F.lit(None).cast("string"))
+        F.when(number.rlike("^#[xX]"), _code_point(F.substr(number, F.lit(3)), 16))
+        .when(number != "", _code_point(F.substr(number, F.lit(2)), 10))
         .when(name == "amp", "&")
-        .when(name.rlike("^#[xX]"), _code_point(F.substring(name, 3, 6), 16))
-        .when(name.startswith("#"), _code_point(F.substring(name, 2, 7), 10))
-        .otherwise(F.try_element_at(_named_entities(), name))
+        .when(name != "", F.try_element_at(_named_entities(), name))
     )
-    rest = F.substr(piece, F.length(name) + 2)
+    rest = F.substr(piece, F.length(F.regexp_extract(piece, ENTITY, 0)) + 1)
     return F.coalesce(F.concat(value, rest), F.concat(F.lit("&"), piece))
 
 
 def decode_entities(text: Column) -> Column:
     """Character references to characters in one pass (``&amp;lt;`` becomes ``&lt;``)."""
+    return F.transform(F.array(text), _decoded)[0]  # the text is computed once, whatever it is made of
+
+
+def _decoded(text: Column) -> Column:
     common = text
     for reference, character in COMMON.items():
         common = F.replace(common, F.lit(reference), F.lit(character))

@@ -20,6 +20,7 @@ PAGES = [
     ("common entities", "<p>&lt;b&gt; &amp;lt; &quot;&#39;&nbsp;</p>", "", [], ["<b> &lt; \"'\u00a0"]),
     ("escaped twice", "<p>&#38;amp; &amp;amp; &copy;</p>", "", [], ["&amp; &amp; ©"]),
     ("bad code points", "<title>&#0;&#xD800;&#x110000;&#x1F600;</title>", "���😀", [], []),
+    ("long numbers", "<title>&#00000065;&#x0000000042;&#67 &#x44! &#99999999999999999999999;&#;</title>", "ABC D! �&#;", [], []),
     ("limits", "<h1>h</h1>" * 11 + "<p>p</p>" * 11, "", ["h"] * 10, ["p"] * 10),
 ]
 
@@ -47,6 +48,11 @@ def test_page_is_cleaned_once(spark):
     assert plan.toString().count("regexp_replace(content") == 1
 
 
+def test_title_is_cut_out_once(spark):
+    clean = spark.createDataFrame([("<title>",)], "c string").select(html.html_title(F.col("c")).alias("x"))
+    assert clean._jdf.queryExecution().executedPlan().toString().count("regexp_extract(c") == 1
+
+
 def test_not_found_score(spark):
     rows = spark.createDataFrame([("404 Not Found ",), ("Page not found!",), ("Home",)], "t string")
     scores = [r[0] for r in rows.select(not_found_score(F.col("t"))).collect()]

@@ -10,7 +10,11 @@ from workload import Catalogue, spread_table
 
 catalogue = Catalogue()
 
-CLEANED = f"SELECT page_id, regexp_replace(html, '{html.CLEAN}', '', 'g') AS c FROM pages"
+# The SQL side reads the pages in its own way: text and inline tags after an opening tag, up to any other tag.
+CLEANED = r"""
+    SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+                                   '(?si)<(script|style)[^>]*>.*?</(script|style)>', '', 'g') AS c FROM pages
+"""
 
 
 def sql_decoded(text: str) -> str:
@@ -21,12 +25,11 @@ def sql_decoded(text: str) -> str:
     return text
 
 
-TITLE = f"coalesce({sql_decoded(f"regexp_extract(c, '{html.TITLE}', 1)")}, '')"
-PLAIN = sql_decoded(f"regexp_replace(x, '{html.TAG}', '', 'g')")
-HEADINGS = f"list_transform(regexp_extract_all(c, '{html.HEADING}', 1), lambda x: {PLAIN})"
-PIECES = f"regexp_split_to_array(c, '{html.PARAGRAPH_OPEN}')[2:]"
-CUT = f"list_transform({PIECES}, lambda y: regexp_replace(y, '{html.PARAGRAPH_END}', ''))"
-PARAGRAPHS = f"list_transform({CUT}, lambda x: {PLAIN})"
+INLINE = "(?:[^<]|<b>|</b>|<br>|<i>|</i>|<em>|</em>|<a [^>]*>|</a>)*"
+TITLE = f"coalesce({sql_decoded("regexp_extract(c, '<title>([^<]*)</title>', 1)")}, '')"
+PLAIN = sql_decoded("regexp_replace(x, '</?[a-z]+[^>]*>', '', 'g')")
+HEADINGS = f"list_transform(regexp_extract_all(c, '<h[1-6]>({INLINE})</h', 1), lambda x: {PLAIN})"
+PARAGRAPHS = f"list_transform(regexp_extract_all(c, '<p>({INLINE})', 1), lambda x: {PLAIN})"
 
 
 @catalogue.query(f"""
@@ -86,9 +89,10 @@ def html_all_paragraphs(spark, sf_dir):
 # The SQL engine's levenshtein counts bytes; folding each other character to one ``?`` gives characters again,
 # because no template holds a ``?``.
 FOLDED = f"regexp_replace(lower(trim({TITLE})), '[^\\x00-\\x7F]', '?', 'g')"
+ERROR_TITLES = "404 not found|page not found|error 404|not found"
 SCORES = ", ".join(
     f"1 - levenshtein(t, '{template}') / CAST(greatest(length(t), {len(template)}) AS DOUBLE)"
-    for template in P.NOT_FOUND_TITLES
+    for template in ERROR_TITLES.split("|")
 )
 
 

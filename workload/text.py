@@ -54,7 +54,7 @@ def whitespace_tokens(spark, sf_dir):
     )
 
 
-@catalogue.query(f"SELECT item_id, '{X.RETRIEVAL_PROMPT}' || text AS prompt FROM benchmark")
+@catalogue.query("SELECT item_id, 'Represent this sentence for searching relevant passages: ' || text AS prompt FROM benchmark")
 def retrieval_prompt(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", X.retrieval_prompt(F.col("text")).alias("prompt"))
 
@@ -64,12 +64,13 @@ def english_only(spark, sf_dir):
     return P.in_language(table(spark, sf_dir, "documents"), "en").select("doc_id", "text")
 
 
-VOTES = ", ".join(
-    "(len(list_filter(w, lambda x: list_contains(["
-    + ", ".join(f"'{word}'" for word in words)
-    + f"], x))), '{lang}')"
-    for lang, words in sorted(X.STOP_WORDS.items(), reverse=True)
-)
+# One count per language, in alphabetical order; the SQL side has its own lists.
+VOTES = """
+    (len(list_filter(w, lambda x: x IN ('der', 'die', 'das', 'und', 'ist', 'nicht', 'mit', 'von', 'zu', 'den', 'auf', 'für'))), 'de'),
+    (len(list_filter(w, lambda x: x IN ('the', 'of', 'and', 'to', 'in', 'is', 'that', 'it', 'was', 'for', 'with', 'are'))), 'en'),
+    (len(list_filter(w, lambda x: x IN ('el', 'los', 'que', 'y', 'en', 'un', 'por', 'con', 'del', 'las', 'una', 'se'))), 'es'),
+    (len(list_filter(w, lambda x: x IN ('le', 'les', 'et', 'des', 'est', 'une', 'du', 'dans', 'pour', 'qui', 'pas', 'sur'))), 'fr')
+"""
 
 
 @catalogue.query(f"""
