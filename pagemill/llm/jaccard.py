@@ -23,13 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.words import batches, shingles, words
-from pagemill.session import written
+from pagemill.session import broadcast_if_small, written
 
 #: The order of shingles needs to know the common ones only. At most so many are sent to the tasks; any choice of them
 #: gives the same result.
 MOST_COMMON = 1 << 20
-#: Sets are looked up inside the scan while their numbers take no more than this; beyond, they are joined by shuffle.
-LOOKUP_BYTES = 64 << 20
 #: A list of a shingle in 2^LIST_BITS or more texts is dealt over several rows.
 LIST_BITS = 11
 
@@ -66,18 +64,22 @@ def common_shingles(docs: DataFrame, text: str, k: int, least: int = 16, most: i
         n = 0
 
         def flush() -> pa.RecordBatch:
-            shingle, count = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
+            every = np.concatenate([*held, np.zeros(0, np.uint64)])
+            held.clear()
+            every.sort()
+            first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
+            count = np.diff(np.append(first, len(every)))
             often = count >= 3
-            return pa.record_batch([pa.array(shingle[often].view(np.int64)), pa.array(count[often].astype(np.int64))], ["shingle", "n"])
+            return pa.record_batch([pa.array(every[first[often]].view(np.int64)), pa.array(count[often])], ["shingle", "n"])
 
         for part in parts:
             for a, b in batches(part.column(0)):
                 sets = shingle_sets(part.column(0).slice(a, b - a), k)
                 held += sets
                 n += sum(map(len, sets))
-                if n >= 4_000_000:
+                if n >= 3_000_000:
                     yield flush()
-                    held, n = [], 0
+                    n = 0
         yield flush()
 
     counts = docs.select(text).mapInArrow(counted, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
@@ -131,11 +133,20 @@ def signatures(docs: DataFrame, key: str, text: str, k: int, percent: int, commo
 
 
 def index_lists(signed: DataFrame) -> DataFrame:
-    """Lists ``shingle, chunk, members`` (size, set, position) of all shingles that more than one set is indexed under."""
+    """Lists ``shingle, chunk, members`` (size, set, position) of all shingles that more than one set is indexed under.
+
+    The index knows a shingle by 40 bits: a rare chance meeting costs a comparison and changes no answer.
+    """
     entry = signed.select("n", "set", F.posexplode(F.arrays_zip("prefix", "order")).alias("position", "entry"))
-    chunk = F.when(F.col("entry.order") >= LIST_BITS, F.pmod("set", F.pow(F.lit(2), F.col("entry.order") - LIST_BITS + 1).cast("long")) + 1).otherwise(F.lit(0))
-    lists = entry.groupBy(F.col("entry.prefix").alias("shingle"), chunk.alias("chunk")).agg(F.collect_set(F.struct("n", "set", "position")).alias("members"))
-    return lists.filter((F.size("members") > 1) | (F.col("chunk") > 0))
+    order = F.col("entry.order").cast("int")
+    chunk = F.when(order >= LIST_BITS, F.expr(f"pmod(set, shiftleft(1L, cast(entry.order as int) - {LIST_BITS - 1})) + 1")).otherwise(0)
+    place = F.shiftleft(F.col("n"), 32) + F.col("position")
+    rows = entry.select(F.shiftrightunsigned(F.col("entry.prefix"), 24).alias("shingle"), chunk.cast("int").alias("chunk"), "set", place.alias("place"))
+    dealt = rows.repartition("shingle", "chunk")  # long lists are in chunks of bounded size
+    lists = dealt.groupBy("shingle", "chunk").agg(F.collect_set(F.struct("place", "set")).alias("members"))
+    lists = lists.filter((F.size("members") > 1) | (F.col("chunk") > 0))
+    members = F.transform(F.sort_array("members"), lambda m: F.struct(F.shiftright(m["place"], 32).alias("n"), m["set"].alias("set"), m["place"].bitwiseAND(0xFFFFFFFF).alias("position")))
+    return lists.select("shingle", "chunk", members.alias("members"))
 
 
 def may_link(a: Column, b: Column, percent: int) -> Column:
@@ -149,65 +160,110 @@ def pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def head_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Every member with the first and with the middle member of its list."""
-    ordered = lists.select(F.sort_array("members").alias("members"))
-    heads = ordered.select("members", F.explode(F.array_distinct(F.array(F.col("members")[0], F.element_at("members", ((F.size("members") + 1) / 2).cast("int"))))).alias("head"))
-    both = heads.select("head", F.explode("members").alias("member")).filter(F.col("head.set") != F.col("member.set"))
-    return both.filter(may_link(F.col("head"), F.col("member"), percent)).select(*pair(F.col("head.set"), F.col("member.set"))).distinct()
+def head_pairs(lists: DataFrame, heads: Column, percent: int) -> DataFrame:
+    """Every member with the heads of its list; in one component already, a pair is answered."""
+    both = lists.select("members", F.explode(F.array_distinct(heads)).alias("head")).select("head", F.explode("members").alias("member"))
+    both = both.filter((F.col("head.set") != F.col("member.set")) & may_link(F.col("head"), F.col("member"), percent))
+    if "label" in lists.selectExpr("members[0] as m").select("m.*").columns:
+        both = both.filter("head.label <> member.label")
+    return both.select(*pair(F.col("head.set"), F.col("member.set"))).distinct()
+
 
+def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The lists, members with their components' labels, of shingles under which there are several components."""
+    member = lists.select("shingle", "chunk", F.explode("members").alias("m")).select("shingle", "chunk", "m.*").drop("label")
+    member = member.join(labels.withColumnRenamed("node", "of"), F.col("set") == F.col("of"), "left").withColumn("label", F.coalesce("label", "set"))
+    lists = member.groupBy("shingle", "chunk").agg(F.collect_list(F.struct("n", "set", "position", "label")).alias("members"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    lists = written(lists.filter("chunk > 0 or lo <> hi"), "open-lists")
+    chunks = lists.filter("chunk > 0")
+    several = chunks.groupBy("shingle").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("shingle")
+    return lists.filter("chunk = 0").union(chunks.join(several, "shingle", "left_semi")).select("shingle", "chunk", "members")
 
-def open_pairs(lists: DataFrame, labels: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """The pairs of list members that no component joins yet."""
-    member = lists.select("shingle", F.explode("members").alias("m")).join(labels.withColumnRenamed("node", "of"), F.col("m.set") == F.col("of"), "left")
-    member = written(member.select("shingle", "m", F.coalesce("label", "m.set").alias("label")), "list-members")
-    undecided = member.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("shingle")
-    member = written(member.join(undecided, "shingle", "left_semi"), "open-members")
+
+def open_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """All pairs of list members that no component joins."""
+    member = lists.select("shingle", F.explode("members").alias("m"))
     x, y = member.alias("x"), member.alias("y")
-    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") < F.col("y.label")) & may_link(F.col("x.m"), F.col("y.m"), percent))
-    return met.select(*pair(F.col("x.m.set"), F.col("y.m.set"))).distinct().join(tested, ["a", "b"], "left_anti")
+    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.m.label") < F.col("y.m.label")) & may_link(F.col("x.m"), F.col("y.m"), percent))
+    return met.select(*pair(F.col("x.m.set"), F.col("y.m.set"))).distinct()
+
+
+def _overlap(x: np.ndarray, y: np.ndarray) -> int:
+    return len(np.intersect1d(x, y, assume_unique=True))
+
+
+def within_reach(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose prefixes leave the needed overlap possible.
+
+    Up to the earlier of the two last shingles both prefixes are complete: what they share there, and all that comes
+    behind on the shorter side, bounds the overlap.
+    """
+
+    def bounded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            a, b, n, m, p, q, o, r = (part.column(i) for i in range(8))
+            sizes = zip(n.to_numpy(), m.to_numpy(), strict=True)
+            keep = [
+                (100 + percent) * _bound(int(size), int(other), *(x[i].values.to_numpy() for x in (p, q, o, r))) >= percent * (int(size) + int(other))
+                for i, (size, other) in enumerate(sizes)
+            ]
+            yield pa.record_batch([a, b], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    signed = signed.join(broadcast_if_small(ends), "set").dropDuplicates(["set"])
+    one = signed.select(F.col("set").alias("a"), F.col("n").alias("n"), F.col("prefix").alias("p"), F.col("order").alias("o"))
+    two = signed.select(F.col("set").alias("b"), F.col("n").alias("m"), F.col("prefix").alias("q"), F.col("order").alias("r"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "p", "q", "o", "r").mapInArrow(bounded, "a long, b long")
 
-def sets_of(docs: DataFrame, text: str, k: int, wanted: DataFrame) -> DataFrame:
-    """``set, shingles`` (sorted, 8 bytes each) of the sets that ``wanted`` numbers, once each."""
-    few = wanted.count() * 8 <= LOOKUP_BYTES
-    numbers = np.sort(wanted.toPandas()["set"].to_numpy(np.int64)) if few else None
-    shared = docs.sparkSession.sparkContext.broadcast(numbers)
+
+def _bound(n: int, m: int, p: np.ndarray, q: np.ndarray, o: np.ndarray, r: np.ndarray) -> int:
+    p, q = p.view(np.uint64), q.view(np.uint64)
+    last = min((int(o[-1]), int(p[-1])), (int(r[-1]), int(q[-1])))
+    known = [x[(k < last[0]) | (k == last[0]) & (x <= np.uint64(last[1]))] for x, k in ((p, o), (q, r))]
+    return _overlap(*known) + min(n - len(known[0]), m - len(known[1]))
+
+
+def sets_of(docs: DataFrame, key: str, text: str, k: int, wanted: DataFrame) -> DataFrame:
+    """``set, shingles`` (sorted, 8 bytes each) of ``wanted`` sets, from the text of the document ``least`` of each."""
 
     def found(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = shared.value, set()
+        for part in parts:
+            for a, b in batches(part.column(1)):
+                own = [(x, s) for x, s in zip(part.column(0).slice(a, b - a).to_pylist(), shingle_sets(part.column(1).slice(a, b - a), k), strict=True) if set_number(s) == x]
+                yield pa.record_batch([pa.array([x for x, _ in own], pa.int64()), pa.array([s.tobytes() for _, s in own], pa.binary())], ["set", "shingles"])
+
+    wanted = wanted.select("set", F.col("least").alias("of"))
+    known = docs.filter(F.col(key).isNotNull()).join(broadcast_if_small(wanted.filter("of is not null")), F.col(key).cast("long") == F.col("of"))
+    rows = known.select("set", text).mapInArrow(found, "set long, shingles binary")
+    unnamed = wanted.filter("of is null").select("set")
+    if unnamed.isEmpty():
+        return rows
+
+    def numbered(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for a, b in batches(part.column(0)):
                 sets = {set_number(s): s for s in shingle_sets(part.column(0).slice(a, b - a), k)}
-                if known is not None:
-                    number = np.fromiter(sets, np.int64, len(sets))
-                    at = np.minimum(np.searchsorted(known, number), max(len(known) - 1, 0))
-                    sets = {x: sets[x] for x in (number[known[at] == number] if len(known) else ()) if x not in seen}
-                    seen.update(sets)
                 yield pa.record_batch([pa.array(list(sets), pa.int64()), pa.array([s.tobytes() for s in sets.values()], pa.binary())], ["set", "shingles"])
 
-    every = docs.select(text).mapInArrow(found, "set long, shingles binary")
-    return (every if few else every.join(wanted, "set", "left_semi")).dropDuplicates(["set"])
+    others = docs.filter(F.col(key).isNull()).select(text).mapInArrow(numbered, "set long, shingles binary")
+    return rows.union(others.join(unnamed, "set", "left_semi").dropDuplicates(["set"]))
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b, shared, linked`` of every pair, from the whole sets."""
+    """The pairs at or above the threshold, from the whole sets."""
 
     def compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             x, y = part.column(2), part.column(3)
-            shared, union = [], []
+            keep = []
             for i in range(len(part)):
                 one, two = np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64)
-                common = len(np.intersect1d(one, two, assume_unique=True))
-                shared.append(common)
-                union.append(len(one) + len(two) - common)
-            ok = [100 * s >= percent * u for s, u in zip(shared, union, strict=True)]
-            yield pa.record_batch([part.column(0), part.column(1), pa.array(shared, pa.int64()), pa.array(ok, pa.bool_())], ["a", "b", "shared", "linked"])
+                keep.append((100 + percent) * _overlap(one, two) >= percent * (len(one) + len(two)))
+            yield pa.record_batch([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     one = pairs.join(sets.select(F.col("set").alias("a"), F.col("shingles").alias("x")), "a")
     both = one.join(sets.select(F.col("set").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(compared, "a long, b long, shared long, linked boolean")
+    return both.select("a", "b", "x", "y").mapInArrow(compared, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -235,20 +291,30 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     key counts as larger than any other and is a component's name only where it has no other.
     """
     docs = docs.select(key, text)
-    common = common_shingles(docs, text, k)
-    signed = written(signatures(docs, key, text, k, percent, common), "signatures")
-    lists = written(index_lists(signed.filter("n > 0")), "index-lists")
-    first = written(head_pairs(lists, percent), "head-pairs")
-    none = docs.sparkSession.createDataFrame([], "a long, b long")
-    answers = written(linked(first, written(sets_of(docs, text, k, ends_of(first)), "sets"), percent), "answers")
-    labels = components(answers.filter("linked"))
-    rest = written(open_pairs(lists, labels, first, percent), "open-pairs")
-    links = answers.filter("linked").select("a", "b")
-    more = linked(rest, written(sets_of(docs, text, k, ends_of(rest)), "sets"), percent).filter("linked").select("a", "b") if not rest.isEmpty() else none
-    more = written(more, "more-answers")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    signed = written(signatures(docs, key, text, k, percent, common_shingles(docs, text, k)), "signatures")
     of_set = signed.filter("n > 0").groupBy("set", "n").agg(F.min("id").alias("least"))
+    of_set = written(of_set, "sets")
+    lists = written(index_lists(signed.filter("n > 0")), "index-lists")
+
+    def answers(pairs: DataFrame) -> DataFrame:
+        near = written(within_reach(pairs, signed, percent), "pairs-within-reach")
+        wanted = near.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(of_set, "set")
+        return written(linked(near, written(sets_of(docs, key, text, k, wanted), "shingle-sets"), percent).distinct(), "links")
+
+    size, hashed = F.size("members"), F.transform("members", lambda m: F.struct(F.xxhash64(m["set"]).alias("hash"), m.alias("m")))
+    tested = written(head_pairs(lists, F.array(F.col("members")[0], F.element_at("members", ((size + 1) / 2).cast("int"))), percent), "pairs")
+    links = answers(tested)
+    labels = components(links)
+    lists = open_lists(lists.filter((size > 2) | (F.col("chunk") > 0)), labels)  # a pair of two is answered
+    for pairs in (lambda x: head_pairs(x, F.array(F.array_min(hashed)["m"], F.array_max(hashed)["m"]), percent), lambda x: open_pairs(x, percent)):
+        more = written(pairs(lists).join(tested, ["a", "b"], "left_anti"), "pairs")
+        if more.isEmpty():
+            continue
+        tested, found = tested.union(more), answers(more)
+        if not found.isEmpty():
+            links = links.union(found)
+            labels = components(links)
+            lists = open_lists(lists, labels)
     named = of_set.join(labels, of_set["set"] == labels["node"], "left").select("set", "n", "least", F.coalesce("label", "set").alias("label"))
     names = named.groupBy("label").agg(F.min("least").alias("component_id"))
     sets = named.join(names, "label").select("set", "n", "component_id")
@@ -256,6 +322,3 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     out = rows.join(sets, ["set", "n"], "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
-
-def ends_of(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
