@@ -77,6 +77,8 @@ SENTENCES = [
     ("proprietary", "proprietary", "proprietary and confidential"),
     ("no-redistribution", "may not be", "may not be (?:reproduced|redistributed|copied)(?: [a-z]+){0,6} without (?:prior )?(?:written )?permission"),
 ]
+#: Names that are words or companies too; alone they count only with the word license.
+COMMON_NAMES = ("apache", "artistic", "php", "mit", "isc", "zlib", "bsd")
 UNDER = "(?:licensed|released|distributed|published|available|provided|shared) under (?:the )?(?:terms of (?:the )?)?"
 
 Rule = tuple[int, str, str, str, float]
@@ -88,7 +90,7 @@ def rules() -> tuple[Rule, ...]:
     made: list[Rule] = []
     for family, keyword, name, versions in FAMILIES:
         named = rf"{name}(?: licen[cs]e)?"
-        made.append((10, family, keyword, named + (r" licen[cs]e" if versions == "" and " " not in name else ""), 0.7))
+        made.append((10, family, keyword, rf"{name} licen[cs]e" if name.startswith(COMMON_NAMES) else named, 0.7))
         made.append((20, family, keyword, UNDER + named, 0.85))
         made.append((40, family, "spdx", "spdx license identifier " + name, 0.95))
         for version in versions.split("|") if versions else ():
