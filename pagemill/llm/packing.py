@@ -73,16 +73,26 @@ class Packer:
         crc = zlib.crc32(ids[start : start + length].astype("<u4").tobytes())
         return key, start + before, length, crc, len(ids) if total is None else total, self.sequence, offset
 
+    def _take(self, length: int) -> tuple:
+        rest = self.waiting[length].pop()
+        if not self.waiting[length]:
+            del self.waiting[length]
+        return rest
+
     def _fill(self) -> Iterator[tuple]:
+        """One whole sequence. Where no sum of rests is the capacity, the longest rest left is cut to fill the slack."""
         offset = 0
         for length, count in closest_sum({n: len(x) for n, x in self.waiting.items()}, self.capacity).items():
             for _ in range(count):
-                key, ids, before, total = self.waiting[length].pop()
+                key, ids, before, total = self._take(length)
                 yield self._piece(key, ids, 0, length, offset, before, total)
                 offset += length
-            if not self.waiting[length]:
-                del self.waiting[length]
-        self.tokens -= offset
+        slack = self.capacity - offset
+        if slack:
+            key, ids, before, total = self._take(max(self.waiting))
+            yield self._piece(key, ids, 0, slack, offset, before, total)
+            self.waiting.setdefault(len(ids) - slack, []).append((key, ids[slack:], before + slack, total))
+        self.tokens -= self.capacity
         self.sequence += 1
 
     def finish(self) -> Iterator[tuple]:
@@ -176,7 +186,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", te
             return pa.record_batch([pa.array(list(c), pa.int64()) for c in columns], [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
         for part in parts:
-            for a, b in batches(part.column(1), 4 << 20):
+            for a, b in batches(part.column(1)):
                 keys, texts = part.column(0).slice(a, b - a).to_pylist(), part.column(1).slice(a, b - a).fill_null("").to_pylist()
                 yield rows([piece for k, ids in zip(keys, ids_of(texts, end_id), strict=True) for piece in packer.add(k, ids)])
         yield rows(list(packer.finish()))
