@@ -86,12 +86,13 @@ def with_features(found: DataFrame, pieces: list[str]) -> DataFrame:
 
 def findings(found: DataFrame) -> DataFrame:
     """Candidates whose ``label`` is beyond doubt: 1 for an issuer's format or a mixed value that a secret's name is set to, 0
-    for letters of one case, numbers and dashes alone, and plain words set to nothing."""
+    for letters of one case, numbers and dashes alone, and plain words and paths without a secret's name."""
     named = (F.col("named_here") + F.col("named_before")) > 0
     given = (F.col("is_set") + F.col("set_before")) > 0
     mixed = (F.col("digits") > 0.1) & (F.col("small") + F.col("capitals") > 0.1) & (F.col("covered") < 0.5)
     plain = F.rlike("value", F.lit("^(?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]+|[-_=+/]+|(?:[A-Za-z]?[a-z]+[-_/])+[a-z]*)$")) & (F.col("issued") == 0)
-    label = F.when((F.col("issued") == 1) | named & given & mixed, 1).when(plain & ~(named & given), 0)
+    path = (F.col("is_path") == 1) & (F.col("slashes") > 0) & (F.col("digits") < 0.2) & (F.col("issued") == 0)
+    label = F.when((F.col("issued") == 1) | named & given & mixed, 1).when((plain | path) & ~(named & given), 0)
     return found.withColumn("label", label).filter("label is not null")
 
 
