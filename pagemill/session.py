@@ -87,15 +87,6 @@ def new_table_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Round-robin a table that the scan delivers in fewer partitions than there are cores.
-
-    Small files come as one partition; a large table has splits enough and is left alone.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def is_small(table: DataFrame, max_bytes: int = 32 << 20) -> bool:
     """Whether the measured size of a table is at most ``max_bytes``."""
     row_bytes = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns), F.lit(32))

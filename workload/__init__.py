@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.session import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -33,5 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Some columns of a table, on all cores: for work that is heavy per row."""
-    return spread(table(spark, sf_dir, name).select(*columns))
+    """Some columns of a table, on all cores.
+
+    A given table of one file with one row group comes as one partition, and work that is heavy per row would run in one
+    task; only such small tables are dealt out. A large table has splits enough and is read as it is.
+    """
+    rows = table(spark, sf_dir, name).select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
