@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.words import BASE, MARKS, PLACES, batches, mix, words
+from pagemill.llm.words import BASE, MARKS, PLACES, batches, lean, mix, words
 
 #: Chance that a place of a key agrees for a pair at the threshold. Measured 0.56 on average over pairs of 12 to 69 words;
 #: pairs differ, and 0.47 gives the number of repetitions that reaches the recall over all of them.
@@ -196,8 +196,8 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", te
     def search(shared):
         def found(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block: Items = shared.value
-            for part in parts:
-                for a, b in batches(part.column(1), 4 << 20):
+            for part in lean(parts):
+                for a, b in batches(part.column(1)):
                     hashes, _, _, at = words(part.column(1).slice(a, b - a), MARKS)
                     rows = block.matches([hashes[x:y] for x, y in zip(at[:-1], at[1:], strict=True)])
                     sizes = [len(block.words[i]) for _, i, *_ in rows]

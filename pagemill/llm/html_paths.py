@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.words import batches
+from pagemill.llm.words import batches, lean
 
 # Fixed names of HTML.
 NAMELESS = "area base br col embed hr img input link meta param source track wbr"
@@ -170,8 +170,8 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", page
     """
 
     def extracted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for a, b in batches(part.column(2), 4 << 20):
+        for part in lean(parts):
+            for a, b in batches(part.column(2)):
                 own = part.slice(a, b - a)
                 texts = [main_text(x) for x in own.column(2).to_pylist()]
                 yield pa.record_batch([own.column(0), own.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], [key, url, "text", "n_chars"])

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.words import batches, shingles, words
+from pagemill.llm.words import batches, lean, shingles, words
 from pagemill.session import broadcast_if_small, written
 
 #: The order of shingles needs to know the common ones only. At most so many are sent to the tasks; any choice of them
@@ -72,7 +72,7 @@ def common_shingles(docs: DataFrame, text: str, k: int, least: int = 16, most: i
             often = count >= 3
             return pa.record_batch([pa.array(every[first[often]].view(np.int64)), pa.array(count[often])], ["shingle", "n"])
 
-        for part in parts:
+        for part in lean(parts):
             for a, b in batches(part.column(0)):
                 sets = shingle_sets(part.column(0).slice(a, b - a), k)
                 held += sets
@@ -114,7 +114,7 @@ def signatures(docs: DataFrame, key: str, text: str, k: int, percent: int, commo
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def signed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in lean(parts):
             for a, b in batches(part.column(1)):
                 sets = shingle_sets(part.column(1).slice(a, b - a), k)
                 rare = [signature(s, shared.value, percent) for s in sets]
@@ -200,7 +200,7 @@ def within_reach(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame
     """
 
     def bounded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in lean(parts):
             a, b, n, m, p, q, o, r = (part.column(i) for i in range(8))
             sizes = zip(n.to_numpy(), m.to_numpy(), strict=True)
             keep = [
@@ -227,7 +227,7 @@ def sets_of(docs: DataFrame, key: str, text: str, k: int, wanted: DataFrame) ->
     """``set, shingles`` (sorted, 8 bytes each) of ``wanted`` sets, from the text of the document ``least`` of each."""
 
     def found(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in lean(parts):
             for a, b in batches(part.column(1)):
                 own = [(x, s) for x, s in zip(part.column(0).slice(a, b - a).to_pylist(), shingle_sets(part.column(1).slice(a, b - a), k), strict=True) if set_number(s) == x]
                 yield pa.record_batch([pa.array([x for x, _ in own], pa.int64()), pa.array([s.tobytes() for _, s in own], pa.binary())], ["set", "shingles"])
@@ -240,7 +240,7 @@ def sets_of(docs: DataFrame, key: str, text: str, k: int, wanted: DataFrame) ->
         return rows
 
     def numbered(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in lean(parts):
             for a, b in batches(part.column(0)):
                 sets = {set_number(s): s for s in shingle_sets(part.column(0).slice(a, b - a), k)}
                 yield pa.record_batch([pa.array(list(sets), pa.int64()), pa.array([s.tobytes() for s in sets.values()], pa.binary())], ["set", "shingles"])
@@ -253,7 +253,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs at or above the threshold, from the whole sets."""
 
     def compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in lean(parts):
             x, y = part.column(2), part.column(3)
             keep = []
             for i in range(len(part)):

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm.words import lean
+
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"
 #: No piece crosses a multiple of this many letters of a word, which keeps a product of chances within a double.
@@ -125,7 +127,7 @@ class LanguageModel:
         logs = np.log(lattice.forward(chance, UNKNOWN * LIFT)[lattice.last])
         return np.add.reduceat(logs, np.concatenate([[0], np.cumsum([len(c) for c in cut])[:-1]])) if words else np.zeros((0, len(self.languages)))
 
-    def predictions(self, batches: Iterable[pd.Series], words_at_once: int = 150_000, words_kept: int = 400_000) -> Iterator[pd.DataFrame]:
+    def predictions(self, batches: Iterable[pd.Series], words_at_once: int = 60_000, words_kept: int = 400_000) -> Iterator[pd.DataFrame]:
         found, known, rows, used = automaton(self.pieces), {}, np.zeros((1024, len(self.languages))), 0
         for texts in batches:
             out: list[tuple[str, float]] = []
@@ -138,8 +140,8 @@ class LanguageModel:
                     known.clear()
                     used = 0
                 new = list({w for words in held for w in words if w not in known})
-                for i in range(0, len(new), 20_000):
-                    part = new[i : i + 20_000]
+                for i in range(0, len(new), 8_000):
+                    part = new[i : i + 8_000]
                     if used + len(part) > len(rows):
                         rows = np.concatenate([rows, np.zeros((max(len(rows), len(part)), rows.shape[1]))])
                     rows[used : used + len(part)] = self.log_chances(part, found)
@@ -202,6 +204,6 @@ def predict_language(model: LanguageModel, docs: DataFrame, text: str = "text")
 
     @F.pandas_udf("struct<lang_pred:string,score:double>")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        yield from shared.value.predictions(batches)
+        yield from shared.value.predictions(lean(batches))
 
     return scored(F.col(text))

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.words import batches
+from pagemill.llm.words import batches, lean
 
 #: Waiting tokens of a window, in sequences. The sums of so many rests nearly always reach the capacity itself.
 WINDOW_SEQUENCES = 64
@@ -185,7 +185,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", te
             columns = zip(*pieces, strict=True) if pieces else [[]] * 7
             return pa.record_batch([pa.array(list(c), pa.int64()) for c in columns], [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-        for part in parts:
+        for part in lean(parts):
             for a, b in batches(part.column(1)):
                 keys, texts = part.column(0).slice(a, b - a).to_pylist(), part.column(1).slice(a, b - a).fill_null("").to_pylist()
                 yield rows([piece for k, ids in zip(keys, ids_of(texts, end_id), strict=True) for piece in packer.add(k, ids)])

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.language import training_rows
-from pagemill.llm.words import batches, buffers, words
+from pagemill.llm.words import batches, buffers, lean, words
 
 PASSAGE_WORDS = 48
 #: Every ASCII mark and digit is a class of its own; so are capitals, small letters, white space and all beyond ASCII.
@@ -136,7 +136,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(sample), "k")  # bounded by the sample
 
     def features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        for part in lean(parts):
             for a, b in batches(part.column(2)):
                 x, at = passages(part.column(2).slice(a, b - a))
                 rows = [x[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
@@ -157,9 +157,9 @@ def quality_score(model: AttentionModel, docs: DataFrame, text: str = "text") ->
 
     @F.pandas_udf("double")
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
+        for part in lean(parts):
             texts = pa.array(part, pa.large_string(), from_pandas=True)
-            scores = [shared.value.score(*passages(texts.slice(a, b - a))) for a, b in batches(texts, 4 << 20)]
+            scores = [shared.value.score(*passages(texts.slice(a, b - a))) for a, b in batches(texts)]
             yield pd.Series(np.concatenate(scores) if scores else np.zeros(0))
 
     return scored(F.col(text))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.words import batches
+from pagemill.llm.words import batches, lean
 
 START = "▁"
 #: A sum of words' entries holds tokens below this bit and unknown words from it on.
@@ -107,8 +107,8 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", tex
 
     def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordCounts(LongestMatch(shared.value))
-        for part in parts:
-            for a, b in batches(part.column(1), 4 << 20):
+        for part in lean(parts):
+            for a, b in batches(part.column(1)):
                 if len(known) > most_words:
                     known.clear()
                 split = [text.encode().split() for text in part.column(1).slice(a, b - a).fill_null("").to_pylist()]

@@ -7,9 +7,15 @@ about 1 in 2^64. A null text has no words.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterable, Iterator
+from typing import TypeVar
+
 import numpy as np
 import pyarrow as pa
 
+T = TypeVar("T")
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
@@ -22,6 +28,18 @@ INVERSE = pow(BASE, -1, 1 << 64)
 #: Multipliers of the words of a shingle, by place.
 PLACES = np.array([pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) for i in range(64)], dtype=np.uint64)
 
+def release_memory() -> None:
+    """Hand memory that is free again back to the system: workers live on between tasks, beside others of their machine."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -31,7 +49,7 @@ def powers(base: int, n: int) -> np.ndarray:
         have = np.full(max(n, 1 << 16), base, dtype=np.uint64)
         have[0] = 1
         have = np.cumprod(have, dtype=np.uint64)
-        if n <= 1 << 24:
+        if n <= 1 << 21:
             _powers[base] = have
     return have[:n]
 
@@ -106,7 +124,15 @@ def shingles(hashes: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np
     return out, bounds
 
 
-def batches(texts: pa.Array, most_bytes: int = 8 << 20) -> list[tuple[int, int]]:
+def lean(parts: Iterable[T]) -> Iterator[T]:
+    """The parts of a task, with memory released before the first and after each."""
+    release_memory()
+    for part in parts:
+        yield part
+        release_memory()
+
+
+def batches(texts: pa.Array, most_bytes: int = 1 << 20) -> list[tuple[int, int]]:
     """Ranges of rows of about ``most_bytes`` of text; one long text makes a range of its own."""
     _, bounds = buffers(texts)
     ranges, begin = [], 0
