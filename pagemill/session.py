@@ -18,7 +18,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     "spark.sql.python.filterPushdown.enabled": "true",
 }
 
