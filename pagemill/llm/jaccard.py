@@ -269,18 +269,32 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``node, label`` (smallest node of its component) of all ends of ``links`` ``a, b``.
 
-    Labels pass along links and then along labels, so a chain takes as many rounds as its length has binary digits.
+    Every node points to its smallest neighbour, pointers are followed to their ends, and the links are carried over to
+    these; links within one end drop out. A round leaves at most half of the nodes, and a chain of pointers takes as
+    many joins as its length has binary digits.
     """
-    ends = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "link-ends")
-    labels = written(ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
+    links = written(links.select("a", "b").filter("a <> b").distinct(), "links")
+    labels = None
     while True:
-        met = ends.join(labels, ends["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
-        near = labels.join(met, labels["node"] == met["a"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("near"))
-        up = labels.select(F.col("node").alias("up"), F.col("label").alias("far"))
-        labels = written(near.join(up, F.col("near") == F.col("up")).select("node", "old", F.least("near", "far").alias("label")), "labels")
-        if labels.filter("old <> label").isEmpty():
-            return labels.select("node", "label")
-        labels = labels.select("node", "label")
+        ends = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        up = written(ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "pointers")
+        while True:
+            next_up = up.select(F.col("node").alias("label"), F.col("label").alias("far"))
+            up = written(up.join(next_up, "label").select("node", F.col("label").alias("old"), F.col("far").alias("label")), "pointers")
+            done = up.filter("old <> label").isEmpty()
+            up = up.select("node", "label")
+            if done:
+                break
+        if labels is None:
+            labels = up
+        else:
+            moved = up.select(F.col("node").alias("label"), F.col("label").alias("far"))
+            labels = written(labels.join(moved, "label", "left").select("node", F.coalesce("far", "label").alias("label")), "labels")
+        one = links.join(up.select(F.col("node").alias("a"), F.col("label").alias("x")), "a")
+        both = one.join(up.select(F.col("node").alias("b"), F.col("label").alias("y")), "b").filter("x <> y")
+        links = written(both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        if links.isEmpty():
+            return labels
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -312,7 +326,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
             continue
         tested, found = tested.union(more), answers(more)
         if not found.isEmpty():
-            links = links.union(found)
+            links = labels.select(F.col("label").alias("a"), F.col("node").alias("b")).union(found)  # what is known, as stars
             labels = components(links)
             lists = open_lists(lists, labels)
     named = of_set.join(labels, of_set["set"] == labels["node"], "left").select("set", "n", "least", F.coalesce("label", "set").alias("label"))
