@@ -56,3 +56,42 @@ def test_odd_rows(spark):
     got = extract_pages(spark.createDataFrame(rows, schema)).collect()
     assert sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in got) == [("1", "", 0), ("1", "", 0), ("1", "", 0), ("None", "a, b", 4)]
     assert extract_pages(spark.createDataFrame([], schema)).count() == 0
+
+
+LONG, SHORT = "Long text, with marks. " * 45, "Short text, with marks. " * 4
+
+
+def parted(*blocks):
+    return "\n\n".join(" ".join(b.split()) for b in blocks)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div><p>{LONG}</p><p>{SHORT}</p></div>", parted(LONG, SHORT)),
+        (f"<h1>Title</h1><div><p>{LONG}</p></div><p>{SHORT}</p>", parted("Title", LONG, SHORT)),
+        (f"<div><p>{SHORT}</p></div><section><div><p>{SHORT}</p></div></section><div><p>{SHORT}</p></div>", parted(SHORT, SHORT, SHORT)),
+        (f"<div class='layout has-sidebar'><p>{LONG}</p><div class=sidebar><p>{SHORT}</p></div></div>", parted(LONG)),
+        (f"<div class='layout has-sidebar'><article><p>{SHORT}</p></article></div><ul><li>x, y</ul>", parted(SHORT)),
+        (f"<main><div id=nav-content><p>{LONG}</p></div><div class=related><p>{SHORT}</p></div></main>", parted(LONG)),
+        (f"<main><article><p>{LONG}</p></article><div id=comments><article class='comment-body'><p>{SHORT}</p></article></div></main>", parted(LONG)),
+        (f"<div class=has-sidebar><p>{LONG}</p></div><article><p>{SHORT}</p></article>", parted(LONG)),
+        ("<div class=ad>Buy, this or that, and now, quickly.</div><article><p>Small, text.</p><p>And, more text.</p></article>", parted("Small, text.", "And, more text.")),
+        (f"<div><button>Menu<p>{LONG}</p><p>{SHORT}</p></div>", parted(LONG, SHORT)),
+        (f"<div><p>{LONG}</p><svg/><canvas /><iframe src=x /><p>{SHORT}</p></div>", parted(LONG, SHORT)),
+        (f"<div><div><template><p>no, no</div><p>{LONG}</p></div><p>{SHORT}</p>", parted(LONG, SHORT)),
+        (f"<p>a <svg><title>no</title><svg>no</svg><p>no</svg> {LONG}</p><select><option>no<option>no</select><p>{SHORT}</p>", parted("a " + LONG, SHORT)),
+        (f"<p>{SHORT} <a><math><mi>no</a> end.</p><div><select><option>no, no</div><p>{LONG}</p>", parted(SHORT + " end.", LONG)),
+        (f"<title>T<p>{LONG}</p><div><script>var no = 1</div><textarea>no<p>{SHORT}</p><script/>", parted(LONG, SHORT)),
+        (f"<object><p>no</p></div><p>no</p></object><p>{LONG}</p><button>no<button>no</button><p>{SHORT}</p>", parted(LONG, SHORT)),
+    ],
+)
+def test_whole_article(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<svg>" * 60_000, "<object><div>" * 30_000 + "</p>" * 30_000 + "</object>", "<div><button>x" * 30_000, "<div><script>" * 30_000, "<p><script>x</p>" * 30_000, "<title>" * 60_000, "<div class=ad>" * 60_000 + "x, y"])
+def test_broken_silent_elements_take_linear_time(page):
+    began = time.time()
+    main_text(page)
+    assert time.time() - began < 8
