@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.words import lean
+from pagemill.session import written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"
@@ -182,15 +183,21 @@ def training_rows(docs: DataFrame, key: str, label: str, rows_per_label: int) ->
 def fit_language_model(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", lang: str = "lang", texts_per_language: int = 600, words_per_language: int = 60_000) -> LanguageModel:
     """Fit on a sample of at most about ``texts_per_language`` whole texts of each language.
 
-    Of the sample's words the ``words_per_language`` commonest of each language count, ties in order of the word. Rows
-    without text or language teach nothing; with no row left the model has no language and every text is undetermined.
+    Of the sample's words the ``words_per_language`` commonest of each language count, ties in order of the word; however
+    many languages there are, the driver holds the words of one at a time. Rows without a word or language teach nothing;
+    with no row left the model has no language and every text is undetermined.
     """
     pieces = public_pieces(path)
     sample = training_rows(docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).filter("t is not null"), "k", "l", texts_per_language)
     words = sample.select("l", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(r"(\p{L}+)"), 1)).alias("w")).groupBy("l", "w").count()
-    table = words.orderBy(F.desc("count"), "l", "w").limit(8 * words_per_language).toPandas()
-    languages = sorted(table["l"].unique())
-    fitted = [fit_pieces(pieces, dict(table[table["l"] == x].head(words_per_language)[["w", "count"]].itertuples(index=False))) for x in languages]
+    counted = written(words, "language_words")
+    languages = sorted(r[0] for r in counted.select("l").distinct().collect())
+
+    def commonest(language: str) -> dict[str, int]:
+        own = counted.filter(F.col("l") == language).select("w", "count")
+        return dict(own.orderBy(F.desc("count"), "w").limit(words_per_language).toPandas().itertuples(index=False))
+
+    fitted = [fit_pieces(pieces, commonest(x)) for x in languages]
     return LanguageModel(languages, pieces, np.stack(fitted, axis=1) if fitted else np.zeros((len(pieces), 0)))
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pagemill.llm import language
 from pagemill.llm.language import LIFT, START, UNKNOWN, LanguageModel, Lattice, automaton, fit_language_model, fit_pieces, predict_language
 from pagemill.llm.queries import PIECES
 
@@ -54,6 +55,20 @@ def test_learned_languages_and_odd_texts(frame, odd_rows):
     assert all(0 <= r["p"]["score"] <= 1 for r in got) and len(got) == 6 + len(odd_rows)
 
 
+def test_words_are_cut_per_language(frame, monkeypatch):
+    own = {f"{x}{x}": [f"{x}{y}{x}{y}" for y in "aeiouy"] for x in "bcdfghjkz"} | {"rare": ["wowo", "xuxu"]}
+    rows = [(100 * i + n, " ".join(ws * 5 + ws[:1]), x) for i, (x, ws) in enumerate(own.items()) if x != "rare" for n in range(20)]
+    rows.append((10_000, " ".join(own["rare"]), "rare"))
+    taught, fit = [], language.fit_pieces
+    monkeypatch.setattr(language, "fit_pieces", lambda pieces, counts: taught.append(counts) or fit(pieces, counts))
+    docs = frame(rows)
+    model = fit_language_model(docs, PIECES, words_per_language=5)
+    assert model.languages == sorted(own) and len(own) == 10
+    assert taught == [{w: 1 if x == "rare" else 100 + 20 * (w == ws[0]) for w in ws[:5]} for x, ws in sorted(own.items())]
+    got = docs.select("lang", predict_language(model, docs).alias("p")).collect()
+    assert [r["p"]["lang_pred"] for r in got] == [r["lang"] for r in got]
+
+
 def test_without_labels_everything_is_undetermined(frame):
     docs = frame([(1, "word", None), (2, None, "en")])
     model = fit_language_model(docs, PIECES)
