@@ -1,10 +1,11 @@
 """Benchmark passages in texts, found by embedding edit distance into Hamming distance.
 
-Texts and items are sequences of words (letters, digits and all beyond ASCII, ASCII capitals in lower case). A window of an
-item's size is walked through at random: step by step the current word is put out, and a random bit of step and word
+Texts and items are sequences of words (letters, digits and all beyond ASCII, ASCII capitals in lower case; in scripts written
+without spaces every character is a word). A window of an item's size is walked through at random: step by step the current word is put out, and a random bit of step and word
 says whether to move on. Two sequences of small edit distance, walked with the same bits, agree in most places of the
 outcome. Samples of a few places make a key; windows whose key equals the item's in any of many repetitions are
-compared exactly. Windows without a run of words that a match cannot do without are passed over.
+compared exactly. Windows without a run of words that a match cannot do without are passed over; for items of up to four
+words, which allow no edits, that run is the whole item and nothing else is asked.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.words import BASE, MARKS, PLACES, batches, lean, mix, words
+from pagemill.llm.words import BASE, MARKS, PLACES, batches, buffers, lean, mix, words
 
 #: Chance that a place of a key agrees for a pair at the threshold. Measured 0.56 on average over pairs of 12 to 69 words;
 #: pairs differ, and 0.47 gives the number of repetitions that reaches the recall over all of them.
@@ -28,6 +30,12 @@ RECALL = 0.97
 #: Items are searched in blocks of at most so many bytes of text, each sent to the tasks.
 BLOCK_BYTES = 8 << 20
 NO_WORD = np.uint64(0)
+#: So many words at most are found by one run alone.
+LONGEST_RUN = 4
+SCRIPTS = "Han Hiragana Katakana Bopomofo Yi Thai Lao Khmer Myanmar Tibetan Javanese Balinese Tai_Tham Tai_Le New_Tai_Lue Tai_Viet"
+#: Characters of scripts without spaces, and the marks of East Asia, which part words as those of ASCII do.
+UNSPACED = "([" + "".join(rf"\p{{{x}}}" for x in SCRIPTS.split()) + r"\x{30FC}\x{FF70}])"
+WIDE_MARKS = r"[\x{3000}-\x{3004}\x{3008}-\x{3020}\x{3030}\x{303D}\x{30FB}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}\x{FF3B}-\x{FF40}\x{FF5B}-\x{FF65}]"
 
 
 def most_edits(n: int, percent: int) -> int:
@@ -38,7 +46,16 @@ def most_edits(n: int, percent: int) -> int:
 def run_words(n: int, percent: int) -> int:
     """So many words in a row, 4 at most, survive any allowed edits: the rest of ``n`` words falls into one run more than there are edits."""
     edits = most_edits(n, percent)
-    return min(4, -(-(n - edits) // (edits + 1)))
+    return min(LONGEST_RUN, -(-(n - edits) // (edits + 1)))
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and where each text's words begin (with the end of the last)."""
+    raw, _ = buffers(texts)
+    if len(raw) and raw.max() >= 0xE0:  # the first byte of the least of these characters
+        texts = pc.replace_substring_regex(pc.replace_substring_regex(texts, WIDE_MARKS, " "), UNSPACED, r" \1 ")
+    hashes, _, _, at = words(texts, MARKS)
+    return hashes, at
 
 
 def repetitions(recall: float = RECALL) -> int:
@@ -93,8 +110,8 @@ class Items:
 
     def __init__(self, numbers: list, texts: list[str], percent: int, least_words: int):
         self.percent = percent
-        hashes, _, _, at = words(pa.array(texts, pa.string()), MARKS)
-        own = [(n, hashes[a:b]) for n, a, b in zip(numbers, at[:-1], at[1:], strict=True) if b - a >= least_words]
+        hashes, at = split_words(pa.array(texts, pa.string()))
+        own = [(n, hashes[a:b]) for n, a, b in zip(numbers, at[:-1], at[1:], strict=True) if b - a >= max(least_words, 1)]
         self.numbers, self.words = [n for n, _ in own], [w for _, w in own]
         runs: dict[int, list[tuple[int, int, int]]] = {}
         for i, w in enumerate(self.words):
@@ -135,6 +152,11 @@ class Items:
         for i in np.unique(item):
             own, wanted = np.flatnonzero(item == i), self.words[i]
             slack = most_edits(len(wanted), self.percent)
+            if slack == 0 and len(wanted) <= LONGEST_RUN:
+                own = own[(_cut(every, at, text[own], start[own], len(wanted)) == wanted).all(axis=1)]
+                first = own[np.unique(text[own], return_index=True)[1]]  # starts rise within a text
+                best.update(((int(text[x]), int(i)), (0, int(start[x] - at[text[x]]), int(start[x] - at[text[x]]) + len(wanted))) for x in first)
+                continue
             for part in np.array_split(own, max(1, len(own) * len(wanted) // 2_000_000)):
                 part = part[collide(_cut(every, at, text[part], start[part], len(wanted)), wanted)]
                 if not len(part):
@@ -182,12 +204,12 @@ def item_blocks(items: DataFrame, key: str, text: str, block_bytes: int = BLOCK_
         yield numbers, texts
 
 
-def benchmark_matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", percent: int = 80, least_words: int = 5) -> DataFrame:
+def benchmark_matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", percent: int = 80, least_words: int = 1) -> DataFrame:
     """One row per document and item found in it: keys, ``edits``, ``item_words``, ``start_word``, ``end_word``, ``similarity``.
 
     An item is in a text where some part of the text is at most ``100 - percent`` per cent of the item's words away in
-    word edits; the best part is reported. Items under ``least_words`` words and null items match nothing, nor do null
-    and empty texts. Rows that repeat a key are documents of their own. Documents are scanned once per block of items
+    word edits; the best part is reported. Items under ``least_words`` words, without a word and null ones match nothing, nor
+    do null and empty texts. Rows that repeat a key are documents of their own. Documents are scanned once per block of items
     and never shuffled; a task holds one piece of a batch at a time.
     """
     spark = docs.sparkSession
@@ -198,7 +220,7 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", te
             block: Items = shared.value
             for part in lean(parts):
                 for a, b in batches(part.column(1)):
-                    hashes, _, _, at = words(part.column(1).slice(a, b - a), MARKS)
+                    hashes, at = split_words(part.column(1).slice(a, b - a))
                     rows = block.matches([hashes[x:y] for x, y in zip(at[:-1], at[1:], strict=True)])
                     sizes = [len(block.words[i]) for _, i, *_ in rows]
                     columns = [

@@ -91,6 +91,38 @@ def test_against_brute_force_with_recall(frame, spark, odd_rows):
     assert all(found.get(k) == 0 for k, e in want.items() if e == 0)
 
 
+def test_short_items_against_brute_force(frame, spark):
+    draw = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(12)]
+    items = [(i, " ".join(draw.choices(vocabulary, k=i % 4 + 1))) for i in range(40)] + [(50, "..."), (51, "W1, w2")]
+    rows = [(i, "; ".join(draw.choices(vocabulary, k=draw.randrange(0, 40)))) for i in range(60)]
+    got = benchmark_matches(frame(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = set()
+    for key, text in rows:
+        text = own_words(text)
+        for number, item in items:
+            item = own_words(item)
+            places = [j for j in range(len(text) - len(item) + 1) if item and text[j : j + len(item)] == item]
+            if places:
+                want.add((key, number, 0, len(item), places[0], places[0] + len(item), 1.0))
+    assert {tuple(r) for r in got} == want and len(got) == len(want) > 400
+
+
+@pytest.mark.parametrize("letters", ["天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏", "あいうえおカキクケコさしすせそ漢字", "กขคงจฉชซญดตถทนบปผฝพ"])
+@pytest.mark.parametrize("size", [3, 40, 100])
+def test_scripts_without_spaces(frame, spark, letters, size):
+    draw = random.Random(size)
+    item = "".join(draw.choices(letters, k=size))
+    near = list(item)
+    for at in draw.sample(range(size), size // 10):
+        near[at] = "x"
+    pad = "".join(draw.choices(letters, k=60))
+    rows = [(1, pad + item + pad), (2, pad + "、" + item[: size // 2] + " " + item[size // 2 :] + "。」" + pad), (3, pad + "".join(near) + pad), (4, "".join(draw.choices("한국어" + letters[:2], k=200))), (5, None)]
+    got = benchmark_matches(frame(rows), spark.createDataFrame([(7, item + "。")], "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["edits"]) for r in got} >= {(1, 0), (2, 0)} and {r["doc_id"] for r in got} == {1, 2, 3}
+    assert all(r["item_words"] == size and r["edits"] <= size // 5 for r in got)
+
+
 def test_best_place_and_long_text():
     item = [f"w{i}" for i in range(20)]
     text = ["pad"] * 50_000 + item[:10] + ["x"] + item[11:] + ["pad"] * 40 + item + ["pad"] * 10
