@@ -18,12 +18,13 @@ CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Phrases that are always reported, with their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Fixed names of public licenses: label, keyword, words of the name, versions (none: the name alone decides).
+# Fixed names of public licenses: label, keyword, words of the name, versions (none: the name alone decides). Every match of
+# the name holds the keyword.
 FAMILIES = [
     ("apache", "apache", "apache(?: software)?", "1 0|1 1|2 0"),
-    ("gpl", "general public license", "gnu general public", "1|2|3"),
+    ("gpl", "general public", "gnu general public", "1|2|3"),
     ("gpl", "gpl", "(?:gnu )?gpl", "1|2|3"),
-    ("lgpl", "general public license", "gnu (?:lesser|library) general public", "2|2 1|3"),
+    ("lgpl", "general public", "gnu (?:lesser|library) general public", "2|2 1|3"),
     ("lgpl", "lgpl", "(?:gnu )?lgpl", "2|2 1|3"),
     ("agpl", "affero", "gnu affero general public", "1|3"),
     ("agpl", "agpl", "(?:gnu )?agpl", "1|3"),
@@ -32,15 +33,15 @@ FAMILIES = [
     ("epl", "eclipse public", "eclipse public", "1 0|2 0"),
     ("cddl", "common development and distribution", "common development and distribution", "1 0|1 1"),
     ("eupl", "european union public", "european union public", "1 0|1 1|1 2"),
-    ("osl", "open software license", "open software", "1 0|2 0|2 1|3 0"),
+    ("osl", "open software", "open software", "1 0|2 0|2 1|3 0"),
     ("afl", "academic free", "academic free", "1 1|1 2|2 0|2 1|3 0"),
-    ("artistic", "artistic license", "artistic", "1 0|2 0"),
+    ("artistic", "artistic", "artistic", "1 0|2 0"),
     ("bsl", "boost software", "boost software", "1 0"),
     ("ofl", "open font", "sil open font", "1 0|1 1"),
     ("odbl", "open database", "open database", "1 0"),
     ("odc-by", "open data commons", "open data commons attribution", "1 0"),
     ("psf", "python software foundation", "python software foundation", "2"),
-    ("php", "php license", "php", "3 0|3 01"),
+    ("php", "php", "php", "3 0|3 01"),
     ("ecl", "educational community", "educational community", "1 0|2 0"),
     ("cc0", "cc0", "(?:creative commons )?cc0", "1 0"),
     ("cc-by", "cc by", "cc by", "1 0|2 0|2 5|3 0|4 0"),
@@ -53,15 +54,15 @@ FAMILIES = [
     ("cc-by-sa", "creative commons", "creative commons attribution share ?alike", "1 0|2 0|2 5|3 0|4 0"),
     ("cc-by-nc", "creative commons", "creative commons attribution non ?commercial", "1 0|2 0|2 5|3 0|4 0"),
     ("cc-by-nd", "creative commons", "creative commons attribution no ?deriv(?:ative)?s", "1 0|2 0|2 5|3 0|4 0"),
-    ("mit", "mit license", "mit", ""),
-    ("isc", "isc license", "isc", ""),
-    ("zlib", "zlib license", "zlib", ""),
+    ("mit", "mit", "mit", ""),
+    ("isc", "isc", "isc", ""),
+    ("zlib", "zlib", "zlib", ""),
     ("unlicense", "unlicense", "unlicense", ""),
     ("wtfpl", "do what the fuck you want", "do what the fuck you want to public", ""),
     ("ms-pl", "microsoft public", "microsoft public", ""),
     ("bsd-2-clause", "2 clause", "(?:simplified )?bsd 2 clause", ""),
     ("bsd-3-clause", "3 clause", "(?:new )?bsd 3 clause", ""),
-    ("bsd", "bsd license", "bsd(?: style)?", ""),
+    ("bsd", "bsd", "bsd(?: style)?", ""),
 ]
 # Fixed sentences of public licenses: label, keyword, words.
 SENTENCES = [
@@ -78,7 +79,9 @@ SENTENCES = [
     ("no-redistribution", "may not be", "may not be (?:reproduced|redistributed|copied)(?: [a-z]+){0,6} without (?:prior )?(?:written )?permission"),
 ]
 #: Names that are words or companies too; alone they count only with the word license.
-COMMON_NAMES = ("apache", "artistic", "php", "mit", "isc", "zlib", "bsd")
+COMMON_NAMES = ("apache", "artistic", "open software", "php", "mit", "isc", "zlib", "bsd")
+#: Names that are written in one word with their version, as in GPLv2; a word that begins with one passes the keyword filter.
+ABBREVIATED = ("gpl", "lgpl", "agpl")
 UNDER = "(?:licensed|released|distributed|published|available|provided|shared) under (?:the )?(?:terms of (?:the )?)?"
 
 Rule = tuple[int, str, str, str, float]
@@ -95,7 +98,8 @@ def rules() -> tuple[Rule, ...]:
         made.append((40, family, "spdx", "spdx license identifier " + name, 0.95))
         for version in versions.split("|") if versions else ():
             label = f"{family}-{version.replace(' ', '.')}"
-            numbered = rf"{named}(?: version)? v?{version}(?: [0-9]+)?" if " " in version else rf"{named}(?: version)? v?{version}(?: 0)?"
+            gap = " ?" if keyword in ABBREVIATED else " "
+            numbered = rf"{named}(?: version)?{gap}v?{version}(?: [0-9]+)?" if " " in version else rf"{named}(?: version)?{gap}v?{version}(?: 0)?"
             made.append((30, label, keyword, numbered, 0.9))
             made.append((35, label, keyword, UNDER + numbered, 0.95))
             made.append((45, label, "spdx", f"spdx license identifier {name} {version}", 1.0))
@@ -108,13 +112,18 @@ def spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def sought(keyword: str) -> str:
+    """What the words of a text hold if they hold the keyword."""
+    return f" {keyword}" if keyword in ABBREVIATED else f" {keyword} "
+
+
 def _bounded(pattern: str) -> str:
     return f"(?<= )(?:{pattern})(?= )"
 
 
 def _struct(rule: Rule) -> Column:
     priority, label, keyword, pattern, confidence = rule
-    return F.struct(F.lit(priority).alias("priority"), F.lit(label).alias("label"), F.lit(f" {keyword} ").alias("keyword"), F.lit(_bounded(pattern)).alias("pattern"), F.lit(confidence).alias("confidence"))
+    return F.struct(F.lit(priority).alias("priority"), F.lit(label).alias("label"), F.lit(sought(keyword)).alias("keyword"), F.lit(_bounded(pattern)).alias("pattern"), F.lit(confidence).alias("confidence"))
 
 
 def _places(words: Column, rule: Column) -> Column:
@@ -166,7 +175,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     last = [F.col("n_words") - F.element_at(f"parts{i}", -1) + 1 - len(phrase.split()) for i, phrase in enumerate(BASE)]
     times = [F.coalesce(F.size(F.when(F.col(f"parts{i}").isNotNull(), F.col(f"parts{i}"))) - 1, F.lit(0)) for i in range(len(BASE))]
     met = [F.when(F.col(f"parts{i}").isNotNull(), F.lit(label)) for i, label in enumerate(BASE.values())]
-    gate = F.rlike("words", F.lit(" (?:" + "|".join(sorted({r[2] for r in rules()})) + ") "))
+    gate = F.rlike("words", F.lit(" (?:" + "|".join(sorted({sought(r[2])[1:] for r in rules()})) + ")"))
     rows = rows.select(
         "id",
         "n_words",

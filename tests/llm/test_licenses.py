@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from pagemill.llm.licenses import BASE, rules, scan_licenses
+from pagemill.llm.licenses import BASE, rules, scan_licenses, sought
 
 CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -71,3 +71,58 @@ def test_rules_are_many_and_gated():
 
 def test_empty_table(frame):
     assert scan_licenses(frame([])).count() == 0
+
+
+def shortest(pattern):
+    """Every string of the pattern without its optional parts, the first character of each class."""
+
+    def strings(parsed):
+        made = [""]
+        for kind, value in parsed:
+            if str(kind) == "LITERAL":
+                own = [chr(value)]
+            elif str(kind) == "IN":
+                own = [chr(v if str(k) == "LITERAL" else v[0]) for k, v in value]
+            elif str(kind) == "MAX_REPEAT":
+                own = strings(value[2]) if value[0] else [""]
+            elif str(kind) == "BRANCH":
+                own = [x for branch in value[1] for x in strings(branch)]
+            else:
+                own = strings(value[-1])
+            made = [a + b for a in made for b in own]
+        return made
+
+    return strings(re._parser.parse(pattern))
+
+
+def test_keywords_are_in_every_match():
+    for _, label, keyword, pattern, _ in rules():
+        for text in shortest(pattern):
+            assert re.fullmatch(pattern, text) and sought(keyword) in f" {text} ", (label, keyword, text)
+
+
+def test_rules_fire_without_their_optional_parts(frame):
+    own = [(label, shortest(pattern)[0]) for _, label, _, pattern, _ in rules()]
+    got = {r["doc_id"]: r for r in scan_licenses(frame([(i, f"x {text} x") for i, (_, text) in enumerate(own)])).collect()}
+    for i, (label, text) in enumerate(own):
+        assert any(d["first"] <= 1 and d["end"] >= len(text.split()) + 1 for d in got[i]["detections"]), (label, text)
+
+
+WORDINGS = [
+    ("released under the MIT", "mit"),
+    ("MIT licence", "mit"),
+    ("BSD-style license", "bsd"),
+    ("a new BSD licence", "bsd"),
+    ("shared under zlib", "zlib"),
+    ("ISC licence", "isc"),
+    ("GPLv2", "gpl-2"),
+    ("GPLv3 or later", "gpl-3-or-later"),
+    ("under LGPLv2.1", "lgpl-2.1"),
+    ("AGPLv3.0", "agpl-3"),
+    ("gplv gpls mit bsd", ""),
+]
+
+
+def test_short_wordings(frame):
+    got = {r["doc_id"]: r["labels"] for r in scan_licenses(frame([(i, f"Some words. {text}, and more.") for i, (text, _) in enumerate(WORDINGS)])).collect()}
+    assert [(text, got[i]) for i, (text, _) in enumerate(WORDINGS)] == WORDINGS
