@@ -10,11 +10,14 @@ from pagemill.llm.decontaminate import benchmark_matches
 from pagemill.llm.dedup import exact_duplicates
 from pagemill.llm.jaccard import jaccard_components
 from pagemill.llm.language import LanguageModel, fit_language_model, predict_language
+from pagemill.llm.fill_middle import fill_in_middle, restored
 from pagemill.llm.html_paths import extract_pages
 from pagemill.llm.licenses import scan_licenses
+from pagemill.llm.log_bilinear import score_texts
 from pagemill.llm.packing import pack_documents
 from pagemill.llm.quality import fit_quality, quality_score
 from pagemill.llm.secrets import dictionary, scan_secrets
+from pagemill.llm.simplex_clusters import cluster_vectors, with_inertia
 from pagemill.llm.token_counts import count_tokens
 from pagemill.session import apply_settings
 from workload import Catalogue, table
@@ -115,3 +118,60 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without the secrets themselves."""
     return scan_secrets(table(apply_settings(spark), sf_dir, "documents"), dictionary(PIECES)).drop("value")
+
+
+@catalogue.query()
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_texts(table(apply_settings(spark), sf_dir, "documents").select("doc_id", "text"), fold("doc_id", 7) != 2)
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def _clustering_sql(clusters: int = 8, rounds: int = 10) -> str:
+    """A step for every round; distances and means in whole numbers."""
+    gap = "CAST(list_sum(list_transform(list_zip(e.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)"
+    nearest = "SELECT e.r, e.vec_id, e.v, min({d: " + gap + ", c: c.c}) AS near FROM e, c%d c GROUP BY ALL"
+    steps = []
+    for i in range(rounds):
+        steps.append(f"a{i} AS MATERIALIZED ({nearest % i})")
+        steps.append(f"s{i} AS (SELECT near.c AS c, unnest(v) AS x, unnest(range(64)) AS pos FROM a{i})")
+        steps.append(f"m{i} AS (SELECT c, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM s{i} GROUP BY c, pos)")
+        steps.append(f"f{i} AS (SELECT c, list((s - ((s % n + n) % n)) // n ORDER BY pos) AS v FROM m{i} GROUP BY c)")
+        steps.append(f"c{i + 1} AS MATERIALIZED (SELECT o.c, coalesce(f.v, o.v) AS v FROM c{i} o LEFT JOIN f{i} f ON f.c = o.c)")
+    return f"""
+WITH e AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h) - 1 AS c, v FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, v FROM e ORDER BY h LIMIT {clusters})
+), {", ".join(steps)}, a AS MATERIALIZED ({nearest % rounds})
+SELECT a.vec_id, CAST(near.c AS INTEGER) AS cluster, near.d AS distance, CAST(sum(near.d) OVER (PARTITION BY near.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(near.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a JOIN c{rounds} c ON c.c = a.near.c
+"""
+
+
+@catalogue.query(_clustering_sql())
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_inertia(*cluster_vectors(table(apply_settings(spark), sf_dir, "embeddings"))).drop("compared")
+
+
+@catalogue.query(
+    """WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), x AS (
+    SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS one, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS two,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+                WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d
+), p AS (
+    SELECT *, least(one, two) AS low, greatest(one, two) AS high, substr(t, 1, low) AS prefix, substr(t, low + 1, high - low) AS middle, substr(t, high + 1) AS suffix FROM x
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars, CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p"""
+)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(apply_settings(spark), sf_dir, "documents"))
+    texts = made.withColumn("restored", restored(F.col("output"), F.col("form")))
+    digest = [F.sha2(F.col(c), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return texts.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digest)
