@@ -131,27 +131,32 @@ def with_apexes(rows: DataFrame, simplex: Simplex, kind: str) -> DataFrame:
     return rows.mapInArrow(projected, f"key {kind}, q array<int>, apex array<double>")
 
 
-def cluster_sums(rows: DataFrame, nearest: Nearest, dimensions: int) -> dict[int, tuple[int, list[int]]]:
-    """Rows and exact component sums of every centroid that has any; a task passes on one row per centroid."""
+def cluster_sums(rows: DataFrame, nearest: Nearest, dimensions: int) -> tuple[dict[int, tuple[int, list[int]]], float]:
+    """Rows and exact component sums of every centroid that has any, and how many centroids were compared per row.
+
+    A task passes on a number per centroid and component.
+    """
 
     def summed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(len(nearest.centroids), np.int64)
-        sums = np.zeros((len(nearest.centroids), dimensions), np.int64)
+        sums = np.zeros((len(nearest.centroids), dimensions + 2), np.int64)  # the last: rows and comparisons
         for part in lean(parts):
             if part.num_rows:
                 q = _matrix(part.column(0), np.int64)
-                cluster, _, _ = nearest.assign(q, _matrix(part.column(1), np.float64), exact=False)
+                cluster, _, compared = nearest.assign(q, _matrix(part.column(1), np.float64), exact=False)
                 for i in np.unique(cluster):
                     own = q[cluster == i]
-                    count[i] += len(own)
-                    sums[i] += own.sum(axis=0)
-        seen = np.flatnonzero(count)
-        yield pa.record_batch([pa.array(seen.astype(np.int32)), pa.array(count[seen]), *(pa.array(sums[seen, j]) for j in range(dimensions))], ["cluster", "n", *names])
+                    sums[i, -2:] += len(own), compared[cluster == i].sum()
+                    sums[i, :-2] += own.sum(axis=0)
+        cluster, place = np.nonzero(np.ones_like(sums) * (sums[:, -2:-1] > 0))
+        yield pa.record_batch([pa.array(cluster.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(sums[cluster, place])], ["cluster", "place", "s"])
 
-    names = [f"s{j}" for j in range(dimensions)]
-    partial = rows.select("q", "apex").mapInArrow(summed, "cluster int, n long, " + ", ".join(f"{s} long" for s in names))
-    total = partial.groupBy("cluster").agg(F.sum("n").alias("n"), *(F.sum(F.col(s).cast("decimal(38,0)")).alias(s) for s in names))
-    return {row["cluster"]: (row["n"], [int(row[s]) for s in names]) for row in total.collect()}  # a row per centroid
+    partial = rows.select("q", "apex").mapInArrow(summed, "cluster int, place int, s long")
+    total = partial.groupBy("cluster", "place").agg(F.sum(F.col("s").cast("decimal(38,0)")).alias("s")).collect()  # a row per centroid and component
+    found: dict[int, list[int]] = {}
+    for row in total:
+        found.setdefault(row["cluster"], [0] * (dimensions + 2))[row["place"]] = int(row["s"])
+    comparisons = sum(own[-1] for own in found.values()) / max(sum(own[-2] for own in found.values()), 1)
+    return {i: (own[-2], own[:-2]) for i, own in found.items()}, comparisons
 
 
 def assigned_rows(rows: DataFrame, nearest: Nearest, kind: str) -> DataFrame:
@@ -167,7 +172,7 @@ def assigned_rows(rows: DataFrame, nearest: Nearest, kind: str) -> DataFrame:
 
 
 def cluster_vectors(
-    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", clusters: int = 8, rounds: int = 10, dimensions: int = 64, scale: int = 1024, salt: str = "3:", pivots: int = 8,
+    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", clusters: int = 8, rounds: int = 10, dimensions: int = 64, scale: int = 1024, salt: str = "3:", pivots: int = 8, renew_above: float = 2.0,
 ) -> tuple[DataFrame, list[list[int]]]:
     """Per kept vector: key, ``cluster``, ``distance``, ``compared`` (centroids that the bounds left over); and the centroids.
 
@@ -176,18 +181,24 @@ def cluster_vectors(
     key as no text; equal ones by their components); fewer vectors make fewer clusters. A round assigns all vectors and
     moves every centroid that has any to their componentwise ``floor(sum / count)``. Rows that repeat a key are vectors
     of their own. Without kept vectors the result is empty.
+
+    Pivots are centroids, as bounds are sharp for what lies in the pivots' own space. Once centroids have moved so far from
+    it that more than ``renew_above`` of them are left over per vector, they become the pivots and distances are cached
+    anew; what is assigned does not depend on it. There is at least one round.
     """
     kind = vectors.schema[key].dataType.simpleString()
     whole = whole_vectors(vectors, key, vector, dimensions, scale)
     digest = F.sha2(F.concat(F.lit(salt), F.coalesce(F.col("key").cast("string"), F.lit(""))), 256)
-    first = whole.select("q", digest.alias("digest")).orderBy("digest", "q").limit(max(clusters, 64)).collect()
-    points = np.array([row["q"] for row in first], np.int64).reshape(-1, dimensions)
-    simplex = Simplex(points, pivots)
-    cached = written(with_apexes(whole, simplex, kind), "apexes")
-    centroids = points[:clusters].copy()
-    for _ in range(rounds if len(centroids) else 0):
-        for i, (n, sums) in cluster_sums(cached, Nearest(centroids, simplex), dimensions).items():
-            centroids[i] = [s // n for s in sums]
+    first = whole.select("q", digest.alias("digest")).orderBy("digest", "q").limit(clusters).collect()
+    centroids = np.array([row["q"] for row in first], np.int64).reshape(-1, dimensions)
+    compared = np.inf
+    for _ in range(rounds):
+        if compared > renew_above:
+            simplex = Simplex(centroids, pivots)
+            cached = written(with_apexes(whole, simplex, kind), "apexes")
+        sums, compared = cluster_sums(cached, Nearest(centroids, simplex), dimensions)
+        for i, (n, own) in sums.items():
+            centroids[i] = [s // n for s in own]
     found = assigned_rows(cached, Nearest(centroids, simplex), kind)
     return found.withColumnRenamed("key", key), centroids.tolist()
 
