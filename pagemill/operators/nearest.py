@@ -12,12 +12,14 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from pagemill.functions.vectors import cosine, hamming, sign_words
 from pagemill.operators.topk import DIGITS, BestScores, query_chunks, rank_scores, score_slices
+from pagemill.session import broadcast_if_small, written
 
 BROADCAST_BYTES = 64 << 20
 RESULT = "query_id long, item_id long, score double"
@@ -55,12 +57,12 @@ def hamming_then_cosine(
     return ranked if k is None else ranked.filter(F.col("rank") <= k)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def matrix_of(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def _unit(matrix: np.ndarray) -> np.ndarray:
+def unit_rows(matrix: np.ndarray) -> np.ndarray:
     lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
 
@@ -102,7 +104,7 @@ def _result(best: BestScores, query_ids: np.ndarray) -> pd.DataFrame:
 def _scan(items: DataFrame, queries: DataFrame, k: int, include_self: bool) -> DataFrame:
     rows = queries.orderBy("id").collect()
     ids = np.array([row["id"] for row in rows], dtype=np.int64)
-    matrix = _unit(np.array([row["v"] for row in rows], dtype=np.float64)) if rows else np.zeros((0, 0))
+    matrix = unit_rows(np.array([row["v"] for row in rows], dtype=np.float64)) if rows else np.zeros((0, 0))
     shared = items.sparkSession.sparkContext.broadcast((ids, matrix))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +113,7 @@ def _scan(items: DataFrame, queries: DataFrame, k: int, include_self: bool) -> D
         for batch in batches:
             if batch.num_rows and len(query_ids):
                 item_ids = batch.column("id").to_numpy()
-                _score(best, query_ids, query_matrix, item_ids, _unit(_matrix(batch.column("v"))), include_self)
+                _score(best, query_ids, query_matrix, item_ids, unit_rows(matrix_of(batch.column("v"))), include_self)
         yield pa.RecordBatch.from_pandas(_result(best, query_ids), preserve_index=False)
 
     return items.mapInArrow(scan, RESULT)
@@ -122,42 +124,73 @@ def all_pairs_top_k(vectors: DataFrame, key: str, vector: str, k: int) -> DataFr
     return top_k(vectors, key, vector, vectors, key, vector, k, include_self=False)
 
 
+def _row_blocks(rows: DataFrame, key: str, vector: str, block_rows: int) -> DataFrame:
+    """``block, keys, matrix``: the rows of each task in blocks of at most ``block_rows``, the vectors one after the other."""
+    kind = rows.schema[key].dataType.simpleString()
+
+    def blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for start in range(0, batch.num_rows, block_rows):
+                part = batch.slice(start, block_rows)
+                keys = pa.ListArray.from_arrays([0, part.num_rows], part.column(0))
+                matrix = pa.array([matrix_of(part.column(1)).ravel()], pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([pa.array([block]), keys, matrix], ["block", "keys", "matrix"])
+                block += 1
+
+    return rows.select(key, vector).mapInArrow(blocked, f"block long, keys array<{kind}>, matrix array<double>")
+
+
+def _ordered_blocks(rows: DataFrame, key: str, vector: str, blocks: int) -> DataFrame:
+    """``no, matrix``: all vectors by ascending key, null ones first, in about so many ranges of keys, numbered in order.
+
+    Equal keys are ordered by their vectors, so that a key of very many rows is cut like any other.
+    """
+    ranges = rows.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v")).repartitionByRange(blocks, "k", "v").sortWithinPartitions("k", "v")
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [matrix_of(batch.column(1)) for batch in batches if batch.num_rows]
+        if parts:
+            matrix = pa.array([np.concatenate(parts).ravel()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([sum(map(len, parts))]), matrix], ["no", "width", "matrix"])
+
+    return ranges.mapInArrow(numbered, "no int, width long, matrix array<double>")
+
+
 def dot_matrix(
     left: DataFrame, left_key: str, left_vector: str, right: DataFrame, right_key: str, right_vector: str,
-    batch_bytes: int = BROADCAST_BYTES,
+    batch_bytes: int = BROADCAST_BYTES, block_rows: int = 4096,
 ) -> DataFrame:
     """``left @ right.T`` as one row per left vector: ``(left_key, scores)``, scores in order of the right keys.
 
-    The right side goes to every task in ranges of keys of at most ``batch_bytes``; the left side is scanned once per
-    range, and with several the pieces of a row meet in a shuffle.
+    Both sides are cut into blocks, the right one into ranges of keys of about ``batch_bytes``, null keys first. Every
+    block of the left is dealt once to every range and meets it by an equi-join on the range's number (by a broadcast
+    only if the right side is measured small); with several ranges, the pieces of a left block meet in a shuffle and are
+    put together by their numbers. Null vectors are left out on both sides; rows that repeat a key are rows of their own.
     """
-    right = right.select(F.col(right_key).alias("id"), F.col(right_vector).alias("v"))
-    ranges = -(-_bytes(right, "v") // batch_bytes)
-    if ranges <= 1:
-        return _products(left, left_key, left_vector, right)
-    cuts = right.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], 100_000)).first()[0]
-    bounds = [None, *sorted(set(cuts)), None]
-    parts = []
-    for no, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-        part = right if low is None else right.filter(F.col("id") > low)
-        part = part if high is None else part.filter(F.col("id") <= high)
-        parts.append(_products(left, left_key, left_vector, part).withColumn("no", F.lit(no)))
-    pieces = reduce(DataFrame.union, parts).groupBy(left_key).agg(F.sort_array(F.collect_list(F.struct("no", "scores"))).alias("pieces"))
-    return pieces.select(left_key, F.flatten("pieces.scores").alias("scores"))
-
-
-def _products(left: DataFrame, left_key: str, left_vector: str, right: DataFrame) -> DataFrame:
-    rows = right.orderBy("id").select("v").collect()
-    matrix = np.array([row[0] for row in rows], dtype=np.float64)
-    shared = left.sparkSession.sparkContext.broadcast(matrix)
-
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    left, right = left.filter(F.col(left_vector).isNotNull()), right.filter(F.col(right_vector).isNotNull())
+    ranges = max(1, -(-_bytes(right, right_vector) // batch_bytes))
+    columns = written(_ordered_blocks(right, right_key, right_vector, ranges), "column-blocks")
+    numbers = sorted(row["no"] for row in columns.select("no").collect())  # as many as there are ranges
+    if not numbers:
+        return left.select(left_key, F.array().cast("array<double>").alias("scores"))
+    kind = left.schema[left_key].dataType.simpleString()
+    rows = _row_blocks(left, left_key, left_vector, block_rows).withColumn("no", F.explode(F.lit(numbers)))
+    met = rows.withColumnRenamed("matrix", "row_matrix").join(broadcast_if_small(columns, BROADCAST_BYTES), "no")
+
+    def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                scores = _matrix(batch.column(1)) @ shared.value.T if len(shared.value) else np.zeros((batch.num_rows, 0))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(list(scores), pa.list_(pa.float64()))], [left_key, "scores"]
-                )
-
-    key_type = dict(left.dtypes)[left_key]
-    return left.select(left_key, left_vector).mapInArrow(multiply, f"{left_key} {key_type}, scores array<double>")
+            for i in range(batch.num_rows):
+                keys, width = batch.column("keys")[i].values, batch.column("width")[i].as_py()
+                one, two = (batch.column(c)[i].values.to_numpy() for c in ("row_matrix", "matrix"))
+                scores = one.reshape(len(keys), -1) @ two.reshape(width, -1).T
+                place = batch.column("block")[i].as_py()
+                lists = pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * width, scores.ravel())
+                columns = [pa.array(np.full(len(keys), place)), pa.array(np.arange(len(keys), dtype=np.int32)), keys, pa.array(np.full(len(keys), batch.column("no")[i].as_py(), np.int32)), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "place", "key", "no", "scores"])
+
+    pieces = met.select("block", "keys", "row_matrix", "no", "width", "matrix").mapInArrow(multiplied, f"block long, place int, key {kind}, no int, scores array<double>")
+    if len(numbers) > 1:
+        pieces = pieces.groupBy("block", "place").agg(F.first("key").alias("key"), F.sort_array(F.collect_list(F.struct("no", "scores"))).alias("parts"))
+        pieces = pieces.withColumn("scores", F.flatten("parts.scores"))
+    return pieces.select(F.col("key").alias(left_key), "scores")

@@ -7,6 +7,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from pagemill.functions import vectors as V
+from pagemill.operators import cells as C
+from pagemill.operators import code_index as H
 from pagemill.operators import nearest as N
 from pagemill.session import written
 from workload import Catalogue, spread_table
@@ -135,3 +137,47 @@ def all_pairs_top_3(spark, sf_dir):
         "score",
         F.col("rank").cast("bigint").alias("rank"),
     )
+
+
+ASKED = "q AS (SELECT vec_id AS query_id, v AS q FROM e WHERE vec_id % 100 = 0)"
+CELLS = 16
+
+
+def asked_vectors(spark, sf_dir):
+    return embeddings(spark, sf_dir).filter(F.col("vec_id") % 100 == 0)
+
+
+@catalogue.query(f"""
+    WITH {DOUBLES}, {ASKED},
+    s AS (SELECT query_id, vec_id, round(list_cosine_similarity(q, v), 6) AS score FROM q JOIN e ON vec_id <> query_id)
+    SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+    FROM s QUALIFY rank <= 10
+""")
+def nearest_in_cells(spark, sf_dir):
+    """The ten nearest vectors of every hundredth one, from cells read until no other can hold a nearer one."""
+    index = C.build_cells(embeddings(spark, sf_dir), "vec_id", "embedding", CELLS)
+    found = C.search_cells(index, asked_vectors(spark, sf_dir), "vec_id", "embedding", k=10, probes=4, exact=True, include_self=False)
+    return found.select("query_id", F.col("item_id").alias("vec_id"), "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+@catalogue.query()
+def nearest_probed_cells(spark, sf_dir):
+    """The same from as many cells as find 97 per cent of the ten best of a sample of the queries."""
+    index = C.build_cells(embeddings(spark, sf_dir), "vec_id", "embedding", CELLS)
+    asked = written(asked_vectors(spark, sf_dir), "asked-vectors")
+    probes = C.probes_for_recall(index, asked, "vec_id", "embedding", k=10, recall=0.97)
+    found = C.search_cells(index, asked, "vec_id", "embedding", k=10, probes=probes)
+    return found.select("query_id", F.col("item_id").alias("vec_id"), "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+@catalogue.query(f"""
+    WITH {DOUBLES}, {ASKED},
+    d AS (SELECT query_id, vec_id, CAST(list_sum(list_transform(range(1, len(v) + 1), lambda i: CASE WHEN (v[i] > 0) <> (q[i] > 0) THEN 1 ELSE 0 END)) AS INTEGER) AS distance FROM q, e)
+    SELECT query_id, vec_id, distance FROM d WHERE distance <= 18
+""")
+def hamming_neighbours(spark, sf_dir):
+    """All vectors whose sign bits differ in at most 18 of 64 places from those of every hundredth one."""
+    coded = N.with_codes(embeddings(spark, sf_dir), "embedding").select("vec_id", "code")
+    index = H.code_index(coded, "vec_id", "code", words=1)
+    found = H.within_radius(index, coded.filter(F.col("vec_id") % 100 == 0), "vec_id", "code", radius=18, words=1)
+    return found.select("query_id", F.col("id").alias("vec_id"), "distance")
