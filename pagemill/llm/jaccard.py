@@ -3,11 +3,14 @@
 Every different set is indexed under its rarest shingles, as many as any partner must meet (prefix filter). Index lists
 hold ``(size, set, position)``. Two skips on set relations keep the lists cheap:
 
-* lists are cut into blocks by set size and a pair is skipped by position alone where the shingles that are left on
-  either side cannot reach the needed overlap;
-* a set that is highly similar to the head of its list takes over the head's computed answers, so that only pairs which
-  those answers leave open are compared: sets already in one component are never compared again, and a list whose sets
-  all are drops out. This keeps a group of many near copies linear in its size.
+* lists are in blocks ordered by size and position; two blocks are skipped where no sizes and positions in them leave the
+  needed overlap possible, and so is a pair, before it becomes a row;
+* every set is first compared with the heads of its lists, the sets that meet the most others, and answers are derived from
+  theirs: what links to a head is in its component and never compared within it again, and for two sets whose exact overlaps
+  with one head are known, these bound their own overlap, so that only pairs that the bound leaves open are compared.
+
+A group of many near copies meets few heads, as the text that they are copies of, or the closest to it, shares the most with
+them; it stays linear in its size.
 
 No pair at or above the threshold is lost: every linked pair ends in one component.
 """
@@ -133,7 +136,7 @@ def signatures(docs: DataFrame, key: str, text: str, k: int, percent: int, commo
 
 
 def index_lists(signed: DataFrame) -> DataFrame:
-    """Lists ``shingle, chunk, members`` (size, set, position) of all shingles that more than one set is indexed under.
+    """Lists ``shingle, chunk, members`` (n, set, position) of all shingles that more than one set is indexed under.
 
     The index knows a shingle by 40 bits: a rare chance meeting costs a comparison and changes no answer.
     """
@@ -145,47 +148,86 @@ def index_lists(signed: DataFrame) -> DataFrame:
     dealt = rows.repartition("shingle", "chunk")  # long lists are in chunks of bounded size
     lists = dealt.groupBy("shingle", "chunk").agg(F.collect_set(F.struct("place", "set")).alias("members"))
     lists = lists.filter((F.size("members") > 1) | (F.col("chunk") > 0))
-    members = F.transform(F.sort_array("members"), lambda m: F.struct(F.shiftright(m["place"], 32).alias("n"), m["set"].alias("set"), m["place"].bitwiseAND(0xFFFFFFFF).alias("position")))
+    members = F.transform("members", lambda m: F.struct(F.shiftright(m["place"], 32).alias("n"), m["set"].alias("set"), m["place"].bitwiseAND(0xFFFFFFFF).alias("position")))
     return lists.select("shingle", "chunk", members.alias("members"))
 
 
+def meetings(lists: DataFrame) -> DataFrame:
+    """``set, degree``: with how many others a set meets, summed over its lists; a rough measure of how central it is."""
+    return lists.select(F.explode("members.set").alias("set"), F.size("members").alias("size")).groupBy("set").agg(F.sum("size").alias("degree"))
+
+
+def with_state(lists: DataFrame, state: DataFrame) -> DataFrame:
+    """The lists with what is known of each member: degree, label of its component, and head with the overlap (``shared``).
+
+    Lists whose members are all in one component drop out, as do chunks of one list that together have only one. Members
+    are ordered by degree, the most central first.
+    """
+    member = lists.select("shingle", "chunk", F.explode("members").alias("m")).select("shingle", "chunk", "m.n", "m.set", "m.position")
+    known = member.join(state, "set", "left").withColumn("label", F.coalesce("label", "set"))
+    entry = F.struct((-F.coalesce("degree", F.lit(0))).alias("less"), F.xxhash64("set").alias("hash"), "n", "set", "position", "label", "head", "shared")
+    lists = known.groupBy("shingle", "chunk").agg(F.sort_array(F.collect_list(entry)).alias("members"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    lists = written(lists.filter("chunk > 0 or lo <> hi"), "open-lists")
+    chunks = lists.filter("chunk > 0")
+    several = chunks.groupBy("shingle").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("shingle")
+    return lists.filter("chunk = 0").union(chunks.join(several, "shingle", "left_semi")).select("shingle", "chunk", "members")
+
+
 def may_link(a: Column, b: Column, percent: int) -> Column:
-    """Whether two list members can reach the needed overlap by their sizes and by what is left after their positions."""
+    """Whether two list members can reach the needed overlap by their sizes, positions and overlaps with a common head."""
     small, large = F.least(a["n"], b["n"]), F.greatest(a["n"], b["n"])
     left = F.least(a["n"] - a["position"], b["n"] - b["position"])
-    return (100 * small >= percent * large) & ((100 + percent) * left >= percent * (small + large))
+    derived = F.least(a["shared"], b["shared"]) + F.least(a["n"] - a["shared"], b["n"] - b["shared"])
+    most = F.when(a["head"] == b["head"], F.least(left, derived)).otherwise(left)
+    return (100 * small >= percent * large) & ((100 + percent) * most >= percent * (small + large))
 
 
 def pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def head_pairs(lists: DataFrame, heads: Column, percent: int) -> DataFrame:
-    """Every member with the heads of its list; in one component already, a pair is answered."""
-    both = lists.select("members", F.explode(F.array_distinct(heads)).alias("head")).select("head", F.explode("members").alias("member"))
-    both = both.filter((F.col("head.set") != F.col("member.set")) & may_link(F.col("head"), F.col("member"), percent))
-    if "label" in lists.selectExpr("members[0] as m").select("m.*").columns:
-        both = both.filter("head.label <> member.label")
-    return both.select(*pair(F.col("head.set"), F.col("member.set"))).distinct()
-
+def head_pairs(lists: DataFrame, first: int, percent: int, heads: int = 2) -> DataFrame:
+    """``a, b, head``: the members of every list with its heads, the next most central from number ``first`` on.
 
-def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """The lists, members with their components' labels, of shingles under which there are several components."""
-    member = lists.select("shingle", "chunk", F.explode("members").alias("m")).select("shingle", "chunk", "m.*").drop("label")
-    member = member.join(labels.withColumnRenamed("node", "of"), F.col("set") == F.col("of"), "left").withColumn("label", F.coalesce("label", "set"))
-    lists = member.groupBy("shingle", "chunk").agg(F.collect_list(F.struct("n", "set", "position", "label")).alias("members"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    lists = written(lists.filter("chunk > 0 or lo <> hi"), "open-lists")
-    chunks = lists.filter("chunk > 0")
-    several = chunks.groupBy("shingle").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("shingle")
-    return lists.filter("chunk = 0").union(chunks.join(several, "shingle", "left_semi")).select("shingle", "chunk", "members")
+    The chunks of a long list also share one head, the most central of theirs, so that they become one component.
+    """
+    dealt = lists.filter("chunk > 0")
+    shared = dealt.select("shingle", F.get("members", F.lit(first - 1)).alias("top")).groupBy("shingle").agg(F.min("top").alias("top"))
+    dealt = dealt.join(shared, "shingle", "left")
+    lists = lists.filter("chunk = 0").withColumn("top", F.lit(None)).unionByName(dealt)
+    some = F.filter(F.array_distinct(F.concat(F.slice("members", first, heads), F.array("top"))), lambda m: m.isNotNull())
+    asked = F.transform(
+        some, lambda h: F.transform(F.filter("members", lambda m: (m["label"] != h["label"]) & may_link(h, m, percent)), lambda m: F.struct(*pair(h["set"], m["set"]), h["set"].alias("head")))
+    )
+    return lists.select(F.explode(F.flatten(asked)).alias("p")).select("p.*").groupBy("a", "b").agg(F.min("head").alias("head"))
+
+
+def blocks(lists: DataFrame, size: int = 64) -> DataFrame:
+    """``shingle, no, few, many, at, block``: members in order of size and position, ``size`` of them together.
+
+    ``few`` and ``many`` are the bounds of their sizes, ``at`` is their smallest position. A list's chunks number their
+    blocks apart.
+    """
+    members = F.transform("members", lambda m: F.struct("shingle", m["n"].alias("n"), m["position"].alias("position"), m["set"].alias("set"), m["label"].alias("label"), m["head"].alias("head"), m["shared"].alias("shared")).dropFields("shingle"))
+    ordered = lists.select("shingle", "chunk", F.sort_array(members).alias("members"))
+    starts = F.sequence(F.lit(0), F.floor((F.size("members") - 1) / size).cast("int"))
+    cut = ordered.select("shingle", "chunk", "members", F.explode(starts).alias("part"))
+    block = F.slice("members", F.col("part") * size + 1, size)
+    no = F.shiftleft(F.col("chunk").cast("long"), 32) + F.col("part")
+    return cut.select("shingle", no.alias("no"), block.alias("block")).selectExpr("shingle", "no", "block[0].n few", "block[size(block) - 1].n many", "array_min(block.position) at", "block")
 
 
 def open_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of list members that no component joins."""
-    member = lists.select("shingle", F.explode("members").alias("m"))
-    x, y = member.alias("x"), member.alias("y")
-    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.m.label") < F.col("y.m.label")) & may_link(F.col("x.m"), F.col("y.m"), percent))
-    return met.select(*pair(F.col("x.m.set"), F.col("y.m.set"))).distinct()
+    """All pairs of list members in different components that no bound rules out; blocks meet, and only such pairs become rows."""
+    cut = written(blocks(lists), "list-blocks")
+    x, y = cut.alias("x"), cut.alias("y")
+    need = percent * (F.col("x.few") + F.col("y.few"))
+    left = F.least(F.col("x.many") - F.col("x.at"), F.col("y.many") - F.col("y.at"))
+    near = (100 * F.col("x.many") >= percent * F.col("y.few")) & (100 * F.col("y.many") >= percent * F.col("x.few")) & ((100 + percent) * left >= need)
+    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.no") <= F.col("y.no")) & near)
+    once = lambda a, b: (a["label"] != b["label"]) & ((F.col("x.no") < F.col("y.no")) | (a["set"] < b["set"]))
+    found = F.transform(F.col("x.block"), lambda a: F.transform(F.filter(F.col("y.block"), lambda b: once(a, b) & may_link(a, b, percent)), lambda b: F.struct(*pair(a["set"], b["set"]))))
+    return met.select(F.explode(F.flatten(found)).alias("p")).select("p.*").distinct()
 
 
 def _overlap(x: np.ndarray, y: np.ndarray) -> int:
@@ -249,21 +291,22 @@ def sets_of(docs: DataFrame, key: str, text: str, k: int, wanted: DataFrame) ->
     return rows.union(others.join(unnamed, "set", "left_semi").dropDuplicates(["set"]))
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs at or above the threshold, from the whole sets."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b, n, m, shared``: sizes and overlap of the pairs, from the whole sets."""
 
-    def compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in lean(parts):
             x, y = part.column(2), part.column(3)
-            keep = []
+            sizes = []
             for i in range(len(part)):
                 one, two = np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64)
-                keep.append((100 + percent) * _overlap(one, two) >= percent * (len(one) + len(two)))
-            yield pa.record_batch([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                sizes.append((len(one), len(two), _overlap(one, two)))
+            sizes = np.array(sizes, np.int64).reshape(-1, 3)
+            yield pa.record_batch([part.column(0), part.column(1), *(pa.array(sizes[:, i]) for i in range(3))], ["a", "b", "n", "m", "shared"])
 
     one = pairs.join(sets.select(F.col("set").alias("a"), F.col("shingles").alias("x")), "a")
     both = one.join(sets.select(F.col("set").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(compared, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(counted, "a long, b long, n long, m long, shared long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -309,26 +352,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     of_set = signed.filter("n > 0").groupBy("set", "n").agg(F.min("id").alias("least"))
     of_set = written(of_set, "sets")
     lists = written(index_lists(signed.filter("n > 0")), "index-lists")
-
-    def answers(pairs: DataFrame) -> DataFrame:
-        near = written(within_reach(pairs, signed, percent), "pairs-within-reach")
-        wanted = near.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(of_set, "set")
-        return written(linked(near, written(sets_of(docs, key, text, k, wanted), "shingle-sets"), percent).distinct(), "links")
-
-    size, hashed = F.size("members"), F.transform("members", lambda m: F.struct(F.xxhash64(m["set"]).alias("hash"), m.alias("m")))
-    tested = written(head_pairs(lists, F.array(F.col("members")[0], F.element_at("members", ((size + 1) / 2).cast("int"))), percent), "pairs")
-    links = answers(tested)
-    labels = components(links)
-    lists = open_lists(lists.filter((size > 2) | (F.col("chunk") > 0)), labels)  # a pair of two is answered
-    for pairs in (lambda x: head_pairs(x, F.array(F.array_min(hashed)["m"], F.array_max(hashed)["m"]), percent), lambda x: open_pairs(x, percent)):
-        more = written(pairs(lists).join(tested, ["a", "b"], "left_anti"), "pairs")
-        if more.isEmpty():
-            continue
-        tested, found = tested.union(more), answers(more)
-        if not found.isEmpty():
-            links = labels.select(F.col("label").alias("a"), F.col("node").alias("b")).union(found)  # what is known, as stars
-            labels = components(links)
-            lists = open_lists(lists, labels)
+    labels = _answered(docs, key, text, k, percent, signed, of_set, lists)
     named = of_set.join(labels, of_set["set"] == labels["node"], "left").select("set", "n", "least", F.coalesce("label", "set").alias("label"))
     names = named.groupBy("label").agg(F.min("least").alias("component_id"))
     sets = named.join(names, "label").select("set", "n", "component_id")
@@ -336,3 +360,28 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     out = rows.join(sets, ["set", "n"], "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
+
+def _answered(docs: DataFrame, key: str, text: str, k: int, percent: int, signed: DataFrame, of_set: DataFrame, lists: DataFrame) -> DataFrame:
+    """``node, label``: the components of all sets that have a link."""
+    spark = docs.sparkSession
+    labels = spark.createDataFrame([], "node long, label long")
+    tested = spark.createDataFrame([], "a long, b long")
+    overlaps = spark.createDataFrame([], "set long, head long, shared long")
+    degree = written(meetings(lists), "meetings")
+    for step in (1, 3, None):  # heads, more heads of what is open, all that is then open
+        best = overlaps.groupBy("set").agg(F.max(F.struct("shared", "head")).alias("best")).select("set", "best.shared", "best.head")
+        state = degree.join(labels.withColumnRenamed("node", "set"), "set", "left").join(best, "set", "left")
+        lists = with_state(lists, state)
+        more = open_pairs(lists, percent).withColumn("head", F.lit(None).cast("long")) if step is None else head_pairs(lists, step, percent)
+        more = written(more.join(tested, ["a", "b"], "left_anti"), "pairs")
+        near = written(within_reach(more.select("a", "b"), signed, percent), "pairs-within-reach")
+        wanted = near.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(of_set, "set")
+        found = written(compared(near, written(sets_of(docs, key, text, k, wanted), "shingle-sets")), "compared")
+        links = found.filter(F.expr(f"{100 + percent} * shared >= {percent} * (n + m)")).select("a", "b")
+        if not links.isEmpty():
+            labels = components(labels.select(F.col("label").alias("a"), F.col("node").alias("b")).union(links))  # what is known, as stars
+        if step is not None:
+            tested = tested.union(more.select("a", "b"))
+            own = found.select("a", "b", "shared").join(more, ["a", "b"]).select(F.when(F.col("head") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("set"), "head", "shared")
+            overlaps = written(overlaps.union(own), "overlaps")
+    return labels
