@@ -50,11 +50,19 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every component of texts that share 80 per cent of their five-word shingles: the smallest doc_id."""
+    """One document of every component of texts that share 80 per cent of their five-word shingles: the smallest doc_id.
+
+    A row is known by a hash of its doc_id and text, so that other texts of the same doc_id, or without one, are decided for
+    themselves; a null doc_id counts as larger than any other.
+    """
     apply_settings(spark)
-    key = fresh("key")
-    kept = jaccard_components(docs).filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias(key))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
+    row, component, kept, least = fresh("row"), fresh("component"), fresh("kept"), fresh("least")
+    marked = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    found = jaccard_components(marked.select(row, "text"), key=row).select(row, F.col("component_id").alias(component))
+    named = found.join(marked.select(row, F.col("doc_id").alias(least)).distinct(), row)
+    order = F.struct(F.col(least).isNull(), F.col(least), F.col(row))
+    first = named.groupBy(component).agg(F.min_by(row, order).alias(kept)).select(F.col(kept).alias(row))
+    return marked.join(first, row, "left_semi").drop(row)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,6 +48,15 @@ def test_every_stage_takes_effect(spark, folder):
     assert sorted(keys(corpus_pipeline.run(spark, folder))) == keys(out["packing"])
 
 
+def test_near_copies_with_shared_and_null_keys(spark, frame, folder):
+    """Rows are decided by their texts: a dropped one does not stay because a kept one has its key."""
+    near, other = prose(60, 100), prose(61, 100)
+    rows = [(1, near), (2, near + " end"), (2, other), (None, near + " last"), (None, other + " last"), (None, prose(62, 100)), (5, None), (5, "")]
+    kept = dict(STAGES)["near_dedup"](spark, frame(rows), folder)
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect() if r["text"]) == sorted([("1", near), ("2", other), ("None", prose(62, 100))])
+    assert kept.filter("doc_id = 5").count() == 2
+
+
 def test_empty_documents(spark, folder, tmp_path):
     empty = str(tmp_path)
     shutil.copytree(f"{folder}/benchmark.parquet", f"{empty}/benchmark.parquet")
