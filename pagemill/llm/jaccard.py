@@ -186,16 +186,21 @@ def pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def head_pairs(lists: DataFrame, first: int, percent: int, heads: int = 2) -> DataFrame:
-    """``a, b, head``: the members of every list with its heads, the next most central from number ``first`` on.
+def head_pairs(lists: DataFrame, percent: int, heads: int, central: bool) -> DataFrame:
+    """``a, b, head``: the members of every list with its heads: the most central ones, or some by a hash.
 
-    The chunks of a long list also share one head, the most central of theirs, so that they become one component.
+    The order of heads is the same in all lists, so that a set meets few. Of a group whose centre has united most, the
+    others are met with heads anywhere in it: only what is not yet in their component is compared. The chunks of a long
+    list also share one head, the first of theirs, so that they become one component.
     """
+    if not central:
+        mixed = F.transform("members", lambda m: F.struct(m["hash"].alias("hash"), m["n"].alias("n"), m["set"].alias("set"), m["position"].alias("position"), m["label"].alias("label"), m["head"].alias("head"), m["shared"].alias("shared")))
+        lists = lists.withColumn("members", F.sort_array(mixed))
     dealt = lists.filter("chunk > 0")
-    shared = dealt.select("shingle", F.get("members", F.lit(first - 1)).alias("top")).groupBy("shingle").agg(F.min("top").alias("top"))
+    shared = dealt.select("shingle", F.get("members", F.lit(0)).alias("top")).groupBy("shingle").agg(F.min("top").alias("top"))
     dealt = dealt.join(shared, "shingle", "left")
     lists = lists.filter("chunk = 0").withColumn("top", F.lit(None)).unionByName(dealt)
-    some = F.filter(F.array_distinct(F.concat(F.slice("members", first, heads), F.array("top"))), lambda m: m.isNotNull())
+    some = F.filter(F.array_distinct(F.concat(F.slice("members", 1, heads), F.array("top"))), lambda m: m.isNotNull())
     asked = F.transform(
         some, lambda h: F.transform(F.filter("members", lambda m: (m["label"] != h["label"]) & may_link(h, m, percent)), lambda m: F.struct(*pair(h["set"], m["set"]), h["set"].alias("head")))
     )
@@ -251,7 +256,7 @@ def within_reach(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame
             ]
             yield pa.record_batch([a, b], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    ends = written(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "ends")
     signed = signed.join(broadcast_if_small(ends), "set").dropDuplicates(["set"])
     one = signed.select(F.col("set").alias("a"), F.col("n").alias("n"), F.col("prefix").alias("p"), F.col("order").alias("o"))
     two = signed.select(F.col("set").alias("b"), F.col("n").alias("m"), F.col("prefix").alias("q"), F.col("order").alias("r"))
@@ -368,19 +373,19 @@ def _answered(docs: DataFrame, key: str, text: str, k: int, percent: int, signed
     tested = spark.createDataFrame([], "a long, b long")
     overlaps = spark.createDataFrame([], "set long, head long, shared long")
     degree = written(meetings(lists), "meetings")
-    for step in (1, 3, None):  # heads, more heads of what is open, all that is then open
+    for heads, central in ((2, True), (8, False), (0, False)):  # central heads, others for what is open, all pairs that are then open
         best = overlaps.groupBy("set").agg(F.max(F.struct("shared", "head")).alias("best")).select("set", "best.shared", "best.head")
         state = degree.join(labels.withColumnRenamed("node", "set"), "set", "left").join(best, "set", "left")
         lists = with_state(lists, state)
-        more = open_pairs(lists, percent).withColumn("head", F.lit(None).cast("long")) if step is None else head_pairs(lists, step, percent)
+        more = head_pairs(lists, percent, heads, central) if heads else open_pairs(lists, percent).withColumn("head", F.lit(None).cast("long"))
         more = written(more.join(tested, ["a", "b"], "left_anti"), "pairs")
         near = written(within_reach(more.select("a", "b"), signed, percent), "pairs-within-reach")
-        wanted = near.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(of_set, "set")
+        wanted = written(near.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(of_set, "set"), "wanted")
         found = written(compared(near, written(sets_of(docs, key, text, k, wanted), "shingle-sets")), "compared")
         links = found.filter(F.expr(f"{100 + percent} * shared >= {percent} * (n + m)")).select("a", "b")
         if not links.isEmpty():
             labels = components(labels.select(F.col("label").alias("a"), F.col("node").alias("b")).union(links))  # what is known, as stars
-        if step is not None:
+        if heads:
             tested = tested.union(more.select("a", "b"))
             own = found.select("a", "b", "shared").join(more, ["a", "b"]).select(F.when(F.col("head") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("set"), "head", "shared")
             overlaps = written(overlaps.union(own), "overlaps")
