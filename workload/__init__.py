@@ -4,23 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Catalogue:
-    """Queries by name, with their SQL where there is one."""
+    """Queries by name, with their SQL where there is one.
+
+    A query without SQL has ``columns``, its result's names and types, and ``holds``, which must be true of every row; a
+    result without rows may be right.
+    """
 
     def __init__(self):
         self.queries: dict[str, Query] = {}
         self.sql: dict[str, str] = {}
+        self.promises: dict[str, tuple[str, Callable[[Row], bool]]] = {}
 
-    def query(self, sql: str | None = None):
+    def query(self, sql: str | None = None, columns: str | None = None, holds: Callable[[Row], bool] = bool):
         def register(function: Query) -> Query:
             self.queries[function.__name__] = function
             if sql is not None:
                 self.sql[function.__name__] = sql
+            if columns is not None:
+                self.promises[function.__name__] = (columns, holds)
             return function
 
         return register

@@ -271,7 +271,7 @@ def publish_fields(spark, sf_dir):
     )
 
 
-@catalogue.query()
+@catalogue.query(columns="url string, date timestamp, content string, title string, title_content array<string>, body_content array<string>, content_embedded array<double>, content_idf array<double>, content_type string", holds=lambda r: r.url and len(r.title_content) <= 10 and len(r.body_content) <= 10)
 def publish_corpus_table(spark, sf_dir):
     """The whole job, all published columns."""
     target = new_table_path(spark, "publish")

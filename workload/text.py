@@ -12,6 +12,7 @@ from pagemill.operators import terms as T
 from pagemill.operators.nearest import top_k
 from pagemill.operators.retrieval import tfidf_search
 from pagemill.operators.tables import profile, random_rows
+from pagemill.operators.text_index import build_text_index, search_text
 from pagemill.plans import features as E
 from pagemill.session import written
 from workload import Catalogue, spread_table, table
@@ -122,7 +123,7 @@ def vocabulary_tfidf(spark, sf_dir):
     return rows.withColumn("tfidf", F.round("tfidf", 6))
 
 
-@catalogue.query(f"""
+RETRIEVAL = f"""
     WITH {COUNTED},
     idf AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS idf FROM tf GROUP BY term),
     qtf AS (SELECT item_id, term, count(*) AS tf
@@ -136,7 +137,10 @@ def vocabulary_tfidf(spark, sf_dir):
                FROM dots JOIN qn USING (item_id) JOIN dn USING (doc_id) WHERE dot > 0)
     SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
     FROM scored QUALIFY rank <= 5
-""")
+"""
+
+
+@catalogue.query(RETRIEVAL)
 def tfidf_retrieval(spark, sf_dir):
     words = X.whitespace_tokens(F.col("text"))
     found = tfidf_search(
@@ -145,6 +149,15 @@ def tfidf_retrieval(spark, sf_dir):
     return found.select(F.col("query_id").alias("item_id"), "doc_id", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
+@catalogue.query(RETRIEVAL)
+def indexed_retrieval(spark, sf_dir):
+    """The same from a stored index, of which only blocks that can matter are read."""
+    words = X.whitespace_tokens(F.col("text"))
+    index = build_text_index(documents(spark, sf_dir), "doc_id", words)
+    found = search_text(index, table(spark, sf_dir, "benchmark"), "item_id", words, k=5)
+    return found.select(F.col("query_id").alias("item_id"), "doc_id", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
 # Spark ML features ---------------------------------------------------------------------------------------------------
 
 
@@ -247,7 +260,7 @@ def feature_job_binary(spark, sf_dir):
     return E.known_tokens(E.fit_features(docs, tokenizer="whitespace", binary=True), docs, "doc_id")
 
 
-@catalogue.query()
+@catalogue.query(columns="doc_id bigint, content_embedded array<double>", holds=lambda r: len(r.content_embedded) == 5)
 def word2vec_embedding(spark, sf_dir):
     docs = documents(spark, sf_dir).withColumn("words", X.space_tokens(F.col("text")))
     embedder = Word2Vec(
@@ -261,13 +274,13 @@ def word2vec_embedding(spark, sf_dir):
     return embedded.select("doc_id", vector_to_array("v").alias("content_embedded"))
 
 
-@catalogue.query()
+@catalogue.query(columns="doc_id bigint, content_embedded array<double>, content_idf array<double>", holds=lambda r: len(r.content_embedded) == 5 and len(r.content_idf) == 20 and min(r.content_idf) >= 0)
 def feature_job(spark, sf_dir):
     docs = documents(spark, sf_dir).withColumnRenamed("text", "content")
     return E.at_rest(E.transform_features(E.fit_features(docs), docs)).drop("content")
 
 
-@catalogue.query()
+@catalogue.query(columns="query_id bigint, item_id bigint, score double, rank int", holds=lambda r: -1 <= r.score <= 1 and r.rank >= 1)
 def embedding_retrieval(spark, sf_dir):
     """Benchmark texts as queries, embedded by the model of the documents; the nearest documents of each."""
     docs = documents(spark, sf_dir).withColumnRenamed("text", "content")

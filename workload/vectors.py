@@ -160,7 +160,7 @@ def nearest_in_cells(spark, sf_dir):
     return found.select("query_id", F.col("item_id").alias("vec_id"), "score", F.col("rank").cast("bigint").alias("rank"))
 
 
-@catalogue.query()
+@catalogue.query(columns="query_id bigint, vec_id bigint, score double, rank bigint", holds=lambda r: -1 <= r.score <= 1 and 1 <= r.rank <= 10 and (r.rank > 1 or r.vec_id == r.query_id))
 def nearest_probed_cells(spark, sf_dir):
     """The same from as many cells as find 97 per cent of the ten best of a sample of the queries."""
     index = C.build_cells(embeddings(spark, sf_dir), "vec_id", "embedding", CELLS)
