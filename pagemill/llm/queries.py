@@ -38,7 +38,7 @@ def language_model(spark: SparkSession, sf_dir: str) -> LanguageModel:
     return fit_language_model(table(spark, sf_dir, "documents").filter(fold("doc_id", 3) != 1), PIECES)
 
 
-@catalogue.query()
+@catalogue.query(columns="doc_id bigint, held_out boolean, lang_pred string, score double", holds=lambda r: r.lang_pred and 0 <= r.score <= 1)
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_model(apply_settings(spark), sf_dir)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,22 +80,22 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(apply_settings(spark), sf_dir, "documents"))
 
 
-@catalogue.query()
+@catalogue.query(columns="doc_id bigint, item_id bigint, edits int, item_words int, start_word bigint, end_word bigint, similarity double", holds=lambda r: 0 <= r.edits <= 0.2 * r.item_words and r.start_word < r.end_word)
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_matches(table(apply_settings(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@catalogue.query()
+@catalogue.query(columns="doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint", holds=lambda r: 0 < r.length and r.start + r.length <= r.doc_tokens and r.offset + r.length <= 4096)
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(apply_settings(spark), sf_dir, "documents"), WORD_TOKENIZER)
 
 
-@catalogue.query()
+@catalogue.query(columns="doc_id bigint, n_words bigint, n_tokens bigint, n_unknown bigint", holds=lambda r: r.n_words <= r.n_tokens and r.n_unknown <= r.n_tokens)
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(apply_settings(spark), sf_dir, "documents"), PIECES)
 
 
-@catalogue.query()
+@catalogue.query(columns="doc_id bigint, held_out boolean, score double, predicted int", holds=lambda r: 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3))
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(apply_settings(spark), sf_dir, "documents").select("doc_id", "text")
     model = fit_quality(docs, table(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0))
@@ -104,23 +104,23 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
-@catalogue.query()
+@catalogue.query(columns="page_id bigint, url string, text string, n_chars bigint", holds=lambda r: r.n_chars == len(r.text) and r.text == r.text.strip())
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(apply_settings(spark), sf_dir, "pages"))
 
 
-@catalogue.query()
+@catalogue.query(columns="doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double", holds=lambda r: 0 <= r.score <= 1 and (r.n_base > 0) == (r.first_word is not None) == bool(r.base_labels) and set(r.base_labels.split(',')) - {''} <= set(r.labels.split(',')))
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(apply_settings(spark), sf_dir, "documents")).drop("detections")
 
 
-@catalogue.query()
+@catalogue.query(columns="doc_id bigint, word_no bigint, start bigint, n_chars bigint, value_sha256 string, score double", holds=lambda r: 0.5 <= r.score <= 1 and r.n_chars > 0 and len(r.value_sha256) == 64)
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without the secrets themselves."""
     return scan_secrets(table(apply_settings(spark), sf_dir, "documents"), dictionary(PIECES)).drop("value")
 
 
-@catalogue.query()
+@catalogue.query(columns="doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double", holds=lambda r: 1 <= r.n_tokens and r.n_known <= r.n_tokens and r.score < 0 and r.base_score < 0)
 def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_texts(table(apply_settings(spark), sf_dir, "documents").select("doc_id", "text"), fold("doc_id", 7) != 2)
     return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
