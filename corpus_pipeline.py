@@ -97,6 +97,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-@catalogue.query(ORACLE_SQL)
+@catalogue.query(ORACLE_SQL, columns="doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint", holds=lambda r: 0 < r.length and r.start + r.length <= r.doc_tokens and r.offset + r.length <= 4096)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(apply_settings(spark), sf_dir)
