@@ -192,7 +192,7 @@ def cluster_vectors(
     first = whole.select("q", digest.alias("digest")).orderBy("digest", "q").limit(clusters).collect()
     centroids = np.array([row["q"] for row in first], np.int64).reshape(-1, dimensions)
     compared = np.inf
-    for _ in range(rounds):
+    for _ in range(max(rounds, 1)):
         if compared > renew_above:
             simplex = Simplex(centroids, pivots)
             cached = written(with_apexes(whole, simplex, kind), "apexes")
