@@ -243,8 +243,10 @@ def main_text(page: str | None) -> str:
     """The article's blocks, joined by an empty line; empty for a page without text.
 
     Paths that score at least half the mean over all text are content. The article is the ``article`` or ``main`` element
-    with at least half of the content (the most, then the innermost), with all its blocks; without one it is every block
-    of a content path and every heading of the page.
+    that has, with its siblings of that name, at least half of the content (the most, then the innermost), and these
+    siblings; all their blocks count. Without one it is everything from the first block of a content path to the last,
+    the first one's siblings before it and all that follows in the element of the last one, unless that element is the
+    body, and every heading of the page.
     """
     tree = Page(page or "")
     found = [(e, text) for e, text in tree.pieces if not tree.outside[e]]
@@ -253,16 +255,39 @@ def main_text(page: str | None) -> str:
     scores = path_scores([(tree.path[e], text) for e, text in found])
     mean = sum(scores[tree.path[e]] * len(text) for e, text in found) / sum(len(text) for _, text in found)
     content = {p for p, s in scores.items() if 2 * s >= mean}
-    weight, inside = [0] * len(tree.parent), [False] * len(tree.parent)
+    weight = [0] * len(tree.parent)
     for e, text in found:
         weight[e] += len(text) * (tree.path[e] in content)
     for e in range(len(weight) - 1, 0, -1):  # an element's number is larger than its parent's
         weight[tree.parent[e]] += weight[e]
-    named = [e for e in range(1, len(weight)) if tree.name[e] in ("article", "main") and 2 * weight[e] >= weight[0]]
-    article = max(named, key=lambda e: (weight[e], e)) if named else 0
-    for e in range(len(inside)):
-        inside[e] = e == article or inside[tree.parent[e]]
-    return "\n\n".join(text for e, text in found if inside[e] and (named or tree.path[e] in content or tree.name[e] in ("h1", "h2", "h3")))
+    siblings: dict[tuple[int, str], list[int]] = {}
+    for e in range(1, len(weight)):
+        if tree.name[e] in ("article", "main"):
+            siblings.setdefault((tree.parent[e], tree.name[e]), []).append(e)
+    held = {own[0]: sum(weight[e] for e in own) for own in siblings.values()}
+    named = max((own for own in siblings.values() if 2 * held[own[0]] >= weight[0]), key=lambda own: (held[own[0]], own[0]), default=None)
+    if named:
+        inside = _within(tree, named)
+        return "\n\n".join(text for e, text in found if inside[e])
+    at = [i for i, (e, _) in enumerate(found) if tree.path[e] in content]
+    first, last = (tree.parent[found[i][0]] if found[i][0] else 0 for i in (at[0], at[-1]))
+    own = [e and tree.name[e] not in ("html", "body") for e in (first, last)]
+    inside = _within(tree, [last] if own[1] else [])
+
+    def kept(i: int, e: int) -> bool:
+        return at[0] <= i <= at[-1] or i < at[0] and own[0] and tree.parent[e] == first or i > at[-1] and inside[e] or tree.name[e] in ("h1", "h2", "h3")
+
+    return "\n\n".join(text for i, (e, text) in enumerate(found) if kept(i, e))
+
+
+def _within(tree: Page, elements: list[int]) -> list[bool]:
+    """Which elements are one of ``elements`` or stand in one."""
+    inside = [False] * len(tree.parent)
+    for e in elements:
+        inside[e] = True
+    for e in range(1, len(inside)):
+        inside[e] = inside[e] or inside[tree.parent[e]]
+    return inside
 
 
 def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:

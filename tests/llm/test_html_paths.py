@@ -83,6 +83,12 @@ def parted(*blocks):
         (f"<p>a <svg><title>no</title><svg>no</svg><p>no</svg> {LONG}</p><select><option>no<option>no</select><p>{SHORT}</p>", parted("a " + LONG, SHORT)),
         (f"<p>{SHORT} <a><math><mi>no</a> end.</p><div><select><option>no, no</div><p>{LONG}</p>", parted(SHORT + " end.", LONG)),
         (f"<title>T<p>{LONG}</p><div><script>var no = 1</div><textarea>no<p>{SHORT}</p><script/>", parted(LONG, SHORT)),
+        (f"<div><p>{LONG}</p><ul><li>one<li>two</ul><table><tr><td>a<td>b</table><blockquote>Quoted</blockquote><h4>Small</h4><pre>x = 1</pre><p>{LONG}</p></div>", parted(LONG, "one", "two", "a", "b", "Quoted", "Small", "x = 1", LONG)),
+        (f"<body><p>{LONG}</p><ul><li>one</ul><p>{LONG}</p><ul><li>after</ul></body>", parted(LONG, "one", LONG)),
+        (f"<body><div><h4>Before</h4><p>{LONG}</p><ul><li>after</ul></div><div>else</div></body>", parted("Before", LONG, "after")),
+        (f"<article><p>{LONG}</p></article><article><p>{SHORT}</p></article>", parted(LONG, SHORT)),
+        (f"<div><article><p>{SHORT}</p></article><article><p>{LONG}</p></article><article><ul><li>list</ul></article></div><p>x</p>", parted(SHORT, LONG, "list")),
+        (f"<article><p>{LONG}</p></article><article><p>{LONG}</p></article><article><p>{LONG}</p></article>", parted(LONG, LONG, LONG)),
         (f"<object><p>no</p></div><p>no</p></object><p>{LONG}</p><button>no<button>no</button><p>{SHORT}</p>", parted(LONG, SHORT)),
     ],
 )
