@@ -29,6 +29,8 @@ PLACES_PER_KEY = 3
 RECALL = 0.97
 #: Items are searched in blocks of at most so many bytes of text, each sent to the tasks.
 BLOCK_BYTES = 8 << 20
+#: About so many meetings of a text's runs with those of the items are looked at at once.
+MET_AT_ONCE = 1 << 21
 NO_WORD = np.uint64(0)
 #: So many words at most are found by one run alone.
 LONGEST_RUN = 4
@@ -125,17 +127,20 @@ class Items:
 
     def windows(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Items and starts of the windows of ``text`` that share a needed run with their item, each once."""
-        items, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        pairs = [np.zeros(0, np.int64)]
+        width = len(text) + max(map(len, self.words), default=0)
         for k, (run, item, place) in self.runs.items():
             own = _runs(text, k)
             lo, hi = np.searchsorted(run, own, "left"), np.searchsorted(run, own, "right")
             met = np.flatnonzero(hi > lo)
             many = (hi - lo)[met]
-            entry = np.repeat(lo[met], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            items.append(item[entry])
-            starts.append(np.repeat(met, many) - place[entry])
-        both = np.unique(np.stack([np.concatenate(items), np.concatenate(starts)]), axis=1)
-        return both[0], both[1]
+            for part in np.split(np.arange(len(met)), np.flatnonzero(np.diff(np.cumsum(many) // MET_AT_ONCE)) + 1):
+                own_many = many[part]
+                entry = np.repeat(lo[met[part]], own_many) + np.arange(own_many.sum()) - np.repeat(np.cumsum(own_many) - own_many, own_many)
+                start = np.repeat(met[part], own_many) - place[entry] + width - len(text)  # 0 or more
+                pairs.append(np.unique(item[entry] * width + start))
+        both = np.unique(np.concatenate(pairs))
+        return both // width, both % width - (width - len(text))
 
     def matches(self, texts: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
         """``(text, item, edits, first word, end)`` of the best place of every item in every text that holds it.
@@ -158,20 +163,24 @@ class Items:
                 best.update(((int(text[x]), int(i)), (0, int(start[x] - at[text[x]]), int(start[x] - at[text[x]]) + len(wanted))) for x in first)
                 continue
             for part in np.array_split(own, max(1, len(own) * len(wanted) // 2_000_000)):
-                part = part[collide(_cut(every, at, text[part], start[part], len(wanted)), wanted)]
-                if not len(part):
-                    continue
                 low = start[part] - slack
                 regions = _cut(every, at, text[part], low, len(wanted) + 2 * slack)
-                ends = edits_by_end(regions, wanted)
-                for x, least, end in zip(part, ends.min(axis=1), ends.argmin(axis=1), strict=True):
-                    if least > slack:
+                _, kind, same = np.unique(np.ascontiguousarray(regions).view(np.dtype((np.void, regions.itemsize * regions.shape[1]))).ravel(), return_index=True, return_inverse=True)
+                regions = regions[kind]  # repeated words make many equal ones
+                least, end = np.full(len(kind), slack + 1), np.zeros(len(kind), np.int64)
+                hit = np.flatnonzero(collide(regions[:, slack : slack + len(wanted)], wanted))
+                if len(hit):
+                    ends = edits_by_end(regions[hit], wanted)
+                    least[hit], end[hit] = ends.min(axis=1), ends.argmin(axis=1)
+                least, end = least[same], end[same]
+                near = np.flatnonzero(least <= slack)
+                near = near[np.lexsort((near, low[near] + end[near], least[near], text[part[near]]))]
+                for x in near[np.unique(text[part[near]], return_index=True)[1]]:  # the best of each text
+                    t, begin, until = int(text[part[x]]), low[x], end[x]
+                    if (t, int(i)) in best and best[t, int(i)][::2] <= (least[x], begin + until - at[t]):
                         continue
-                    t, begin = text[x], start[x] - slack
-                    back = edits_by_end(_cut(every, at, text[x : x + 1], np.array([begin]), end)[:, ::-1], wanted[::-1])[0]
-                    found = (int(least), int(begin + end - back.argmin() - at[t]), int(begin + end - at[t]))
-                    if (int(t), int(i)) not in best or (found[0], found[2]) < (best[t, i][0], best[t, i][2]):
-                        best[int(t), int(i)] = found
+                    back = edits_by_end(_cut(every, at, text[part[x : x + 1]], np.array([begin]), until)[:, ::-1], wanted[::-1])[0]
+                    best[t, int(i)] = (int(least[x]), int(begin + until - back.argmin() - at[t]), int(begin + until - at[t]))
         return [(t, i, *found) for (t, i), found in sorted(best.items())]
 
 

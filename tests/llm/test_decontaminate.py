@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -123,6 +124,25 @@ def test_scripts_without_spaces(frame, spark, letters, size):
     assert all(r["item_words"] == size and r["edits"] <= size // 5 for r in got)
 
 
+def test_repeated_words_take_linear_time():
+    items = Items([1, 2], ["same " * 300, "one two three four five six"], 80, 1)
+    text = np.concatenate([words(pa.array([t]), MARKS)[0] for t in ("same " * 100_000, "one two three other five six")])
+    began = time.time()
+    got = items.matches([text, text[:200], text[:50]])
+    assert got == [(0, 0, 0, 0, 300), (0, 1, 1, 100_000, 100_006)]
+    assert time.time() - began < 20
+
+
+def test_repeated_words_against_brute_force():
+    draw = random.Random(2)
+    own = [" ".join(draw.choice(["a", "a", "a", "b"]) for _ in range(draw.randrange(5, 40))) for _ in range(30)]
+    texts = [" ".join(draw.choice(["a", "a", "a", "a", "b", "c"]) for _ in range(draw.randrange(0, 120))) for _ in range(30)]
+    items = Items(list(range(30)), own, 80, 1)
+    got = {(t, i): edits for t, i, edits, _, _ in items.matches([words(pa.array([t]), MARKS)[0] for t in texts])}
+    want = {(t, i): e for t, text in enumerate(texts) for i, item in enumerate(own) if (e := least_edits(text.split(), item.split())) <= most_edits(len(item.split()), 80)}
+    assert all(want.get(k) == e for k, e in got.items()) and len(got) >= 0.95 * len(want)
+
+
 def test_best_place_and_long_text():
     item = [f"w{i}" for i in range(20)]
     text = ["pad"] * 50_000 + item[:10] + ["x"] + item[11:] + ["pad"] * 40 + item + ["pad"] * 10
