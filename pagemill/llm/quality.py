@@ -129,10 +129,11 @@ class AttentionModel:
 def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", texts_per_label: int = 1500) -> AttentionModel:
     """Learn from a sample of at most about ``texts_per_label`` whole texts of either label (0, 1); other rows teach nothing.
 
-    Without any labelled text every score is one half.
+    A key that is labelled both ways teaches nothing, one labelled twice alike counts once. Without any labelled text every score is one half.
     """
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).filter("k is not null and y in (0, 1)")
-    sample = training_rows(known, "k", "y", texts_per_label).dropDuplicates(["k"])
+    known = known.groupBy("k").agg(F.min("y").alias("y"), F.max("y").alias("most")).filter("y = most").drop("most")
+    sample = training_rows(known, "k", "y", texts_per_label)
     rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(sample), "k")  # bounded by the sample
 
     def features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

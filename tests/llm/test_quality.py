@@ -78,3 +78,12 @@ def test_held_out_accuracy(spark):
     got = catalogue.queries["op2_quality"](spark, "/root/testdata/sf0.01")
     rows = got.filter("held_out").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").collect()
     assert len(rows) > 40 and np.mean([r["predicted"] == r["quality"] for r in rows]) >= 0.95
+
+
+def test_labels_that_contradict_teach_nothing(frame, spark):
+    docs = frame([(i, "good words, all fine. " * 3 if i % 2 else "x1 99 !! zz ## " * 3) for i in range(60)])
+    sure = [(i, i % 2) for i in range(40)]
+    model = fit_quality(docs, spark.createDataFrame(sure, "doc_id long, quality int"))
+    both = [*sure, *sure[:5], *[(i, y) for i in range(40, 60) for y in (0, 1)], (None, 1), (3, None), (4, 7)]
+    again = fit_quality(docs, spark.createDataFrame(both, "doc_id long, quality int"))
+    assert all(np.allclose(model.weights[k], again.weights[k]) for k in model.weights)
