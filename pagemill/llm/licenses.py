@@ -7,6 +7,8 @@ another's words is dropped if the other has priority, or the same and is longer.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
@@ -82,6 +84,8 @@ SENTENCES = [
 COMMON_NAMES = ("apache", "artistic", "open software", "php", "mit", "isc", "zlib", "bsd")
 #: Names that are written in one word with their version, as in GPLv2; a word that begins with one passes the keyword filter.
 ABBREVIATED = ("gpl", "lgpl", "agpl")
+#: No rule matches more words.
+MOST_WORDS = 64
 UNDER = "(?:licensed|released|distributed|published|available|provided|shared) under (?:the )?(?:terms of (?:the )?)?"
 
 Rule = tuple[int, str, str, str, float]
@@ -121,39 +125,72 @@ def _bounded(pattern: str) -> str:
     return f"(?<= )(?:{pattern})(?= )"
 
 
-def _struct(rule: Rule) -> Column:
-    priority, label, keyword, pattern, confidence = rule
-    return F.struct(F.lit(priority).alias("priority"), F.lit(label).alias("label"), F.lit(sought(keyword)).alias("keyword"), F.lit(_bounded(pattern)).alias("pattern"), F.lit(confidence).alias("confidence"))
+def _rule_array() -> Column:
+    """All rules as one literal array of structs."""
+    told = [{"priority": p, "label": label, "keyword": sought(k), "pattern": _bounded(pattern), "confidence": c} for p, label, k, pattern, c in rules()]
+    return F.from_json(F.lit(json.dumps(told)), "array<struct<priority:int,label:string,keyword:string,pattern:string,confidence:double>>")
+
+
+def _running(sizes: Column) -> Column:
+    """Running sums of an array: in every pass each entry takes on the one twice as far before it."""
+    passes = F.sequence(F.lit(0), F.ceil(F.log2(F.size(sizes) + 1)).cast("int"))
+
+    def doubled(sums: Column, step: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), step)
+        return F.transform(sums, lambda x, i: x + F.when(i >= back, F.get(sums, i - back)).otherwise(0))
+
+    return F.aggregate(passes, sizes, doubled)
 
 
 def _places(words: Column, rule: Column) -> Column:
     """Every match of a rule: first word, the word behind the last, and what the rule says."""
-    met = F.regexp_extract_all(words, rule["pattern"], F.lit(0))
-    between = F.transform(F.split(words, rule["pattern"], -1), spaces)
-    inner = F.transform(met, spaces)
+    inner = F.transform(F.regexp_extract_all(words, rule["pattern"], F.lit(0)), spaces)
+    between = F.slice(F.transform(F.split(words, rule["pattern"], -1), spaces), 1, F.size(inner))
+    both = F.zip_with(between, inner, lambda gap, size: F.struct((gap + size).alias("both"), size.alias("size")))
+
+    def told(found: Column, sums: Column) -> Column:
+        def place(end: Column, i: Column) -> Column:
+            first = end - F.get(found, i)["size"] - 1
+            return F.struct(first.alias("first"), end.alias("end"), rule["priority"].alias("priority"), rule["label"].alias("label"), rule["confidence"].alias("confidence"))
+
+        return F.transform(sums, place)
 
-    def place(size: Column, i: Column) -> Column:
-        total = lambda sizes, n: F.aggregate(F.slice(sizes, 1, n), F.lit(0), lambda a, x: a + x)
-        first = total(between, i + 1) + total(inner, i) - 1
-        return F.struct(first.alias("first"), (first + size + 1).alias("end"), rule["priority"].alias("priority"), rule["label"].alias("label"), rule["confidence"].alias("confidence"))
+    return once(both, lambda found: once(_running(F.transform(found, lambda x: x["both"])), lambda sums: told(found, sums)))
 
-    return F.transform(inner, place)
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.transform(F.array(value), use)[0]
 
 
 def matches(words: Column) -> Column:
-    """Places of all rules whose keyword occurs. ``words`` begins and ends with a space."""
-    told = F.filter(F.array(*map(_struct, rules())), lambda r: F.contains(words, r["keyword"]))
-    return F.flatten(F.transform(told, lambda r: _places(words, r)))
+    """Places of all rules whose keyword occurs, in order. ``words`` begins and ends with a space."""
+    told = F.filter(_rule_array(), lambda r: F.contains(words, r["keyword"]))
+    return F.array_sort(F.flatten(F.transform(told, lambda r: _places(words, r))))
 
 
 def uncovered(found: Column) -> Column:
-    """The places that do not lie within one of a higher priority, or of the same and longer."""
+    """The places that do not lie within one of a higher priority, or of the same and longer, each once. ``found`` is in order.
+
+    What covers a place begins at most ``MOST_WORDS`` words before it, so only those few neighbours are looked at.
+    """
 
     def covers(x: Column, y: Column) -> Column:
         longer = (y["priority"] == x["priority"]) & (y["end"] - y["first"] > x["end"] - x["first"])
         return (y["first"] <= x["first"]) & (y["end"] >= x["end"]) & ((y["priority"] > x["priority"]) | longer)
 
-    return F.array_distinct(F.filter(found, lambda x: ~F.exists(found, lambda y: covers(x, y))))
+    halvings = F.transform(F.sequence(F.ceil(F.log2(F.size(found) + 1)).cast("int"), F.lit(0)), lambda s: F.call_function("shiftleft", F.lit(1), s))
+
+    def before(word: Column) -> Column:
+        """How many places begin before a word."""
+        return F.aggregate(halvings, F.lit(0), lambda n, step: F.when(F.get(found, n + step - 1)["first"] < word, n + step).otherwise(n))
+
+    def free(x: Column, i: Column) -> Column:
+        again = (i > 0) & (F.get(found, i - 1) == x)
+        low = before(x["first"] - MOST_WORDS)
+        return ~again & ~F.exists(F.slice(found, low + 1, before(x["first"] + 1) - low), lambda y: covers(x, y))
+
+    return F.filter(found, free)
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

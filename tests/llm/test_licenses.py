@@ -1,8 +1,10 @@
+import random
 import re
+import time
 
 import pytest
 
-from pagemill.llm.licenses import BASE, rules, scan_licenses, sought
+from pagemill.llm.licenses import BASE, MOST_WORDS, rules, scan_licenses, sought
 
 CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -53,17 +55,32 @@ def test_labels(frame, text, labels):
 
 def test_rules_against_a_plain_matcher(frame):
     texts = [*TEXTS, "licensed under the terms of the mozilla public license 2.0 mozilla public license", "cc0 1.0 and spdx license identifier gpl 3 or later"]
+    draw = random.Random(6)
+    parts = "word licensed under the terms of gnu gpl lgpl general public license version 2 3 0 or any later mit bsd apache cc by nc sa 4 all rights reserved copyright 2020".split()
+    texts += [" ".join(draw.choice(parts) for _ in range(400)) for _ in range(4)]
+    texts += [" ".join(draw.choice(["x", "licensed under the gnu gpl version 2 or any later version", "gpl", "all rights reserved"]) for _ in range(60))]
     for text, row in zip(texts, sorted(scan_licenses(frame(list(enumerate(texts)))).collect(), key=lambda r: r["doc_id"]), strict=True):
         own = " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(CAPITALS))) + " "
         found = []
-        for priority, label, keyword, pattern, _ in rules():
-            if f" {keyword} " in own:
-                for m in re.finditer(f"(?<= )(?:{pattern})(?= )", own):
-                    found.append((own[: m.start()].count(" ") - 1, own[: m.end()].count(" "), priority, label))
+        for priority, label, _, pattern, _ in rules():
+            for m in re.finditer(f"(?<= )(?:{pattern})(?= )", own):
+                found.append((own[: m.start()].count(" ") - 1, own[: m.end()].count(" "), priority, label))
         kept = {x for x in found if not any(y[0] <= x[0] and y[1] >= x[1] and (y[2] > x[2] or y[2] == x[2] and y[1] - y[0] > x[1] - x[0]) for y in found)}
         assert {(d["first"], d["end"], d["priority"], d["label"]) for d in row["detections"]} == kept
 
 
+def test_repeated_matches_take_linear_time(frame):
+    scan = scan_licenses(frame([(1, "copyright 2020 word " * 50_000), (2, "gpl " * 50_000)]))
+    began = time.time()
+    first, second = sorted(scan.collect(), key=lambda r: r["doc_id"])
+    assert time.time() - began < 60  # a quadratic form takes hours
+    assert [d["first"] for d in first["detections"]] == list(range(0, 150_000, 3)) and len(second["detections"]) == 50_000
+
+
+def test_no_rule_matches_more_words_than_are_looked_at():
+    assert all(pattern.count(" ") + 1 + 6 * pattern.count("{0,6}") < MOST_WORDS for *_, pattern, _ in rules())
+
+
 def test_rules_are_many_and_gated():
     assert len(rules()) > 300 and all(r[2] for r in rules())
     assert [r[0] for r in rules()] == sorted((r[0] for r in rules()), reverse=True)
