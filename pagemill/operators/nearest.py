@@ -22,6 +22,8 @@ from pagemill.operators.topk import DIGITS, BestScores, query_chunks, rank_score
 from pagemill.session import broadcast_if_small, written
 
 BROADCAST_BYTES = 64 << 20
+#: All pairs are dealt out so that a task has about so many of them.
+TASK_PAIRS = 1 << 31
 RESULT = "query_id long, item_id long, score double"
 
 
@@ -120,8 +122,16 @@ def _scan(items: DataFrame, queries: DataFrame, k: int, include_self: bool) -> D
 
 
 def all_pairs_top_k(vectors: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """The dot matrix of a table with itself, kept to the ``k`` best other items of every row."""
-    return top_k(vectors, key, vector, vectors, key, vector, k, include_self=False)
+    """The dot matrix of a table with itself, kept to the ``k`` best other items of every row.
+
+    The work is quadratic; that of a task is bounded, as the number of tasks grows with the pairs.
+    """
+    n, size = vectors.count(), _bytes(vectors, vector)
+    together = -(-n // max(1, -(-size // BROADCAST_BYTES)))  # queries of a chunk
+    tasks = -(-n * together // TASK_PAIRS)
+    items = vectors.select(key, vector)
+    items = items.repartition(tasks) if tasks > items.rdd.getNumPartitions() else items
+    return top_k(items, key, vector, vectors, key, vector, k, include_self=False)
 
 
 def _row_blocks(rows: DataFrame, key: str, vector: str, block_rows: int) -> DataFrame:

@@ -44,6 +44,23 @@ class BestScores:
 
     def add(self, scores: np.ndarray, items: np.ndarray) -> None:
         """``scores`` has one row per query and one column per item; ``-inf`` marks a pair to leave out."""
+        if self.scores.shape[1] == self.k:
+            # Once k are known, few scores reach the worst of them; only these are rounded and sorted.
+            least = np.maximum(self.scores[:, -1] - 10.0**-DIGITS, np.finfo(float).min)
+            query, column = np.nonzero(scores >= least[:, None])
+            if len(query) <= scores.size // 8:
+                possible = np.isfinite(scores[query, column])
+                query, column = query[possible], column[possible]
+                met = np.unique(query)
+                known, place = np.nonzero(np.isfinite(self.scores[met]))
+                known = met[known]
+                self._keep(
+                    met,
+                    np.concatenate([known, query]),
+                    np.concatenate([self.scores[known, place], np.round(scores[query, column], DIGITS) + 0.0]),
+                    np.concatenate([self.items[known, place], items[column]]),
+                )
+                return
         rounded = np.round(scores, DIGITS) + 0.0
         merged = np.concatenate([self.scores, rounded], axis=1)
         ids = np.concatenate([self.items, np.broadcast_to(items, rounded.shape)], axis=1)
@@ -51,13 +68,17 @@ class BestScores:
         if merged.shape[1] > self.k:
             possible &= merged >= -np.partition(-merged, self.k - 1, axis=1)[:, self.k - 1: self.k]
         query, column = np.nonzero(possible)
-        score, item = merged[query, column], ids[query, column]
+        self.scores = np.full((len(merged), self.k), -np.inf)
+        self.items = np.zeros((len(merged), self.k), dtype=np.int64)
+        self._keep(slice(None), query, merged[query, column], ids[query, column])
+
+    def _keep(self, queries: np.ndarray | slice, query: np.ndarray, score: np.ndarray, item: np.ndarray) -> None:
+        """Make the best of the given entries the rows of ``queries``, which are all that occur in ``query``."""
         order = np.lexsort((item, -score, query))
         query, score, item = query[order], score[order], item[order]
         place = np.arange(len(query)) - np.searchsorted(query, query)
         kept = place < self.k
-        self.scores = np.full((len(merged), self.k), -np.inf)
-        self.items = np.zeros((len(merged), self.k), dtype=np.int64)
+        self.scores[queries], self.items[queries] = -np.inf, 0
         self.scores[query[kept], place[kept]] = score[kept]
         self.items[query[kept], place[kept]] = item[kept]
 

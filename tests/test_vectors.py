@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import vectors as V
 from pagemill.operators import nearest as N
+from pagemill.operators import topk
 from pagemill.operators.topk import BestScores
 
 
@@ -132,3 +133,29 @@ def test_best_scores_keeps_the_best(columns, k, step):
         order = sorted(zip(-scores[q], items))[:k]
         expected += [(q, int(i), -s + 0.0) for s, i in order]
     assert found == sorted(expected)
+
+
+def test_tasks_of_all_pairs_are_bounded(spark, monkeypatch):
+    draw = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in draw.integers(-2, 3, 4)]) for i in range(120)]
+    vectors = spark.createDataFrame(rows, "id long, v array<double>").coalesce(1)
+    whole = N.all_pairs_top_k(vectors, "id", "v", 3).collect()
+    monkeypatch.setattr(N, "TASK_PAIRS", 1200)
+    dealt = []
+    scan = N._scan
+    monkeypatch.setattr(N, "_scan", lambda items, *more: dealt.append(items.rdd.getNumPartitions()) or scan(items, *more))
+    assert sorted(N.all_pairs_top_k(vectors, "id", "v", 3).collect()) == sorted(whole)
+    assert dealt == [12]
+
+
+def test_best_scores_by_few_candidates():
+    draw = np.random.default_rng(9)
+    scores = np.round(draw.normal(size=(7, 400)), 2) + draw.choice([0, 4e-7, -4e-7], size=(7, 400))
+    scores[2], scores[3, :390] = -np.inf, -np.inf
+    items = draw.permutation(400)
+    best = topk.BestScores(7, 4)
+    for start in range(0, 400, 25):
+        best.add(scores[:, start : start + 25], items[start : start + 25])
+    found = {(q, i, s) for q, i, s in zip(*best.rows())}
+    order = [sorted((-round(s, 6), i) for s, i in zip(line, items) if np.isfinite(s))[:4] for line in scores]
+    assert found == {(q, i, -s) for q, line in enumerate(order) for s, i in line}
