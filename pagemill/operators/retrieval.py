@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 from pagemill.operators.nearest import BROADCAST_BYTES
 from pagemill.operators.terms import document_terms, term_counts, term_idf
 from pagemill.operators.topk import BestScores, query_chunks, rank_scores, score_slices
-from pagemill.session import lookup_join, written
+from pagemill.session import broadcast_if_small, lookup_join, written
 
 RESULT = "query_id long, doc_id long, score double"
 ENTRY_BYTES = 64
 # Terms known to every task: at most this many, none longer than this, so never more than some 15 MB.
 HEAD_TERMS = 100_000
 HEAD_TERM_BYTES = 64
+# Documents meet their rare terms in groups of about so many.
+GROUP_ROWS = 2000
 
 
 def tfidf_search(
@@ -39,12 +41,12 @@ def tfidf_search(
     queries = queries.select(F.col(query_key).cast("long").alias("query_id"), query_tokens.alias("tokens"))
     counted = written(document_terms(documents, "doc_id", F.col("tokens")), "document-terms")
     idf = written(term_idf(counted).withColumn("term_no", F.monotonically_increasing_id()), "idf")
-    weights = written(query_weights(term_counts(queries, "query_id", F.col("tokens")), idf), "query-weights")
+    counts = term_counts(queries, "query_id", F.col("tokens"))
+    weights = written(query_weights(counts, known_terms(counts, idf)), "query-weights")
 
-    asked = weights.select("term_no").distinct().withColumn("asked", F.lit(True))
+    asked = broadcast_if_small(weights.select("term_no").distinct().withColumn("asked", F.lit(True)))
     lexicon = idf.join(asked, "term_no", "left").withColumn("term_no", F.when(F.col("asked"), F.col("term_no")))
-    rows = document_weights(counted, lexicon, head_terms).filter(F.size("hits") > 0)
-    rows = rows.select("doc_id", "length", F.col("hits.term_no").alias("term_no"), F.col("hits.w").alias("w"))
+    rows = document_weights(counted, lexicon, head_terms).filter(F.size("term_no") > 0).drop("df")
     size = weights.count() * ENTRY_BYTES
     if size > batch_bytes:
         rows = written(rows, "document-weights")
@@ -52,6 +54,11 @@ def tfidf_search(
     return rank_scores(reduce(DataFrame.union, partial), "query_id", "doc_id", "score", k)
 
 
+def known_terms(counts: DataFrame, terms: DataFrame) -> DataFrame:
+    """The rows of ``terms`` that occur in ``counts``; the terms need no shuffle where ``counts`` has few."""
+    return terms.join(broadcast_if_small(counts.select("term").distinct()), "term", "left_semi")
+
+
 def query_weights(counts: DataFrame, idf: DataFrame) -> DataFrame:
     """``(query_id, term_no, weight)`` with unit length per query."""
     weighted = counts.join(idf, "term").select("query_id", "term_no", (F.col("tf") * F.col("idf")).alias("w"))
@@ -61,27 +68,46 @@ def query_weights(counts: DataFrame, idf: DataFrame) -> DataFrame:
 
 
 def document_weights(counted: DataFrame, lexicon: DataFrame, head_terms: int) -> DataFrame:
-    """``(doc_id, length, hits)`` from ``document_terms`` and ``lexicon(term, df, idf, term_no)``.
+    """``(doc_id, length, term_no, w, df)`` from ``document_terms`` and ``lexicon(term, df, idf, term_no)``.
 
-    ``length`` is over all terms, ``hits`` are the weights of terms with a ``term_no``. Frequent terms are looked up in
-    a broadcast and folded into their document where it is; only the others are looked up by a join.
+    ``length`` is over all terms; the arrays ``term_no``, ``w`` and ``df`` have the terms with a ``term_no``. Frequent terms are
+    looked up in a broadcast and folded into their document where it is; only the others are looked up by a join. Of these, a
+    short one has at most a ``head_terms``-th of all entries, so only long ones may be common. Rows are told apart by a number,
+    and meet their other terms in groups of about ``GROUP_ROWS``.
     """
-    first = written(_fold_head(counted, _head(lexicon, head_terms)), "head")
-    weight = F.col("tf") * F.col("idf")
-    rare = first.select("doc_id", F.inline("rare"))
-    rest = (
-        lookup_join(rare, lexicon.select("term", "idf", "term_no"), "term")
-        .groupBy("doc_id")
-        .agg(
-            F.sum(weight * weight).alias("rare_squares"),
-            F.collect_list(F.when(F.col("term_no").isNotNull(), F.struct("term_no", weight.alias("w")))).alias("rare_hits"),
-        )
-    )
-    return first.drop("rare").join(rest, "doc_id", "left").select(
-        "doc_id",
-        F.sqrt(F.col("squares") + F.coalesce("rare_squares", F.lit(0.0))).alias("length"),
-        F.when(F.col("rare_hits").isNull(), F.col("hits")).otherwise(F.concat("hits", "rare_hits")).alias("hits"),
+    folded = _fold_head(counted, _head(lexicon, head_terms)).withColumn("row", F.monotonically_increasing_id())
+    first = written(folded, "head")
+    groups = max(1, -(-first.count() // GROUP_ROWS))
+    group = F.pmod(F.xxhash64("row"), F.lit(groups)).alias("group")
+    found = lookup_join(
+        first.select("row", F.inline("rare")), lexicon.select("term", "df", "idf", "term_no"), "term",
+        common=F.octet_length("term") > HEAD_TERM_BYTES,
     )
+    rare = found.select(group, F.col("row").alias("of"), "term_no", (F.col("tf") * F.col("idf")).alias("w"), "df")
+    both = first.drop("rare").withColumn("group", group).groupBy("group").cogroup(rare.groupBy("group"))
+    return both.applyInArrow(_gathered, "doc_id long, length double, term_no array<long>, w array<double>, df array<long>")
+
+
+def flat(lists: pa.ChunkedArray) -> np.ndarray:
+    """The values of all lists, one after the other."""
+    return pa.chunked_array([x.flatten() for x in lists.chunks], lists.type.value_type).to_numpy()
+
+
+def _gathered(first: pa.Table, rare: pa.Table) -> pa.Table:
+    """Rows of documents with their head terms, and the other terms of these rows: put together."""
+    n, rows = first.num_rows, first.column("row").to_numpy()
+    order = np.argsort(rows)
+    place = order[np.searchsorted(rows[order], rare.column("of").to_numpy())]
+    weight = rare.column("w").to_numpy()
+    squares = first.column("squares").to_numpy() + np.bincount(place, weight * weight, n)
+    term = pc.fill_null(rare.column("term_no"), -1).to_numpy()
+    hit = term >= 0
+    owner = np.concatenate([np.repeat(np.arange(n), pc.list_value_length(first.column("term_no")).to_numpy()), place[hit]])
+    order = np.argsort(owner, kind="stable")
+    edges = _offsets(owner[order], n)
+    more = {"term_no": term, "w": weight, "df": rare.column("df").to_numpy()}
+    hits = [pa.ListArray.from_arrays(edges, np.concatenate([flat(first.column(c)), x[hit]])[order]) for c, x in more.items()]
+    return pa.table([first.column("doc_id"), pa.array(np.sqrt(squares)), *hits], ["doc_id", "length", *more])
 
 
 def _head(lexicon: DataFrame, head_terms: int) -> pd.DataFrame:
@@ -92,12 +118,12 @@ def _head(lexicon: DataFrame, head_terms: int) -> pd.DataFrame:
 def _fold_head(counted: DataFrame, head: pd.DataFrame) -> DataFrame:
     """Per document: sum of squared weights and query hits of its head terms, and its other terms."""
     terms = pa.array(head["term"].astype(str), pa.string())
-    idf = head["idf"].to_numpy(dtype=float)
+    idf, df = head["idf"].to_numpy(dtype=float), head["df"].to_numpy(dtype=np.int64)
     term_no = head["term_no"].fillna(-1).to_numpy(dtype=np.int64)
-    shared = counted.sparkSession.sparkContext.broadcast((terms, idf, term_no))
+    shared = counted.sparkSession.sparkContext.broadcast((terms, idf, term_no, df))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, weights, numbers = shared.value
+        known, weights, numbers, frequency = shared.value
         for batch in batches:
             lists, n = batch.column("terms"), batch.num_rows
             flat, tf = lists.flatten(), batch.column("tfs").flatten().to_numpy()
@@ -107,17 +133,17 @@ def _fold_head(counted: DataFrame, head: pd.DataFrame) -> DataFrame:
             owner, term = row[in_head], place[in_head]
             weight = tf[in_head] * weights[term]
             hit = numbers[term] >= 0
-            hits = pa.StructArray.from_arrays([pa.array(numbers[term[hit]]), pa.array(weight[hit])], ["term_no", "w"])
+            edges = _offsets(owner[hit], n)
             rare = pa.StructArray.from_arrays([flat.filter(pa.array(~in_head)), pa.array(tf[~in_head])], ["term", "tf"])
             columns = [
                 batch.column("doc_id"),
                 pa.array(np.bincount(owner, weight * weight, n).astype(float)),
-                pa.ListArray.from_arrays(_offsets(owner[hit], n), hits),
+                *(pa.ListArray.from_arrays(edges, x) for x in (numbers[term[hit]], weight[hit], frequency[term[hit]])),
                 pa.ListArray.from_arrays(_offsets(row[~in_head], n), rare),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "squares", "hits", "rare"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "squares", "term_no", "w", "df", "rare"])
 
-    schema = "doc_id long, squares double, hits array<struct<term_no:long,w:double>>, rare array<struct<term:string,tf:long>>"
+    schema = "doc_id long, squares double, term_no array<long>, w array<double>, df array<long>, rare array<struct<term:string,tf:long>>"
     return counted.mapInArrow(fold, schema)
 
 

@@ -7,19 +7,27 @@ with all that the query's other terms can add, stays below it cannot hold a docu
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.operators.retrieval import HEAD_TERMS, document_weights, query_weights
+from pagemill.operators.nearest import BROADCAST_BYTES
+from pagemill.operators.retrieval import ENTRY_BYTES, HEAD_TERMS, RESULT, document_weights, flat, known_terms, query_weights
 from pagemill.operators.terms import document_terms, term_counts, term_idf
-from pagemill.operators.topk import rank_scores
+from pagemill.operators.topk import DIGITS, query_chunks, rank_scores
 from pagemill.session import broadcast_if_small, new_table_path, written
 
 BLOCKS = "term_no long, top double, doc_ids array<long>, weights array<double>, part int"
 #: Bounds give way by this much, beyond the rounding of scores.
 SLACK = 1e-5
+#: Postings that a task holds at a time: of the index that is built, and of a search.
+SHARD_ENTRIES, SCORE_ENTRIES = 1 << 20, 1 << 18
 
 
 @dataclass(frozen=True)
@@ -38,7 +46,7 @@ class TextIndex:
 
 
 def _part(term_no: Column, parts: int) -> Column:
-    return F.pmod(F.xxhash64(term_no), F.lit(parts)).cast("int")
+    return F.pmod(term_no, F.lit(parts)).cast("int")
 
 
 def build_text_index(documents: DataFrame, key: str, tokens: Column, path: str | None = None, parts: int = 64, block_rows: int = 1024, head_terms: int = HEAD_TERMS) -> TextIndex:
@@ -52,53 +60,165 @@ def build_text_index(documents: DataFrame, key: str, tokens: Column, path: str |
     documents = documents.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), tokens.alias("tokens"))
     counted = written(document_terms(documents, "doc_id", F.col("tokens")), "document-terms")
     idf = written(term_idf(counted).withColumn("term_no", F.monotonically_increasing_id()), "idf")
-    rows = document_weights(counted, idf, head_terms).filter("length > 0").select("doc_id", "length", F.inline("hits"))
-    postings = rows.select("term_no", "doc_id", (F.col("w") / F.col("length")).alias("weight")).filter("weight > 0")
-    common = idf.filter(F.col("df") > block_rows).select("term_no", F.ceil(F.col("df") / block_rows).alias("pieces"))
-    placed = postings.join(broadcast_if_small(common), "term_no", "left").withColumn("piece", F.pmod(F.xxhash64("doc_id"), F.coalesce("pieces", F.lit(1))))
-    level = F.floor(F.log2("weight") * 4).alias("level")
-    blocks = placed.groupBy("term_no", level, "piece").agg(F.max("weight").alias("top"), F.collect_list(F.struct("doc_id", "weight")).alias("rows"))
-    blocks = blocks.select("term_no", "top", F.col("rows.doc_id").alias("doc_ids"), F.col("rows.weight").alias("weights"), _part(F.col("term_no"), parts).alias("part"))
-    blocks.repartitionByRange("part", "term_no").sortWithinPartitions("part", "term_no", F.desc("top")).write.partitionBy("part").parquet(f"{path}/blocks")
+    rows = document_weights(counted, idf, head_terms).filter("length > 0")
+    entries = idf.agg(F.sum("df")).first()[0] or 0
+    shards = max(1, -(-entries // (parts * SHARD_ENTRIES)))  # of a part
+    dealt = rows.mapInArrow(_by_term(parts, shards, block_rows), "shard long, term_no array<long>, piece array<long>, doc_id array<long>, weight array<double>")
+    dealt.groupBy("shard").applyInArrow(_blocks(parts), BLOCKS).write.partitionBy("part").parquet(f"{path}/blocks")
     tops = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").groupBy("term_no").agg(F.max("top").alias("top"))
-    idf.join(tops, "term_no").select("term", "term_no", F.col("df").cast("long").alias("df"), "idf", "top").repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
+    idf.join(tops, "term_no").select("term", "term_no", F.col("df").cast("long").alias("df"), "idf", "top").write.parquet(f"{path}/terms")
     return TextIndex(path, parts)
 
 
+def _dealt(shard: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A row per shard, with its values of every column as arrays."""
+    order = np.argsort(shard, kind="stable")
+    numbers, first = np.unique(shard[order], return_index=True)
+    edges = pa.array(np.append(first, len(order)), pa.int32())
+    lists = [pa.ListArray.from_arrays(edges, values[order]) for values in columns.values()]
+    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *lists], ["shard", *columns])
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Whole numbers as evenly spread hashes, not negative."""
+    x = x.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(1)).astype(np.int64)
+
+
+def _by_term(parts: int, shards: int, block_rows: int):
+    """Deal the postings of documents: a shard has whole terms, and of a common one whole pieces."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            count = pc.list_value_length(batch.column("term_no")).to_numpy()
+            term, df, weight = (batch.column(c).flatten().to_numpy() for c in ("term_no", "df", "w"))
+            weight = weight / np.repeat(batch.column("length").to_numpy(), count)
+            doc = np.repeat(batch.column("doc_id").to_numpy(), count)
+            here = weight > 0
+            term, df, doc, weight = term[here], df[here], doc[here], weight[here]
+            piece = _mixed(doc) % -(-df // block_rows)
+            shard = term % parts + parts * (_mixed(term + _mixed(piece)) % shards)
+            yield _dealt(shard, {"term_no": term, "piece": piece, "doc_id": doc, "weight": weight})
+
+    return deal
+
+
+def _blocks(parts: int):
+    """The blocks of a shard, in term order."""
+
+    def build(shard: pa.Table) -> pa.Table:
+        term, piece, doc, weight = (flat(shard.column(c)) for c in ("term_no", "piece", "doc_id", "weight"))
+        level = np.floor(np.log2(weight) * 4)
+        order = np.lexsort((piece, -level, term))
+        term, piece, level, weight = term[order], piece[order], level[order], weight[order]
+        new = (np.diff(term) != 0) | (np.diff(level) != 0) | (np.diff(piece) != 0)
+        first = np.flatnonzero(np.append(True, new))
+        edges = pa.array(np.append(first, len(term)), pa.int32())
+        lists = [pa.ListArray.from_arrays(edges, x) for x in (doc[order], weight)]
+        columns = [term[first], np.maximum.reduceat(weight, first), *lists, (term[first] % parts).astype(np.int32)]
+        return pa.table([pa.array(c) for c in columns], ["term_no", "top", "doc_ids", "weights", "part"])
+
+    return build
+
+
 def asked_terms(index: TextIndex, queries: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """``query_id, term_no, weight, top, rest``: unit weights of known terms, and what the query's other terms add at most."""
-    spark = queries.sparkSession
-    terms = index.terms(spark)
+    """``query_id, term_no, weight, df, top, rest``: unit weights of known terms, and what the query's other terms add at most."""
     counts = term_counts(queries.select(F.col(key).cast("long").alias("query_id"), tokens.alias("tokens")), "query_id", F.col("tokens"))
-    weights = query_weights(counts, terms.select("term", "idf", "term_no")).join(terms.select("term_no", "top"), "term_no")
+    terms = written(known_terms(counts, index.terms(queries.sparkSession)), "known-terms")
+    weights = query_weights(counts, terms.select("term", "idf", "term_no")).join(terms.select("term_no", "df", "top"), "term_no")
     weights = written(weights, "query-weights")
     most = weights.groupBy("query_id").agg(F.sum(F.col("weight") * F.col("top")).alias("most"))
-    return weights.join(most, "query_id").select("query_id", "term_no", "weight", "top", (F.col("most") - F.col("weight") * F.col("top")).alias("rest"))
+    return weights.join(most, "query_id").select("query_id", "term_no", "weight", "df", "top", (F.col("most") - F.col("weight") * F.col("top")).alias("rest"))
 
 
-def _scores(met: DataFrame) -> DataFrame:
-    """Summed products of the blocks that queries have met."""
-    rows = met.select("query_id", "weight", F.explode(F.arrays_zip("doc_ids", "weights")).alias("p"))
-    sums = rows.groupBy("query_id", F.col("p.doc_ids").alias("doc_id")).agg(F.sum(F.col("weight") * F.col("p.weights")).alias("score"))
-    return sums.withColumn("score", F.round("score", 6)).filter("score > 0")
+def _asked_blocks(index: TextIndex, asked: DataFrame) -> DataFrame:
+    parts = [row[0] for row in asked.select(_part(F.col("term_no"), index.parts)).distinct().collect()]  # at most the index's parts
+    return index.blocks(asked.sparkSession, parts).withColumnRenamed("top", "block_top")
+
+
+def _scores(index: TextIndex, asked: DataFrame, least_top: DataFrame, k: int) -> DataFrame:
+    """``query_id, doc_id, score``: every query's best, over the blocks of a term whose largest weight reaches ``least_top(term_no,
+    least_top)``.
+
+    Postings are dealt by their document and scored against all queries where they meet, so pairs are never rows.
+    """
+    met = _asked_blocks(index, asked).join(broadcast_if_small(least_top), "term_no").filter("block_top >= least_top")
+    entries = asked.select("term_no", "df").distinct().agg(F.sum("df")).first()[0] or 0
+    shards = max(1, -(-entries // SCORE_ENTRIES))
+    dealt = met.select("term_no", "doc_ids", "weights").mapInArrow(_by_document(shards), "shard long, term_no array<long>, doc_id array<long>, weight array<double>")
+    table = asked.select("query_id", "term_no", "weight").toPandas().sort_values("query_id")
+    shared = asked.sparkSession.sparkContext.broadcast([table[c].to_numpy() for c in ("query_id", "term_no", "weight")])
+    return dealt.groupBy("shard").applyInArrow(_best(shared, k), RESULT)
+
+
+def _by_document(shards: int):
+    """Deal the postings of blocks."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            term = np.repeat(batch.column("term_no").to_numpy(), pc.list_value_length(batch.column("doc_ids")).to_numpy())
+            doc, weight = (batch.column(c).flatten().to_numpy() for c in ("doc_ids", "weights"))
+            yield _dealt(_mixed(doc) % shards, {"term_no": term, "doc_id": doc, "weight": weight})
+
+    return deal
+
+
+def _best(shared, k: int):
+    """The best documents of a shard for every query."""
+
+    def score(shard: pa.Table) -> pa.Table:
+        query, asked, weight = shared.value
+        term, doc, w = (flat(shard.column(c)) for c in ("term_no", "doc_id", "weight"))
+        order = np.argsort(term, kind="stable")
+        docs, at = np.unique(doc[order], return_inverse=True)
+        term, w = term[order], w[order]
+        first, last = np.searchsorted(term, asked, "left"), np.searchsorted(term, asked, "right")
+        ids, starts = np.unique(query, return_index=True)
+        found = []
+        for own, a, b in zip(ids, starts, np.append(starts[1:], len(query)), strict=True):
+            met = [e for e in range(a, b) if last[e] > first[e]]
+            if not met:
+                continue
+            places = np.concatenate([at[first[e]:last[e]] for e in met])
+            products = np.concatenate([w[first[e]:last[e]] * weight[e] for e in met])
+            scores = np.round(np.bincount(places, products, len(docs)), DIGITS)
+            best = np.flatnonzero(scores > 0)
+            if len(best) > k:
+                best = best[scores[best] >= np.partition(scores[best], -k)[-k]]
+            best = best[np.lexsort((docs[best], -scores[best]))][:k]
+            found.append((np.full(len(best), own), docs[best], scores[best]))
+        columns = map(np.concatenate, zip(*found, strict=True)) if found else ([], [], [])
+        return pa.table([pa.array(x, kind) for x, kind in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "doc_id", "score"])
+
+    return score
+
+
+def _bounded(index: TextIndex, asked: DataFrame, k: int) -> DataFrame:
+    """``asked`` with ``least``, a score that every query's ``k``-th document has at least: from the best blocks of its terms."""
+    best = _scores(index, asked, asked.select("term_no", (F.col("top") / 1.5).alias("least_top")).distinct(), k)  # partial sums: no score is smaller
+    ranked = rank_scores(best, "query_id", "doc_id", "score", k)
+    least = written(ranked.filter(F.col("rank") == k).select("query_id", F.col("score").alias("least")), "least-scores")
+    return asked.join(least, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(0.0)))
 
 
 def open_blocks(index: TextIndex, asked: DataFrame, k: int) -> DataFrame:
     """The blocks that each query must read: those of its terms that its k-th score so far does not rule out."""
-    parts = [row[0] for row in asked.select(_part(F.col("term_no"), index.parts)).distinct().collect()]  # at most the index's parts
-    blocks = index.blocks(asked.sparkSession, parts).withColumnRenamed("top", "block_top")
-    met = blocks.join(broadcast_if_small(asked), "term_no")
-    best = rank_scores(_scores(met.filter("block_top * 1.5 >= top")), "query_id", "doc_id", "score", k)  # partial sums: no score is smaller
-    least = written(best.filter(F.col("rank") == k).select("query_id", F.col("score").alias("least")), "least-scores")
-    bounded = asked.join(least, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(0.0)))
-    met = blocks.join(broadcast_if_small(bounded), "term_no")
+    met = _asked_blocks(index, asked).join(broadcast_if_small(_bounded(index, asked, k)), "term_no")
     return met.filter(F.col("weight") * F.col("block_top") + F.col("rest") + SLACK >= F.col("least"))
 
 
-def search_text(index: TextIndex, queries: DataFrame, key: str, tokens: Column, k: int) -> DataFrame:
+def search_text(index: TextIndex, queries: DataFrame, key: str, tokens: Column, k: int, batch_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``query_id, doc_id, score, rank``: the ``k`` documents nearest to every query, as ``retrieval.tfidf_search`` finds them.
 
     Query terms that the index does not know carry no weight; queries without any have no rows, and keys should differ.
+    Queries are taken in chunks of at most ``batch_bytes``; a chunk reads the blocks that one of its queries must read.
     """
     asked = written(asked_terms(index, queries, key, tokens), "asked-terms")
-    return rank_scores(_scores(open_blocks(index, asked, k)), "query_id", "doc_id", "score", k)
+    least_top = F.min((F.col("least") - F.col("rest") - SLACK) / F.col("weight")).alias("least_top")
+    found = []
+    for chunk in query_chunks(asked, "query_id", asked.count() * ENTRY_BYTES, batch_bytes):
+        needed = written(_bounded(index, chunk, k).groupBy("term_no").agg(least_top), "least-tops")
+        found.append(_scores(index, chunk, needed, k))
+    return rank_scores(reduce(DataFrame.union, found), "query_id", "doc_id", "score", k)

@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagemill.functions import text as X
-from pagemill.operators.retrieval import tfidf_search
+from pagemill.operators import text_index
+from pagemill.operators.retrieval import document_weights, tfidf_search
+from pagemill.operators.terms import document_terms
 from pagemill.operators.text_index import asked_terms, build_text_index, open_blocks, search_text
-from pagemill.session import written
+from pagemill.session import lookup_join, written
 
 WORDS = X.whitespace_tokens
 
@@ -68,3 +70,36 @@ def test_empty_tables(spark, documents, index, queries):
     assert search_text(index, queries.limit(0), "item_id", words, 3).collect() == []
     empty = build_text_index(documents.limit(0), "doc_id", words)
     assert search_text(empty, queries, "item_id", words, 3).collect() == []
+
+
+def test_batches_of_queries_are_taken_in_chunks(documents, index, queries):
+    words = WORDS(F.col("text"))
+    rows = [search_text(index, queries, "item_id", words, 3, **chunks).collect() for chunks in ({}, {"batch_bytes": 2000})]
+    assert sorted(map(tuple, rows[0])) == sorted(map(tuple, rows[1])) and rows[0]
+
+
+def test_pairs_of_queries_and_documents_are_no_rows(spark, index, queries, monkeypatch):
+    """What leaves the scoring is at most the best of each query and shard."""
+    monkeypatch.setattr(text_index, "SCORE_ENTRIES", 4000)
+    asked = written(asked_terms(index, queries, "item_id", WORDS(F.col("text"))), "asked")
+    shards = -(-asked.select("term_no", "df").distinct().agg(F.sum("df")).first()[0] // 4000)
+    every = asked.select("term_no", F.lit(0.0).alias("least_top")).distinct()
+    most = text_index._scores(index, asked, every, 2).groupBy("query_id").count().agg(F.max("count")).first()[0]
+    assert shards > 1 and most <= 2 * shards
+
+
+def test_rows_with_the_same_key_have_their_own_lengths(spark):
+    """Rare terms go back to their row, not to all rows of its key."""
+    rows = [(1, "a b c d"), (1, "a e"), (2, "a e f")]
+    counted = document_terms(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", WORDS(F.col("text")))
+    lexicon = spark.createDataFrame([(t, 2, 1.0, i) for i, t in enumerate("abcdef")], "term string, df long, idf double, term_no long")
+    for head in (0, 1, 6):
+        found = document_weights(counted, lexicon, head).collect()
+        assert sorted((r.doc_id, round(r.length**2, 6), len(r.term_no), sum(r.df)) for r in found) == [(1, 2, 2, 4), (1, 4, 4, 8), (2, 3, 3, 6)]
+
+
+def test_only_common_keys_are_copied(spark):
+    """With a copy of every key for each salt this would be 2 * 10^8 rows."""
+    table = spark.range(2000).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    found = lookup_join(spark.range(1000, 3000).withColumnRenamed("id", "k"), table, "k", 0, 100_000, F.col("k") == 1500)
+    assert found.count() == 1000 and found.filter("v != k * 2").count() == 0
