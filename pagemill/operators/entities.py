@@ -7,13 +7,19 @@ count words.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from itertools import groupby
+from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from pagemill.session import written
+
 WORD = r"[\p{L}\p{M}\p{N}_]"
 WORDS = regex.compile(f"{WORD}+")
 SPAN = ["text", "start", "end", "label", "start_token", "end_token"]
@@ -35,17 +41,48 @@ class Names:
             known = sizes.setdefault((words[0].start(), len(name)), {})
             known.setdefault(name, (len(words), []))[1].append(label)
 
-    def candidates(self, text: str) -> list[Span]:
-        """``(start, -end, label, name, start_token, end_token)`` of every place of every name, sorted."""
-        found = []
-        for token, word in enumerate(WORDS.finditer(text)):
-            for (before, size), names in self.entries.get(word.group(), {}).items():
-                start = word.start() - before
-                name = text[start : start + size] if start >= 0 else ""
-                if name in names and not (WORDS.match(name[-1]) and WORDS.match(text[start + size : start + size + 1])):
-                    n_words, labels = names[name]
-                    found += [(start, -start - size, label, name, token, token + n_words) for label in labels]
-        return sorted(found)
+        self.looks = np.unique(_looks(*(np.array([f(w) for w in self.entries], np.int64) for f in (lambda w: ord(w[0]), len))))
+
+    def candidates(self, texts: list[str]) -> Iterator[tuple[int, list[Span]]]:
+        """Texts with names, by number: ``(start, -end, label, name, start_token, end_token)`` of every place of every name, sorted.
+
+        Words are cut in all texts at once; only those that look like the first word of a name are looked up.
+        """
+        codes = np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32)
+        inside = _word_codes()[codes]
+        starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+        starts = np.append([0], starts) if inside[:1].any() else starts
+        ends = np.append(np.flatnonzero(inside[:-1] & ~inside[1:]) + 1, [len(codes)])[: len(starts)]
+        likely = np.flatnonzero(np.isin(_looks(codes[starts].astype(np.int64), ends - starts), self.looks))
+        begins = np.cumsum([0, *(len(text) + 1 for text in texts)])
+        rows = np.searchsorted(begins, starts[likely], "right") - 1
+        tokens = likely - np.searchsorted(starts, begins)[rows]
+        places = zip(rows.tolist(), (starts[likely] - begins[rows]).tolist(), (ends[likely] - begins[rows]).tolist(), tokens.tolist(), strict=True)
+        for row, words in groupby(places, itemgetter(0)):
+            text, found = texts[row], []
+            for _, at, end, token in words:
+                for (before, size), names in self.entries.get(text[at:end], {}).items():
+                    start = at - before
+                    name = text[start : start + size] if start >= 0 else ""
+                    if name in names and not (WORDS.match(name[-1]) and WORDS.match(text[start + size : start + size + 1])):
+                        n_words, labels = names[name]
+                        found += [(start, -start - size, label, name, token, token + n_words) for label in labels]
+            if found:
+                yield row, sorted(found)
+
+
+@cache
+def _word_codes() -> np.ndarray:
+    """Which code points stand in words."""
+    every = np.setdiff1d(np.arange(0x110000), np.arange(0xD800, 0xE000)).astype(np.uint32)
+    known = np.zeros(0x110000, bool)
+    known[np.frombuffer("".join(WORDS.findall(every.tobytes().decode("utf-32-le"))).encode("utf-32-le"), np.uint32)] = True
+    return known
+
+
+def _looks(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A word's first code point and its length, in one number."""
+    return first * 64 + np.minimum(length, 63)
 
 
 def unmatchable_names(names: DataFrame) -> DataFrame:
@@ -68,7 +105,7 @@ def _blocks(names: DataFrame) -> Iterator[Names]:
 def tag_entities(documents: DataFrame, key: str | list[str], text: str, names: DataFrame) -> DataFrame:
     """Non-overlapping spans ``(key, text, start, end, label, start_token, end_token)``, leftmost longest first.
 
-    Texts are scanned word by word where they are, once per block of the dictionary. Spans of a dictionary of one block
+    Words are cut in batches of texts where they are, once per block of the dictionary. Spans of a dictionary of one block
     are chosen in the same pass; those of several blocks meet in a sort per text.
     """
     spark, keys = documents.sparkSession, [key] if isinstance(key, str) else list(key)
@@ -82,9 +119,10 @@ def tag_entities(documents: DataFrame, key: str | list[str], text: str, names: D
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 rows, spans = [], []
-                for row, body in enumerate(batch.column(len(keys)).to_pylist()):
+                texts = [body or "" for body in batch.column(len(keys)).to_pylist()]
+                for row, candidates in block.value.candidates(texts):
                     covered = 0
-                    for span in block.value.candidates(body or ""):
+                    for span in candidates:
                         if not choose or span[0] >= covered:
                             covered = -span[1]
                             rows.append(row)
@@ -157,9 +195,13 @@ def override_spans(spans: DataFrame, overrides: DataFrame, keys: list[str]) -> D
 
 
 def replace_spans(spans: DataFrame, complete: DataFrame, keys: list[str]) -> DataFrame:
-    """A text with rows in ``complete`` has exactly these spans; the spans of all other texts stay."""
+    """A text with rows in ``complete`` has exactly these spans; the spans of all other texts stay.
+
+    ``complete`` is used twice and is written before.
+    """
+    complete = written(complete.select(*keys, *SPAN), "complete-spans")
     listed = complete.select(*keys).distinct()
-    return spans.join(listed, keys, "left_anti").select(*keys, *SPAN).unionByName(complete.select(*keys, *SPAN))
+    return spans.join(listed, keys, "left_anti").select(*keys, *SPAN).unionByName(complete)
 
 
 def company_of_question(

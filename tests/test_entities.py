@@ -104,3 +104,34 @@ def test_company_of_question(spark):
 
 def test_without_names(spark):
     assert N.tag_entities(docs(spark, "a b"), "id", "text", names(spark, ("!!", "X"))).count() == 0
+
+
+def test_words_are_cut_in_batches_of_texts():
+    """Texts meet nowhere, whatever they begin or end with; offsets and tokens are those of the text."""
+    block = N.Names([("aa", "1"), ("aa bb", "2"), (".bb", "3"), ("é" * 70, "4"), ("\U0001d7d8x", "5")])
+    texts = ["", "aa", "bb aa", "", "\n", "aa bb", "\U0001f600 .bb x\u0301aa aa", "é" * 70 + " \U0001d7d8x", "é" * 69, ""]
+    found = {row: [(s[0], -s[1], s[3], s[4], s[5]) for s in spans] for row, spans in block.candidates(texts)}
+    assert found == {
+        1: [(0, 2, "aa", 0, 1)],
+        2: [(3, 5, "aa", 1, 2)],
+        5: [(0, 5, "aa bb", 0, 2), (0, 2, "aa", 0, 1)],
+        6: [(2, 5, ".bb", 0, 1), (11, 13, "aa", 2, 3)],
+        7: [(0, 70, "é" * 70, 0, 1), (71, 73, "\U0001d7d8x", 1, 2)],
+    }
+    assert list(block.candidates([])) == list(block.candidates([""])) == list(N.Names([]).candidates(["aa"])) == []
+
+
+def test_complete_spans_are_found_once(spark):
+    """What fills two places of the plan is not computed in both."""
+    texts = docs(spark, "aa bb cc", "aa bb", "cc")
+    scans = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            scans.add(batch.num_rows)
+            yield batch
+
+    complete = N.tag_entities(texts, "id", "text", names(spark, ("bb", "2")))
+    counted = complete.mapInArrow(count, complete.schema)
+    assert N.replace_spans(N.tag_entities(texts, "id", "text", names(spark, ("cc", "1"))), counted, ["id"]).count() == 3
+    assert scans.value == 2
