@@ -43,6 +43,7 @@ HEADER_COLUMNS = ARCHIVE_COLUMNS | {"http_content_type"}
 ARROW_TYPES = {"payload": pa.binary()}
 TASK_BYTES = 128 << 20
 OPEN_BYTES = 4 << 20
+CORE_TASKS, TASK_ARCHIVES = 16, 32
 BATCH_BYTES = 16 << 20
 BATCH_ROWS = 2000
 READ_CHUNK = 1 << 20
@@ -115,13 +116,15 @@ def read_archives(
 ) -> DataFrame:
     """Archive rows for a DataFrame of archive paths (a manifest), without listing them on the driver.
 
-    ``record_types`` leaves other records out inside the reader; error rows stay.
+    ``record_types`` leaves other records out inside the reader; error rows stay. The archives are dealt over ``tasks``; unless
+    given, a core has up to ``CORE_TASKS`` of them, and more only where a task would have over ``TASK_ARCHIVES``.
     """
     wanted = {"rec_type": set(record_types)} if record_types else {}
     columns = [field.split()[0] for field in schema.split(",")]
     spark = files.sparkSession
     if tasks is None:
-        tasks = max(1, min(files.count(), 100_000))
+        archives = files.count()
+        tasks = max(1, min(archives, spark.sparkContext.defaultParallelism * CORE_TASKS), -(-archives // TASK_ARCHIVES))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -145,6 +145,15 @@ def test_archives_named_in_a_table(spark, folder):
     assert "FileNotFoundError" in rows.filter("error IS NOT NULL").first()["error"]
 
 
+def test_many_archives_of_a_table_share_tasks(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"{i}.warc").write_bytes(record("metadata", f"http://a/{i}", b"x", "text/plain"))
+    files = spark.range(300).select(F.format_string(f"{tmp_path}/%d.warc", "id").alias("filename"))
+    rows = read_archives(files, schema="url string, error string")
+    assert rows.rdd.getNumPartitions() == 64 and read_archives(files.limit(3)).rdd.getNumPartitions() <= 3
+    assert sorted(r.url for r in rows.collect()) == sorted(f"http://a/{i}" for i in range(300))
+
+
 def test_wet(spark, tmp_path):
     path = tmp_path / "x.warc.wet.gz"
     path.write_bytes(gzip.compress(record("warcinfo", "", b"x", "application/warc-fields")) + gzip.compress(record("conversion", "http://a", "é".encode(), "text/plain")))
