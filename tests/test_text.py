@@ -172,3 +172,9 @@ def test_row_by_key_is_pushed_down(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     plan = row_by_key(pages, "page_id", 3)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(page_id,3)" in plan
+
+
+def test_only_terms_of_the_queries_are_weighed(spark):
+    counts = spark.createDataFrame([(1, "a", 2), (2, "a", 1), (2, "x", 1)], "query_id long, term string, tf long")
+    terms = spark.createDataFrame([("a", 1.0, 7), ("b", 2.0, 8)], "term string, idf double, term_no long")
+    assert [tuple(r) for r in R.known_terms(counts, terms).collect()] == [("a", 1.0, 7)]
