@@ -55,6 +55,21 @@ def test_a_stored_model_is_the_same(texts, tmp_path):
     assert all(np.allclose(one[k], two[k]) for k in one)
 
 
+def test_tokens_are_cut_once_a_side_and_stay_out_of_the_join(texts):
+    model = E.fit_features(texts, partitions=2, head_words=24)
+    plan = E.at_rest(E.transform_features(model, texts))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("MapInArrow") == 1
+    joined = plan[: plan.index("Join LeftOuter")]
+    assert "content_embedded" in joined and "content_tokenized" not in joined
+
+
+def test_words_outside_the_head_are_rows_once_a_list(spark):
+    lists = spark.createDataFrame([(["x", "a", "x", "y"],), (["a"],), ([],), (["x", "x", "y", "a"],), (["x", "y", "x"],)], "tokens array<string>")
+    rows = W._others(lists.coalesce(1), W.pa.array(["a"])).collect()
+    assert sorted((r["word"], r["n"]) for r in rows) == [("x", 2)] * 3 + [("y", 1)] * 3
+    assert sum(r["lists"] for r in rows) == 3 and len({r["_key"] for r in rows}) == 2  # the first and the last list are alike
+
+
 def test_contexts_are_the_head_words_on_both_sides():
     draw = np.random.default_rng(1)
     row, place = np.sort(draw.integers(0, 9, 200)) * 2, draw.integers(-1, 6, 200)
