@@ -24,6 +24,8 @@ HEAD_TERMS = 100_000
 HEAD_TERM_BYTES = 64
 # Documents meet their rare terms in groups of about so many.
 GROUP_ROWS = 2000
+# Products of weights that a task holds at a time.
+PRODUCTS = 1 << 20
 
 
 def tfidf_search(
@@ -167,17 +169,26 @@ class QueryBlock:
         if not len(self.terms):
             return
         place = np.minimum(np.searchsorted(self.terms, term_no), len(self.terms) - 1)
-        asked = self.terms[place] == term_no
+        asked = np.flatnonzero(self.terms[place] == term_no)
+        place, weights = place[asked], weights[asked]
+        count = self.starts[place + 1] - self.starts[place]
+        first = np.searchsorted(asked, edges)  # of each document's asked terms
+        products = np.append(0, np.cumsum(count))[first] // PRODUCTS
+        lengths = np.where(lengths == 0, 1.0, lengths)
         for part in score_slices(len(doc_ids), len(self.ids)):
             scores = np.zeros((len(self.ids), part.stop - part.start))
-            for column, doc in enumerate(range(part.start, part.stop)):
-                here = slice(edges[doc], edges[doc + 1])
-                found = place[here][asked[here]]
-                count = self.starts[found + 1] - self.starts[found]
-                # Positions of the query entries of all terms of this document, one term after the other.
-                entry = np.repeat(self.starts[found] - np.cumsum(count) + count, count) + np.arange(count.sum())
-                products = self.weights[entry] * np.repeat(weights[here][asked[here]], count)
-                scores[:, column] = np.bincount(self.owner[entry], products, len(self.ids)) / (lengths[doc] or 1.0)
+            # Documents are taken in runs that together have about as many products as may be held at a time.
+            cuts = part.start + 1 + np.flatnonzero(np.diff(products[part]))
+            for start, stop in zip([part.start, *cuts], [*cuts, part.stop], strict=True):
+                here = slice(first[start], first[stop])
+                n = count[here]
+                # Positions of the query entries of all terms of these documents, one term after the other.
+                entry = np.repeat(self.starts[place[here]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                column = np.repeat(np.repeat(np.arange(stop - start), np.diff(first[start:stop + 1])), n)
+                cell = self.owner[entry] * (stop - start) + column
+                sums = np.bincount(cell, self.weights[entry] * np.repeat(weights[here], n), len(self.ids) * (stop - start))
+                scores[:, start - part.start:stop - part.start] = sums.reshape(len(self.ids), -1)
+            scores /= lengths[part]
             scores[scores <= 0] = -np.inf
             best.add(scores, doc_ids[part])
 

@@ -97,6 +97,24 @@ def test_retrieval_equals_brute_force(spark, monkeypatch, batch_bytes, head_term
     assert {r["rank"] for r in found} == {1, 2, 3, 4}
 
 
+@pytest.mark.parametrize("most, calls", [(1 << 20, 1), (300, 30)])
+def test_documents_are_scored_many_at_a_time(monkeypatch, most, calls):
+    draw = np.random.default_rng(4)
+    count = np.bincount
+    seen = []
+    monkeypatch.setattr(R, "PRODUCTS", most, raising=False)
+    queries, documents = draw.random((7, 12)) * (draw.random((7, 12)) < 0.5), draw.random((400, 12)) * (draw.random((400, 12)) < 0.4)
+    lengths = np.sqrt((documents * documents).sum(axis=1))
+    (query, term), (doc, own) = queries.nonzero(), documents.nonzero()
+    block, best = R.QueryBlock(query + 100, term * 3, queries[query, term]), topk.BestScores(7, 5)
+    monkeypatch.setattr(np, "bincount", lambda *given: seen.append(1) or count(*given))
+    block.score(best, np.arange(400), lengths, np.searchsorted(doc, np.arange(401)), own * 3, documents[doc, own])
+    monkeypatch.undo()
+    expected = np.round(queries @ documents.T / np.where(lengths == 0, 1, lengths), 6)
+    assert len(seen) <= calls
+    assert np.allclose(block.result(best).column("score").to_numpy().reshape(7, 5), -np.sort(-expected, axis=1)[:, :5], atol=1e-6)
+
+
 def test_word2vec_is_the_mean_of_known_tokens(docs):
     content = docs.withColumnRenamed("text", "content")
     many = content.crossJoin(content.sparkSession.range(10)).select("doc_id", "content")
