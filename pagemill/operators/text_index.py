@@ -1,8 +1,9 @@
 """Stored text index: TF-IDF search that reads only the postings of the queries' terms, and of those the ones that can matter.
 
-A term's postings lie in blocks of documents with like weights, each with its largest weight; the table is in term order,
-partitioned by term. Best blocks give every query a score that its k-th document has at least. A block whose largest weight,
-with all that the query's other terms can add, stays below it cannot hold a document of the result and is skipped.
+A term's postings lie in blocks of documents with like weights, each with its largest weight; blocks are in term order, a page
+of them is a row, and the table is partitioned by term. Best blocks give every query a score that its k-th document has at
+least. A block whose largest weight, with all that the query's other terms can add, stays below it cannot hold a document of
+the result and is skipped.
 """
 
 from __future__ import annotations
@@ -12,71 +13,226 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.operators.nearest import BROADCAST_BYTES
-from pagemill.operators.retrieval import ENTRY_BYTES, HEAD_TERMS, RESULT, document_weights, flat, known_terms, query_weights
-from pagemill.operators.terms import document_terms, term_counts, term_idf
+from pagemill.operators.retrieval import ENTRY_BYTES, HEAD_TERMS, RESULT, known_terms, query_weights
+from pagemill.operators.terms import idf_weight, term_counts
 from pagemill.operators.topk import DIGITS, query_chunks, rank_scores
 from pagemill.session import broadcast_if_small, new_table_path, written
 
-BLOCKS = "term_no long, top double, doc_ids array<long>, weights array<double>, part int"
+#: Between tasks numbers travel as the bytes of their array: ``_packed`` and ``_unpacked``.
+RUNS = "run long, documents long, n_terms long, postings long, doc_ids binary, sizes binary, places binary, tfs binary, words binary, lengths binary, frequencies binary"
+TERMS_DEALT = "shard long, run long, places binary, words binary, lengths binary, frequencies binary"
+NUMBERED = "run long, places binary, numbers binary, frequencies binary, term array<string>, term_no array<long>, df array<long>"
+DEALT = "shard long, term_no binary, piece binary, doc_id binary, weight binary"
+FOUND = "shard long, term_no binary, doc_id binary, weight binary"
+PAGES = "term_no array<long>, top array<double>, ends array<int>, doc_ids array<long>, weights array<double>, part int"
+RUN_COLUMNS = [column.split()[0] for column in RUNS.split(", ")]
 #: Bounds give way by this much, beyond the rounding of scores.
 SLACK = 1e-5
 #: Postings that a task holds at a time: of the index that is built, and of a search.
 SHARD_ENTRIES, SCORE_ENTRIES = 1 << 20, 1 << 18
+#: Documents are counted in runs of so many tokens, and terms numbered in shards of so many entries (a term of a run).
+RUN_TOKENS, TERM_ENTRIES = 1 << 19, 1 << 20
+#: Postings of a page, and terms of a row that lists them.
+PAGE_ENTRIES = 1 << 16
+#: Rows are long, so their number says nothing of a row group's size.
+LONG_ROWS = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": "false"}
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    """``terms`` (term, term_no, df, idf, top) and ``blocks``, partitioned by ``part``, below ``path``."""
+    """``terms`` (term, term_no, df, idf) and ``blocks`` in pages, partitioned by ``part``, below ``path``."""
 
     path: str
     parts: int
 
     def terms(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema("term string, term_no long, df long, idf double, top double").parquet(f"{self.path}/terms")
+        return spark.read.schema("term string, term_no long, df long, idf double").parquet(f"{self.path}/terms")
+
+    def pages(self, spark: SparkSession, parts: list[int]) -> DataFrame:
+        """Pages of some parts of the terms; other parts' files are not opened."""
+        return spark.read.schema(PAGES).parquet(f"{self.path}/blocks").filter(F.col("part").isin(parts))
 
     def blocks(self, spark: SparkSession, parts: list[int]) -> DataFrame:
-        """Blocks of some parts of the terms; other parts' files are not opened."""
-        return spark.read.schema(BLOCKS).parquet(f"{self.path}/blocks").filter(F.col("part").isin(parts))
+        """The same, a row per block: ``term_no, top, doc_ids, weights, part``."""
+
+        def block(no: Column) -> Column:
+            start = F.coalesce(F.get("ends", no - 1), F.lit(0))
+            lists = [F.slice(c, start + 1, F.get("ends", no) - start).alias(c) for c in ("doc_ids", "weights")]
+            return F.struct(F.get("term_no", no).alias("term_no"), F.get("top", no).alias("top"), *lists)
+
+        blocks = F.transform(F.sequence(F.lit(0), F.size("ends") - 1), block)
+        return self.pages(spark, parts).select(F.inline(blocks), "part")
+
+    def tops(self, spark: SparkSession, parts: list[int]) -> DataFrame:
+        """``term_no, top``: largest weights of terms, one or several a term."""
+        return self.pages(spark, parts).select("term_no", "top").mapInArrow(_page_tops, "term_no long, top double")
 
 
 def _part(term_no: Column, parts: int) -> Column:
     return F.pmod(term_no, F.lit(parts)).cast("int")
 
 
-def build_text_index(documents: DataFrame, key: str, tokens: Column, path: str | None = None, parts: int = 64, block_rows: int = 1024, head_terms: int = HEAD_TERMS) -> TextIndex:
+def build_text_index(
+    documents: DataFrame, key: str, tokens: Column, path: str | None = None, parts: int = 64, block_rows: int = 1024,
+    head_terms: int = HEAD_TERMS, run_tokens: int = RUN_TOKENS,
+) -> TextIndex:
     """Write the index of all documents with a key that is not null.
 
     A weight is ``tf * idf`` over the length of the document's vector. A block holds weights of one quarter of a power of
     two, so that its largest says much about all of them, and about ``block_rows`` documents, however common the term.
+
+    Documents are counted in runs of about ``run_tokens``. Only a run's distinct terms travel, once a run; they come back with
+    their number and frequency, and the run makes its postings. No term is looked up document by document, so frequent ones
+    need no table of their own and ``head_terms`` has no effect.
     """
     spark = documents.sparkSession
     path = path or new_table_path(spark, "text-index")
-    documents = documents.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), tokens.alias("tokens"))
-    counted = written(document_terms(documents, "doc_id", F.col("tokens")), "document-terms")
-    idf = written(term_idf(counted).withColumn("term_no", F.monotonically_increasing_id()), "idf")
-    rows = document_weights(counted, idf, head_terms).filter("length > 0")
-    entries = idf.agg(F.sum("df")).first()[0] or 0
-    shards = max(1, -(-entries // (parts * SHARD_ENTRIES)))  # of a part
-    dealt = rows.mapInArrow(_by_term(parts, shards, block_rows), "shard long, term_no array<long>, piece array<long>, doc_id array<long>, weight array<double>")
-    dealt.groupBy("shard").applyInArrow(_blocks(parts), BLOCKS).write.partitionBy("part").parquet(f"{path}/blocks")
-    tops = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").groupBy("term_no").agg(F.max("top").alias("top"))
-    idf.join(tops, "term_no").select("term", "term_no", F.col("df").cast("long").alias("df"), "idf", "top").write.parquet(f"{path}/terms")
+    present = documents.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens"))
+    runs = _written_long(present.mapInArrow(_runs(run_tokens), RUNS), RUNS, "text-runs")
+    n_documents, entries, postings = runs.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("documents", "n_terms", "postings")]).first()
+    shards = max(spark.sparkContext.defaultParallelism, -(-entries // TERM_ENTRIES))
+    dealt = runs.select("run", "words", "lengths", "frequencies").mapInArrow(_by_hash(shards), TERMS_DEALT)
+    numbered = _written_long(dealt.groupBy("shard").applyInArrow(_numbered, NUMBERED), NUMBERED, "term-numbers")
+    terms = numbered.filter("run is null").select(F.inline(F.arrays_zip("term", "term_no", "df")))
+    terms.withColumn("idf", idf_weight(n_documents, F.col("df"))).write.parquet(f"{path}/terms")
+
+    shards = max(1, -(-postings // (parts * SHARD_ENTRIES)))  # of a part
+    found = numbered.filter("run is not null").select("run", "places", "numbers", "frequencies")
+    both = runs.select("run", "doc_ids", "sizes", "places", "tfs").groupBy("run").cogroup(found.groupBy("run"))
+    dealt = both.applyInArrow(_by_term(n_documents, parts, shards, block_rows), DEALT)
+    dealt.groupBy("shard").applyInArrow(_blocks(parts), PAGES).write.partitionBy("part").options(**LONG_ROWS).parquet(f"{path}/blocks")
     return TextIndex(path, parts)
 
 
-def _dealt(shard: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """A row per shard, with its values of every column as arrays."""
+def _written_long(table: DataFrame, schema: str, label: str) -> DataFrame:
+    path = new_table_path(table.sparkSession, label)
+    table.write.options(**LONG_ROWS).parquet(path)
+    return table.sparkSession.read.schema(schema).parquet(path)
+
+
+def _runs(run_tokens: int):
+    """Documents and their tokens, counted in runs: the run's distinct terms, and each document's as places among them."""
+
+    def run(number: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        doc_ids, lists = (pa.concat_arrays([batch.column(c) for batch in batches]) for c in (0, 1))
+        row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+        encoded = lists.flatten().dictionary_encode()
+        terms = max(len(encoded.dictionary), 1)
+        pair, tf = np.unique(row * terms + encoded.indices.to_numpy(), return_counts=True)
+        place = pair % terms
+        sizes, frequencies = np.bincount(pair // terms, minlength=len(lists)), np.bincount(place, minlength=len(encoded.dictionary))
+        words, ends = _words(encoded.dictionary)
+        counts = [pa.array([x]) for x in (number, len(lists), len(encoded.dictionary), len(place))]
+        numbers = [x.astype(np.int32) for x in (sizes, place, tf)]
+        whole = [_packed(x, [0, len(x)]) for x in (doc_ids.to_numpy(), *numbers, words, np.diff(ends), frequencies.astype(np.int32))]
+        return pa.RecordBatch.from_arrays(counts + whole, RUN_COLUMNS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, tokens, number = [], 0, TaskContext.get().partitionId() << 32
+        for batch in batches:
+            held.append(batch)
+            tokens += len(batch.column(1).flatten())
+            if tokens >= run_tokens:
+                yield run(number, held)
+                held, tokens, number = [], 0, number + 1
+        if held:
+            yield run(number, held)
+
+    return count
+
+
+def _packed(values: np.ndarray, edges: np.ndarray | list[int]) -> pa.Array:
+    """The bytes of every run of values between two edges."""
+    offsets = np.asarray(edges, dtype=np.int64) * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unpacked(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The values of all rows, one after the other."""
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    parts = []
+    for chunk in (c for c in chunks if len(c)):
+        _, offsets, values = chunk.buffers()
+        edges = np.frombuffer(offsets, np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+        if edges[-1] > edges[0]:
+            parts.append(np.frombuffer(values, np.uint8)[edges[0]:edges[-1]].view(kind))
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
+
+
+def _words(terms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of strings, and where the first starts and each ends."""
+    if not len(terms):
+        return np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int32)
+    _, offsets, values = terms.buffers()
+    ends = np.frombuffer(offsets, np.int32)[terms.offset:terms.offset + len(terms) + 1]
+    return (np.frombuffer(values, np.uint8) if values else np.zeros(0, dtype=np.uint8))[ends[0]:ends[-1]], ends - ends[0]
+
+
+def _strings(words: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(words)])
+
+
+def _by_hash(shards: int):
+    """Deal the terms of runs."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for no, run in enumerate(batch.column("run").to_pylist()):
+                row = batch.slice(no, 1)
+                lengths, frequencies = (_unpacked(row.column(c), np.int32) for c in ("lengths", "frequencies"))
+                terms = _strings(_unpacked(row.column("words"), np.uint8), lengths)
+                shard = pd.util.hash_array(terms.to_numpy(zero_copy_only=False), categorize=False) % np.uint64(shards)
+                order, edges, numbers = _order(shard)
+                words, ends = _words(terms.take(pa.array(order)))
+                columns = [numbers, pa.array(np.full(len(numbers), run)), _packed(order.astype(np.int32), edges), _packed(words, ends[edges])]
+                columns += [_packed(x[order], edges) for x in (lengths, frequencies)]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "run", "places", "words", "lengths", "frequencies"])
+
+    return deal
+
+
+def _numbered(key: tuple, shard: pa.Table) -> pa.Table:
+    """Numbers and document frequencies of a shard's terms, for every run, and without a run the list of the terms."""
+    lengths, frequencies = (_unpacked(shard.column(c), np.int32) for c in ("lengths", "frequencies"))
+    encoded = _strings(_unpacked(shard.column("words"), np.uint8), lengths).dictionary_encode()
+    index, terms = encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
+    df = np.bincount(index, frequencies, len(terms)).astype(np.int64)
+    first = key[0].as_py() << 32
+    edges = np.append(0, np.cumsum(pc.binary_length(shard.column("places")).to_numpy() // 4))
+    runs = [shard.column("run"), shard.column("places"), _packed(first + index, edges), _packed(df[index], edges)]
+    cuts = pa.array(np.append(np.arange(0, len(terms), PAGE_ENTRIES), len(terms)), pa.int32())
+    lists = [pa.ListArray.from_arrays(cuts, x) for x in (terms, first + np.arange(len(terms)), df)]
+    names = ["run", "places", "numbers", "frequencies", "term", "term_no", "df"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), *(x.type for x in lists)]
+    runs += [pa.nulls(shard.num_rows, kind) for kind in kinds[4:]]
+    listed = [*(pa.nulls(len(cuts) - 1, kind) for kind in kinds[:4]), *lists]
+    schema = pa.schema(list(zip(names, kinds, strict=True)))
+    return pa.concat_tables([pa.table(columns, names).cast(schema) for columns in (runs, listed)])
+
+
+def _order(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The order by shard, where each shard starts and the last ends, and the shards' numbers."""
+    if len(shard) and shard.max() < 1 << 16:
+        shard = shard.astype(np.uint16)  # sorted by digits
     order = np.argsort(shard, kind="stable")
-    numbers, first = np.unique(shard[order], return_index=True)
-    edges = pa.array(np.append(first, len(order)), pa.int32())
-    lists = [pa.ListArray.from_arrays(edges, values[order]) for values in columns.values()]
-    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *lists], ["shard", *columns])
+    shard = shard[order]
+    first = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else order
+    return order, np.append(first, len(order)), pa.array(shard[first].astype(np.int64))
+
+
+def _dealt(shard: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """A row per shard, with the bytes of its values of every column."""
+    order, edges, numbers = _order(shard)
+    return pa.RecordBatch.from_arrays([numbers, *(_packed(x[order], edges) for x in columns.values())], ["shard", *columns])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -87,80 +243,116 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(1)).astype(np.int64)
 
 
-def _by_term(parts: int, shards: int, block_rows: int):
-    """Deal the postings of documents: a shard has whole terms, and of a common one whole pieces."""
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            count = pc.list_value_length(batch.column("term_no")).to_numpy()
-            term, df, weight = (batch.column(c).flatten().to_numpy() for c in ("term_no", "df", "w"))
-            weight = weight / np.repeat(batch.column("length").to_numpy(), count)
-            doc = np.repeat(batch.column("doc_id").to_numpy(), count)
-            here = weight > 0
-            term, df, doc, weight = term[here], df[here], doc[here], weight[here]
-            piece = _mixed(doc) % -(-df // block_rows)
-            shard = term % parts + parts * (_mixed(term + _mixed(piece)) % shards)
-            yield _dealt(shard, {"term_no": term, "piece": piece, "doc_id": doc, "weight": weight})
+def _by_term(n_documents: int, parts: int, shards: int, block_rows: int):
+    """Deal the postings of a run: a shard has whole terms, and of a common one whole pieces."""
+
+    def deal(run: pa.Table, found: pa.Table) -> pa.Table:
+        doc = _unpacked(run.column("doc_ids"), np.int64)
+        sizes, place, tf = (_unpacked(run.column(c), np.int32) for c in ("sizes", "places", "tfs"))
+        places = _unpacked(found.column("places"), np.int32)
+        numbers, frequencies = np.zeros((2, len(places)), dtype=np.int64)
+        for values, column in ((numbers, "numbers"), (frequencies, "frequencies")):
+            values[places] = _unpacked(found.column(column), np.int64)
+        row = np.repeat(np.arange(len(doc)), sizes)
+        weight = tf * np.log((n_documents + 1) / (frequencies + 1))[place]
+        here = weight > 0
+        row, place, weight = row[here], place[here], weight[here]
+        weight = weight / np.sqrt(np.bincount(row, weight * weight, len(doc)))[row]
+        term, doc = numbers[place], doc[row]
+        piece = _mixed(doc) % -(-frequencies[place] // block_rows)
+        shard = term % parts
+        if shards > 1:
+            shard += parts * (_mixed(term + _mixed(piece)) % shards)
+        return pa.Table.from_batches([_dealt(shard, {"term_no": term, "piece": piece, "doc_id": doc, "weight": weight})])
 
     return deal
 
 
 def _blocks(parts: int):
-    """The blocks of a shard, in term order."""
+    """The blocks of a shard, in term order and in pages."""
 
     def build(shard: pa.Table) -> pa.Table:
-        term, piece, doc, weight = (flat(shard.column(c)) for c in ("term_no", "piece", "doc_id", "weight"))
-        level = np.floor(np.log2(weight) * 4)
+        term, piece, doc = (_unpacked(shard.column(c), np.int64) for c in ("term_no", "piece", "doc_id"))
+        weight = _unpacked(shard.column("weight"), np.float64)
+        level = np.floor(np.log2(weight) * 4).astype(np.int32)
         order = np.lexsort((piece, -level, term))
         term, piece, level, weight = term[order], piece[order], level[order], weight[order]
         new = (np.diff(term) != 0) | (np.diff(level) != 0) | (np.diff(piece) != 0)
         first = np.flatnonzero(np.append(True, new))
-        edges = pa.array(np.append(first, len(term)), pa.int32())
-        lists = [pa.ListArray.from_arrays(edges, x) for x in (doc[order], weight)]
-        columns = [term[first], np.maximum.reduceat(weight, first), *lists, (term[first] % parts).astype(np.int32)]
-        return pa.table([pa.array(c) for c in columns], ["term_no", "top", "doc_ids", "weights", "part"])
+        page = first // PAGE_ENTRIES
+        heads = np.flatnonzero(np.append(True, page[1:] != page[:-1]))  # of pages, among the blocks
+        starts = first[heads]
+        last = np.append(first[1:], len(term))
+        ends = (last - np.repeat(starts, np.diff(np.append(heads, len(first))))).astype(np.int32)
+        of_blocks, of_postings = (pa.array(np.append(x, n), pa.int32()) for x, n in ((heads, len(first)), (starts, len(term))))
+        lists = [pa.ListArray.from_arrays(of_blocks, x) for x in (term[first], np.maximum.reduceat(weight, first), ends)]
+        lists += [pa.ListArray.from_arrays(of_postings, x) for x in (doc[order], weight)]
+        part = np.full(len(heads), term[0] % parts, dtype=np.int32)
+        return pa.table([*lists, pa.array(part)], ["term_no", "top", "ends", "doc_ids", "weights", "part"])
 
     return build
 
 
+def _page_tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The largest weight of every term that follows another."""
+    for batch in batches:
+        term, top = (batch.column(c).flatten().to_numpy() for c in ("term_no", "top"))
+        first = np.flatnonzero(np.append(True, term[1:] != term[:-1])) if len(term) else np.zeros(0, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(term[first]), pa.array(np.maximum.reduceat(top, first) if len(term) else top)], ["term_no", "top"])
+
+
 def asked_terms(index: TextIndex, queries: DataFrame, key: str, tokens: Column) -> DataFrame:
     """``query_id, term_no, weight, df, top, rest``: unit weights of known terms, and what the query's other terms add at most."""
+    spark = queries.sparkSession
     counts = term_counts(queries.select(F.col(key).cast("long").alias("query_id"), tokens.alias("tokens")), "query_id", F.col("tokens"))
-    terms = written(known_terms(counts, index.terms(queries.sparkSession)), "known-terms")
-    weights = query_weights(counts, terms.select("term", "idf", "term_no")).join(terms.select("term_no", "df", "top"), "term_no")
-    weights = written(weights, "query-weights")
+    terms = written(known_terms(counts, index.terms(spark)), "known-terms")
+    tops = index.tops(spark, _asked_parts(index, terms)).join(broadcast_if_small(terms.select("term_no", "df")), "term_no")
+    tops = tops.groupBy("term_no", "df").agg(F.max("top").alias("top"))
+    weights = written(query_weights(counts, terms.select("term", "idf", "term_no")).join(tops, "term_no"), "query-weights")
     most = weights.groupBy("query_id").agg(F.sum(F.col("weight") * F.col("top")).alias("most"))
     return weights.join(most, "query_id").select("query_id", "term_no", "weight", "df", "top", (F.col("most") - F.col("weight") * F.col("top")).alias("rest"))
 
 
-def _asked_blocks(index: TextIndex, asked: DataFrame) -> DataFrame:
-    parts = [row[0] for row in asked.select(_part(F.col("term_no"), index.parts)).distinct().collect()]  # at most the index's parts
-    return index.blocks(asked.sparkSession, parts).withColumnRenamed("top", "block_top")
+def _asked_parts(index: TextIndex, asked: DataFrame) -> list[int]:
+    return [row[0] for row in asked.select(_part(F.col("term_no"), index.parts)).distinct().collect()]  # at most the index's parts
 
 
 def _scores(index: TextIndex, asked: DataFrame, least_top: DataFrame, k: int) -> DataFrame:
     """``query_id, doc_id, score``: every query's best, over the blocks of a term whose largest weight reaches ``least_top(term_no,
     least_top)``.
 
-    Postings are dealt by their document and scored against all queries where they meet, so pairs are never rows.
+    Blocks are picked where their page is read. Postings are dealt by their document and scored against all queries where they
+    meet, so pairs are never rows.
     """
-    met = _asked_blocks(index, asked).join(broadcast_if_small(least_top), "term_no").filter("block_top >= least_top")
+    context = asked.sparkSession.sparkContext
     entries = asked.select("term_no", "df").distinct().agg(F.sum("df")).first()[0] or 0
     shards = max(1, -(-entries // SCORE_ENTRIES))
-    dealt = met.select("term_no", "doc_ids", "weights").mapInArrow(_by_document(shards), "shard long, term_no array<long>, doc_id array<long>, weight array<double>")
+    needed = least_top.toPandas().sort_values("term_no")  # at most a row per entry of the chunk
+    picked = context.broadcast([needed[c].to_numpy() for c in ("term_no", "least_top")])
+    pages = index.pages(asked.sparkSession, _asked_parts(index, asked)).drop("part")
+    dealt = pages.mapInArrow(_by_document(picked, shards), FOUND)
     table = asked.select("query_id", "term_no", "weight").toPandas().sort_values("query_id")
-    shared = asked.sparkSession.sparkContext.broadcast([table[c].to_numpy() for c in ("query_id", "term_no", "weight")])
+    shared = context.broadcast([table[c].to_numpy() for c in ("query_id", "term_no", "weight")])
     return dealt.groupBy("shard").applyInArrow(_best(shared, k), RESULT)
 
 
-def _by_document(shards: int):
-    """Deal the postings of blocks."""
+def _by_document(picked, shards: int):
+    """Deal the postings of the blocks that are needed."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, least = picked.value
         for batch in batches:
-            term = np.repeat(batch.column("term_no").to_numpy(), pc.list_value_length(batch.column("doc_ids")).to_numpy())
-            doc, weight = (batch.column(c).flatten().to_numpy() for c in ("doc_ids", "weights"))
-            yield _dealt(_mixed(doc) % shards, {"term_no": term, "doc_id": doc, "weight": weight})
+            term, top, ends, doc, weight = (batch.column(c).flatten().to_numpy() for c in ("term_no", "top", "ends", "doc_ids", "weights"))
+            if not len(terms) or not len(term):
+                continue
+            pages = np.cumsum(pc.list_value_length(batch.column("ends")).to_numpy())[:-1]
+            sizes = np.diff(ends, prepend=0)
+            sizes[pages] = ends[pages]  # the first block of every page
+            place = np.minimum(np.searchsorted(terms, term), len(terms) - 1)
+            here = (terms[place] == term) & (top >= least[place])
+            postings = np.repeat(here, sizes)
+            doc, weight = doc[postings], weight[postings]
+            yield _dealt(_mixed(doc) % shards, {"term_no": np.repeat(term[here], sizes[here]), "doc_id": doc, "weight": weight})
 
     return deal
 
@@ -170,7 +362,8 @@ def _best(shared, k: int):
 
     def score(shard: pa.Table) -> pa.Table:
         query, asked, weight = shared.value
-        term, doc, w = (flat(shard.column(c)) for c in ("term_no", "doc_id", "weight"))
+        term, doc = (_unpacked(shard.column(c), np.int64) for c in ("term_no", "doc_id"))
+        w = _unpacked(shard.column("weight"), np.float64)
         order = np.argsort(term, kind="stable")
         docs, at = np.unique(doc[order], return_inverse=True)
         term, w = term[order], w[order]
@@ -205,7 +398,8 @@ def _bounded(index: TextIndex, asked: DataFrame, k: int) -> DataFrame:
 
 def open_blocks(index: TextIndex, asked: DataFrame, k: int) -> DataFrame:
     """The blocks that each query must read: those of its terms that its k-th score so far does not rule out."""
-    met = _asked_blocks(index, asked).join(broadcast_if_small(_bounded(index, asked, k)), "term_no")
+    blocks = index.blocks(asked.sparkSession, _asked_parts(index, asked)).withColumnRenamed("top", "block_top")
+    met = blocks.join(broadcast_if_small(_bounded(index, asked, k)), "term_no")
     return met.filter(F.col("weight") * F.col("block_top") + F.col("rest") + SLACK >= F.col("least"))
 
 

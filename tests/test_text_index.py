@@ -1,7 +1,11 @@
 """The stored text index against the scan of all documents, and the blocks that it skips."""
 
+import math
 import random
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +107,54 @@ def test_only_common_keys_are_copied(spark):
     table = spark.range(2000).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
     found = lookup_join(spark.range(1000, 3000).withColumnRenamed("id", "k"), table, "k", 0, 100_000, F.col("k") == 1500)
     assert found.count() == 1000 and found.filter("v != k * 2").count() == 0
+
+
+def test_blocks_are_stored_in_pages(spark, index):
+    """Most terms are rare, so a row for each of their blocks would cost more than its postings."""
+    blocks = index.blocks(spark, list(range(8)))
+    assert spark.read.parquet(f"{index.path}/blocks").count() * 10 < blocks.count()
+    assert blocks.filter("size(doc_ids) = 0 or size(doc_ids) <> size(weights)").count() == 0
+
+
+@pytest.mark.parametrize("run_tokens, page_entries", [(1, 7), (100, 1 << 16), (1 << 20, 64)])
+def test_every_posting_is_stored_whatever_the_runs(spark, monkeypatch, run_tokens, page_entries):
+    """Repeated keys, a word in every row, words of many bytes, rows and runs without words."""
+    monkeypatch.setattr(text_index, "PAGE_ENTRIES", page_entries)
+    draw = random.Random(6)
+    words = ["the", "straße", "日本語", "🙂🙂", "x" * 300] + [f"w{i}" for i in range(200)]
+    texts = [" ".join(["the"] + draw.choices(words, k=draw.randrange(40))) for _ in range(150)]
+    rows = [(i % 140, t) for i, t in enumerate(texts)] + [(500, ""), (501, None), (None, "w1 w2"), (-3, "the the only")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    built = build_text_index(table, "doc_id", WORDS(F.col("text")), parts=4, block_rows=16, run_tokens=run_tokens)
+    kept = [(doc, Counter((t or "").split())) for doc, t in rows if doc is not None]
+    df = Counter(term for _, tf in kept for term in tf)
+    want = []
+    for doc, tf in kept:
+        weights = {t: n * math.log((len(kept) + 1) / (df[t] + 1)) for t, n in tf.items()}
+        length = math.sqrt(sum(w * w for w in weights.values()))
+        want += [(t, doc, round(w / length, 9)) for t, w in weights.items() if w > 0]
+    terms = built.terms(spark)
+    assert {(r.term, r.df, round(r.idf, 9)) for r in terms.collect()} == {(t, n, round(math.log((len(kept) + 1) / (n + 1)), 9)) for t, n in df.items()}
+    postings = built.blocks(spark, list(range(4))).select("term_no", F.inline(F.arrays_zip("doc_ids", "weights"))).join(terms, "term_no")
+    assert sorted((r.term, r.doc_ids, round(r.weights, 9)) for r in postings.collect()) == sorted(want)
+
+
+def test_numbers_travel_as_bytes():
+    values = np.array([5, -1, 1 << 40, 7, 8], dtype=np.int64)
+    packed = text_index._packed(values, [0, 2, 2, 5])
+    assert len(packed) == 3 and text_index._unpacked(packed, np.int64).tolist() == values.tolist()
+    assert text_index._unpacked(packed.slice(1), np.int64).tolist() == [1 << 40, 7, 8]
+    assert text_index._unpacked(pa.chunked_array([packed.slice(2), packed.slice(0, 1)]), np.int64).tolist() == [1 << 40, 7, 8, 5, -1]
+    assert text_index._unpacked(packed.slice(0, 0), np.float64).tolist() == []
+
+
+def test_a_block_is_picked_on_its_page(spark, tmp_path):
+    """The first block of a page ends where the page says, however long the page before."""
+    rows = [([1, 2], [0.5, 0.4], [1, 2], [10, 11], [0.5, 0.4], 0), ([3, 4], [0.9, 0.3], [4, 5], [20, 21, 22, 23, 24], [0.9, 0.8, 0.85, 0.84, 0.3], 0)]
+    spark.createDataFrame(rows, text_index.PAGES).coalesce(1).write.partitionBy("part").parquet(f"{tmp_path}/index/blocks")
+    index = text_index.TextIndex(f"{tmp_path}/index", 1)
+    asked = spark.createDataFrame([(1, 3, 1.0, 4), (2, 4, 1.0, 1), (3, 2, 1.0, 1)], "query_id long, term_no long, weight double, df long")
+    for least, want in ((0.0, [(1, 20, 0.9), (1, 22, 0.85), (2, 24, 0.3), (3, 11, 0.4)]), (0.4, [(1, 20, 0.9), (1, 22, 0.85), (3, 11, 0.4)])):
+        found = text_index._scores(index, asked, asked.select("term_no", F.lit(least).alias("least_top")), 2)
+        assert sorted(map(tuple, found.collect())) == want
+    assert sorted(map(tuple, index.tops(spark, [0]).collect())) == [(1, 0.5), (2, 0.4), (3, 0.9), (4, 0.3)]
