@@ -27,10 +27,11 @@ from pagemill.operators.topk import DIGITS, query_chunks, rank_scores
 from pagemill.session import broadcast_if_small, new_table_path, written
 
 #: Between tasks numbers travel as the bytes of their array: ``_packed`` and ``_unpacked``.
-RUNS = "run long, documents long, n_terms long, postings long, doc_ids binary, sizes binary, places binary, tfs binary, words binary, lengths binary, frequencies binary"
+RUNS = "run long, documents long, n_terms long, postings long, doc_ids binary, rows binary, tfs binary, words binary, lengths binary, frequencies binary"
 TERMS_DEALT = "shard long, run long, places binary, words binary, lengths binary, frequencies binary"
 NUMBERED = "run long, places binary, numbers binary, frequencies binary, term array<string>, term_no array<long>, df array<long>"
 DEALT = "shard long, term_no binary, piece binary, doc_id binary, weight binary"
+PICKED = "term_no binary, top binary, sizes binary, doc_ids binary, weights binary"
 FOUND = "shard long, term_no binary, doc_id binary, weight binary"
 PAGES = "term_no array<long>, top array<double>, ends array<int>, doc_ids array<long>, weights array<double>, part int"
 RUN_COLUMNS = [column.split()[0] for column in RUNS.split(", ")]
@@ -106,7 +107,7 @@ def build_text_index(
 
     shards = max(1, -(-postings // (parts * SHARD_ENTRIES)))  # of a part
     found = numbered.filter("run is not null").select("run", "places", "numbers", "frequencies")
-    both = runs.select("run", "doc_ids", "sizes", "places", "tfs").groupBy("run").cogroup(found.groupBy("run"))
+    both = runs.select("run", "doc_ids", "rows", "tfs", F.col("frequencies").alias("sizes")).groupBy("run").cogroup(found.groupBy("run"))
     dealt = both.applyInArrow(_by_term(n_documents, parts, shards, block_rows), DEALT)
     dealt.groupBy("shard").applyInArrow(_blocks(parts), PAGES).write.partitionBy("part").options(**LONG_ROWS).parquet(f"{path}/blocks")
     return TextIndex(path, parts)
@@ -119,20 +120,19 @@ def _written_long(table: DataFrame, schema: str, label: str) -> DataFrame:
 
 
 def _runs(run_tokens: int):
-    """Documents and their tokens, counted in runs: the run's distinct terms, and each document's as places among them."""
+    """Documents and their tokens, counted in runs: the run's distinct terms, and for each the rows of its documents."""
 
     def run(number: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
         doc_ids, lists = (pa.concat_arrays([batch.column(c) for batch in batches]) for c in (0, 1))
         row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
         encoded = lists.flatten().dictionary_encode()
-        terms = max(len(encoded.dictionary), 1)
-        pair, tf = np.unique(row * terms + encoded.indices.to_numpy(), return_counts=True)
-        place = pair % terms
-        sizes, frequencies = np.bincount(pair // terms, minlength=len(lists)), np.bincount(place, minlength=len(encoded.dictionary))
+        n = max(len(lists), 1)
+        pair, tf = np.unique(encoded.indices.to_numpy() * np.int64(n) + row, return_counts=True)
+        place, rows = np.divmod(pair, n)
         words, ends = _words(encoded.dictionary)
-        counts = [pa.array([x]) for x in (number, len(lists), len(encoded.dictionary), len(place))]
-        numbers = [x.astype(np.int32) for x in (sizes, place, tf)]
-        whole = [_packed(x, [0, len(x)]) for x in (doc_ids.to_numpy(), *numbers, words, np.diff(ends), frequencies.astype(np.int32))]
+        counts = [pa.array([x]) for x in (number, len(lists), len(encoded.dictionary), len(rows))]
+        numbers = [x.astype(np.int32) for x in (rows, tf, np.bincount(place, minlength=len(encoded.dictionary)))]
+        whole = [_packed(x, [0, len(x)]) for x in (doc_ids.to_numpy(), *numbers[:2], words, np.diff(ends), numbers[2])]
         return pa.RecordBatch.from_arrays(counts + whole, RUN_COLUMNS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,18 +248,18 @@ def _by_term(n_documents: int, parts: int, shards: int, block_rows: int):
 
     def deal(run: pa.Table, found: pa.Table) -> pa.Table:
         doc = _unpacked(run.column("doc_ids"), np.int64)
-        sizes, place, tf = (_unpacked(run.column(c), np.int32) for c in ("sizes", "places", "tfs"))
+        row, tf, sizes = (_unpacked(run.column(c), np.int32) for c in ("rows", "tfs", "sizes"))
         places = _unpacked(found.column("places"), np.int32)
         numbers, frequencies = np.zeros((2, len(places)), dtype=np.int64)
         for values, column in ((numbers, "numbers"), (frequencies, "frequencies")):
             values[places] = _unpacked(found.column(column), np.int64)
-        row = np.repeat(np.arange(len(doc)), sizes)
-        weight = tf * np.log((n_documents + 1) / (frequencies + 1))[place]
+        weight = tf * np.repeat(np.log((n_documents + 1) / (frequencies + 1)), sizes)
+        length = np.sqrt(np.bincount(row, weight * weight, len(doc)))
         here = weight > 0
-        row, place, weight = row[here], place[here], weight[here]
-        weight = weight / np.sqrt(np.bincount(row, weight * weight, len(doc)))[row]
-        term, doc = numbers[place], doc[row]
-        piece = _mixed(doc) % -(-frequencies[place] // block_rows)
+        row, weight = row[here], weight[here]
+        weight, doc = weight / length[row], doc[row]
+        term, pieces = (np.repeat(x, sizes)[here] for x in (numbers, -(-frequencies // block_rows)))
+        piece = np.where(pieces > 1, _mixed(doc) % np.maximum(pieces, 1), 0)
         shard = term % parts
         if shards > 1:
             shard += parts * (_mixed(term + _mixed(piece)) % shards)
@@ -274,8 +274,8 @@ def _blocks(parts: int):
     def build(shard: pa.Table) -> pa.Table:
         term, piece, doc = (_unpacked(shard.column(c), np.int64) for c in ("term_no", "piece", "doc_id"))
         weight = _unpacked(shard.column("weight"), np.float64)
-        level = np.floor(np.log2(weight) * 4).astype(np.int32)
-        order = np.lexsort((piece, -level, term))
+        level = np.floor(np.log2(weight) * 4).astype(np.int64)
+        order = np.lexsort((piece - level * (piece.max() + 1), term))
         term, piece, level, weight = term[order], piece[order], level[order], weight[order]
         new = (np.diff(term) != 0) | (np.diff(level) != 0) | (np.diff(piece) != 0)
         first = np.flatnonzero(np.append(True, new))
@@ -317,37 +317,58 @@ def _asked_parts(index: TextIndex, asked: DataFrame) -> list[int]:
     return [row[0] for row in asked.select(_part(F.col("term_no"), index.parts)).distinct().collect()]  # at most the index's parts
 
 
-def _scores(index: TextIndex, asked: DataFrame, least_top: DataFrame, k: int) -> DataFrame:
+def _picked(index: TextIndex, asked: DataFrame) -> DataFrame:
+    """The blocks of the terms that are asked for, taken from their pages."""
+    numbers = np.sort(asked.select("term_no").distinct().toPandas()["term_no"].to_numpy(dtype=np.int64))  # at most one per entry of the chunk
+    shared = asked.sparkSession.sparkContext.broadcast(numbers)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = shared.value
+        for batch in batches:
+            term, top, ends, doc, weight = (batch.column(c).flatten().to_numpy() for c in ("term_no", "top", "ends", "doc_ids", "weights"))
+            if not len(terms) or not len(term):
+                continue
+            pages = np.cumsum(pc.list_value_length(batch.column("ends")).to_numpy())[:-1]
+            sizes = np.diff(ends, prepend=0).astype(np.int32)
+            sizes[pages] = ends[pages]  # the first block of every page
+            here = terms[np.minimum(np.searchsorted(terms, term), len(terms) - 1)] == term
+            postings = np.repeat(here, sizes)
+            columns = {"term_no": term[here], "top": top[here], "sizes": sizes[here], "doc_ids": doc[postings], "weights": weight[postings]}
+            if here.any():
+                yield pa.RecordBatch.from_arrays([_packed(x, [0, len(x)]) for x in columns.values()], list(columns))
+
+    return index.pages(asked.sparkSession, _asked_parts(index, asked)).drop("part").mapInArrow(pick, PICKED)
+
+
+def _scores(index: TextIndex, asked: DataFrame, least_top: DataFrame, k: int, picked: DataFrame | None = None) -> DataFrame:
     """``query_id, doc_id, score``: every query's best, over the blocks of a term whose largest weight reaches ``least_top(term_no,
     least_top)``.
 
-    Blocks are picked where their page is read. Postings are dealt by their document and scored against all queries where they
-    meet, so pairs are never rows.
+    Postings are dealt by their document and scored against all queries where they meet, so pairs are never rows.
     """
     context = asked.sparkSession.sparkContext
     entries = asked.select("term_no", "df").distinct().agg(F.sum("df")).first()[0] or 0
     shards = max(1, -(-entries // SCORE_ENTRIES))
     needed = least_top.toPandas().sort_values("term_no")  # at most a row per entry of the chunk
-    picked = context.broadcast([needed[c].to_numpy() for c in ("term_no", "least_top")])
-    pages = index.pages(asked.sparkSession, _asked_parts(index, asked)).drop("part")
-    dealt = pages.mapInArrow(_by_document(picked, shards), FOUND)
+    least = context.broadcast([needed[c].to_numpy() for c in ("term_no", "least_top")])
+    pages = _picked(index, asked) if picked is None else picked
+    dealt = pages.mapInArrow(_by_document(least, shards), FOUND)
     table = asked.select("query_id", "term_no", "weight").toPandas().sort_values("query_id")
     shared = context.broadcast([table[c].to_numpy() for c in ("query_id", "term_no", "weight")])
     return dealt.groupBy("shard").applyInArrow(_best(shared, k), RESULT)
 
 
-def _by_document(picked, shards: int):
+def _by_document(needed, shards: int):
     """Deal the postings of the blocks that are needed."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, least = picked.value
+        terms, least = needed.value
         for batch in batches:
-            term, top, ends, doc, weight = (batch.column(c).flatten().to_numpy() for c in ("term_no", "top", "ends", "doc_ids", "weights"))
+            term, doc = (_unpacked(batch.column(c), np.int64) for c in ("term_no", "doc_ids"))
+            top, weight = (_unpacked(batch.column(c), np.float64) for c in ("top", "weights"))
+            sizes = _unpacked(batch.column("sizes"), np.int32)
             if not len(terms) or not len(term):
                 continue
-            pages = np.cumsum(pc.list_value_length(batch.column("ends")).to_numpy())[:-1]
-            sizes = np.diff(ends, prepend=0)
-            sizes[pages] = ends[pages]  # the first block of every page
             place = np.minimum(np.searchsorted(terms, term), len(terms) - 1)
             here = (terms[place] == term) & (top >= least[place])
             postings = np.repeat(here, sizes)
@@ -388,9 +409,9 @@ def _best(shared, k: int):
     return score
 
 
-def _bounded(index: TextIndex, asked: DataFrame, k: int) -> DataFrame:
+def _bounded(index: TextIndex, asked: DataFrame, k: int, picked: DataFrame | None = None) -> DataFrame:
     """``asked`` with ``least``, a score that every query's ``k``-th document has at least: from the best blocks of its terms."""
-    best = _scores(index, asked, asked.select("term_no", (F.col("top") / 1.5).alias("least_top")).distinct(), k)  # partial sums: no score is smaller
+    best = _scores(index, asked, asked.select("term_no", (F.col("top") / 1.5).alias("least_top")).distinct(), k, picked)  # partial sums: no score is smaller
     ranked = rank_scores(best, "query_id", "doc_id", "score", k)
     least = written(ranked.filter(F.col("rank") == k).select("query_id", F.col("score").alias("least")), "least-scores")
     return asked.join(least, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(0.0)))
@@ -407,12 +428,14 @@ def search_text(index: TextIndex, queries: DataFrame, key: str, tokens: Column,
     """``query_id, doc_id, score, rank``: the ``k`` documents nearest to every query, as ``retrieval.tfidf_search`` finds them.
 
     Query terms that the index does not know carry no weight; queries without any have no rows, and keys should differ.
-    Queries are taken in chunks of at most ``batch_bytes``; a chunk reads the blocks that one of its queries must read.
+    Queries are taken in chunks of at most ``batch_bytes``; a chunk goes over the pages once, keeps the blocks of its terms, and
+    reads of these what one of its queries must read.
     """
     asked = written(asked_terms(index, queries, key, tokens), "asked-terms")
     least_top = F.min((F.col("least") - F.col("rest") - SLACK) / F.col("weight")).alias("least_top")
     found = []
     for chunk in query_chunks(asked, "query_id", asked.count() * ENTRY_BYTES, batch_bytes):
-        needed = written(_bounded(index, chunk, k).groupBy("term_no").agg(least_top), "least-tops")
-        found.append(_scores(index, chunk, needed, k))
+        picked = _written_long(_picked(index, chunk), PICKED, "picked-blocks")
+        needed = written(_bounded(index, chunk, k, picked).groupBy("term_no").agg(least_top), "least-tops")
+        found.append(_scores(index, chunk, needed, k, picked))
     return rank_scores(reduce(DataFrame.union, found), "query_id", "doc_id", "score", k)
